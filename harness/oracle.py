@@ -331,3 +331,39 @@ for _t in ("alerts", "quality_checks", "defects", "maintenance_logs", "factories
 for _d in ("dim_factory", "dim_production_line", "dim_machine", "dim_sensor", "dim_operator",
            "dim_order", "dim_product", "dim_alert_type", "dim_maintenance_type"):
     ORACLE[_d] = dim_sql(_d)
+
+
+# --- storage, landing, export, pipeline -------------------------------------
+
+def _orders_version_sql(i: int) -> str:
+    return ("SELECT order_id, product_code, quantity_ordered, start_date, target_end_date, "
+            f"priority, status || '-v{i}' AS status FROM ({bronze_sql('production_orders')}) AS b")
+
+
+ORACLE["snapshot_latest"] = _orders_version_sql(1)
+ORACLE["snapshot_all_versions"] = " UNION ALL ".join(_orders_version_sql(i) for i in range(3))
+ORACLE["payload_explode"] = f"SELECT {_cast_list('machines')} FROM ({bronze_sql('machines')}) AS b"
+ORACLE["csv_roundtrip"] = fact_sensor_readings_sql()
+
+
+def _pipeline_counts_sql() -> str:
+    parts = {
+        "dim_date": f"SELECT count(*) FROM ({dim_date_sql()}) AS x",
+        "dim_time": f"SELECT count(*) FROM ({DIM_TIME_SQL}) AS x",
+        "dim_product": f"SELECT count(*) FROM ({dim_product_sql()}) AS x",
+        "dim_alert_type": f"SELECT count(*) FROM ({dim_alert_type_sql()}) AS x",
+        "dim_maintenance_type": f"SELECT count(*) FROM ({dim_maintenance_type_sql()}) AS x",
+        "fact_alerts": fact_alerts_body("count(*)"),
+        "fact_quality": fact_quality_body("count(*)"),
+        "fact_maintenance": fact_maintenance_body("count(*)"),
+        "fact_production": fact_production_body("count(*)"),
+        "fact_sensor_readings": f"SELECT count(*) FROM ({fact_sensor_readings_sql()}) AS x",
+    }
+    for name in SIMPLE_DIMS_SQL:
+        parts[name] = f"SELECT count(*) FROM ({simple_dim_sql(name)}) AS x"
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, CAST(({sql}) AS BIGINT) AS n_rows"
+        for name, sql in sorted(parts.items()))
+
+
+ORACLE["pipeline_counts"] = _pipeline_counts_sql()

@@ -176,3 +176,87 @@ for _d in ("dim_factory", "dim_production_line", "dim_machine", "dim_sensor",
            "dim_maintenance_type"):
     QUERIES[_d] = _dim_query(_d)
 QUERIES["dense_sk_range"] = q_dense_sk_range
+
+
+# --- storage, landing, export, pipeline -------------------------------------
+
+from millstar.plans.pipeline import Layout, transform  # noqa: E402
+from millstar.schemas import BRONZE_SCHEMAS  # noqa: E402
+from millstar.session import scratch_path  # noqa: E402
+from millstar.sinks.csv import CsvSink, read_csv_export  # noqa: E402
+from millstar.sinks.export import export_tables  # noqa: E402
+from millstar.sources import payload, snapshots  # noqa: E402
+
+from harness.adapter import BRONZE_TABLES  # noqa: E402
+from harness.landing import pack_pages  # noqa: E402
+
+# Version stamps written out of order; the newest is the second one.
+SNAPSHOT_STAMPS = ["20260101T100000", "20260103T150000", "20260102T120000"]
+
+
+def _orders_version(spark, sf, i: int) -> DataFrame:
+    b = bronze(spark, sf, "production_orders")
+    return b.withColumn("status", F.concat(F.col("status"), F.lit(f"-v{i}")))
+
+
+def _write_order_versions(spark, sf) -> str:
+    table_dir = scratch_path(spark, "snapshots") + "/production_orders"
+    for i, s in enumerate(SNAPSHOT_STAMPS):
+        snapshots.write_snapshot(_orders_version(spark, sf, i), table_dir, s)
+    return table_dir
+
+
+def q_snapshot_latest(spark, sf):
+    return snapshots.read_latest(spark, _write_order_versions(spark, sf))
+
+
+def q_snapshot_all_versions(spark, sf):
+    return snapshots.read_all_versions(spark, _write_order_versions(spark, sf))
+
+
+def q_payload_explode(spark, sf):
+    """Supplier-derived machines packed into JSON pages, landed, read back from bronze."""
+    root = scratch_path(spark, "payload")
+    pages = pack_pages(bronze(spark, sf, "machines"), "machines",
+                       empty_tables=("maintenance_schedules",))
+    pages.write.mode("overwrite").text(f"{root}/landing")
+    schema = payload.payload_schema({t: BRONZE_SCHEMAS[t]
+                                     for t in ("machines", "maintenance_schedules")})
+    landed = payload.land_payload(spark, f"{root}/landing", f"{root}/bronze",
+                                  "20260101T000000", schema, multi_line=False)
+    if "maintenance_schedules" in landed:
+        raise AssertionError("an empty table must not be landed")
+    return snapshots.read_latest(spark, f"{root}/bronze/machines")
+
+
+def q_csv_roundtrip(spark, sf):
+    """fact_sensor_readings -> gold version -> CSV export -> read back with its schema."""
+    root = scratch_path(spark, "csv")
+    df = fact(spark, sf, "fact_sensor_readings")
+    snapshots.write_snapshot(df, f"{root}/gold/fact_sensor_readings", "20260101T000000")
+    out = export_tables(spark, f"{root}/gold", CsvSink(f"{root}/exports"),
+                        tables=["fact_sensor_readings"])
+    return read_csv_export(spark, out["fact_sensor_readings"], df.schema)
+
+
+def q_pipeline_counts(spark, sf):
+    """Land all 14 adapter tables, run bronze -> silver -> gold, count every gold table."""
+    layout = Layout.under(scratch_path(spark, "pipeline"))
+    version = "20260101T000000"
+    for t in BRONZE_TABLES:
+        snapshots.write_snapshot(bronze(spark, sf, t), f"{layout.bronze}/{t}", version)
+    result = transform(spark, layout, version)
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"),
+                                                                "n_rows")
+             for name, df in sorted({**result.dimensions, **result.facts}.items())]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+QUERIES["snapshot_latest"] = q_snapshot_latest
+QUERIES["snapshot_all_versions"] = q_snapshot_all_versions
+QUERIES["payload_explode"] = q_payload_explode
+QUERIES["csv_roundtrip"] = q_csv_roundtrip
+QUERIES["pipeline_counts"] = q_pipeline_counts
