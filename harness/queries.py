@@ -13,10 +13,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harness.adapter import bronze, driver_table
+from harness.adapter import BRONZE_TABLES, bronze, driver_table
+from harness.landing import pack_pages
 from millstar.operators import cleaning, dimensions, facts
 from millstar.operators.dense_key import dense_key
-from millstar.schemas import GOLD_COLUMNS
+from millstar.plans.pipeline import Layout, transform
+from millstar.schemas import BRONZE_SCHEMAS, GOLD_COLUMNS
+from millstar.session import scratch_path
+from millstar.sinks.csv import CsvSink, read_csv_export
+from millstar.sinks.export import export_tables
+from millstar.sources import payload, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,9 +33,6 @@ def silver(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return cleaning.clean_table(bronze(spark, sf, table), table)
 
 
-_SIMPLE_SOURCE = {name: cfg.source_table for name, cfg in dimensions.SIMPLE_DIMENSIONS.items()}
-
-
 def dimension(spark: SparkSession, sf: str, name: str) -> DataFrame:
     if name == "dim_date":
         return dimensions.build_dim_date(spark)
@@ -180,15 +183,6 @@ QUERIES["dense_sk_range"] = q_dense_sk_range
 
 # --- storage, landing, export, pipeline -------------------------------------
 
-from millstar.plans.pipeline import Layout, transform  # noqa: E402
-from millstar.schemas import BRONZE_SCHEMAS  # noqa: E402
-from millstar.session import scratch_path  # noqa: E402
-from millstar.sinks.csv import CsvSink, read_csv_export  # noqa: E402
-from millstar.sinks.export import export_tables  # noqa: E402
-from millstar.sources import payload, snapshots  # noqa: E402
-
-from harness.adapter import BRONZE_TABLES  # noqa: E402
-from harness.landing import pack_pages  # noqa: E402
 
 # Version stamps written out of order; the newest is the second one.
 SNAPSHOT_STAMPS = ["20260101T100000", "20260103T150000", "20260102T120000"]

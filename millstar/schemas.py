@@ -29,8 +29,18 @@ TABLE_IDS: dict[str, str] = {
 }
 
 
+_TYPES = {"BIGINT": T.LongType(), "INT": T.IntegerType(), "STRING": T.StringType(),
+          "DOUBLE": T.DoubleType(), "DATE": T.DateType(), "BOOLEAN": T.BooleanType(),
+          "TIMESTAMP": T.TimestampType()}
+
+
 def _schema(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """``"name TYPE, ..."`` with flat primitive types -> StructType (no session needed)."""
+    fields = []
+    for part in spec.split(","):
+        name, type_name = part.split()
+        fields.append(T.StructField(name, _TYPES[type_name], True))
+    return T.StructType(fields)
 
 
 # Declared bronze column types (our choice; the names are the contract).
