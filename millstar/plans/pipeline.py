@@ -13,6 +13,7 @@ from a thread pool so small tables do not leave the cluster idle.
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -48,6 +49,7 @@ class TransformResult:
     facts: dict[str, DataFrame] = field(default_factory=dict)
     skipped_facts: list[str] = field(default_factory=list)
     written: dict[str, str] = field(default_factory=dict)
+    seconds: dict[str, float] = field(default_factory=dict)
 
 
 def _version(when: dt.datetime | str | None) -> str:
@@ -55,11 +57,16 @@ def _version(when: dt.datetime | str | None) -> str:
 
 
 def _write_layer(spark: SparkSession, frames: Mapping[str, DataFrame], root: str, version: str,
-                 parallel: int) -> tuple[dict[str, str], dict[str, DataFrame]]:
+                 parallel: int, seconds: dict[str, float] | None = None
+                 ) -> tuple[dict[str, str], dict[str, DataFrame]]:
     """Write each frame as a new version under ``root`` and read it back."""
     def one(item):
         name, df = item
-        return name, snapshots.write_snapshot(df, f"{root.rstrip('/')}/{name}", version)
+        t0 = time.perf_counter()
+        path = snapshots.write_snapshot(df, f"{root.rstrip('/')}/{name}", version)
+        if seconds is not None:
+            seconds[name] = time.perf_counter() - t0
+        return name, path
 
     items = list(frames.items())
     if parallel > 1 and len(items) > 1:
@@ -71,19 +78,21 @@ def _write_layer(spark: SparkSession, frames: Mapping[str, DataFrame], root: str
 
 
 def clean_all(spark: SparkSession, layout: Layout, version: str,
-              parallel_writes: int = 4, declared_types: bool = True) -> tuple[dict, dict]:
+              parallel_writes: int = 4, declared_types: bool = True,
+              seconds: dict[str, float] | None = None) -> tuple[dict, dict]:
     """Newest bronze version of each registered table -> cleaned silver version."""
     cleaned = {}
     for table in TABLE_IDS:
         raw = snapshots.read_latest(spark, f"{layout.bronze}/{table}")
         if raw is not None:
             cleaned[table] = cleaning.clean_table(raw, table, declared_types)
-    return _write_layer(spark, cleaned, layout.silver, version, parallel_writes)
+    return _write_layer(spark, cleaned, layout.silver, version, parallel_writes, seconds)
 
 
 def build_dimensions(spark: SparkSession, silver: Mapping[str, DataFrame], layout: Layout,
                      version: str, date_range: tuple[dt.date, dt.date] | None = None,
-                     parallel_writes: int = 4) -> tuple[dict, dict]:
+                     parallel_writes: int = 4,
+                     seconds: dict[str, float] | None = None) -> tuple[dict, dict]:
     """Calendar and hours always; every other dimension when its source exists."""
     start, end = date_range or (dimensions.DEFAULT_START, dimensions.DEFAULT_END)
     dims: dict[str, DataFrame] = {
@@ -101,12 +110,13 @@ def build_dimensions(spark: SparkSession, silver: Mapping[str, DataFrame], layou
     for name, (source, build) in derived.items():
         if source in silver:
             dims[name] = build(silver[source])
-    return _write_layer(spark, dims, layout.gold, version, parallel_writes)
+    return _write_layer(spark, dims, layout.gold, version, parallel_writes, seconds)
 
 
 def build_facts(spark: SparkSession, silver: Mapping[str, DataFrame],
                 dims: Mapping[str, DataFrame], layout: Layout, version: str,
-                parallel_writes: int = 2) -> tuple[dict, dict, list[str]]:
+                parallel_writes: int = 2,
+                seconds: dict[str, float] | None = None) -> tuple[dict, dict, list[str]]:
     """Each fact whose inputs all exist; the others are skipped and listed."""
     built, skipped = {}, []
     for name, (tables, dim_names) in facts.FACT_REQUIREMENTS.items():
@@ -116,24 +126,35 @@ def build_facts(spark: SparkSession, silver: Mapping[str, DataFrame],
         inputs = {d: dims[d] for d in dim_names}
         inputs.update({t: silver[t] for t in tables[1:]})
         built[name] = facts.FACT_BUILDERS[name](silver[tables[0]], inputs)
-    paths, frames = _write_layer(spark, built, layout.gold, version, parallel_writes)
+    paths, frames = _write_layer(spark, built, layout.gold, version, parallel_writes, seconds)
     return paths, frames, skipped
 
 
 def transform(spark: SparkSession, layout: Layout, when: dt.datetime | str | None = None,
               date_range: tuple[dt.date, dt.date] | None = None,
               parallel_writes: int = 4) -> TransformResult:
-    """Bronze -> silver -> gold, one version stamp for the whole run."""
+    """Bronze -> silver -> gold, one version stamp for the whole run.
+
+    ``result.seconds`` holds the write time of every table (exact per table
+    when ``parallel_writes == 1``) and of each layer.
+    """
     result = TransformResult(_version(when))
-    paths, result.silver = clean_all(spark, layout, result.version, parallel_writes)
+    secs = result.seconds
+    t0 = time.perf_counter()
+    paths, result.silver = clean_all(spark, layout, result.version, parallel_writes,
+                                     seconds=secs)
     result.written.update({f"silver/{k}": v for k, v in paths.items()})
+    t1 = time.perf_counter()
     paths, result.dimensions = build_dimensions(spark, result.silver, layout, result.version,
-                                                date_range, parallel_writes)
+                                                date_range, parallel_writes, seconds=secs)
     result.written.update({f"gold/{k}": v for k, v in paths.items()})
+    t2 = time.perf_counter()
     paths, result.facts, result.skipped_facts = build_facts(
         spark, result.silver, result.dimensions, layout, result.version,
-        max(1, parallel_writes // 2))
+        max(1, parallel_writes // 2), seconds=secs)
     result.written.update({f"gold/{k}": v for k, v in paths.items()})
+    t3 = time.perf_counter()
+    secs.update({"layer_silver": t1 - t0, "layer_dimensions": t2 - t1, "layer_facts": t3 - t2})
     return result
 
 
