@@ -324,6 +324,9 @@ ORACLE: dict[str, str] = {
     "dense_sk_range": ("SELECT CAST(row_number() OVER (ORDER BY p_name NULLS FIRST) AS INTEGER) "
                        "AS name_sk, p_name FROM (SELECT DISTINCT p_name FROM part) AS p"),
 }
+for _f in ("fact_sensor_readings", "fact_alerts", "fact_quality", "fact_maintenance",
+           "fact_production"):
+    ORACLE[f"{_f}_shuffle_joins"] = ORACLE[_f]
 for _t in ("alerts", "quality_checks", "defects", "maintenance_logs", "factories",
            "production_lines", "machines", "sensors", "operators", "production_orders",
            "production_output", "sensor_readings", "maintenance_schedules"):

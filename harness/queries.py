@@ -50,7 +50,8 @@ def dimension(spark: SparkSession, sf: str, name: str) -> DataFrame:
     raise KeyError(name)
 
 
-def fact(spark: SparkSession, sf: str, name: str, bronze_override=None) -> DataFrame:
+def fact(spark: SparkSession, sf: str, name: str, bronze_override=None,
+         broadcast_max_rows: int | None = None) -> DataFrame:
     tables, dim_names = facts.FACT_REQUIREMENTS[name]
     dims = {d: dimension(spark, sf, d) for d in dim_names}
     for t in tables[1:]:
@@ -58,7 +59,7 @@ def fact(spark: SparkSession, sf: str, name: str, bronze_override=None) -> DataF
     source_table = facts.FACT_SOURCE[name]
     src_bronze = bronze_override if bronze_override is not None else bronze(spark, sf, source_table)
     src = cleaning.clean_table(src_bronze, source_table)
-    return facts.FACT_BUILDERS[name](src, dims)
+    return facts.FACT_BUILDERS[name](src, dims, broadcast_max_rows=broadcast_max_rows)
 
 
 def _without_sk(df: DataFrame, name: str) -> DataFrame:
@@ -91,6 +92,15 @@ def _fact_sk_query(name: str) -> Query:
     return run
 
 
+def _fact_shuffle_query(name: str) -> Query:
+    """The same fact with every lookup forced to a shuffle join (broadcast bound 0)."""
+    def run(spark, sf):
+        df = fact(spark, sf, name, broadcast_max_rows=0)
+        return df if name == "fact_sensor_readings" else _without_sk(df, name)
+    run.__name__ = f"q_{name}_shuffle_joins"
+    return run
+
+
 def q_fact_production_fanout(spark, sf):
     """Orders with a duplicated order_id (second version, other status) fan out k*k."""
     orders = bronze(spark, sf, "production_orders")
@@ -164,6 +174,8 @@ QUERIES: dict[str, Query] = {
 for _f in ("fact_alerts", "fact_quality", "fact_maintenance", "fact_production"):
     QUERIES[_f] = _fact_query(_f)
     QUERIES[f"{_f}_sk"] = _fact_sk_query(_f)
+for _f in facts.FACT_BUILDERS:
+    QUERIES[f"{_f}_shuffle_joins"] = _fact_shuffle_query(_f)
 QUERIES["fact_production_fanout"] = q_fact_production_fanout
 QUERIES["clean_dedup"] = q_clean_dedup
 QUERIES["clean_null_id"] = q_clean_null_id

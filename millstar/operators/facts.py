@@ -3,8 +3,9 @@
 Every fact is one row per source row (absent key fan-out), surrogate keys
 resolved by the left-join chain in ``lookup.resolve`` and metrics computed with
 built-in column expressions.  All five plans are map-only over the fact source
-when the dimensions broadcast; the order lookups of F1/F2 are the only ones
-whose build side grows with the data, so they are never forced to broadcast.
+when the dimensions pass the broadcast size check; the order lookups of F1/F2
+are the only ones whose build side grows with the data, and past the bound they
+become shuffle joins with NULL keys spread over all reducers.
 """
 
 from __future__ import annotations
@@ -36,12 +37,11 @@ def fact_key(sk_from: str | None) -> Column:
 
 
 def _date_lookup() -> Lookup:
-    return Lookup("dim_date", (("date_key", "date_sk"),), (("date_sk", "date_sk"),), bounded=True)
+    return Lookup("dim_date", (("date_key", "date_sk"),), (("date_sk", "date_sk"),))
 
 
 def _time_lookup() -> Lookup:
-    return Lookup("dim_time", (("hour_key", "hour_of_day"),), (("time_sk", "time_sk"),),
-                  bounded=True)
+    return Lookup("dim_time", (("hour_key", "hour_of_day"),), (("time_sk", "time_sk"),))
 
 
 def _machine_line_lookups() -> list[Lookup]:
@@ -55,14 +55,16 @@ def _machine_line_lookups() -> list[Lookup]:
 
 # --- F1 --------------------------------------------------------------------
 
+# The two order_id lookups (the only ones that grow with the data) come first and
+# together, so as shuffle joins they share one exchange of the fact.
 FACT_PRODUCTION_LOOKUPS = [
     Lookup("production_orders", (("order_id", "order_id"),),
            (("product_code", "order_product_code"), ("quantity_ordered", "target_units"))),
+    Lookup("dim_order", (("order_id", "order_id"),), (("order_sk", "order_sk"),)),
     _date_lookup(),
     Lookup("dim_shift", (("shift_id", "shift_id"),), (("shift_sk", "shift_sk"),)),
     Lookup("dim_product", (("order_product_code", "product_code"),),
            (("product_sk", "product_sk"),)),
-    Lookup("dim_order", (("order_id", "order_id"),), (("order_sk", "order_sk"),)),
     Lookup("dim_production_line", (("line_id", "line_id"),),
            (("line_sk", "line_sk"), ("factory_id", "line_factory_id"))),
     Lookup("dim_factory", (("line_factory_id", "factory_id"),),
@@ -71,11 +73,12 @@ FACT_PRODUCTION_LOOKUPS = [
 
 
 def build_fact_production(production_output: DataFrame, dims: Mapping[str, DataFrame],
-                          sk_from: str | None = None) -> DataFrame:
+                          sk_from: str | None = None,
+                          broadcast_max_rows: int | None = None) -> DataFrame:
     """F1.  ``dims`` also holds silver ``production_orders`` (target units, product)."""
     src = production_output.withColumn(
         "date_key", date_key(as_timestamp(production_output, "production_date")))
-    out = resolve(src, dims, FACT_PRODUCTION_LOOKUPS)
+    out = resolve(src, dims, FACT_PRODUCTION_LOOKUPS, broadcast_max_rows)
     units = F.col("units_produced")
     cycle = F.when(units > 0, (F.lit(SHIFT_MINUTES) - F.col("downtime_minutes")) / units)
     return out.select(
@@ -104,11 +107,12 @@ FACT_QUALITY_LOOKUPS = [
 
 
 def build_fact_quality(quality_checks: DataFrame, dims: Mapping[str, DataFrame],
-                       sk_from: str | None = None) -> DataFrame:
+                       sk_from: str | None = None,
+                       broadcast_max_rows: int | None = None) -> DataFrame:
     """F2."""
     src = quality_checks.withColumn(
         "date_key", date_key(as_timestamp(quality_checks, "check_date")))
-    out = resolve(src, dims, FACT_QUALITY_LOOKUPS)
+    out = resolve(src, dims, FACT_QUALITY_LOOKUPS, broadcast_max_rows)
     sample = F.col("sample_size")
     rate = F.when(sample > 0, F.col("defects_found") / sample * 100).otherwise(F.lit(0.0))
     passed = F.coalesce(F.lower(F.col("result")) == "pass", F.lit(False))
@@ -131,14 +135,14 @@ FACT_SENSOR_READINGS_LOOKUPS = [
 ]
 
 
-def build_fact_sensor_readings(sensor_readings: DataFrame,
-                               dims: Mapping[str, DataFrame]) -> DataFrame:
+def build_fact_sensor_readings(sensor_readings: DataFrame, dims: Mapping[str, DataFrame],
+                               broadcast_max_rows: int | None = None) -> DataFrame:
     """F3.  The key is the reading id, so the whole fact is reproducible."""
     ts = as_timestamp(sensor_readings, "timestamp")
     src = (sensor_readings.withColumn("reading_ts", ts)
            .withColumn("date_key", date_key(F.col("reading_ts")))
            .withColumn("hour_key", hour_key(F.col("reading_ts"))))
-    out = resolve(src, dims, FACT_SENSOR_READINGS_LOOKUPS)
+    out = resolve(src, dims, FACT_SENSOR_READINGS_LOOKUPS, broadcast_max_rows)
     return out.select(
         F.col("reading_id").cast(T.LongType()).alias("sensor_reading_sk"),
         "date_sk", "time_sk", "sensor_sk", "machine_sk", "line_sk",
@@ -162,12 +166,13 @@ FACT_MAINTENANCE_LOOKUPS = [
 
 
 def build_fact_maintenance(maintenance_logs: DataFrame, dims: Mapping[str, DataFrame],
-                           sk_from: str | None = None) -> DataFrame:
+                           sk_from: str | None = None,
+                           broadcast_max_rows: int | None = None) -> DataFrame:
     """F4.  The technician is the first digit run in ``performed_by``."""
     src = (maintenance_logs
            .withColumn("date_key", date_key(as_timestamp(maintenance_logs, "performed_date")))
            .withColumn("technician_id", first_digit_run(F.col("performed_by"))))
-    out = resolve(src, dims, FACT_MAINTENANCE_LOOKUPS)
+    out = resolve(src, dims, FACT_MAINTENANCE_LOOKUPS, broadcast_max_rows)
     return out.select(
         fact_key(sk_from).alias("maintenance_sk"),
         "date_sk", "machine_sk", "line_sk", "maintenance_type_sk", "operator_sk",
@@ -190,7 +195,8 @@ FACT_ALERTS_LOOKUPS = [
 
 
 def build_fact_alerts(alerts: DataFrame, dims: Mapping[str, DataFrame],
-                      sk_from: str | None = None) -> DataFrame:
+                      sk_from: str | None = None,
+                      broadcast_max_rows: int | None = None) -> DataFrame:
     """F5.  Resolution time in minutes from whole seconds; NULL while unresolved."""
     triggered = as_timestamp(alerts, "triggered_at")
     resolved = as_timestamp(alerts, "resolved_at")
@@ -200,7 +206,7 @@ def build_fact_alerts(alerts: DataFrame, dims: Mapping[str, DataFrame],
                        F.when(resolved.isNotNull(),
                               (epoch_seconds(resolved) - epoch_seconds(triggered)) / 60))
            .withColumn("acknowledged_flag", F.col("acknowledged_at").isNotNull()))
-    out = resolve(src, dims, FACT_ALERTS_LOOKUPS)
+    out = resolve(src, dims, FACT_ALERTS_LOOKUPS, broadcast_max_rows)
     return out.select(
         fact_key(sk_from).alias("alert_sk"),
         "date_sk", "time_sk", "sensor_sk", "machine_sk", "line_sk", "alert_type_sk",

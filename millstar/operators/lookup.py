@@ -8,44 +8,92 @@ earlier one brought (snowflake hops such as machine -> line).
 Semantics kept on purpose: left outer joins (unmatched -> NULL), NULL keys never
 match, keys are not de-duplicated (k matches -> k rows).
 
-Physical plan: Spark picks a broadcast hash join whenever its size estimate or,
-with AQE, the measured runtime size of the dimension is under the broadcast
-threshold; otherwise a sort-merge join (with AQE skew splitting).  ``broadcast``
-is forced only for dimensions whose size is bounded by construction (the
-generated calendar and hour tables).
+Physical strategy, per lookup
+-----------------------------
+* **Broadcast behind a checked bound.**  A dimension is broadcast only after
+  ``df.limit(max_rows + 1).count()`` proved it holds at most ``max_rows`` rows;
+  that check reads at most ``max_rows + 1`` rows whatever the table size, and
+  the result is remembered per dimension DataFrame.  The broadcast side is the
+  projected key + output columns only.  The fact side is then never shuffled:
+  hot keys cost nothing.
+* **Otherwise a shuffle join** (sort-merge; AQE may still switch it to a
+  broadcast at runtime and splits skewed partitions of the fact side).  NULL
+  keys cannot match, but hash partitioning would send every NULL-key row to one
+  reducer; so those rows get a deterministic salt (hash of the row) that spreads
+  them over ``spark.sql.shuffle.partitions`` buckets, while matching rows keep
+  salt 0 -- the dimension side always has salt 0.  Consecutive shuffle lookups
+  on the same key reuse the partitioning (one exchange of the fact, not two).
 """
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Default bound on broadcast dimensions; the side is a few narrow columns, so
+# this stays in the tens of MB.  Override per call with ``broadcast_max_rows``.
+DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+
+_size_checks: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
+
 
 @dataclass(frozen=True)
 class Lookup:
     dim: str                                  # name in the dimension mapping
     on: tuple[tuple[str, str], ...]           # (fact column, dimension column) pairs
     take: tuple[tuple[str, str], ...]         # (dimension column, output name) pairs
-    bounded: bool = field(default=False)      # size bounded by construction -> broadcast
 
 
-def resolve(fact: DataFrame, dims: Mapping[str, DataFrame],
-            lookups: Sequence[Lookup]) -> DataFrame:
+def fits_broadcast(dim: DataFrame, max_rows: int) -> bool:
+    """Whether ``dim`` has at most ``max_rows`` rows (bounded-cost check, memoised)."""
+    per_df = _size_checks.setdefault(dim, {})
+    if max_rows not in per_df:
+        per_df[max_rows] = dim.limit(max_rows + 1).count() <= max_rows
+    return per_df[max_rows]
+
+
+def _null_salt(fact: DataFrame, keys: Sequence[str], buckets: int) -> Column:
+    any_null = None
+    for k in keys:
+        c = F.col(f"`{k}`").isNull()
+        any_null = c if any_null is None else any_null | c
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
+    return F.when(any_null, F.pmod(row_hash, F.lit(buckets)) + 1).otherwise(F.lit(0))
+
+
+def resolve(fact: DataFrame, dims: Mapping[str, DataFrame], lookups: Sequence[Lookup],
+            broadcast_max_rows: int | None = None) -> DataFrame:
     """Apply ``lookups`` in order as left joins."""
+    max_rows = DEFAULT_BROADCAST_MAX_ROWS if broadcast_max_rows is None else broadcast_max_rows
+    buckets = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for i, lk in enumerate(lookups):
         dim = dims[lk.dim]
         key_names = [f"__lk{i}_k{j}" for j in range(len(lk.on))]
         side = dim.select(
             *[F.col(f"`{dc}`").alias(kn) for (_, dc), kn in zip(lk.on, key_names)],
             *[F.col(f"`{src}`").alias(dst) for src, dst in lk.take])
-        if lk.bounded:
-            side = F.broadcast(side)
-        cond = None
-        for (fc, _), kn in zip(lk.on, key_names):
-            c = fact[fc] == side[kn]
-            cond = c if cond is None else cond & c
-        fact = fact.join(side, cond, "left").drop(*key_names)
-    return fact
+        fact_keys = [fc for fc, _ in lk.on]
+        if fits_broadcast(dim, max_rows):
+            cond = [fact[fc] == side[kn] for fc, kn in zip(fact_keys, key_names)]
+            fact = fact.join(F.broadcast(side), _and(cond), "left")
+            fact = fact.drop(*key_names)
+            continue
+        salt = f"__salt_{'_'.join(fact_keys)}"
+        if salt not in fact.columns:
+            fact = fact.withColumn(salt, _null_salt(fact, fact_keys, buckets))
+        side = side.withColumn("__dim_salt", F.lit(0))
+        cond = [fact[fc] == side[kn] for fc, kn in zip(fact_keys, key_names)]
+        cond.append(fact[salt] == side["__dim_salt"])
+        fact = fact.join(side, _and(cond), "left").drop(*key_names, "__dim_salt")
+    return fact.drop(*[c for c in fact.columns if c.startswith("__salt_")])
+
+
+def _and(conds: Sequence[Column]) -> Column:
+    out = conds[0]
+    for c in conds[1:]:
+        out = out & c
+    return out
