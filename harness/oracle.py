@@ -346,6 +346,7 @@ def _orders_version_sql(i: int) -> str:
 ORACLE["snapshot_latest"] = _orders_version_sql(1)
 ORACLE["snapshot_all_versions"] = " UNION ALL ".join(_orders_version_sql(i) for i in range(3))
 ORACLE["payload_explode"] = f"SELECT {_cast_list('machines')} FROM ({bronze_sql('machines')}) AS b"
+ORACLE["streaming_landing"] = ORACLE["payload_explode"]
 ORACLE["csv_roundtrip"] = fact_sensor_readings_sql()
 
 

@@ -235,6 +235,17 @@ def q_payload_explode(spark, sf):
     return snapshots.read_latest(spark, f"{root}/bronze/machines")
 
 
+def q_streaming_landing(spark, sf):
+    """Machines packed into JSON pages, landed by the streaming query, read back."""
+    from millstar.streaming.landing import start_landing
+    root = scratch_path(spark, "stream")
+    pack_pages(bronze(spark, sf, "machines"), "machines").write.text(f"{root}/landing")
+    schema = payload.payload_schema({"machines": BRONZE_SCHEMAS["machines"]})
+    start_landing(spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint", schema,
+                  multi_line=False, max_files_per_trigger=100_000).awaitTermination()
+    return snapshots.read_all_versions(spark, f"{root}/bronze/machines")
+
+
 def q_csv_roundtrip(spark, sf):
     """fact_sensor_readings -> gold version -> CSV export -> read back with its schema."""
     root = scratch_path(spark, "csv")
@@ -264,5 +275,6 @@ def q_pipeline_counts(spark, sf):
 QUERIES["snapshot_latest"] = q_snapshot_latest
 QUERIES["snapshot_all_versions"] = q_snapshot_all_versions
 QUERIES["payload_explode"] = q_payload_explode
+QUERIES["streaming_landing"] = q_streaming_landing
 QUERIES["csv_roundtrip"] = q_csv_roundtrip
 QUERIES["pipeline_counts"] = q_pipeline_counts
