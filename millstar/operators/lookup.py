@@ -11,11 +11,14 @@ match, keys are not de-duplicated (k matches -> k rows).
 Physical strategy, per lookup
 -----------------------------
 * **Broadcast behind a checked bound.**  A dimension is broadcast only after
-  ``df.limit(max_rows + 1).count()`` proved it holds at most ``max_rows`` rows;
-  that check reads at most ``max_rows + 1`` rows whatever the table size, and
-  the result is remembered per dimension DataFrame.  The broadcast side is the
-  projected key + output columns only.  The fact side is then never shuffled:
-  hot keys cost nothing.
+  counting it proved it holds at most ``max_rows`` rows.  In the pipeline every
+  dimension is a layer re-read from Parquet, so the count is answered from file
+  footers (no data column is read); the count is a partial + final aggregate,
+  never a single-task step, and it is remembered per dimension DataFrame.  (A
+  ``limit(n).count()`` would look cheaper but plans a single-partition exchange
+  of up to n rows per input partition.)  The broadcast side is the projected key
+  + output columns only.  The fact side is then never shuffled: hot keys cost
+  nothing.
 * **Otherwise a shuffle join** (sort-merge; AQE may still switch it to a
   broadcast at runtime and splits skewed partitions of the fact side).  NULL
   keys cannot match, but hash partitioning would send every NULL-key row to one
@@ -38,7 +41,7 @@ from pyspark.sql import functions as F
 # this stays in the tens of MB.  Override per call with ``broadcast_max_rows``.
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 
-_size_checks: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
+_size_checks: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
 
 
 @dataclass(frozen=True)
@@ -49,11 +52,12 @@ class Lookup:
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int) -> bool:
-    """Whether ``dim`` has at most ``max_rows`` rows (bounded-cost check, memoised)."""
-    per_df = _size_checks.setdefault(dim, {})
-    if max_rows not in per_df:
-        per_df[max_rows] = dim.limit(max_rows + 1).count() <= max_rows
-    return per_df[max_rows]
+    """Whether ``dim`` has at most ``max_rows`` rows (memoised per DataFrame)."""
+    if max_rows <= 0:
+        return False
+    if dim not in _size_checks:
+        _size_checks[dim] = dim.count()
+    return _size_checks[dim] <= max_rows
 
 
 def _null_salt(fact: DataFrame, keys: Sequence[str], buckets: int) -> Column:

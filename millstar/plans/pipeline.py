@@ -166,14 +166,15 @@ def bronze_payload_schema() -> T.StructType:
 def run_pipeline(spark: SparkSession, landed: str | list[str], layout: Layout,
                  when: dt.datetime | str | None = None, sink: Sink | None = None,
                  multi_line: bool = True, declared_payload: bool = True,
-                 export_versions: str = "latest") -> dict:
+                 export_versions: str = "latest", parallel_writes: int = 4) -> dict:
     """P5: land the payload(s) -> transform -> export every gold table."""
     version = _version(when)
     schema = bronze_payload_schema() if declared_payload else None
     landed_tables = payload.land_payload(spark, landed, layout.bronze, version, schema, multi_line)
-    result = transform(spark, layout, version)
+    result = transform(spark, layout, version, parallel_writes=parallel_writes)
     exported = {}
     if sink is not None:
-        exported = export_tables(spark, layout.gold, sink, versions=export_versions)
+        exported = export_tables(spark, layout.gold, sink, versions=export_versions,
+                                 parallel_writes=parallel_writes)
     return {"version": version, "landed": landed_tables, "transform": result,
             "exported": exported}

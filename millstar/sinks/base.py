@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from abc import ABC, abstractmethod
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -18,9 +19,16 @@ class Sink(ABC):
     def write(self, df: DataFrame, name: str) -> str:
         """Write one table; return its destination."""
 
-    def write_all(self, tables: Mapping[str, DataFrame]) -> dict[str, str]:
-        """Write several tables; ``{name: destination}``."""
-        return {name: self.write(df, name) for name, df in tables.items()}
+    def write_all(self, tables: Mapping[str, DataFrame], parallel: int = 1) -> dict[str, str]:
+        """Write several tables; ``{name: destination}``.
+
+        ``parallel > 1`` submits the independent write jobs from a thread pool.
+        """
+        items = list(tables.items())
+        if parallel > 1 and len(items) > 1:
+            with ThreadPoolExecutor(max_workers=parallel) as pool:
+                return dict(pool.map(lambda kv: (kv[0], self.write(kv[1], kv[0])), items))
+        return {name: self.write(df, name) for name, df in items}
 
 
 class ParquetSink(Sink):

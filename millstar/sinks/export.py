@@ -29,10 +29,13 @@ def _read(spark: SparkSession, root: str, table: str, versions: str) -> DataFram
 
 
 def export_tables(spark: SparkSession, gold_root: str, sink: Sink,
-                  tables: Sequence[str] | None = None, versions: str = "latest") -> dict[str, str]:
+                  tables: Sequence[str] | None = None, versions: str = "latest",
+                  parallel_writes: int = 1) -> dict[str, str]:
     """Export ``tables`` (default: every table under ``gold_root``)."""
     names = list(tables) if tables is not None else catalog.list_tables(spark, gold_root)
     resolved = {t: _read(spark, gold_root, t, versions) for t in names}
+    if parallel_writes > 1:
+        return sink.write_all(resolved, parallel=parallel_writes)
     return sink.write_all(resolved)
 
 
