@@ -6,6 +6,7 @@ round-trip equality -- reading the export back with the table's schema gives the
 same rows -- not byte equality with any single-file writer:
 
 * quotes are doubled inside quoted fields (``escape='"'``);
+* leading and trailing blanks are kept (Spark's CSV writer trims them by default);
 * timestamps are written with microseconds, ``yyyy-MM-dd HH:mm:ss.SSSSSS``;
 * NULL is an empty field; an empty string is ``""``.  Spark's CSV reader turns
   both back into NULL, the one loss a CSV round trip has.
@@ -34,6 +35,8 @@ class CsvSink(Sink):
            .option("sep", self.delimiter)
            .option("header", self.include_header)
            .option("escape", '"')
+           .option("ignoreLeadingWhiteSpace", False)
+           .option("ignoreTrailingWhiteSpace", False)
            .option("timestampFormat", TIMESTAMP_FORMAT)
            .option("timestampNTZFormat", TIMESTAMP_FORMAT)
            .option("dateFormat", DATE_FORMAT)
@@ -48,6 +51,8 @@ def read_csv_export(spark: SparkSession, path: str, schema: T.StructType,
             .option("sep", delimiter)
             .option("header", include_header)
             .option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
             .option("multiLine", True)
             .option("timestampFormat", TIMESTAMP_FORMAT)
             .option("timestampNTZFormat", TIMESTAMP_FORMAT)
