@@ -30,6 +30,7 @@ Physical strategy, per lookup
 
 from __future__ import annotations
 
+import threading
 import weakref
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -42,6 +43,7 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 
 _size_checks: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
+_size_lock = threading.Lock()   # facts are built from several threads at once
 
 
 @dataclass(frozen=True)
@@ -55,9 +57,13 @@ def fits_broadcast(dim: DataFrame, max_rows: int) -> bool:
     """Whether ``dim`` has at most ``max_rows`` rows (memoised per DataFrame)."""
     if max_rows <= 0:
         return False
-    if dim not in _size_checks:
-        _size_checks[dim] = dim.count()
-    return _size_checks[dim] <= max_rows
+    with _size_lock:
+        rows = _size_checks.get(dim)
+    if rows is None:
+        rows = dim.count()
+        with _size_lock:
+            _size_checks[dim] = rows
+    return rows <= max_rows
 
 
 def _null_salt(fact: DataFrame, keys: Sequence[str], buckets: int) -> Column:

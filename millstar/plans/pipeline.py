@@ -56,14 +56,14 @@ def _version(when: dt.datetime | str | None) -> str:
     return when if isinstance(when, str) else snapshots.stamp(when)
 
 
-def _write_layer(spark: SparkSession, frames: Mapping[str, DataFrame], root: str, version: str,
-                 parallel: int, seconds: dict[str, float] | None = None
+def _write_layer(spark: SparkSession, frames: Mapping[str, Callable[[], DataFrame]], root: str,
+                 version: str, parallel: int, seconds: dict[str, float] | None = None
                  ) -> tuple[dict[str, str], dict[str, DataFrame]]:
-    """Write each frame as a new version under ``root`` and read it back."""
+    """Build (lazily, in the worker) and write each table as a new version; read it back."""
     def one(item):
-        name, df = item
+        name, build = item
         t0 = time.perf_counter()
-        path = snapshots.write_snapshot(df, f"{root.rstrip('/')}/{name}", version)
+        path = snapshots.write_snapshot(build(), f"{root.rstrip('/')}/{name}", version)
         if seconds is not None:
             seconds[name] = time.perf_counter() - t0
         return name, path
@@ -85,7 +85,7 @@ def clean_all(spark: SparkSession, layout: Layout, version: str,
     for table in TABLE_IDS:
         raw = snapshots.read_latest(spark, f"{layout.bronze}/{table}")
         if raw is not None:
-            cleaned[table] = cleaning.clean_table(raw, table, declared_types)
+            cleaned[table] = (lambda r=raw, t=table: cleaning.clean_table(r, t, declared_types))
     return _write_layer(spark, cleaned, layout.silver, version, parallel_writes, seconds)
 
 
@@ -95,13 +95,13 @@ def build_dimensions(spark: SparkSession, silver: Mapping[str, DataFrame], layou
                      seconds: dict[str, float] | None = None) -> tuple[dict, dict]:
     """Calendar and hours always; every other dimension when its source exists."""
     start, end = date_range or (dimensions.DEFAULT_START, dimensions.DEFAULT_END)
-    dims: dict[str, DataFrame] = {
-        "dim_date": dimensions.build_dim_date(spark, start, end),
-        "dim_time": dimensions.build_dim_time(spark),
+    dims: dict[str, Callable[[], DataFrame]] = {
+        "dim_date": lambda: dimensions.build_dim_date(spark, start, end),
+        "dim_time": lambda: dimensions.build_dim_time(spark),
     }
     for name, cfg in dimensions.SIMPLE_DIMENSIONS.items():
         if cfg.source_table in silver:
-            dims[name] = dimensions.build_simple_dimension(silver[cfg.source_table], cfg)
+            dims[name] = (lambda c=cfg: dimensions.build_simple_dimension(silver[c.source_table], c))
     derived: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
         "dim_product": ("production_orders", dimensions.build_dim_product),
         "dim_alert_type": ("alerts", dimensions.build_dim_alert_type),
@@ -109,13 +109,13 @@ def build_dimensions(spark: SparkSession, silver: Mapping[str, DataFrame], layou
     }
     for name, (source, build) in derived.items():
         if source in silver:
-            dims[name] = build(silver[source])
+            dims[name] = (lambda b=build, s=source: b(silver[s]))
     return _write_layer(spark, dims, layout.gold, version, parallel_writes, seconds)
 
 
 def build_facts(spark: SparkSession, silver: Mapping[str, DataFrame],
                 dims: Mapping[str, DataFrame], layout: Layout, version: str,
-                parallel_writes: int = 2,
+                parallel_writes: int = 4,
                 seconds: dict[str, float] | None = None) -> tuple[dict, dict, list[str]]:
     """Each fact whose inputs all exist; the others are skipped and listed."""
     built, skipped = {}, []
@@ -125,7 +125,7 @@ def build_facts(spark: SparkSession, silver: Mapping[str, DataFrame],
             continue
         inputs = {d: dims[d] for d in dim_names}
         inputs.update({t: silver[t] for t in tables[1:]})
-        built[name] = facts.FACT_BUILDERS[name](silver[tables[0]], inputs)
+        built[name] = (lambda n=name, s=silver[tables[0]], i=inputs: facts.FACT_BUILDERS[n](s, i))
     paths, frames = _write_layer(spark, built, layout.gold, version, parallel_writes, seconds)
     return paths, frames, skipped
 
@@ -151,7 +151,7 @@ def transform(spark: SparkSession, layout: Layout, when: dt.datetime | str | Non
     t2 = time.perf_counter()
     paths, result.facts, result.skipped_facts = build_facts(
         spark, result.silver, result.dimensions, layout, result.version,
-        max(1, parallel_writes // 2), seconds=secs)
+        parallel_writes, seconds=secs)
     result.written.update({f"gold/{k}": v for k, v in paths.items()})
     t3 = time.perf_counter()
     secs.update({"layer_silver": t1 - t0, "layer_dimensions": t2 - t1, "layer_facts": t3 - t2})

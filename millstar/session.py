@@ -34,10 +34,13 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", app_name: str = "millstar",
+def build_session(master: str | None = "local[*]", app_name: str = "millstar",
                   shuffle_partitions: int | None = 8,
                   extra_conf: dict[str, str] | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """A session with the settings above; ``master=None`` keeps the submitted one."""
+    builder = SparkSession.builder.appName(app_name)
+    if master is not None:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -45,3 +45,12 @@ def has_file(spark: SparkSession, uri: str, suffix: str, recursive: bool = True)
             if not any(part.startswith(("_", ".")) for part in rel.split("/")[:-1] if part):
                 return True
     return False
+
+
+def glob_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Full paths matching a Hadoop glob ``pattern`` (one listing call; [] when none)."""
+    fs, path = _fs_and_path(spark, pattern)
+    found = fs.globStatus(path)
+    if found is None:
+        return []
+    return sorted(st.getPath().toString() for st in found)

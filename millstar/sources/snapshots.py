@@ -58,13 +58,10 @@ def write_snapshot(df: DataFrame, table_dir: str, when: dt.datetime | str | None
 
 
 def versions(spark: SparkSession, table_dir: str) -> list[str]:
-    """Committed versions of a table, oldest first."""
+    """Committed versions of a table, oldest first (one glob over the markers)."""
     prefix = f"{VERSION_COLUMN}="
-    out = []
-    for name in fs.list_dirs(spark, table_dir):
-        if name.startswith(prefix) and fs.exists(spark, f"{table_dir.rstrip('/')}/{name}/_SUCCESS"):
-            out.append(name[len(prefix):])
-    return sorted(out)
+    markers = fs.glob_names(spark, f"{table_dir.rstrip('/')}/{prefix}*/_SUCCESS")
+    return sorted(m.rsplit("/", 2)[-2][len(prefix):] for m in markers)
 
 
 def latest_version(spark: SparkSession, table_dir: str) -> str | None:
