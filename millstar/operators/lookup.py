@@ -20,12 +20,21 @@ Physical strategy, per lookup
   + output columns only.  The fact side is then never shuffled: hot keys cost
   nothing.
 * **Otherwise a shuffle join** (sort-merge; AQE may still switch it to a
-  broadcast at runtime and splits skewed partitions of the fact side).  NULL
-  keys cannot match, but hash partitioning would send every NULL-key row to one
-  reducer; so those rows get a deterministic salt (hash of the row) that spreads
-  them over ``spark.sql.shuffle.partitions`` buckets, while matching rows keep
-  salt 0 -- the dimension side always has salt 0.  Consecutive shuffle lookups
-  on the same key reuse the partitioning (one exchange of the fact, not two).
+  broadcast at runtime).  The join key is extended by a salt column so that no
+  key can pile up in one reducer:
+
+  - NULL keys cannot match, but hash partitioning would send every NULL-key row
+    to one reducer; they get a salt spread over all partitions.
+  - Hot keys (``freqItems`` at ``HOT_MIN_SHARE`` support: one pass, at most
+    ``HOT_MAX_KEYS`` keys) are spread over all partitions by a salt; only the
+    dimension rows of those keys are replicated, once per salt bucket.
+    AQE's own skew split is not relied on: it backs off when splitting would
+    break a partitioning a later join reuses, which chained lookups do.
+  - Every other row has salt 0, as has the dimension side.
+
+  Salts are a hash of the row, so recomputing a lost partition reproduces them.
+  Consecutive shuffle lookups on the same key share the salt column and the
+  partitioning (one exchange of the fact, not two).
 """
 
 from __future__ import annotations
@@ -66,20 +75,65 @@ def fits_broadcast(dim: DataFrame, max_rows: int) -> bool:
     return rows <= max_rows
 
 
-def _null_salt(fact: DataFrame, keys: Sequence[str], buckets: int) -> Column:
-    any_null = None
-    for k in keys:
-        c = F.col(f"`{k}`").isNull()
-        any_null = c if any_null is None else any_null | c
+# Hot-key detection on the shuffle path.
+HOT_MIN_SHARE = 0.01          # a key with >= 1% of the rows is hot
+HOT_MAX_KEYS = 100            # freqItems returns at most 1 / HOT_MIN_SHARE anyway
+
+
+def hot_keys(fact: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame | None:
+    """Keys that may hold at least ``HOT_MIN_SHARE`` of the rows, with a bucket count.
+
+    One pass with Spark's frequent-items aggregate (bounded counters per
+    partition, no false negatives at that support); at most ``HOT_MAX_KEYS``
+    keys come back to the driver.  False positives only cost a little
+    replication.  Each hot key is spread over ``partitions`` salt buckets.
+    Returns a small DataFrame ``(keys..., __buckets)`` or None.
+    """
+    kcols = [F.col(f"`{k}`") for k in keys]
+    probe = (fact.where(_all([c.isNotNull() for c in kcols]))
+                 .select(F.struct(*kcols).alias("__hot_key")))
+    items = probe.freqItems(["__hot_key"], support=HOT_MIN_SHARE).first()[0]
+    if not items:
+        return None
+    data = [tuple(item[k] for k in keys) + (max(2, partitions),) for item in items[:HOT_MAX_KEYS]]
+    schema = fact.select(*kcols).schema.add("__buckets", "long")
+    return fact.sparkSession.createDataFrame(data, schema)
+
+
+def _salted(fact: DataFrame, keys: Sequence[str], salt: str, partitions: int,
+            hot: DataFrame | None) -> DataFrame:
+    any_null = _any([F.col(f"`{k}`").isNull() for k in keys])
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
-    return F.when(any_null, F.pmod(row_hash, F.lit(buckets)) + 1).otherwise(F.lit(0))
+    if hot is None:
+        return fact.withColumn(salt, F.when(any_null, F.pmod(row_hash, F.lit(partitions)) + 1)
+                               .otherwise(F.lit(0)))
+    tagged = fact.join(F.broadcast(hot), list(keys), "left")
+    value = (F.when(any_null, F.pmod(row_hash, F.lit(partitions)) + 1)
+             .when(F.col("__buckets").isNotNull(), F.pmod(row_hash, F.col("__buckets")))
+             .otherwise(F.lit(0)))
+    return tagged.withColumn(salt, value).drop("__buckets").select(*fact.columns, salt)
+
+
+def _any(conds: Sequence[Column]) -> Column:
+    out = conds[0]
+    for c in conds[1:]:
+        out = out | c
+    return out
+
+
+def _all(conds: Sequence[Column]) -> Column:
+    out = conds[0]
+    for c in conds[1:]:
+        out = out & c
+    return out
 
 
 def resolve(fact: DataFrame, dims: Mapping[str, DataFrame], lookups: Sequence[Lookup],
             broadcast_max_rows: int | None = None) -> DataFrame:
     """Apply ``lookups`` in order as left joins."""
     max_rows = DEFAULT_BROADCAST_MAX_ROWS if broadcast_max_rows is None else broadcast_max_rows
-    buckets = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot_by_salt: dict[str, DataFrame | None] = {}
     for i, lk in enumerate(lookups):
         dim = dims[lk.dim]
         key_names = [f"__lk{i}_k{j}" for j in range(len(lk.on))]
@@ -93,9 +147,20 @@ def resolve(fact: DataFrame, dims: Mapping[str, DataFrame], lookups: Sequence[Lo
             fact = fact.drop(*key_names)
             continue
         salt = f"__salt_{'_'.join(fact_keys)}"
-        if salt not in fact.columns:
-            fact = fact.withColumn(salt, _null_salt(fact, fact_keys, buckets))
-        side = side.withColumn("__dim_salt", F.lit(0))
+        if salt not in hot_by_salt:
+            hot_by_salt[salt] = hot_keys(fact, fact_keys, partitions)
+            fact = _salted(fact, fact_keys, salt, partitions, hot_by_salt[salt])
+        hot = hot_by_salt[salt]
+        if hot is None:
+            side = side.withColumn("__dim_salt", F.lit(0))
+        else:
+            # Replicate only the hot keys' dimension rows, once per salt bucket.
+            hot_side = hot.select(*[F.col(f"`{fc}`").alias(kn)
+                                    for fc, kn in zip(fact_keys, key_names)], "__buckets")
+            side = (side.join(F.broadcast(hot_side), key_names, "left")
+                    .withColumn("__dim_salt", F.explode(F.sequence(
+                        F.lit(0), F.coalesce(F.col("__buckets"), F.lit(1)) - 1)))
+                    .drop("__buckets"))
         cond = [fact[fc] == side[kn] for fc, kn in zip(fact_keys, key_names)]
         cond.append(fact[salt] == side["__dim_salt"])
         fact = fact.join(side, _and(cond), "left").drop(*key_names, "__dim_salt")

@@ -183,3 +183,33 @@ def test_broadcast_bound_is_checked(spark):
     # size check may still broadcast such a tiny table at plan time.  (For a key
     # Catalyst knows is never NULL the salt folds away to nothing.)
     assert "__salt_fk" in big._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_shuffle_lookup_splits_hot_key(spark):
+    """One key holds a third of the fact: it is salted over many reducers."""
+    from pyspark.sql import functions as F
+    from millstar.operators.lookup import Lookup, resolve
+    n = 30000
+    fact_df = spark.range(n).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("fk"))
+    dim = spark.range(500).select(F.col("id").alias("k"), (F.col("id") + 1000).alias("v_sk"))
+    dim = dim.unionByName(spark.range(1).select(F.lit(7).cast("long").alias("k"),
+                                                F.lit(-7).cast("long").alias("v_sk")))
+    lk = [Lookup("d", (("fk", "k"),), (("v_sk", "v_sk"),))]
+    prev = (spark.conf.get("spark.sql.adaptive.enabled"),
+            spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        out = resolve(fact_df, {"d": dim}, lk, broadcast_max_rows=0)
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p"))
+                 .agg(F.count(F.lit(1)).alias("n")).collect()]
+        got = sorted(map(tuple, out.collect()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev[0])
+        spark.conf.set("spark.sql.shuffle.partitions", prev[1])
+    want = sorted(map(tuple, resolve(fact_df, {"d": dim}, lk).collect()))
+    assert got == want and sum(sizes) == len(want) > n  # key 7 has two dimension rows
+
+    # Unsalted, key 7 alone would put half of the output into one reducer.
+    assert max(sizes) < 0.2 * sum(sizes)
