@@ -45,7 +45,7 @@ from millstar.sinks.export import export_tables  # noqa: E402
 from millstar.sources import snapshots  # noqa: E402
 
 VERSION = "20260101T000000"
-PARALLEL = 4
+PARALLEL = 8
 
 
 def land(spark, sf_dir, layout, parallel):

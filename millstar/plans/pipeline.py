@@ -116,8 +116,15 @@ def build_dimensions(spark: SparkSession, silver: Mapping[str, DataFrame], layou
 def build_facts(spark: SparkSession, silver: Mapping[str, DataFrame],
                 dims: Mapping[str, DataFrame], layout: Layout, version: str,
                 parallel_writes: int = 4,
-                seconds: dict[str, float] | None = None) -> tuple[dict, dict, list[str]]:
-    """Each fact whose inputs all exist; the others are skipped and listed."""
+                seconds: dict[str, float] | None = None,
+                sk_from: Mapping[str, str] | None = None) -> tuple[dict, dict, list[str]]:
+    """Each fact whose inputs all exist; the others are skipped and listed.
+
+    ``sk_from`` maps a fact to a source column to use as its key (reproducible)
+    instead of ``monotonically_increasing_id``; fact_sensor_readings always uses
+    the reading id.
+    """
+    sk_from = dict(sk_from or {})
     built, skipped = {}, []
     for name, (tables, dim_names) in facts.FACT_REQUIREMENTS.items():
         if not all(t in silver for t in tables) or not all(d in dims for d in dim_names):
@@ -125,14 +132,17 @@ def build_facts(spark: SparkSession, silver: Mapping[str, DataFrame],
             continue
         inputs = {d: dims[d] for d in dim_names}
         inputs.update({t: silver[t] for t in tables[1:]})
-        built[name] = (lambda n=name, s=silver[tables[0]], i=inputs: facts.FACT_BUILDERS[n](s, i))
+        opts = {"sk_from": sk_from[name]} if name in sk_from else {}
+        built[name] = (lambda n=name, s=silver[tables[0]], i=inputs, o=opts:
+                       facts.FACT_BUILDERS[n](s, i, **o))
     paths, frames = _write_layer(spark, built, layout.gold, version, parallel_writes, seconds)
     return paths, frames, skipped
 
 
 def transform(spark: SparkSession, layout: Layout, when: dt.datetime | str | None = None,
               date_range: tuple[dt.date, dt.date] | None = None,
-              parallel_writes: int = 4) -> TransformResult:
+              parallel_writes: int = 4,
+              fact_sk_from: Mapping[str, str] | None = None) -> TransformResult:
     """Bronze -> silver -> gold, one version stamp for the whole run.
 
     ``result.seconds`` holds the write time of every table (exact per table
@@ -151,7 +161,7 @@ def transform(spark: SparkSession, layout: Layout, when: dt.datetime | str | Non
     t2 = time.perf_counter()
     paths, result.facts, result.skipped_facts = build_facts(
         spark, result.silver, result.dimensions, layout, result.version,
-        parallel_writes, seconds=secs)
+        parallel_writes, seconds=secs, sk_from=fact_sk_from)
     result.written.update({f"gold/{k}": v for k, v in paths.items()})
     t3 = time.perf_counter()
     secs.update({"layer_silver": t1 - t0, "layer_dimensions": t2 - t1, "layer_facts": t3 - t2})

@@ -59,3 +59,12 @@ def test_run_pipeline_from_landed_payload(spark, tmp_root):
     assert "fact_sensor_readings" in out["exported"]
     assert out["transform"].facts["fact_sensor_readings"].count() == \
         bronze(spark, SF_SMALL, "sensor_readings").count()
+
+
+def test_reproducible_fact_keys(spark, tmp_root):
+    layout = Layout.under(tmp_root)
+    _land(spark, layout, ["alerts", "sensors", "machines", "production_lines"])
+    result = transform(spark, layout, VERSION, fact_sk_from={"fact_alerts": "alert_id"})
+    f = result.facts["fact_alerts"]
+    ids = {r["alert_id"] for r in result.silver["alerts"].select("alert_id").collect()}
+    assert {r["alert_sk"] for r in f.select("alert_sk").collect()} == ids
