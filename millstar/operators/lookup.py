@@ -25,9 +25,10 @@ Physical strategy, per lookup
 
   - NULL keys cannot match, but hash partitioning would send every NULL-key row
     to one reducer; they get a salt spread over all partitions.
-  - Hot keys (``freqItems`` at ``HOT_MIN_SHARE`` support: one pass, at most
-    ``HOT_MAX_KEYS`` keys) are spread over all partitions by a salt; only the
-    dimension rows of those keys are replicated, once per salt bucket.
+  - Hot keys (candidates from ``freqItems`` at ``HOT_MIN_SHARE`` support, then
+    counted exactly; at most ``HOT_MAX_KEYS``) are spread over all partitions by
+    a salt; only the dimension rows of those keys are replicated, once per salt
+    bucket.
     AQE's own skew split is not relied on: it backs off when splitting would
     break a partitioning a later join reuses, which chained lookups do.
   - Every other row has salt 0, as has the dimension side.
@@ -81,21 +82,35 @@ HOT_MAX_KEYS = 100            # freqItems returns at most 1 / HOT_MIN_SHARE anyw
 
 
 def hot_keys(fact: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame | None:
-    """Keys that may hold at least ``HOT_MIN_SHARE`` of the rows, with a bucket count.
-
-    One pass with Spark's frequent-items aggregate (bounded counters per
-    partition, no false negatives at that support); at most ``HOT_MAX_KEYS``
-    keys come back to the driver.  False positives only cost a little
-    replication.  Each hot key is spread over ``partitions`` salt buckets.
-    Returns a small DataFrame ``(keys..., __buckets)`` or None.
+    """Keys holding at least ``HOT_MIN_SHARE`` of the rows, with a salt bucket count.
+
+    Two passes over the key columns only, neither with a step proportional to
+    the number of distinct keys: Spark's frequent-items aggregate proposes at
+    most 1 / HOT_MIN_SHARE candidates (bounded counters per partition, no false
+    negatives), then one aggregate counts them exactly (at most
+    ``HOT_MAX_KEYS + 1`` groups: the candidates and "everything else").  Each hot
+    key is spread over ``partitions`` salt buckets.  Returns a small DataFrame
+    ``(keys..., __buckets)`` or None when no key is hot.
     """
     kcols = [F.col(f"`{k}`") for k in keys]
-    probe = (fact.where(_all([c.isNotNull() for c in kcols]))
-                 .select(F.struct(*kcols).alias("__hot_key")))
-    items = probe.freqItems(["__hot_key"], support=HOT_MIN_SHARE).first()[0]
-    if not items:
+    probe = fact.select(F.struct(*kcols).alias("__hot_key"))
+    not_null = _all([F.col("__hot_key").getField(k).isNotNull() for k in keys])
+    candidates = (probe.where(not_null)
+                  .freqItems(["__hot_key"], support=HOT_MIN_SHARE).first()[0])
+    if not candidates:
+        return None
+    candidates = candidates[:HOT_MAX_KEYS]
+    types = {f.name: f.dataType for f in fact.select(*kcols).schema.fields}
+    is_candidate = F.col("__hot_key").isin(
+        *[F.struct(*[F.lit(c[k]).cast(types[k]).alias(k) for k in keys]) for c in candidates])
+    counts = (probe.select(F.when(not_null & is_candidate, F.col("__hot_key")).alias("__c"))
+                   .groupBy("__c").count().collect())
+    total = sum(r["count"] for r in counts)
+    hot = [r["__c"] for r in counts
+           if r["__c"] is not None and r["count"] >= HOT_MIN_SHARE * total]
+    if not hot:
         return None
-    data = [tuple(item[k] for k in keys) + (max(2, partitions),) for item in items[:HOT_MAX_KEYS]]
+    data = [tuple(h[k] for k in keys) + (max(2, partitions),) for h in hot]
     schema = fact.select(*kcols).schema.add("__buckets", "long")
     return fact.sparkSession.createDataFrame(data, schema)
 
