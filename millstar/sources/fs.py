@@ -54,3 +54,9 @@ def glob_names(spark: SparkSession, pattern: str) -> list[str]:
     if found is None:
         return []
     return sorted(st.getPath().toString() for st in found)
+
+
+def delete(spark: SparkSession, uri: str, recursive: bool = True) -> bool:
+    """Remove a path the library itself created (e.g. a staging copy)."""
+    fs, path = _fs_and_path(spark, uri)
+    return bool(fs.delete(path, recursive))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millstar.sources import fs
 from millstar.sources.snapshots import stamp, write_snapshot
 
 
@@ -65,14 +66,27 @@ def non_empty_tables(payload: DataFrame, names: list[str]) -> list[str]:
 
 def land_payload(spark: SparkSession, landed: str | list[str], bronze_root: str,
                  when: dt.datetime | str | None = None, schema: T.StructType | None = None,
-                 multi_line: bool = True) -> dict[str, str]:
+                 multi_line: bool = True, stage: bool = True) -> dict[str, str]:
     """Write every non-empty table of the landed payload(s) as a new bronze version.
 
+    With ``stage`` (default) the JSON is parsed once into a Parquet copy under
+    ``<bronze_root>/_staging/<version>`` (hidden from table listings); the
+    emptiness check and every table then read only their own nested column from
+    it instead of parsing the JSON once per table.  The staging copy is removed
+    after the last table is written; a failed run leaves it to be overwritten.
     Returns ``{table: version directory}``.
     """
     version = when if isinstance(when, str) else stamp(when)
-    payload = read_payload(spark, landed, schema, multi_line)
-    names = non_empty_tables(payload, payload_tables(payload))
     root = bronze_root.rstrip("/")
-    return {n: write_snapshot(table_rows(payload, n), f"{root}/{n}", version) for n in names}
+    payload = read_payload(spark, landed, schema, multi_line)
+    names = payload_tables(payload)
+    staging = f"{root}/_staging/{version}"
+    if stage and names:
+        payload.select("tables").write.mode("overwrite").parquet(staging)
+        payload = spark.read.parquet(staging)
+    names = non_empty_tables(payload, names)
+    written = {n: write_snapshot(table_rows(payload, n), f"{root}/{n}", version) for n in names}
+    if stage and fs.exists(spark, staging):
+        fs.delete(spark, staging)
+    return written
 

@@ -86,6 +86,8 @@ class TestPayload:
         assert sorted(landed) == ["dispositivos", "sensores"]
         s = snapshots.read_latest(spark, f"{tmp_root}/bronze/sensores")
         assert sorted(r["id"] for r in s.collect()) == [1, 2, 3]
+        assert not os.path.exists(f"{tmp_root}/bronze/_staging/20260101T000000")
+        assert catalog.list_tables(spark, f"{tmp_root}/bronze") == ["dispositivos", "sensores"]
 
     def test_no_tables_key(self, spark, tmp_root):
         landed = payload.land_payload(spark, self._land(tmp_root, [{"other": 1}]),
