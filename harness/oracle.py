@@ -306,7 +306,7 @@ ORACLE: dict[str, str] = {
                        f"SELECT order_id, product_code, quantity_ordered, start_date, "
                        f"target_end_date, priority, 'X' AS status "
                        f"FROM ({bronze_sql('production_orders')}) AS b "
-                       f"WHERE order_id % 100 = 0")),
+                       f"WHERE priority = '1-URGENT'")),
     "clean_dedup": f"SELECT DISTINCT * FROM ({bronze_sql('defects')}) AS b",
     "clean_null_id": f"SELECT * FROM ({bronze_sql('defects')}) AS b WHERE defect_id IS NOT NULL",
     "clean_typed_all_null": silver_sql(
@@ -323,6 +323,10 @@ ORACLE: dict[str, str] = {
                  f"FROM ({silver_sql('sensor_readings')}) AS s)"),
     "dense_sk_range": ("SELECT CAST(row_number() OVER (ORDER BY p_name NULLS FIRST) AS INTEGER) "
                        "AS name_sk, p_name FROM (SELECT DISTINCT p_name FROM part) AS p"),
+    "dense_sk_lineitem": ("SELECT CAST(row_number() OVER (ORDER BY l_orderkey NULLS FIRST, "
+                          "l_linenumber NULLS FIRST) AS INTEGER) AS line_sk, l_orderkey, "
+                          "l_linenumber FROM (SELECT DISTINCT l_orderkey, l_linenumber "
+                          "FROM lineitem) AS p"),
 }
 for _f in ("fact_sensor_readings", "fact_alerts", "fact_quality", "fact_maintenance",
            "fact_production"):

@@ -102,9 +102,9 @@ def _fact_shuffle_query(name: str) -> Query:
 
 
 def q_fact_production_fanout(spark, sf):
-    """Orders with a duplicated order_id (second version, other status) fan out k*k."""
+    """Urgent orders landed twice (second version, other status): their facts fan out k*k."""
     orders = bronze(spark, sf, "production_orders")
-    extra = orders.where(F.col("order_id") % 100 == 0).withColumn("status", F.lit("X"))
+    extra = orders.where(F.col("priority") == "1-URGENT").withColumn("status", F.lit("X"))
     doubled = orders.unionByName(extra)
     tables, dim_names = facts.FACT_REQUIREMENTS["fact_production"]
     dims = {d: dimension(spark, sf, d) for d in dim_names if d not in ("dim_order", "dim_product")}
@@ -163,6 +163,12 @@ def q_dim_time(spark, sf):
     return dt.join(hours, dt["hour_of_day"] == hours["h"], "left_semi")
 
 
+def q_dense_sk_lineitem(spark, sf):
+    """D14 at large N: every distinct (order, line) pair of lineitem."""
+    pairs = driver_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    return dense_key(pairs, ["l_orderkey", "l_linenumber"], "line_sk")
+
+
 def q_dense_sk_range(spark, sf):
     names = driver_table(spark, sf, "part").select("p_name").distinct()
     return dense_key(names, ["p_name"], "name_sk")
@@ -191,6 +197,7 @@ for _d in ("dim_factory", "dim_production_line", "dim_machine", "dim_sensor",
            "dim_maintenance_type"):
     QUERIES[_d] = _dim_query(_d)
 QUERIES["dense_sk_range"] = q_dense_sk_range
+QUERIES["dense_sk_lineitem"] = q_dense_sk_lineitem
 
 
 # --- storage, landing, export, pipeline -------------------------------------
