@@ -33,7 +33,9 @@ Physical strategy, per lookup
     break a partitioning a later join reuses, which chained lookups do.
   - Every other row has salt 0, as has the dimension side.
 
-  Salts are a hash of the row, so recomputing a lost partition reproduces them.
+  Salts are a hash of the row, so recomputing a lost partition reproduces them
+  (fact sources are de-duplicated silver tables, so no two rows share a hash
+  because they are copies).
   Consecutive shuffle lookups on the same key share the salt column and the
   partitioning (one exchange of the fact, not two).
 """
