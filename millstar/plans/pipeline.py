@@ -63,18 +63,21 @@ def _write_layer(spark: SparkSession, frames: Mapping[str, Callable[[], DataFram
     def one(item):
         name, build = item
         t0 = time.perf_counter()
-        path = snapshots.write_snapshot(build(), f"{root.rstrip('/')}/{name}", version)
+        df = build()
+        path = snapshots.write_snapshot(df, f"{root.rstrip('/')}/{name}", version)
+        # Read back with the schema we just wrote: no footer inference per table.
+        back = spark.read.schema(df.schema).parquet(path)
         if seconds is not None:
             seconds[name] = time.perf_counter() - t0
-        return name, path
+        return name, path, back
 
     items = list(frames.items())
     if parallel > 1 and len(items) > 1:
         with ThreadPoolExecutor(max_workers=parallel) as pool:
-            paths = dict(pool.map(one, items))
+            done = list(pool.map(one, items))
     else:
-        paths = dict(map(one, items))
-    return paths, {name: spark.read.parquet(path) for name, path in paths.items()}
+        done = list(map(one, items))
+    return {n: p for n, p, _ in done}, {n: b for n, _, b in done}
 
 
 def clean_all(spark: SparkSession, layout: Layout, version: str,
