@@ -50,15 +50,14 @@ def dimension(spark: SparkSession, sf: str, name: str) -> DataFrame:
     raise KeyError(name)
 
 
-def fact(spark: SparkSession, sf: str, name: str, bronze_override=None,
+def fact(spark: SparkSession, sf: str, name: str,
          broadcast_max_rows: int | None = None) -> DataFrame:
+    """One fact built from the adapter tables (cleaned, dimensions built in the same plan)."""
     tables, dim_names = facts.FACT_REQUIREMENTS[name]
     dims = {d: dimension(spark, sf, d) for d in dim_names}
     for t in tables[1:]:
         dims[t] = silver(spark, sf, t)
-    source_table = facts.FACT_SOURCE[name]
-    src_bronze = bronze_override if bronze_override is not None else bronze(spark, sf, source_table)
-    src = cleaning.clean_table(src_bronze, source_table)
+    src = silver(spark, sf, facts.FACT_SOURCE[name])
     return facts.FACT_BUILDERS[name](src, dims, broadcast_max_rows=broadcast_max_rows)
 
 
