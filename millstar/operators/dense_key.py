@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millstar.session import ensure_checkpoint_dir
+from millstar.session import ensure_checkpoint_dir, shuffle_partitions
 
 _PART = "__dk_part"
 _POS = "__dk_pos"
@@ -41,7 +41,7 @@ def dense_key(df: DataFrame, order_by: Sequence[str], sk_name: str,
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or shuffle_partitions(spark)
     order = [F.col(c).asc_nulls_first() for c in order_by]
 
     numbered = (df.repartitionByRange(n, *order)

@@ -50,6 +50,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millstar.session import shuffle_partitions
+
 # Default bound on broadcast dimensions; the side is a few narrow columns, so
 # this stays in the tens of MB.  Override per call with ``broadcast_max_rows``.
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
@@ -149,7 +151,7 @@ def resolve(fact: DataFrame, dims: Mapping[str, DataFrame], lookups: Sequence[Lo
             broadcast_max_rows: int | None = None) -> DataFrame:
     """Apply ``lookups`` in order as left joins."""
     max_rows = DEFAULT_BROADCAST_MAX_ROWS if broadcast_max_rows is None else broadcast_max_rows
-    partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = shuffle_partitions(fact.sparkSession)
     hot_by_salt: dict[str, DataFrame | None] = {}
     for i, lk in enumerate(lookups):
         dim = dims[lk.dim]

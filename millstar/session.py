@@ -70,3 +70,9 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the shared checkpoint location."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/millstar-scratch/{purpose}-{uuid.uuid4().hex}"
+
+
+def shuffle_partitions(spark: SparkSession, default: int = 200) -> int:
+    """``spark.sql.shuffle.partitions`` as an int (falls back when not numeric)."""
+    value = spark.conf.get("spark.sql.shuffle.partitions", str(default))
+    return int(value) if str(value).isdigit() else default
