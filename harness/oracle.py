@@ -375,3 +375,4 @@ def _pipeline_counts_sql() -> str:
 
 
 ORACLE["pipeline_counts"] = _pipeline_counts_sql()
+ORACLE["pipeline_run"] = fact_alerts_body(FACT_ALERTS_COLS)

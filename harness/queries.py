@@ -17,7 +17,7 @@ from harness.adapter import BRONZE_TABLES, bronze, driver_table
 from harness.landing import pack_pages
 from millstar.operators import cleaning, dimensions, facts
 from millstar.operators.dense_key import dense_key
-from millstar.plans.pipeline import Layout, transform
+from millstar.plans.pipeline import Layout, run_pipeline, transform
 from millstar.schemas import BRONZE_SCHEMAS, GOLD_COLUMNS
 from millstar.session import scratch_path
 from millstar.sinks.csv import CsvSink, read_csv_export
@@ -278,6 +278,22 @@ def q_pipeline_counts(spark, sf):
     return out
 
 
+def q_pipeline_run(spark, sf):
+    """P5 end to end: all 14 tables as JSON pages -> land -> transform -> CSV export;
+    fact_alerts read back from its CSV export (key column left out, see fact_alerts)."""
+    root = scratch_path(spark, "run")
+    landing = [f"{root}/landing/{t}" for t in BRONZE_TABLES]
+    for t, path in zip(BRONZE_TABLES, landing):
+        pack_pages(bronze(spark, sf, t), t).write.text(path)
+    layout = Layout.under(f"{root}/lake")
+    out = run_pipeline(spark, landing, layout, "20260101T000000",
+                       sink=CsvSink(layout.exports), multi_line=False)
+    schema = out["transform"].facts["fact_alerts"].schema
+    return _without_sk(read_csv_export(spark, out["exported"]["fact_alerts"], schema),
+                       "fact_alerts")
+
+
+QUERIES["pipeline_run"] = q_pipeline_run
 QUERIES["snapshot_latest"] = q_snapshot_latest
 QUERIES["snapshot_all_versions"] = q_snapshot_all_versions
 QUERIES["payload_explode"] = q_payload_explode
