@@ -94,11 +94,13 @@ def build_fact_production(production_output: DataFrame, dims: Mapping[str, DataF
 
 # --- F2 --------------------------------------------------------------------
 
+# dim_order (the lookup that grows with the data) first: as a shuffle join it then
+# probes and shuffles the fact before any lookup has widened it.
 FACT_QUALITY_LOOKUPS = [
-    _date_lookup(),
-    Lookup("dim_production_line", (("line_id", "line_id"),), (("line_sk", "line_sk"),)),
     Lookup("dim_order", (("order_id", "order_id"),),
            (("order_sk", "order_sk"), ("product_code", "order_product_code"))),
+    _date_lookup(),
+    Lookup("dim_production_line", (("line_id", "line_id"),), (("line_sk", "line_sk"),)),
     Lookup("dim_operator", (("inspector_id", "operator_id"),),
            (("operator_sk", "operator_sk"),)),
     Lookup("dim_product", (("order_product_code", "product_code"),),
