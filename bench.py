@@ -212,7 +212,8 @@ def main():
     t_ref = time.time()
     queries.update(reference_shape_pipeline(spark, layout))
     windows["refshape"] = (t_ref, time.time())
-    queries.update(dense_key_compare(spark, int(os.environ.get("BENCH_DENSE_KEYS", "1000000"))))
+    for n in os.environ.get("BENCH_DENSE_KEYS", "100000,1000000,10000000").split(","):
+        queries.update(dense_key_compare(spark, int(n)))
 
     spark.stop()
     queries.update(shuffle_mb(event_dir, windows))
