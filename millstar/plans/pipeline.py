@@ -86,9 +86,12 @@ def clean_all(spark: SparkSession, layout: Layout, version: str,
     """Newest bronze version of each registered table -> cleaned silver version."""
     cleaned = {}
     for table in TABLE_IDS:
-        raw = snapshots.read_latest(spark, f"{layout.bronze}/{table}")
-        if raw is not None:
-            cleaned[table] = (lambda r=raw, t=table: cleaning.clean_table(r, t, declared_types))
+        table_dir = f"{layout.bronze}/{table}"
+        latest = snapshots.latest_version(spark, table_dir)   # a listing; reads no data
+        if latest is not None:
+            path = snapshots.version_path(table_dir, latest)
+            cleaned[table] = (lambda p=path, t=table:
+                              cleaning.clean_table(spark.read.parquet(p), t, declared_types))
     return _write_layer(spark, cleaned, layout.silver, version, parallel_writes, seconds)
 
 
