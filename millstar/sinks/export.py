@@ -9,6 +9,7 @@ written, so one missing name writes nothing.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,29 +17,43 @@ from millstar.sinks.base import Sink
 from millstar.sources import catalog, snapshots
 
 
-def _read(spark: SparkSession, root: str, table: str, versions: str) -> DataFrame:
+def _resolve(spark: SparkSession, root: str, table: str, versions: str) -> list[str]:
+    """The version directories to export (a listing; no data is read)."""
     table_dir = f"{root.rstrip('/')}/{table}"
-    if versions == "all":
-        return snapshots.read_all_versions(spark, table_dir)
-    if versions != "latest":
+    if versions not in ("latest", "all"):
         raise ValueError("versions must be 'latest' or 'all'")
-    df = snapshots.read_latest(spark, table_dir)
-    if df is None:
+    found = snapshots.versions(spark, table_dir)
+    if not found:
         raise FileNotFoundError(f"table {table!r} not found in {root}")
-    return df
+    chosen = found if versions == "all" else found[-1:]
+    return [snapshots.version_path(table_dir, v) for v in chosen]
+
+
+def _load(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return spark.read.parquet(*paths)
 
 
 def export_tables(spark: SparkSession, gold_root: str, sink: Sink,
                   tables: Sequence[str] | None = None, versions: str = "latest",
                   parallel_writes: int = 1) -> dict[str, str]:
-    """Export ``tables`` (default: every table under ``gold_root``)."""
+    """Export ``tables`` (default: every table under ``gold_root``).
+
+    Every table is resolved before anything is written, so one missing name
+    writes nothing; each table is then read and written in its own job
+    (``parallel_writes`` of them at a time).
+    """
     names = list(tables) if tables is not None else catalog.list_tables(spark, gold_root)
-    resolved = {t: _read(spark, gold_root, t, versions) for t in names}
-    if parallel_writes > 1:
-        return sink.write_all(resolved, parallel=parallel_writes)
-    return sink.write_all(resolved)
+    resolved = {t: _resolve(spark, gold_root, t, versions) for t in names}
+
+    def one(name):
+        return name, sink.write(_load(spark, resolved[name]), name)
+
+    if parallel_writes > 1 and len(names) > 1:
+        with ThreadPoolExecutor(max_workers=parallel_writes) as pool:
+            return dict(pool.map(one, names))
+    return dict(map(one, names))
 
 
 def export_table(spark: SparkSession, gold_root: str, table: str, sink: Sink,
                  versions: str = "latest") -> str:
-    return sink.write(_read(spark, gold_root, table, versions), table)
+    return sink.write(_load(spark, _resolve(spark, gold_root, table, versions)), table)
