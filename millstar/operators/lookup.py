@@ -25,10 +25,10 @@ Physical strategy, per lookup
 
   - NULL keys cannot match, but hash partitioning would send every NULL-key row
     to one reducer; they get a salt spread over all partitions.
-  - Hot keys (candidates from ``freqItems`` at ``HOT_MIN_SHARE`` support, then
-    counted exactly; at most ``HOT_MAX_KEYS``) are spread over all partitions by
-    a salt; only the dimension rows of those keys are replicated, once per salt
-    bucket.
+  - Hot keys -- a key that alone would fill more than two average reducers
+    (candidates from ``freqItems``, then counted exactly) -- are spread by a
+    salt over a number of buckets proportional to their share; only the
+    dimension rows of those keys are replicated, once per bucket.
     AQE's own skew split is not relied on: it backs off when splitting would
     break a partitioning a later join reuses, which chained lookups do.
   - Every other row has salt 0, as has the dimension side.
@@ -80,41 +80,51 @@ def fits_broadcast(dim: DataFrame, max_rows: int) -> bool:
     return rows <= max_rows
 
 
-# Hot-key detection on the shuffle path.
-HOT_MIN_SHARE = 0.01          # a key with >= 1% of the rows is hot
-HOT_MAX_KEYS = 100            # freqItems returns at most 1 / HOT_MIN_SHARE anyway
+# Hot-key detection on the shuffle path.  A key is hot when it alone would fill
+# more than HOT_REDUCER_SLACK average reducers: share >= slack / partitions, but
+# never a stricter test than HOT_SHARE_CAP and never a finer one than
+# HOT_SHARE_FLOOR (which bounds the candidate list at 1 / floor keys).
+HOT_REDUCER_SLACK = 2
+HOT_SHARE_CAP = 0.01
+HOT_SHARE_FLOOR = 1e-4
+HOT_OVERSPLIT = 4             # salt buckets per reducer-share of a key (spares hash collisions)
+
+
+def hot_support(partitions: int) -> float:
+    return min(HOT_SHARE_CAP, max(HOT_SHARE_FLOOR, HOT_REDUCER_SLACK / max(1, partitions)))
 
 
 def hot_keys(fact: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame | None:
-    """Keys holding at least ``HOT_MIN_SHARE`` of the rows, with a salt bucket count.
+    """Keys holding at least ``hot_support(partitions)`` of the rows, with salt bucket counts.
 
     Two passes over the key columns only, neither with a step proportional to
     the number of distinct keys: Spark's frequent-items aggregate proposes at
-    most 1 / HOT_MIN_SHARE candidates (bounded counters per partition, no false
-    negatives), then one aggregate counts them exactly (at most
-    ``HOT_MAX_KEYS + 1`` groups: the candidates and "everything else").  Each hot
-    key is spread over ``partitions`` salt buckets.  Returns a small DataFrame
-    ``(keys..., __buckets)`` or None when no key is hot.
+    most 1 / support candidates (bounded counters per partition, no false
+    negatives), then one aggregate counts them exactly (candidates + one
+    "everything else" group).  A hot key with share ``s`` gets
+    ``ceil(HOT_OVERSPLIT * s * partitions)`` buckets, so all hot keys together
+    replicate their dimension rows at most about ``HOT_OVERSPLIT * partitions``
+    times.  Returns a small DataFrame ``(keys..., __buckets)`` or None.
     """
+    support = hot_support(partitions)
     kcols = [F.col(f"`{k}`") for k in keys]
     probe = fact.select(F.struct(*kcols).alias("__hot_key"))
     not_null = _all([F.col("__hot_key").getField(k).isNotNull() for k in keys])
-    candidates = (probe.where(not_null)
-                  .freqItems(["__hot_key"], support=HOT_MIN_SHARE).first()[0])
+    candidates = probe.where(not_null).freqItems(["__hot_key"], support=support).first()[0]
     if not candidates:
         return None
-    candidates = candidates[:HOT_MAX_KEYS]
     types = {f.name: f.dataType for f in fact.select(*kcols).schema.fields}
     is_candidate = F.col("__hot_key").isin(
         *[F.struct(*[F.lit(c[k]).cast(types[k]).alias(k) for k in keys]) for c in candidates])
     counts = (probe.select(F.when(not_null & is_candidate, F.col("__hot_key")).alias("__c"))
                    .groupBy("__c").count().collect())
     total = sum(r["count"] for r in counts)
-    hot = [r["__c"] for r in counts
-           if r["__c"] is not None and r["count"] >= HOT_MIN_SHARE * total]
+    hot = [(r["__c"], r["count"]) for r in counts
+           if r["__c"] is not None and r["count"] >= support * total]
     if not hot:
         return None
-    data = [tuple(h[k] for k in keys) + (max(2, partitions),) for h in hot]
+    data = [tuple(h[k] for k in keys)
+            + (max(2, -(-n * partitions * HOT_OVERSPLIT // total)),) for h, n in hot]
     schema = fact.select(*kcols).schema.add("__buckets", "long")
     return fact.sparkSession.createDataFrame(data, schema)
 

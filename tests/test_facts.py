@@ -213,3 +213,16 @@ def test_shuffle_lookup_splits_hot_key(spark):
 
     # Unsalted, key 7 alone would put half of the output into one reducer.
     assert max(sizes) < 0.2 * sum(sizes)
+
+
+def test_hot_key_threshold_and_buckets_scale_with_partitions(spark):
+    from pyspark.sql import functions as F
+    from millstar.operators.lookup import hot_keys, hot_support
+    assert hot_support(16) == 0.01            # capped: never stricter than 1%
+    assert hot_support(1000) == 0.002         # two average reducers' worth
+    assert hot_support(10**6) == 1e-4         # floored: at most 10^4 candidates
+    df = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).alias("k"))
+    hot = {r["k"]: r["__buckets"] for r in hot_keys(df, ["k"], 16).collect()}
+    assert hot == {7: 22}                     # ceil(4 * 1/3 * 16); the 2-row keys are not hot
+    assert hot_keys(spark.range(1000).select(F.col("id").alias("k")), ["k"], 16) is None
