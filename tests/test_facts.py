@@ -226,3 +226,28 @@ def test_hot_key_threshold_and_buckets_scale_with_partitions(spark):
     hot = {r["k"]: r["__buckets"] for r in hot_keys(df, ["k"], 16).collect()}
     assert hot == {7: 22}                     # ceil(4 * 1/3 * 16); the 2-row keys are not hot
     assert hot_keys(spark.range(1000).select(F.col("id").alias("k")), ["k"], 16) is None
+
+
+@pytest.mark.parametrize("kind", ["string", "string_iso", "date", "timestamp", "timestamp_ntz"])
+def test_temporal_inputs_of_every_kind(spark, dims, kind):
+    """Date/time columns may arrive as any of the JSON-derived types."""
+    from pyspark.sql import functions as F
+    value = {"string": "2024-01-15 10:30:00", "string_iso": "2024-01-15T10:30:00"}.get(kind)
+    base = spark.createDataFrame([(1, 50, 3, 5, "PASS", 0, 50)],
+                                 "check_id long, order_id long, line_id long, inspector_id long, "
+                                 "result string, defects_found long, sample_size long")
+    if value is not None:
+        col = F.lit(value)
+    else:
+        col = F.lit("2024-01-15 10:30:00").cast(kind)
+    q = facts.build_fact_quality(base.withColumn("check_date", col), dims).first()
+    assert q["date_sk"] == 20240115
+    alerts = spark.createDataFrame([(1, 101, 7, "threshold", "high")],
+                                   "alert_id long, sensor_id long, machine_id long, "
+                                   "alert_type string, severity string") \
+        .withColumn("triggered_at", col) \
+        .withColumn("resolved_at", F.lit(None).cast("string") if value else F.lit(None).cast(kind)) \
+        .withColumn("acknowledged_at", F.lit(None).cast("timestamp"))
+    a = facts.build_fact_alerts(alerts, dims).first()
+    expected_hour = 0 if kind == "date" else 10
+    assert a["date_sk"] == 20240115 and a["time_sk"] == expected_hour
