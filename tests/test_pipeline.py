@@ -68,3 +68,22 @@ def test_reproducible_fact_keys(spark, tmp_root):
     f = result.facts["fact_alerts"]
     ids = {r["alert_id"] for r in result.silver["alerts"].select("alert_id").collect()}
     assert {r["alert_sk"] for r in f.select("alert_sk").collect()} == ids
+
+
+def test_string_timestamps_in_alerts(spark, tmp_root):
+    """Alerts landed with ISO 'T' string timestamps give the same facts as typed ones."""
+    from pyspark.sql import functions as F
+    typed, strings = Layout.under(f"{tmp_root}/typed"), Layout.under(f"{tmp_root}/strings")
+    dims = ["sensors", "machines", "production_lines"]
+    _land(spark, typed, ["alerts", *dims])
+    _land(spark, strings, dims)
+    alerts = bronze(spark, SF_SMALL, "alerts")
+    for c in ("triggered_at", "acknowledged_at", "resolved_at"):
+        alerts = alerts.withColumn(c, F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss"))
+    snapshots.write_snapshot(alerts, f"{strings.bronze}/alerts", VERSION)
+    cols = ["date_sk", "time_sk", "sensor_sk", "machine_sk", "line_sk", "alert_type_sk",
+            "resolution_time_min", "acknowledged_flag", "severity_level"]
+    a = transform(spark, typed, VERSION).facts["fact_alerts"].select(cols)
+    b = transform(spark, strings, VERSION).facts["fact_alerts"].select(cols)
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
