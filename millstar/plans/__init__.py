@@ -1,0 +1 @@
+"""Plans: the pipeline jobs."""

@@ -1,0 +1 @@
+"""Streaming: incremental landing of payload files with Structured Streaming."""
