@@ -33,6 +33,10 @@ Physical strategy, per lookup
     break a partitioning a later join reuses, which chained lookups do.
   - Every other row has salt 0, as has the dimension side.
 
+  Detection probes the fact as it stands at that lookup; for a key brought by
+  an earlier lookup that re-evaluates the chain so far, which is why the facts
+  put the lookups that can outgrow the bound first (they then probe the
+  source scan itself).
   Salts are a hash of the row, so recomputing a lost partition reproduces them
   (fact sources are de-duplicated silver tables, so no two rows share a hash
   because they are copies).
