@@ -61,6 +61,7 @@ from millstar.session import shuffle_partitions
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 
 _size_checks: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
+_count_locks: "weakref.WeakKeyDictionary[DataFrame, threading.Lock]" = weakref.WeakKeyDictionary()
 _size_lock = threading.Lock()   # facts are built from several threads at once
 
 
@@ -77,10 +78,15 @@ def fits_broadcast(dim: DataFrame, max_rows: int) -> bool:
         return False
     with _size_lock:
         rows = _size_checks.get(dim)
+        count_lock = _count_locks.setdefault(dim, threading.Lock())
     if rows is None:
-        rows = dim.count()
-        with _size_lock:
-            _size_checks[dim] = rows
+        with count_lock:                      # one count per dimension, even across threads
+            with _size_lock:
+                rows = _size_checks.get(dim)
+            if rows is None:
+                rows = dim.count()
+                with _size_lock:
+                    _size_checks[dim] = rows
     return rows <= max_rows
 
 
