@@ -331,6 +331,14 @@ ORACLE: dict[str, str] = {
 for _f in ("fact_sensor_readings", "fact_alerts", "fact_quality", "fact_maintenance",
            "fact_production"):
     ORACLE[f"{_f}_shuffle_joins"] = ORACLE[_f]
+ORACLE["fact_alerts_keyed"] = fact_alerts_body(
+    "CAST(a.alert_id AS BIGINT) AS alert_sk, " + FACT_ALERTS_COLS)
+ORACLE["fact_quality_keyed"] = fact_quality_body(
+    "CAST(c.check_id AS BIGINT) AS quality_sk, " + FACT_QUALITY_COLS)
+ORACLE["fact_maintenance_keyed"] = fact_maintenance_body(
+    "CAST(m.log_id AS BIGINT) AS maintenance_sk, " + FACT_MAINTENANCE_COLS)
+ORACLE["fact_production_keyed"] = fact_production_body(
+    "CAST(o.output_id AS BIGINT) AS production_sk, " + FACT_PRODUCTION_COLS)
 for _t in ("alerts", "quality_checks", "defects", "maintenance_logs", "factories",
            "production_lines", "machines", "sensors", "operators", "production_orders",
            "production_output", "sensor_readings", "maintenance_schedules"):

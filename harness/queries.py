@@ -51,14 +51,20 @@ def dimension(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, sf: str, name: str,
-         broadcast_max_rows: int | None = None) -> DataFrame:
+         broadcast_max_rows: int | None = None, sk_from: str | None = None) -> DataFrame:
     """One fact built from the adapter tables (cleaned, dimensions built in the same plan)."""
     tables, dim_names = facts.FACT_REQUIREMENTS[name]
     dims = {d: dimension(spark, sf, d) for d in dim_names}
     for t in tables[1:]:
         dims[t] = silver(spark, sf, t)
     src = silver(spark, sf, facts.FACT_SOURCE[name])
-    return facts.FACT_BUILDERS[name](src, dims, broadcast_max_rows=broadcast_max_rows)
+    opts = {"sk_from": sk_from} if sk_from else {}
+    return facts.FACT_BUILDERS[name](src, dims, broadcast_max_rows=broadcast_max_rows, **opts)
+
+
+# Source id used as the reproducible fact key by the *_keyed queries.
+KEYED_FACTS = {"fact_alerts": "alert_id", "fact_quality": "check_id",
+               "fact_maintenance": "log_id", "fact_production": "output_id"}
 
 
 def _without_sk(df: DataFrame, name: str) -> DataFrame:
@@ -100,6 +106,14 @@ def _fact_shuffle_query(name: str) -> Query:
     return run
 
 
+def _fact_keyed_query(name: str) -> Query:
+    """The fact with its key taken from the source id: every column comparable."""
+    def run(spark, sf):
+        return fact(spark, sf, name, sk_from=KEYED_FACTS[name])
+    run.__name__ = f"q_{name}_keyed"
+    return run
+
+
 def q_fact_production_fanout(spark, sf):
     """Urgent orders landed twice (second version, other status): their facts fan out k*k."""
     orders = bronze(spark, sf, "production_orders")
@@ -181,6 +195,8 @@ for _f in ("fact_alerts", "fact_quality", "fact_maintenance", "fact_production")
     QUERIES[f"{_f}_sk"] = _fact_sk_query(_f)
 for _f in facts.FACT_BUILDERS:
     QUERIES[f"{_f}_shuffle_joins"] = _fact_shuffle_query(_f)
+for _f in KEYED_FACTS:
+    QUERIES[f"{_f}_keyed"] = _fact_keyed_query(_f)
 QUERIES["fact_production_fanout"] = q_fact_production_fanout
 QUERIES["clean_dedup"] = q_clean_dedup
 QUERIES["clean_null_id"] = q_clean_null_id
