@@ -81,3 +81,28 @@ def test_fact_rows_equal_source_rows_with_unique_dim_keys(spark):
     for name, src in (("fact_sensor_readings", "sensor_readings"), ("fact_alerts", "alerts")):
         n_src = cleaning.clean_table(bronze(spark, SF_SMALL, src), src).count()
         assert fact(spark, SF_SMALL, name).count() == n_src
+
+
+fact_key = st.one_of(st.none(), st.sampled_from([1, 2, 3]), st.integers(4, 40))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(fact_key, st.one_of(st.none(), st.sampled_from("ab"))), max_size=120),
+       st.lists(st.tuples(st.one_of(st.none(), st.integers(1, 30)), st.one_of(st.none(), st.sampled_from("ab")),
+                          st.integers(0, 9)), max_size=40))
+def test_lookup_matches_python_left_join(spark, fact_rows, dim_rows):
+    """Both join strategies equal a plain left join: NULLs never match, duplicates fan out."""
+    from millstar.operators.lookup import Lookup, resolve
+    fact_df = spark.createDataFrame([(i, k, t) for i, (k, t) in enumerate(fact_rows)],
+                                    "rid long, k long, t string")
+    dim_df = spark.createDataFrame(dim_rows, "dk long, dt string, v long")
+    lk = [Lookup("d", (("k", "dk"), ("t", "dt")), (("v", "v"),))]
+    want = []
+    for i, (k, t) in enumerate(fact_rows):
+        hits = [v for dk, dt, v in dim_rows
+                if k is not None and t is not None and dk == k and dt == t]
+        want += [(i, k, t, v) for v in hits] or [(i, k, t, None)]
+    want = sorted(want, key=repr)
+    for bound in (None, 0):
+        got = sorted(map(tuple, resolve(fact_df, {"d": dim_df}, lk, bound).collect()), key=repr)
+        assert got == want, bound
