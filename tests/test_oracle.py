@@ -23,7 +23,7 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, con, name, QUERIES[name], ORACLE[name], SF_SMALL)
-    assert r["columns_match"], r
+    assert r["columns_match"] and r["types_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
     assert r["exact"], r
 
