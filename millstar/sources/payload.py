@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millstar.session import shuffle_partitions
 from millstar.sources import fs
 from millstar.sources.snapshots import stamp, write_snapshot
 
@@ -85,7 +86,16 @@ def land_payload(spark: SparkSession, landed: str | list[str], bronze_root: str,
         payload.select("tables").write.mode("overwrite").parquet(staging)
         payload = spark.read.parquet(staging)
     names = non_empty_tables(payload, names)
-    written = {n: write_snapshot(table_rows(payload, n), f"{root}/{n}", version) for n in names}
+    spread = shuffle_partitions(spark) if multi_line else 0
+
+    def rows(name: str):
+        out = table_rows(payload, name)
+        # A multi-line document is one row read by one task: spread its exploded
+        # rows so the bronze write (and every later read) is parallel.  Spark
+        # sorts before a round-robin repartition, so a retried task reproduces it.
+        return out.repartition(spread) if spread else out
+
+    written = {n: write_snapshot(rows(n), f"{root}/{n}", version) for n in names}
     if stage and fs.exists(spark, staging):
         fs.delete(spark, staging)
     return written
