@@ -64,6 +64,16 @@ SCRIPT = textwrap.dedent("""
     out["fact_rows"] = back.count()
     out["fact_distinct_sk"] = back.select("alert_sk").distinct().count()
     out["source_rows"] = n_src
+
+    # The salted shuffle-join path (every lookup past the bound) under the same failures.
+    cols = ["date_sk", "time_sk", "sensor_sk", "machine_sk", "line_sk", "alert_type_sk",
+            "resolution_time_min", "acknowledged_flag", "severity_level"]
+    shuffled = facts.build_fact_alerts(alerts, dims, broadcast_max_rows=0).select(cols)
+    plain = facts.build_fact_alerts(clean_table(bronze(spark, sf, "alerts"), "alerts"),
+                                    dims).select(cols)
+    out["shuffle_path_equal"] = (shuffled.exceptAll(plain).count() == 0
+                                 and plain.exceptAll(shuffled).count() == 0
+                                 and shuffled.count() == plain.count())
     print("RESULT " + json.dumps(out))
 """)
 
@@ -81,3 +91,4 @@ def test_results_survive_task_retries():
     assert len(os.listdir(marks)) >= 2  # failures really were injected and retried
     assert res["dense_key_equal"]
     assert res["fact_rows"] == res["fact_distinct_sk"] == res["source_rows"] > 0
+    assert res["shuffle_path_equal"]
