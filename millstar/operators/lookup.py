@@ -11,7 +11,8 @@ match, keys are not de-duplicated (k matches -> k rows).
 Physical strategy, per lookup
 -----------------------------
 * **Broadcast behind a checked bound.**  A dimension is broadcast only after
-  counting it proved it holds at most ``max_rows`` rows.  In the pipeline every
+  counting it proved it holds at most ``max_rows`` rows and that its projected
+  side stays under ``BROADCAST_MAX_BYTES`` (rows x column widths).  In the pipeline every
   dimension is a layer re-read from Parquet, so the count is answered from file
   footers (no data column is read); the count is a partial + final aggregate,
   never a single-task step, and it is remembered per dimension DataFrame.  (A
@@ -56,9 +57,13 @@ from pyspark.sql import functions as F
 
 from millstar.session import shuffle_partitions
 
-# Default bound on broadcast dimensions; the side is a few narrow columns, so
-# this stays in the tens of MB.  Override per call with ``broadcast_max_rows``.
+# Default bounds on a broadcast side: rows (override per call with
+# ``broadcast_max_rows``) and estimated bytes of the projected key + output
+# columns (rows x per-column width; strings at Spark's 20-byte default size).
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+_WIDTH = {"bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "int": 4,
+          "date": 4, "float": 4, "smallint": 2, "tinyint": 1, "boolean": 1}
 
 _size_checks: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
 _count_locks: "weakref.WeakKeyDictionary[DataFrame, threading.Lock]" = weakref.WeakKeyDictionary()
@@ -72,8 +77,15 @@ class Lookup:
     take: tuple[tuple[str, str], ...]         # (dimension column, output name) pairs
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int) -> bool:
-    """Whether ``dim`` has at most ``max_rows`` rows (memoised per DataFrame)."""
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row of ``df`` from its column types."""
+    return sum(_WIDTH.get(f.dataType.simpleString(), 20) for f in df.schema.fields)
+
+
+def fits_broadcast(dim: DataFrame, max_rows: int, side_width: int = 0) -> bool:
+    """Whether ``dim`` has at most ``max_rows`` rows and its broadcast side
+    (``side_width`` bytes per row) stays under ``BROADCAST_MAX_BYTES``.
+    The row count is memoised per DataFrame."""
     if max_rows <= 0:
         return False
     with _size_lock:
@@ -87,7 +99,7 @@ def fits_broadcast(dim: DataFrame, max_rows: int) -> bool:
                 rows = dim.count()
                 with _size_lock:
                     _size_checks[dim] = rows
-    return rows <= max_rows
+    return rows <= max_rows and rows * side_width <= BROADCAST_MAX_BYTES
 
 
 # Hot-key detection on the shuffle path.  A key is hot when it alone would fill
@@ -180,7 +192,7 @@ def resolve(fact: DataFrame, dims: Mapping[str, DataFrame], lookups: Sequence[Lo
             *[F.col(f"`{dc}`").alias(kn) for (_, dc), kn in zip(lk.on, key_names)],
             *[F.col(f"`{src}`").alias(dst) for src, dst in lk.take])
         fact_keys = [fc for fc, _ in lk.on]
-        if fits_broadcast(dim, max_rows):
+        if fits_broadcast(dim, max_rows, row_width(side)):
             cond = [fact[fc] == side[kn] for fc, kn in zip(fact_keys, key_names)]
             fact = fact.join(F.broadcast(side), _and(cond), "left")
             fact = fact.drop(*key_names)

@@ -251,3 +251,17 @@ def test_temporal_inputs_of_every_kind(spark, dims, kind):
     a = facts.build_fact_alerts(alerts, dims).first()
     expected_hour = 0 if kind == "date" else 10
     assert a["date_sk"] == 20240115 and a["time_sk"] == expected_hour
+
+
+def test_broadcast_bound_in_bytes(spark):
+    from pyspark.sql import functions as F
+    from millstar.operators import lookup
+    dim = spark.range(1000).select(F.col("id").alias("k"), F.col("id").cast("string").alias("s"))
+    assert lookup.row_width(dim) == 8 + 20
+    assert lookup.fits_broadcast(dim, 10_000, lookup.row_width(dim))
+    saved = lookup.BROADCAST_MAX_BYTES
+    lookup.BROADCAST_MAX_BYTES = 1000 * 28 - 1
+    try:
+        assert not lookup.fits_broadcast(dim, 10_000, lookup.row_width(dim))
+    finally:
+        lookup.BROADCAST_MAX_BYTES = saved
