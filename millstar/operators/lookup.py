@@ -12,10 +12,10 @@ Physical strategy, per lookup
 -----------------------------
 * **Broadcast behind a checked bound.**  A dimension is broadcast only after
   counting it proved it holds at most ``max_rows`` rows and that its projected
-  side stays under ``BROADCAST_MAX_BYTES`` (rows x column widths).  In the pipeline every
-  dimension is a layer re-read from Parquet, so the count is answered from file
-  footers (no data column is read); the count is a partial + final aggregate,
-  never a single-task step, and it is remembered per dimension DataFrame.  (A
+  side stays under ``BROADCAST_MAX_BYTES`` (rows x column widths).  In the
+  pipeline every dimension is a layer re-read from Parquet, so the count is
+  answered from file footers (no data column is read); it is a partial +
+  final aggregate, never a single-task step, and is remembered per dimension.  (A
   ``limit(n).count()`` would look cheaper but plans a single-partition exchange
   of up to n rows per input partition.)  The broadcast side is the projected key
   + output columns only.  The fact side is then never shuffled: hot keys cost
