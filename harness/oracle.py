@@ -309,6 +309,8 @@ ORACLE: dict[str, str] = {
                        f"WHERE priority = '1-URGENT'")),
     "clean_dedup": f"SELECT DISTINCT * FROM ({bronze_sql('defects')}) AS b",
     "clean_null_id": f"SELECT * FROM ({bronze_sql('defects')}) AS b WHERE defect_id IS NOT NULL",
+    "clean_base": (f"SELECT DISTINCT * FROM ({bronze_sql('production_output')} UNION ALL "
+                   f"{bronze_sql('production_output')}) AS b WHERE output_id IS NOT NULL"),
     "clean_typed_all_null": silver_sql(
         "alerts",
         "SELECT alert_id, sensor_id, machine_id, alert_type, severity, triggered_at, "

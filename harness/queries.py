@@ -147,6 +147,12 @@ def q_clean_null_id(spark, sf):
     return cleaning.drop_null_ids(bronze(spark, sf, "defects"), "defect_id")
 
 
+def q_clean_base(spark, sf):
+    """C5 as-is (no declared types, no rules) on production_output landed twice."""
+    b = bronze(spark, sf, "production_output")
+    return cleaning.clean(b.unionByName(b), cleaning.CleaningSpec("output_id"))
+
+
 def q_clean_typed_all_null(spark, sf):
     """An all-NULL column lands as an integer; the declared type makes it a string."""
     b = bronze(spark, sf, "alerts").withColumn("resolved_by", F.lit(None).cast("int"))
@@ -200,6 +206,7 @@ for _f in KEYED_FACTS:
 QUERIES["fact_production_fanout"] = q_fact_production_fanout
 QUERIES["clean_dedup"] = q_clean_dedup
 QUERIES["clean_null_id"] = q_clean_null_id
+QUERIES["clean_base"] = q_clean_base
 QUERIES["clean_typed_all_null"] = q_clean_typed_all_null
 for _t in ("alerts", "quality_checks", "defects", "maintenance_logs", "factories",
            "production_lines", "machines", "sensors", "operators", "production_orders",
