@@ -25,7 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-WORD = r"[^\x20\x09-\x0D]+"
+from llm.common import WORD, col, fresh
+
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
 
@@ -74,23 +75,16 @@ RULES = (Rule("too_short", _too_short), Rule("symbols", _symbols),
          Rule("shouting", _shouting), Rule("repeated_lines", _repeated_lines))
 
 
-def _fresh(df: DataFrame, name: str) -> str:
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = "_" + name
-    return name
-
-
 def with_metrics(df: DataFrame, text: str, out: str) -> DataFrame:
     """Add struct column ``out``: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words.
 
     ``out`` must not be a column of ``df``.  Stacked projections keep each
     array materialised once per row; nothing is exploded or shuffled.
     """
-    words, grams, order, counts = (_fresh(df, n) for n in ("w0", "w1", "w2", "w3"))
-    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    words, grams, order, counts = (fresh(df, n) for n in ("w0", "w1", "w2", "w3"))
+    t = F.coalesce(col(text), F.lit(""))
     w = F.col(words)
-    df = df.withColumn(words, word_list(F.col(f"`{text}`")))
+    df = df.withColumn(words, word_list(col(text)))
     df = df.withColumn(counts, F.struct(
         F.size(w).cast("long").alias("n_words"),
         (F.length(t) - F.regexp_count(t, F.lit(SPACE))).cast("long").alias("word_chars"),
@@ -133,7 +127,7 @@ def cascade_order(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = R
 
     The sample only decides the order of evaluation, never a verdict.
     """
-    sample = df.select(F.col(f"`{text}`").alias("text")).limit(sample_rows).persist()
+    sample = df.select(col(text).alias("text")).limit(sample_rows).persist()
     try:
         n = sample.count()
         if not n:
@@ -160,19 +154,19 @@ def first_rejection(text: Column, rules: tuple[Rule, ...]) -> Column:
 
 def quality_report(df: DataFrame, text: str = "text", sample_rows: int = 1024) -> DataFrame:
     """``df`` plus ``quality`` (struct of the metrics, base_failed, kept)."""
-    out, m = _fresh(df, "quality"), _fresh(df, "m0")
+    out, m = fresh(df, "quality"), fresh(df, "m0")
     order = cascade_order(df, text, RULES, sample_rows)
     scored = with_metrics(df, text, m)
     failed = base_failed(F.col(m))
     kept = F.when(failed, F.lit(False)).otherwise(
-        first_rejection(F.col(f"`{text}`"), order).isNull())
+        first_rejection(col(text), order).isNull())
     return scored.withColumn(out, F.struct(f"{m}.*", failed.alias("base_failed"),
                                            kept.alias("kept"))).drop(m)
 
 
 def keep_good(df: DataFrame, text: str = "text", sample_rows: int = 1024) -> DataFrame:
     """The documents every rule lets pass, with their columns unchanged."""
-    out = _fresh(df, "quality")
+    out = fresh(df, "quality")
     return quality_report(df, text, sample_rows).where(F.col(out)["kept"]).drop(out)
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from llm import quality
+from llm import mixing, quality, tokens
 
-_MODULES = (quality,)
+_MODULES = (quality, mixing, tokens)
 
 QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: s for m in _MODULES for k, s in m.ORACLE.items()}
