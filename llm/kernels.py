@@ -154,3 +154,29 @@ def row_blocks(offsets: np.ndarray, limit: int):
         end = min(max(end, at + 1), n)
         yield at, end
         at = end
+
+
+def byte_windows(offsets: np.ndarray, limit: int, overlap: int):
+    """(first row, end row, from byte, to byte) pieces of about ``limit`` bytes.
+
+    Whole rows, or parts of one long row that share ``overlap`` bytes, so that
+    every window of overlap + 1 bytes starts in exactly one piece.
+    """
+    for a, b in row_blocks(offsets, limit):
+        lo, hi = int(offsets[a]), int(offsets[b])
+        if b - a > 1 or hi - lo <= limit + overlap:
+            yield a, b, lo, hi
+            continue
+        for at in range(lo, max(lo + 1, hi - overlap), limit):
+            yield a, b, at, min(hi, at + limit + overlap)
+
+
+def covered_runs(start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Union of [start, start + length) as disjoint, non-touching runs (start, end), ascending."""
+    if not len(start):
+        z = np.zeros(0, dtype=np.int64)
+        return z, z
+    order = np.argsort(start, kind="stable")
+    s, e = start[order], np.maximum.accumulate((start + length)[order])
+    first = np.flatnonzero(np.append(True, s[1:] > e[:-1]))
+    return s[first], e[np.append(first[1:], len(s)) - 1]
