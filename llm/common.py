@@ -23,13 +23,22 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written as Parquet to the shared scratch folder and read back.
 
     Cuts the lineage: lost executors re-read files instead of recomputing, and
-    later plans see true sizes.
+    later plans see true sizes.  The shuffle files of the write are not needed
+    again and go when it ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, purpose)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -42,14 +42,13 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out, dtype=np.uint64)
 
 
-class RollingHash:
-    """64-bit hash of any slice of a byte buffer, from prefix sums modulo 2**64."""
+class SequenceHash:
+    """64-bit hash of any slice of a sequence of 64-bit values, from prefix sums modulo 2**64."""
 
-    def __init__(self, data: np.ndarray, folded: bool = False):
-        table = FOLDED_BYTE_VALUES if folded else BYTE_VALUES
-        n = len(data)
+    def __init__(self, values: np.ndarray):
+        n = len(values)
         self.prefix = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(table[data] * powers(_BASE, n), dtype=np.uint64, out=self.prefix[1:])
+        np.cumsum(values * powers(_BASE, n), dtype=np.uint64, out=self.prefix[1:])
         self.unshift = powers(_BASE_INV, n + 1)
 
     def slices(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -57,13 +56,20 @@ class RollingHash:
         return mix64(value + (end - start).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
 
     def grams(self, k: int) -> np.ndarray:
-        """Hash of every k-byte gram (length n - k + 1, empty when n < k)."""
+        """Hash of every k consecutive values (length n - k + 1, empty when n < k)."""
         n = len(self.prefix) - 1
         if n < k:
             return np.zeros(0, dtype=np.uint64)
         return mix64((self.prefix[k:] - self.prefix[:n - k + 1]) * self.unshift[:n - k + 1])
 
 
+class RollingHash(SequenceHash):
+    """Slices of a byte buffer; ``folded`` reads A-Z as a-z."""
+
+    def __init__(self, data: np.ndarray, folded: bool = False):
+        super().__init__((FOLDED_BYTE_VALUES if folded else BYTE_VALUES)[data])
+
+
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every run of ``width`` consecutive values, by doubling."""
     n = len(values) - width + 1

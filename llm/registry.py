@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from llm import mixing, quality, suffix_dedup, tokens
+from llm import mixing, passages, quality, suffix_dedup, tokens
 
-_MODULES = (quality, mixing, tokens, suffix_dedup)
+_MODULES = (quality, mixing, tokens, suffix_dedup, passages)
 
 QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: s for m in _MODULES for k, s in m.ORACLE.items()}
