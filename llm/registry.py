@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from llm import embedding_dedup, mixing, passages, quality, suffix_dedup, tokens
+from llm import embedding_dedup, language, mixing, passages, quality, suffix_dedup, tokens
 
-_MODULES = (quality, mixing, tokens, suffix_dedup, passages, embedding_dedup)
+_MODULES = (quality, mixing, tokens, suffix_dedup, passages, embedding_dedup, language)
 
 QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: s for m in _MODULES for k, s in m.ORACLE.items()}
