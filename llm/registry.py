@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from llm import embedding_dedup, language, mixing, passages, pieces, quality, shingle_join, suffix_dedup, tokens
+from llm import embedding_dedup, language, licenses, mixing, passages, pieces, quality, shingle_join, suffix_dedup, tokens
 
 _MODULES = (quality, mixing, tokens, suffix_dedup, passages, embedding_dedup, language,
-            shingle_join, pieces)
+            shingle_join, pieces, licenses)
 
 QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: s for m in _MODULES for k, s in m.ORACLE.items()}
