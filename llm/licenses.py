@@ -100,6 +100,7 @@ RULES = (
     ("CC0-1.0", ("cc0-named",)),
     *((f"CC-BY{kind.upper()}-{version}", (f"cc-by{kind}-{version}",))
       for kind in ("-nc-sa", "-nc-nd", "-nc", "-sa", "-nd", "") for version in ("4.0", "3.0")),
+    ("LicenseRef-All-Rights-Reserved", ("rights-reserved",)),
 )
 
 # Every phrase holds one of these.
