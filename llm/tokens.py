@@ -28,8 +28,12 @@ gives no block and no row.  Texts of any length are encoded whole.
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import struct
 import zlib
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +48,7 @@ MAGIC = b"TIDBLK01"
 _HEAD = struct.Struct("<8s4I2Q")
 SAMPLE = 64
 BLOCK_IDS = 2_000_000
-CACHE_WORDS = 150_000
+CACHE_SIZE = 400_000
 
 
 def _padded(bits: np.ndarray) -> bytes:
@@ -139,47 +143,105 @@ class TokenBlock:
         return self.flat[self.bounds.select(i):self.bounds.select(i + 1)]
 
 
-class WordEncoder:
-    """Ids of whole texts through the tokenizer, word by word with a bounded cache.
+# Fixed values of the tokenizer file that the word-wise path below relies on.
+_WORD_WISE = {
+    "normalizer": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+                   {"type": "Lowercase"}],
+    "split": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+",
+    "suffix": "</w>",
+}
+# Letters whose normal form, lower case and class need no tables: ASCII and Latin with
+# diacritics, without the dotted capital I and the two signs among them.
+_LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e"
+_PLAIN = re.compile(f"[!-~{_LATIN}]+")
+_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[^a-z0-9{_LATIN}]+")
+
+
+def _byte_characters() -> list[str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the rest for 256 and up."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    spare = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
 
-    Valid for tokenizers that treat ASCII white space only as a boundary and
-    keep no state across it.  ``width`` bytes per id.
+
+class WordEncoder:
+    """Ids of whole texts, ``width`` little-endian bytes each, equal to the tokenizer's own.
+
+    The tokenizer's rules decide the path.  Where white space is only a boundary
+    (lower case, split on letters, digits and signs, word-end suffix), texts are
+    encoded word by word: words and their parts are looked up in two caches of at
+    most ``cache_size`` entries, and only unknown parts reach the merge model.
+    Words outside the plain alphabet, or with a special token's first characters,
+    go through the tokenizer as they are.  Other tokenizers encode whole texts.
     """
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
-        import os
+    def __init__(self, path: str, cache_size: int = CACHE_SIZE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.dtype = "<u2" if self.width == 2 else "<u4"
-        self.cache: dict[bytes, bytes] = {}
-        self.cache_words = cache_words
+        self.cache_size = cache_size
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.byte_characters = _byte_characters()
+        rules = json.loads(self.tokenizer.to_str())
+        steps = (rules.get("normalizer") or {}).get("normalizers")
+        splits = (rules.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        self.word_wise = (
+            steps == _WORD_WISE["normalizer"]
+            and splits[0].get("pattern", {}).get("Regex") == _WORD_WISE["split"]
+            and [x.get("type") for x in splits] == ["Split", "ByteLevel"]
+            and rules["model"].get("end_of_word_suffix") == _WORD_WISE["suffix"]
+            and all(t["content"].startswith("<|") for t in rules.get("added_tokens", [])))
+
+    def _ids(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
+
+    def _part(self, part: str) -> bytes:
+        known = self.parts.get(part)
+        if known is None:
+            spelled = part if part.isascii() else "".join([self.byte_characters[b] for b in part.encode()])
+            known = self._ids([t.id for t in self.tokenizer.model.tokenize(spelled)])
+            if len(self.parts) < self.cache_size:
+                self.parts[part] = known
+        return known
+
+    def _word(self, word: bytes) -> bytes:
+        if word.isalpha():  # ASCII letters only: one part
+            return self._part(word.lower().decode())
+        if word[:-1].isalpha() and 33 <= word[-1] <= 126 and not word[-1:].isalnum():
+            return self._part(word[:-1].lower().decode()) + self._part(chr(word[-1]))
+        text = word.decode("utf-8", "replace")
+        if _PLAIN.fullmatch(text) and "<|" not in text:
+            return b"".join([self._part(p) for p in _PARTS.findall(text.lower())])
+        return self._ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
+        if not self.word_wise:
+            got = self.tokenizer.encode_batch([t.decode("utf-8", "replace") for t in texts],
+                                              add_special_tokens=False)
+            return [self._ids(e.ids) for e in got]
         split = [t.split() for t in texts]  # bytes.split: ASCII white space
-        known = self.cache
-        missing = {w for words in split for w in words if w not in known}
-        extra = {}
-        if missing:
-            missing = list(missing)
-            for lo in range(0, len(missing), 20_000):
-                part = missing[lo:lo + 20_000]
-                got = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part],
-                                                  add_special_tokens=False)
-                for word, e in zip(part, got):
-                    extra[word] = np.array(e.ids, dtype=self.dtype).tobytes()
-            room = self.cache_words - len(known)
-            if room >= len(extra):
-                known.update(extra)
-                extra = {}
-        if not extra:
-            return [b"".join([known[w] for w in words]) for words in split]
-        both = {**known, **extra} if len(known) < len(extra) else None
-        if both is not None:
-            return [b"".join([both[w] for w in words]) for words in split]
-        find = known.get
-        return [b"".join([find(w) or extra.get(w, b"") for w in words]) for words in split]
+        known = self.words
+        extra = {w: self._word(w) for w in set().union(*split).difference(known)}
+        if extra:
+            room = max(0, self.cache_size - len(known))
+            both = {**known, **extra}
+            known.update(islice(extra.items(), room))
+            known = both
+        find = known.__getitem__
+        return [b"".join(map(find, words)) for words in split]
+
+
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder(path: str) -> WordEncoder:
+    """One encoder, with its caches, per worker process and tokenizer."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
 
 
 def _text_groups(batches, text: int, key: int, limit: int = 8 << 20):
@@ -203,8 +265,8 @@ def _block_writer(path: str, end_id: int, block_ids: int):
                         ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("payload", pa.binary())])
 
     def run(batches):
-        encoder = WordEncoder(path)
-        end = np.array([end_id], dtype=encoder.dtype).tobytes()
+        encode = encoder(path)
+        end = np.array([end_id], dtype=encode.dtype).tobytes()
         part, block, before = TaskContext.get().partitionId(), 0, 0
         keys, parts, sizes = [], [], []
 
@@ -214,13 +276,13 @@ def _block_writer(path: str, end_id: int, block_ids: int):
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([block], pa.int64()), pa.array([before], pa.int64()),
                  pa.array([int(bounds[-1])], pa.int64()), pa.array([keys], pa.list_(pa.int64())),
-                 pa.array([pack_block(b"".join(parts), encoder.width, bounds)], pa.binary())], schema=schema)
+                 pa.array([pack_block(b"".join(parts), encode.width, bounds)], pa.binary())], schema=schema)
 
         for doc_ids, texts in _text_groups(batches, 1, 0):
-            for doc_id, ids in zip(doc_ids, encoder.encode(texts)):
+            for doc_id, ids in zip(doc_ids, encode.encode(texts)):
                 keys.append(doc_id)
                 parts += (ids, end)
-                sizes.append(len(ids) // encoder.width + 1)
+                sizes.append(len(ids) // encode.width + 1)
             if (n := sum(sizes)) >= block_ids:
                 yield flush()
                 block, before = block + 1, before + n
