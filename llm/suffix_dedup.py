@@ -49,6 +49,8 @@ MAX_RUN = 512          # windows in one piece
 BATCH_BYTES = 1 << 20
 HOT_CONTENTS = 2000    # contents of one anchor beyond which a second anchor splits them
 OPEN_ROWS = 100_000    # rows of one anchor held before they are settled early
+SHARD_BYTES = 1 << 20  # wished bytes of a shard, with at most SHARDS_PER_PARTITION of them
+SHARDS_PER_PARTITION = 4
 _SEED = pa.schema([(c, pa.int64()) for c in ("anchor", "content", "key", "text_hash", "start", "n", "weight")])
 _MARK = pa.schema([(c, pa.int64()) for c in ("key", "text_hash", "start", "n", "anchor", "kind")])
 REPEATED, SINGLE, WITNESS = 0, 1, 2
@@ -347,7 +349,9 @@ def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
               .agg(F.collect_list(F.struct("start", "n", "anchor", "kind",
                                            F.coalesce("hot", F.lit(False)).alias("hot"))).alias("marks")))
     pieces = docs.join(listed, ["key", "text_hash"]).mapInArrow(_cut_pieces(length, gram), _ddl(_PIECE))
-    spans = pieces.repartition(n, "shard").mapInArrow(_shard_spans(length), _ddl(_SPAN))
+    bytes_left = edges.agg(F.sum(F.col("n") + length - 1)).first()[0] or 0
+    shards = max(n, min(n * SHARDS_PER_PARTITION, bytes_left // SHARD_BYTES))
+    spans = pieces.repartition(shards, "shard").mapInArrow(_shard_spans(length), _ddl(_SPAN))
     both = marks.where(F.col("kind") == REPEATED).select(*_SPAN.names).unionByName(spans)
     return both.groupBy("key", "text_hash").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
 

@@ -28,13 +28,14 @@ import numpy as np
 
 BLOCK = 1 << 19
 RUN = 1 << 20
+IN_MEMORY = 1 << 23
 _TUPLE = np.dtype([("w", np.uint64), ("t", np.uint64), ("i", np.int64)])
 
 
 def scratch_array(n: int, dtype) -> np.ndarray:
-    """An array in an unlinked temporary file (in memory when small)."""
+    """An array in an unlinked temporary file (in memory up to ``IN_MEMORY`` bytes)."""
     dtype = np.dtype(dtype)
-    if n * dtype.itemsize <= 1 << 16:
+    if n * dtype.itemsize <= IN_MEMORY:
         return np.zeros(n, dtype=dtype)
     fd, name = tempfile.mkstemp(prefix="suffix-")
     os.close(fd)
