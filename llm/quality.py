@@ -165,9 +165,17 @@ def quality_report(df: DataFrame, text: str = "text", sample_rows: int = 1024) -
 
 
 def keep_good(df: DataFrame, text: str = "text", sample_rows: int = 1024) -> DataFrame:
-    """The documents every rule lets pass, with their columns unchanged."""
+    """The documents every rule lets pass, with their columns unchanged.
+
+    A filter on the verdict would be pushed below the projections and the metrics
+    copied into it, where lambdas would compute them anew for every word; Catalyst
+    leaves it in place above a projection with a row number.
+    """
     out = fresh(df, "quality")
-    return quality_report(df, text, sample_rows).where(F.col(out)["kept"]).drop(out)
+    report = quality_report(df, text, sample_rows)
+    row = fresh(report, "row")
+    numbered = report.withColumn(row, F.monotonically_increasing_id())
+    return numbered.where(F.col(out)["kept"] & (F.col(row) >= 0)).drop(out, row)
 
 
 def op9_quality_rules(spark, sf_dir: str) -> DataFrame:
