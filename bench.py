@@ -122,8 +122,8 @@ def reference_shape_pipeline(spark, layout):
             "dim_alert_type": D.build_dim_alert_type(cleaned["alerts"], "window"),
             "dim_maintenance_type": D.build_dim_maintenance_type(cleaned["maintenance_logs"],
                                                                  "window")}
-    for name, cfg in D.SIMPLE_DIMENSIONS.items():
-        dims[name] = D.build_simple_dimension(cleaned[cfg.source_table], cfg)
+    for name, cfg in D.KEYED_COPIES.items():
+        dims[name] = D.keyed_copy(cleaned[cfg.table], cfg)
     for name, df in dims.items():
         one_file(df, f"{out_root}/gold/{name}")
     t2 = time.perf_counter()

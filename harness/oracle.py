@@ -8,7 +8,7 @@ under test).  DuckDB differences handled here: NULLs sort last by default
 
 from __future__ import annotations
 
-from harness.adapter import ADAPTER, SHIFT_COLUMNS, bronze_sql
+from harness.adapter import ADAPTER, bronze_sql
 from millstar.schemas import BRONZE_SCHEMAS, TABLE_IDS
 
 _DUCK_TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
@@ -20,13 +20,12 @@ def q(name: str) -> str:
 
 
 def _columns(table: str) -> list[str]:
-    if table == "shifts":
-        return list(SHIFT_COLUMNS)
     return [c for c, _ in ADAPTER[table][1]]
 
 
-def _cast_list(table: str) -> str:
+def _cast_list(table: str, text: tuple[str, ...] = ()) -> str:
     declared = {f.name: f.dataType.simpleString() for f in BRONZE_SCHEMAS[table].fields}
+    declared.update({c: "string" for c in text})
     return ", ".join(f"CAST({q(c)} AS {_DUCK_TYPES[declared[c]]}) AS {q(c)}"
                      for c in _columns(table))
 
@@ -52,10 +51,10 @@ def _rules(table: str, base: str) -> str:
     return base
 
 
-def silver_sql(table: str, bronze: str | None = None) -> str:
+def silver_sql(table: str, bronze: str | None = None, text: tuple[str, ...] = ()) -> str:
     b = bronze or bronze_sql(table)
     idc = TABLE_IDS[table]
-    base = (f"SELECT {_cast_list(table)} FROM (SELECT DISTINCT * FROM ({b}) AS b) AS d "
+    base = (f"SELECT {_cast_list(table, text)} FROM (SELECT DISTINCT * FROM ({b}) AS b) AS d "
             f"WHERE {q(idc)} IS NOT NULL")
     return _rules(table, base)
 
@@ -323,10 +322,10 @@ ORACLE: dict[str, str] = {
     "dim_time": (f"SELECT * FROM ({DIM_TIME_SQL}) AS t WHERE hour_of_day IN "
                  f"(SELECT DISTINCT hour(CAST(\"timestamp\" AS TIMESTAMP)) "
                  f"FROM ({silver_sql('sensor_readings')}) AS s)"),
-    "dense_sk_range": ("SELECT CAST(row_number() OVER (ORDER BY p_name NULLS FIRST) AS INTEGER) "
+    "dense_sk_range": ("SELECT CAST(row_number() OVER (ORDER BY p_name NULLS FIRST) AS BIGINT) "
                        "AS name_sk, p_name FROM (SELECT DISTINCT p_name FROM part) AS p"),
     "dense_sk_lineitem": ("SELECT CAST(row_number() OVER (ORDER BY l_orderkey NULLS FIRST, "
-                          "l_linenumber NULLS FIRST) AS INTEGER) AS line_sk, l_orderkey, "
+                          "l_linenumber NULLS FIRST) AS BIGINT) AS line_sk, l_orderkey, "
                           "l_linenumber FROM (SELECT DISTINCT l_orderkey, l_linenumber "
                           "FROM lineitem) AS p"),
 }
@@ -343,10 +342,10 @@ ORACLE["fact_production_keyed"] = fact_production_body(
     "CAST(o.output_id AS BIGINT) AS production_sk, " + FACT_PRODUCTION_COLS)
 for _t in ("alerts", "quality_checks", "defects", "maintenance_logs", "factories",
            "production_lines", "machines", "sensors", "operators", "production_orders",
-           "production_output", "sensor_readings", "maintenance_schedules"):
+           "production_output", "sensor_readings", "maintenance_schedules", "shifts"):
     ORACLE[f"clean_{_t}"] = _clean_sql(_t)
 for _d in ("dim_factory", "dim_production_line", "dim_machine", "dim_sensor", "dim_operator",
-           "dim_order", "dim_product", "dim_alert_type", "dim_maintenance_type"):
+           "dim_order", "dim_product", "dim_alert_type", "dim_maintenance_type", "dim_shift"):
     ORACLE[_d] = dim_sql(_d)
 
 
@@ -354,7 +353,8 @@ for _d in ("dim_factory", "dim_production_line", "dim_machine", "dim_sensor", "d
 
 def _orders_version_sql(i: int) -> str:
     return ("SELECT order_id, product_code, quantity_ordered, start_date, target_end_date, "
-            f"priority, status || '-v{i}' AS status FROM ({bronze_sql('production_orders')}) AS b")
+            f"priority, status || '-v{i}' AS status, {'product_code' if i == 1 else 'NULL'} AS note "
+            f"FROM ({bronze_sql('production_orders')}) AS b")
 
 
 ORACLE["snapshot_latest"] = _orders_version_sql(1)
@@ -386,3 +386,53 @@ def _pipeline_counts_sql() -> str:
 
 ORACLE["pipeline_counts"] = _pipeline_counts_sql()
 ORACLE["pipeline_run"] = fact_alerts_body(FACT_ALERTS_COLS)
+
+
+# --- ids as text -------------------------------------------------------------------
+
+# Table -> (id column, prefix) of the queries with text ids.
+TEXT_IDS = {"alerts": ("alert_id", "A"), "defects": ("defect_id", "D"), "maintenance_logs": ("log_id", "L")}
+
+
+def _text_bronze_sql(table: str, prefixes: dict[str, str]) -> str:
+    cols = ", ".join(f"'{prefixes[c]}' || {q(c)} AS {q(c)}" if c in prefixes else q(c) for c in _columns(table))
+    return f"SELECT {cols} FROM ({bronze_sql(table)}) AS b"
+
+
+for _t, (_id, _prefix) in TEXT_IDS.items():
+    ORACLE[f"clean_{_t}_string_id"] = silver_sql(_t, _text_bronze_sql(_t, {_id: _prefix}), (_id,))
+ORACLE["fact_alerts_string_keys"] = fact_alerts_body(
+    FACT_ALERTS_COLS.replace("ds.sensor_sk", "'S' || ds.sensor_sk AS sensor_sk")
+    .replace("dm.machine_sk", "'M' || dm.machine_sk AS machine_sk"))
+
+# --- open payload, storage, sinks ----------------------------------------------------
+
+ORACLE["payload_open"] = (
+    "SELECT 'machines' AS table_name, CAST(s_suppkey AS BIGINT) AS id, s_acctbal AS amount, "
+    "'tag-' || s_suppkey AS note FROM supplier UNION ALL "
+    "SELECT 'energy_usage', CAST(n_nationkey AS BIGINT), n_nationkey + 0.5, n_name FROM nation")
+ORACLE["parquet_write_modes"] = (
+    f"SELECT {_cast_list('production_orders')} FROM ({bronze_sql('production_orders')} UNION ALL "
+    f"{bronze_sql('production_orders')}) AS b")
+ORACLE["csv_empty_strings"] = (
+    "SELECT CAST(l_orderkey AS BIGINT) AS id, CAST(l_linenumber AS BIGINT) AS line, "
+    "CASE l_linenumber % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE ' a,\"' || l_linestatus || '\" ' END AS note "
+    "FROM lineitem")
+ORACLE["export_one"] = ORACLE["dim_order"]
+ORACLE["csv_write_all"] = (
+    f"SELECT 'dim_machine' AS table_name, count(*) AS n, CAST(sum(machine_sk) AS BIGINT) AS s "
+    f"FROM ({dim_sql('dim_machine')}) AS a UNION ALL "
+    f"SELECT 'dim_operator', count(*), CAST(sum(operator_sk) AS BIGINT) FROM ({dim_sql('dim_operator')}) AS b")
+ORACLE["parquet_sink"] = ORACLE["dim_sensor"]
+
+# --- what the pipeline wrote ----------------------------------------------------------
+
+for _d in ("dim_factory", "dim_production_line", "dim_machine", "dim_sensor", "dim_operator", "dim_order",
+           "dim_shift", "dim_product", "dim_alert_type", "dim_maintenance_type"):
+    ORACLE[f"gold_{_d}"] = ORACLE[_d]
+ORACLE["gold_dim_time"] = ORACLE["dim_time"]
+ORACLE["gold_dim_date"] = (f"SELECT * FROM ({dim_date_sql()}) AS d WHERE date_sk IN "
+                           f"(SELECT date_sk FROM ({ORACLE['fact_production']}) AS f)")
+ORACLE["gold_fact_sensor_readings"] = ORACLE["fact_sensor_readings"]
+for _f in ("fact_alerts", "fact_quality", "fact_maintenance", "fact_production"):
+    ORACLE[f"gold_{_f}"] = ORACLE[f"{_f}_keyed"]

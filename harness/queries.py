@@ -17,11 +17,12 @@ from harness.adapter import BRONZE_TABLES, bronze, driver_table
 from harness.landing import pack_pages
 from millstar.operators import cleaning, dimensions, facts
 from millstar.operators.dense_key import dense_key
-from millstar.plans.pipeline import Layout, run_pipeline, transform
+from millstar.plans.pipeline import Layout, TransformResult, run_pipeline, transform
 from millstar.schemas import BRONZE_SCHEMAS, GOLD_COLUMNS
 from millstar.session import scratch_path
 from millstar.sinks.csv import CsvSink, read_csv_export
-from millstar.sinks.export import export_tables
+from millstar.sinks.base import ParquetSink
+from millstar.sinks.export import export_table, export_tables
 from millstar.sources import payload, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,9 +39,9 @@ def dimension(spark: SparkSession, sf: str, name: str) -> DataFrame:
         return dimensions.build_dim_date(spark)
     if name == "dim_time":
         return dimensions.build_dim_time(spark)
-    if name in dimensions.SIMPLE_DIMENSIONS:
-        cfg = dimensions.SIMPLE_DIMENSIONS[name]
-        return dimensions.build_simple_dimension(silver(spark, sf, cfg.source_table), cfg)
+    if name in dimensions.KEYED_COPIES:
+        cfg = dimensions.KEYED_COPIES[name]
+        return dimensions.keyed_copy(silver(spark, sf, cfg.table), cfg)
     if name == "dim_product":
         return dimensions.build_dim_product(silver(spark, sf, "production_orders"))
     if name == "dim_alert_type":
@@ -50,21 +51,37 @@ def dimension(spark: SparkSession, sf: str, name: str) -> DataFrame:
     raise KeyError(name)
 
 
+# Source id used as the reproducible fact key by the *_keyed queries.
+KEYED_FACTS = {"fact_alerts": "alert_id", "fact_quality": "check_id",
+               "fact_maintenance": "log_id", "fact_production": "output_id"}
+
+_runs: dict[tuple[str, str], TransformResult] = {}
+
+
+def pipeline_layers(spark: SparkSession, sf: str) -> TransformResult:
+    """Bronze -> silver -> gold over all adapter tables, run once per session and input.
+
+    Facts take their keys from the source ids, so every written value can be compared.
+    """
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _runs:
+        layout, version = Layout.under(scratch_path(spark, "layers")), "20260101T000000"
+        for t in BRONZE_TABLES:
+            snapshots.write_snapshot(bronze(spark, sf, t), f"{layout.bronze}/{t}", version)
+        _runs[key] = transform(spark, layout, version, fact_sk_from=KEYED_FACTS)
+    return _runs[key]
+
+
 def fact(spark: SparkSession, sf: str, name: str,
          broadcast_max_rows: int | None = None, sk_from: str | None = None) -> DataFrame:
-    """One fact built from the adapter tables (cleaned, dimensions built in the same plan)."""
+    """One fact built from the written silver and gold layers, as the pipeline builds it."""
+    layers = pipeline_layers(spark, sf)
     tables, dim_names = facts.FACT_REQUIREMENTS[name]
-    dims = {d: dimension(spark, sf, d) for d in dim_names}
-    for t in tables[1:]:
-        dims[t] = silver(spark, sf, t)
-    src = silver(spark, sf, facts.FACT_SOURCE[name])
+    dims = {d: layers.dimensions[d] for d in dim_names}
+    dims.update({t: layers.silver[t] for t in tables[1:]})
     opts = {"sk_from": sk_from} if sk_from else {}
-    return facts.FACT_BUILDERS[name](src, dims, broadcast_max_rows=broadcast_max_rows, **opts)
-
-
-# Source id used as the reproducible fact key by the *_keyed queries.
-KEYED_FACTS = {"fact_alerts": "alert_id", "fact_quality": "check_id",
-               "fact_maintenance": "log_id", "fact_production": "output_id"}
+    return facts.FACT_BUILDERS[name](layers.silver[facts.FACT_SOURCE[name]], dims,
+                                     broadcast_max_rows=broadcast_max_rows, **opts)
 
 
 def _without_sk(df: DataFrame, name: str) -> DataFrame:
@@ -123,8 +140,8 @@ def q_fact_production_fanout(spark, sf):
     dims = {d: dimension(spark, sf, d) for d in dim_names if d not in ("dim_order", "dim_product")}
     orders_silver = cleaning.clean_table(doubled, "production_orders")
     dims["production_orders"] = orders_silver
-    dims["dim_order"] = dimensions.build_simple_dimension(
-        orders_silver, dimensions.SIMPLE_DIMENSIONS["dim_order"])
+    dims["dim_order"] = dimensions.keyed_copy(
+        orders_silver, dimensions.KEYED_COPIES["dim_order"])
     dims["dim_product"] = dimensions.build_dim_product(orders_silver)
     src = silver(spark, sf, "production_output")
     return _without_sk(facts.build_fact_production(src, dims), "fact_production")
@@ -210,13 +227,13 @@ QUERIES["clean_base"] = q_clean_base
 QUERIES["clean_typed_all_null"] = q_clean_typed_all_null
 for _t in ("alerts", "quality_checks", "defects", "maintenance_logs", "factories",
            "production_lines", "machines", "sensors", "operators", "production_orders",
-           "production_output", "sensor_readings", "maintenance_schedules"):
+           "production_output", "sensor_readings", "maintenance_schedules", "shifts"):
     QUERIES[f"clean_{_t}"] = _clean_query(_t)
 QUERIES["dim_date"] = q_dim_date
 QUERIES["dim_time"] = q_dim_time
 for _d in ("dim_factory", "dim_production_line", "dim_machine", "dim_sensor",
            "dim_operator", "dim_order", "dim_product", "dim_alert_type",
-           "dim_maintenance_type"):
+           "dim_maintenance_type", "dim_shift"):
     QUERIES[_d] = _dim_query(_d)
 QUERIES["dense_sk_range"] = q_dense_sk_range
 QUERIES["dense_sk_lineitem"] = q_dense_sk_lineitem
@@ -231,7 +248,9 @@ SNAPSHOT_STAMPS = ["20260101T100000", "20260103T150000", "20260102T120000"]
 
 def _orders_version(spark, sf, i: int) -> DataFrame:
     b = bronze(spark, sf, "production_orders")
-    return b.withColumn("status", F.concat(F.col("status"), F.lit(f"-v{i}")))
+    out = b.withColumn("status", F.concat(F.col("status"), F.lit(f"-v{i}")))
+    # Version 1, the newest, has a column more than the others.
+    return out.withColumn("note", F.col("product_code")) if i == 1 else out
 
 
 def _write_order_versions(spark, sf) -> str:
@@ -265,14 +284,76 @@ def q_payload_explode(spark, sf):
 
 
 def q_streaming_landing(spark, sf):
-    """Machines packed into JSON pages, landed by the streaming query, read back."""
+    """Machines as one JSON document per file, landed by the streaming query with its default
+    arguments; the newest version holds them all."""
     from millstar.streaming.landing import start_landing
     root = scratch_path(spark, "stream")
-    pack_pages(bronze(spark, sf, "machines"), "machines").write.text(f"{root}/landing")
+    (pack_pages(bronze(spark, sf, "machines"), "machines", page_rows=16)
+     .write.option("maxRecordsPerFile", 1).text(f"{root}/landing"))
     schema = payload.payload_schema({"machines": BRONZE_SCHEMAS["machines"]})
-    start_landing(spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint", schema,
-                  multi_line=False, max_files_per_trigger=100_000).awaitTermination()
-    return snapshots.read_all_versions(spark, f"{root}/bronze/machines")
+    start_landing(spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint", schema).awaitTermination()
+    return snapshots.read_latest(spark, f"{root}/bronze/machines")
+
+
+def q_payload_open(spark, sf):
+    """A payload with an undeclared table and an undeclared column: both are landed."""
+    root = scratch_path(spark, "open")
+    machines = bronze(spark, sf, "machines").withColumn(
+        "asset_tag", F.concat(F.lit("tag-"), F.col("machine_id").cast("string")))
+    energy = driver_table(spark, sf, "nation").selectExpr(
+        "n_nationkey AS meter_id", "n_nationkey + 0.5D AS kwh", "n_name AS site")
+    pack_pages(machines, "machines").unionByName(pack_pages(energy, "energy_usage")).write.text(f"{root}/landing")
+    schema = payload.open_schema(spark, f"{root}/landing", BRONZE_SCHEMAS, multi_line=False)
+    payload.land_payload(spark, f"{root}/landing", f"{root}/bronze", "20260101T000000", schema, multi_line=False)
+    landed = snapshots.read_latest(spark, f"{root}/bronze/machines").selectExpr(
+        "'machines' AS table_name", "machine_id AS id", "operating_hours AS amount", "asset_tag AS note")
+    return landed.unionByName(snapshots.read_latest(spark, f"{root}/bronze/energy_usage").selectExpr(
+        "'energy_usage' AS table_name", "meter_id AS id", "kwh AS amount", "site AS note"))
+
+
+def q_parquet_write_modes(spark, sf):
+    """Overwrite, then append the same rows, then read the folder."""
+    path = scratch_path(spark, "modes") + "/orders"
+    orders = cleaning.standardize_types(bronze(spark, sf, "production_orders"), BRONZE_SCHEMAS["production_orders"])
+    snapshots.write_parquet(orders, path)
+    snapshots.write_parquet(orders, path, "overwrite")
+    snapshots.write_parquet(orders, path, "append")
+    return snapshots.read_parquet(spark, path)
+
+
+def q_csv_empty_strings(spark, sf):
+    """NULL, the empty string and quoted text in one column survive the CSV round trip."""
+    df = driver_table(spark, sf, "lineitem").selectExpr(
+        "CAST(l_orderkey AS BIGINT) AS id", "CAST(l_linenumber AS BIGINT) AS line",
+        "CASE l_linenumber % 3 WHEN 0 THEN NULL WHEN 1 THEN '' "
+        "ELSE concat(' a,\"', l_linestatus, '\" ') END AS note")
+    path = CsvSink(scratch_path(spark, "csv-empty")).write(df, "notes")
+    return read_csv_export(spark, path, df.schema)
+
+
+def q_export_one(spark, sf):
+    """One gold table exported by name."""
+    root = scratch_path(spark, "one")
+    df = dimension(spark, sf, "dim_order")
+    snapshots.write_snapshot(df, f"{root}/gold/dim_order", "20260101T000000")
+    return read_csv_export(spark, export_table(spark, f"{root}/gold", "dim_order", CsvSink(f"{root}/exports")),
+                           df.schema)
+
+
+def q_csv_write_all(spark, sf):
+    """Several DataFrames through one CSV sink, counted and summed after reading back."""
+    frames = {n: dimension(spark, sf, n) for n in ("dim_machine", "dim_operator")}
+    paths = CsvSink(scratch_path(spark, "all"), ";").write_all(frames)
+    parts = [read_csv_export(spark, paths[n], frames[n].schema, ";").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(frames[n].columns[0]).alias("s")).select(
+        F.lit(n).alias("table_name"), "n", "s") for n in frames]
+    return parts[0].unionByName(parts[1])
+
+
+def q_parquet_sink(spark, sf):
+    """The Parquet sink behind the same interface."""
+    path = ParquetSink(scratch_path(spark, "sink")).write(dimension(spark, sf, "dim_sensor"), "dim_sensor")
+    return snapshots.read_parquet(spark, path)
 
 
 def q_csv_roundtrip(spark, sf):
@@ -323,3 +404,64 @@ QUERIES["payload_explode"] = q_payload_explode
 QUERIES["streaming_landing"] = q_streaming_landing
 QUERIES["csv_roundtrip"] = q_csv_roundtrip
 QUERIES["pipeline_counts"] = q_pipeline_counts
+QUERIES["payload_open"] = q_payload_open
+QUERIES["parquet_write_modes"] = q_parquet_write_modes
+QUERIES["csv_empty_strings"] = q_csv_empty_strings
+QUERIES["export_one"] = q_export_one
+QUERIES["csv_write_all"] = q_csv_write_all
+QUERIES["parquet_sink"] = q_parquet_sink
+
+
+# --- ids as text -------------------------------------------------------------
+
+def _text_id_query(table: str, column: str, prefix: str) -> Query:
+    def run(spark, sf):
+        rows = bronze(spark, sf, table)
+        return cleaning.clean_table(rows.withColumn(column, F.concat(F.lit(prefix), F.col(column).cast("string"))),
+                                    table)
+    run.__name__ = f"q_clean_{table}_string_id"
+    return run
+
+
+for _t, (_c, _p) in {"alerts": ("alert_id", "A"), "defects": ("defect_id", "D"),
+                     "maintenance_logs": ("log_id", "L")}.items():
+    QUERIES[f"clean_{_t}_string_id"] = _text_id_query(_t, _c, _p)
+
+
+def q_fact_alerts_string_keys(spark, sf):
+    """Sensor and machine ids as text in the alerts and in both dimensions."""
+    def text(df, column, prefix):
+        return df.withColumn(column, F.concat(F.lit(prefix), F.col(column).cast("string")))
+
+    layers = pipeline_layers(spark, sf)
+    dims = {d: layers.dimensions[d] for d in facts.FACT_REQUIREMENTS["fact_alerts"][1]}
+    for name, table, column, prefix in (("dim_sensor", "sensors", "sensor_id", "S"),
+                                        ("dim_machine", "machines", "machine_id", "M")):
+        silver_rows = cleaning.clean_table(text(bronze(spark, sf, table), column, prefix), table)
+        dims[name] = dimensions.keyed_copy(silver_rows, dimensions.KEYED_COPIES[name])
+    alerts = text(text(bronze(spark, sf, "alerts"), "sensor_id", "S"), "machine_id", "M")
+    return _without_sk(facts.build_fact_alerts(cleaning.clean_table(alerts, "alerts"), dims), "fact_alerts")
+
+
+QUERIES["fact_alerts_string_keys"] = q_fact_alerts_string_keys
+
+
+# --- what the pipeline wrote --------------------------------------------------
+
+def _gold_query(name: str) -> Query:
+    """One gold table as the pipeline wrote it."""
+    def run(spark, sf):
+        layers = pipeline_layers(spark, sf)
+        gold = {**layers.dimensions, **layers.facts}
+        if name == "dim_date":  # the members the production facts use
+            return gold[name].join(gold["fact_production"].select("date_sk"), "date_sk", "left_semi")
+        if name == "dim_time":  # the members the sensor readings use
+            return gold[name].join(gold["fact_sensor_readings"].select("time_sk"), "time_sk", "left_semi")
+        return gold[name]
+    run.__name__ = f"q_gold_{name}"
+    return run
+
+
+for _g in ("dim_date", "dim_time", *dimensions.KEYED_COPIES, "dim_product", "dim_alert_type",
+           "dim_maintenance_type", *facts.FACT_BUILDERS):
+    QUERIES[f"gold_{_g}"] = _gold_query(_g)

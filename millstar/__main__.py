@@ -19,7 +19,8 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from millstar.plans.pipeline import Layout, bronze_payload_schema, run_pipeline, transform
+from millstar.plans.pipeline import Layout, payload_types_of, run_pipeline, transform
+from millstar.schemas import BRONZE_SCHEMAS
 from millstar.session import build_session
 from millstar.sinks.csv import CsvSink
 from millstar.sinks.export import export_tables
@@ -41,8 +42,9 @@ def main(argv: list[str] | None = None) -> int:
             p.add_argument("landed", nargs="+", help="landed payload files or folders")
             p.add_argument("--json-lines", action="store_true",
                            help="one payload document per line")
-            p.add_argument("--infer", action="store_true",
-                           help="infer the payload schema instead of the declared one")
+            p.add_argument("--types", choices=("open", "declared", "inferred"), default="open",
+                           help="open: every table and column, declared types where declared; "
+                                "declared: declared columns only; inferred: all types from the data")
         if name in ("export", "run"):
             p.add_argument("--sep", default=",")
             p.add_argument("--no-header", action="store_true")
@@ -58,7 +60,7 @@ def main(argv: list[str] | None = None) -> int:
     layout = Layout.under(args.lake)
     out: dict = {"command": args.cmd}
     if args.cmd == "land":
-        schema = None if args.infer else bronze_payload_schema()
+        schema = payload_types_of(spark, args.landed, args.types, not args.json_lines)
         out["landed"] = land_payload(spark, args.landed, layout.bronze, schema=schema,
                                      multi_line=not args.json_lines)
     elif args.cmd == "transform":
@@ -72,13 +74,13 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "run":
         res = run_pipeline(spark, args.landed, layout,
                            sink=CsvSink(layout.exports, args.sep, not args.no_header),
-                           multi_line=not args.json_lines, declared_payload=not args.infer)
+                           multi_line=not args.json_lines, payload_types=args.types)
         out.update(version=res["version"], landed=res["landed"], exported=res["exported"],
                    skipped_facts=res["transform"].skipped_facts)
     elif args.cmd == "stream":
         from millstar.streaming.landing import start_landing
         start_landing(spark, args.landing, layout.bronze, args.checkpoint,
-                      bronze_payload_schema()).awaitTermination()
+                      declared=BRONZE_SCHEMAS).awaitTermination()
         out["bronze"] = layout.bronze
     print(json.dumps(out, default=str))
     return 0

@@ -13,8 +13,8 @@ def first_digit_run(text: Column) -> Column:
     ``'Technician 5'`` -> 5, ``'Tech 0012 and 5'`` -> 12, ``'Technician'`` -> NULL.
     A run longer than a long holds fails the cast (ANSI), on purpose.
     """
-    return F.when(text.rlike(r"\d+"),
-                  F.regexp_extract(text, r"(\d+)", 1).cast(T.LongType()))
+    # One pass: the match or NULL.
+    return F.regexp_substr(text, F.lit("[0-9]+")).cast(T.LongType())
 
 
 # Alert-type category by the first substring found, in this order.

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millstar.schemas import BRONZE_SCHEMAS, TABLE_IDS
+from millstar.schemas import BRONZE_SCHEMAS, KEY_COLUMNS, TABLE_IDS
 
 
 # --- rule vocabulary --------------------------------------------------------
@@ -112,7 +112,7 @@ def drop_null_ids(df: DataFrame, id_column: str) -> DataFrame:
 def standardize_types(df: DataFrame, schema: T.StructType | None) -> DataFrame:
     """Cast each declared column that is present to its declared type.
 
-    Columns the schema does not declare are left alone; declared columns that
+    Id and foreign-key columns that arrive as text stay text.  Columns the schema does not declare are left alone; declared columns that
     are missing are not invented.  Order of columns is kept.
     """
     if schema is None:
@@ -121,7 +121,8 @@ def standardize_types(df: DataFrame, schema: T.StructType | None) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         target = declared.get(f.name)
-        if target is None or target == f.dataType:
+        if (target is None or target == f.dataType
+                or (f.name in KEY_COLUMNS and isinstance(f.dataType, T.StringType))):
             cols.append(F.col(f"`{f.name}`"))
         else:
             cols.append(F.col(f"`{f.name}`").cast(target).alias(f.name))

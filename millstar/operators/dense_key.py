@@ -32,12 +32,13 @@ _POS = "__dk_pos"
 
 
 def dense_key(df: DataFrame, order_by: Sequence[str], sk_name: str,
-              partitions: int | None = None, sk_type: T.DataType = T.IntegerType()) -> DataFrame:
+              partitions: int | None = None, sk_type: T.DataType = T.LongType()) -> DataFrame:
     """Add ``sk_name`` = 1-based rank of each row by ``order_by`` (ascending, NULLs first).
 
     Rows are expected to be distinct on ``order_by`` (callers pass the output of
     ``distinct``); ties would get distinct, arbitrary-order numbers, like
-    ``row_number``.  ``sk_name`` is placed first.
+    ``row_number``.  ``sk_name`` is placed first.  The key is a long unless ``sk_type``
+    says otherwise (the small derived dimensions number in int).
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -64,7 +65,8 @@ def dense_key(df: DataFrame, order_by: Sequence[str], sk_name: str,
                     .select(sk.alias(sk_name), *data_cols))
 
 
-def dense_key_window(df: DataFrame, order_by: Sequence[str], sk_name: str) -> DataFrame:
+def dense_key_window(df: DataFrame, order_by: Sequence[str], sk_name: str,
+                     sk_type: T.DataType = T.LongType()) -> DataFrame:
     """The single-partition window form, kept as the reference shape for tests."""
     w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
-    return df.select(F.row_number().over(w).alias(sk_name), *df.columns)
+    return df.select(F.row_number().over(w).cast(sk_type).alias(sk_name), *df.columns)

@@ -55,12 +55,13 @@ def _machine_line_lookups() -> list[Lookup]:
 
 # --- F1 --------------------------------------------------------------------
 
+# Which dimension resolves which key, here and in the lists below.
 # The two order_id lookups (the only ones that grow with the data) come first and
 # together, so as shuffle joins they share one exchange of the fact.
 FACT_PRODUCTION_LOOKUPS = [
     Lookup("production_orders", (("order_id", "order_id"),),
-           (("product_code", "order_product_code"), ("quantity_ordered", "target_units"))),
-    Lookup("dim_order", (("order_id", "order_id"),), (("order_sk", "order_sk"),)),
+           (("product_code", "order_product_code"), ("quantity_ordered", "target_units")), growing=True),
+    Lookup("dim_order", (("order_id", "order_id"),), (("order_sk", "order_sk"),), growing=True),
     _date_lookup(),
     Lookup("dim_shift", (("shift_id", "shift_id"),), (("shift_sk", "shift_sk"),)),
     Lookup("dim_product", (("order_product_code", "product_code"),),
@@ -98,7 +99,7 @@ def build_fact_production(production_output: DataFrame, dims: Mapping[str, DataF
 # probes and shuffles the fact before any lookup has widened it.
 FACT_QUALITY_LOOKUPS = [
     Lookup("dim_order", (("order_id", "order_id"),),
-           (("order_sk", "order_sk"), ("product_code", "order_product_code"))),
+           (("order_sk", "order_sk"), ("product_code", "order_product_code")), growing=True),
     _date_lookup(),
     Lookup("dim_production_line", (("line_id", "line_id"),), (("line_sk", "line_sk"),)),
     Lookup("dim_operator", (("inspector_id", "operator_id"),),
@@ -226,7 +227,7 @@ FACT_BUILDERS = {
     "fact_alerts": build_fact_alerts,
 }
 
-# Inputs each fact needs (silver tables, then dimensions); a fact whose inputs are
+# Inputs each fact needs (silver tables, then dimensions); a fact whose inputs are
 # not all present is skipped.
 FACT_REQUIREMENTS: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
     "fact_production": (("production_output", "production_orders"),
@@ -246,6 +247,7 @@ FACT_REQUIREMENTS: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
                      "dim_production_line", "dim_alert_type")),
 }
 
+# Fact -> its source table.
 FACT_SOURCE = {
     "fact_production": "production_output",
     "fact_quality": "quality_checks",

@@ -10,34 +10,27 @@ match, keys are not de-duplicated (k matches -> k rows).
 
 Physical strategy, per lookup
 -----------------------------
-* **Broadcast behind a checked bound.**  A dimension is broadcast only after
-  counting it proved it holds at most ``max_rows`` rows and that its projected
-  side stays under ``BROADCAST_MAX_BYTES`` (rows x column widths).  In the
-  pipeline every dimension is a layer re-read from Parquet, so the count is
-  answered from file footers (no data column is read); it is a partial +
-  final aggregate, never a single-task step, and is remembered per dimension.  (A
-  ``limit(n).count()`` would look cheaper but plans a single-partition exchange
-  of up to n rows per input partition.)  The broadcast side is the projected key
-  + output columns only.  The fact side is then never shuffled: hot keys cost
-  nothing.
+* **Broadcast behind a measured bound.**  A side is hinted as broadcast only
+  after one aggregate measured it: at most ``max_rows`` rows, and its projected
+  bytes (strings by their actual length) together with all sides hinted before
+  it in this fact stay under ``BROADCAST_MAX_BYTES``.  The measurement is kept
+  per side.  The fact is then not shuffled and hot keys cost nothing.
+* **Growing sides are never hinted** (``Lookup.growing``: the order lookups).
+  While the side measures below Spark's own broadcast threshold the join is left
+  to Spark; past it the join is shuffled as below.
 * **Otherwise a shuffle join** (sort-merge; AQE may still switch it to a
   broadcast at runtime).  The join key is extended by a salt column so that no
   key can pile up in one reducer:
 
   - NULL keys cannot match, but hash partitioning would send every NULL-key row
     to one reducer; they get a salt spread over all partitions.
-  - Hot keys -- a key that alone would fill more than two average reducers
-    (candidates from ``freqItems``, then counted exactly) -- are spread by a
-    salt over a number of buckets proportional to their share; only the
-    dimension rows of those keys are replicated, once per bucket.
-    AQE's own skew split is not relied on: it backs off when splitting would
-    break a partitioning a later join reuses, which chained lookups do.
-  - Every other row has salt 0, as has the dimension side.
-
-  Detection probes the fact as it stands at that lookup; for a key brought by
-  an earlier lookup that re-evaluates the chain so far, which is why the facts
-  put the lookups that can outgrow the bound first (they then probe the
-  source scan itself).
+  - Hot keys -- a key that alone would fill more than ``HOT_REDUCER_SLACK``
+    average reducers -- are spread over a number of buckets proportional to
+    their share; only the side's rows of those keys are replicated.  They are
+    found by exact, distributed counts: one probe of the source's key columns
+    per fact, before any join.  Keys that earlier lookups bring are counted by
+    joining those counts with the small sides, not by re-running the chain.
+
   Salts are a hash of the row, so recomputing a lost partition reproduces them
   (fact sources are de-duplicated silver tables, so no two rows share a hash
   because they are copies).
@@ -51,23 +44,25 @@ import threading
 import weakref
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millstar.session import shuffle_partitions
 
-# Default bounds on a broadcast side: rows (override per call with
-# ``broadcast_max_rows``) and estimated bytes of the projected key + output
-# columns (rows x per-column width; strings at Spark's 20-byte default size).
+# Bounds on hinted sides: rows of one side (override per call with
+# ``broadcast_max_rows``) and bytes of all sides hinted in one fact.
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
-_WIDTH = {"bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "int": 4,
-          "date": 4, "float": 4, "smallint": 2, "tinyint": 1, "boolean": 1}
+# A key is hot when its share exceeds this many average reducers; no floor, no cap.
+HOT_REDUCER_SLACK = 2
+HOT_OVERSPLIT = 4             # salt buckets per reducer-share of a key (spares hash collisions)
 
-_size_checks: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
-_count_locks: "weakref.WeakKeyDictionary[DataFrame, threading.Lock]" = weakref.WeakKeyDictionary()
-_size_lock = threading.Lock()   # facts are built from several threads at once
+_sizes: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
+_locks: "weakref.WeakKeyDictionary[DataFrame, threading.Lock]" = weakref.WeakKeyDictionary()
+_guard = threading.Lock()   # facts are built from several threads at once
 
 
 @dataclass(frozen=True)
@@ -75,80 +70,102 @@ class Lookup:
     dim: str                                  # name in the dimension mapping
     on: tuple[tuple[str, str], ...]           # (fact column, dimension column) pairs
     take: tuple[tuple[str, str], ...]         # (dimension column, output name) pairs
+    growing: bool = False                     # the side grows with the data: never hinted
 
 
-def row_width(df: DataFrame) -> int:
-    """Estimated bytes per row of ``df`` from its column types."""
-    return sum(_WIDTH.get(f.dataType.simpleString(), 20) for f in df.schema.fields)
-
-
-def fits_broadcast(dim: DataFrame, max_rows: int, side_width: int = 0) -> bool:
-    """Whether ``dim`` has at most ``max_rows`` rows and its broadcast side
-    (``side_width`` bytes per row) stays under ``BROADCAST_MAX_BYTES``.
-    The row count is memoised per DataFrame."""
-    if max_rows <= 0:
-        return False
-    with _size_lock:
-        rows = _size_checks.get(dim)
-        count_lock = _count_locks.setdefault(dim, threading.Lock())
-    if rows is None:
-        with count_lock:                      # one count per dimension, even across threads
-            with _size_lock:
-                rows = _size_checks.get(dim)
-            if rows is None:
-                rows = dim.count()
-                with _size_lock:
-                    _size_checks[dim] = rows
-    return rows <= max_rows and rows * side_width <= BROADCAST_MAX_BYTES
-
-
-# Hot-key detection on the shuffle path.  A key is hot when it alone would fill
-# more than HOT_REDUCER_SLACK average reducers: share >= slack / partitions, but
-# never a stricter test than HOT_SHARE_CAP and never a finer one than
-# HOT_SHARE_FLOOR (which bounds the candidate list at 1 / floor keys).
-HOT_REDUCER_SLACK = 2
-HOT_SHARE_CAP = 0.01
-HOT_SHARE_FLOOR = 1e-4
-HOT_OVERSPLIT = 4             # salt buckets per reducer-share of a key (spares hash collisions)
-
-
-def hot_support(partitions: int) -> float:
-    return min(HOT_SHARE_CAP, max(HOT_SHARE_FLOOR, HOT_REDUCER_SLACK / max(1, partitions)))
-
-
-def hot_keys(fact: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame | None:
-    """Keys holding at least ``hot_support(partitions)`` of the rows, with salt bucket counts.
-
-    Two passes over the key columns only, neither with a step proportional to
-    the number of distinct keys: Spark's frequent-items aggregate proposes at
-    most 1 / support candidates (bounded counters per partition, no false
-    negatives), then one aggregate counts them exactly (candidates + one
-    "everything else" group).  A hot key with share ``s`` gets
-    ``ceil(HOT_OVERSPLIT * s * partitions)`` buckets, so all hot keys together
-    replicate their dimension rows at most about ``HOT_OVERSPLIT * partitions``
-    times.  Returns a small DataFrame ``(keys..., __buckets)`` or None.
+@dataclass(frozen=True)
+class SideSize:
+    rows: int
+    bytes: int
+
+
+def measured_size(dim: DataFrame, columns: Sequence[str]) -> SideSize:
+    """Rows and bytes of ``columns`` of ``dim``, by one aggregate, remembered per DataFrame."""
+    wanted = tuple(dict.fromkeys(columns))
+    with _guard:
+        known = _sizes.setdefault(dim, {})
+        lock = _locks.setdefault(dim, threading.Lock())
+    with lock:                                # one measurement per side, even across threads
+        if wanted not in known:
+            types = {f.name: f.dataType for f in dim.schema.fields}
+            fixed, parts = 0, []
+            for c in wanted:
+                if isinstance(types[c], (T.StringType, T.BinaryType)):
+                    parts.append(F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)))
+                elif isinstance(types[c], (T.ArrayType, T.MapType, T.StructType)):
+                    parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{c}`")))), F.lit(0)))
+                else:
+                    fixed += 8
+            varying = reduce(lambda a, b: a + b, parts, F.lit(0)).cast("long")
+            row = dim.agg(F.count(F.lit(1)).alias("n"), F.sum(varying).alias("b")).first()
+            known[wanted] = SideSize(row["n"], row["n"] * fixed + (row["b"] or 0))
+        return known[wanted]
+
+
+def _spark_threshold(dim: DataFrame) -> int:
+    """Spark's own broadcast threshold in bytes (-1: never)."""
+    value = dim.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    digits = value.rstrip("b")
+    return int(float(digits[:-1]) * units[digits[-1]]) if digits[-1:] in units else int(digits or 0)
+
+
+def _fact_keys(lk: Lookup) -> tuple[str, ...]:
+    return tuple(fc for fc, _ in lk.on)
+
+
+def _sources(dim: DataFrame, lk: Lookup) -> list[str]:
+    return [dc for _, dc in lk.on] + [src for src, _ in lk.take]
+
+
+def key_counts(fact: DataFrame, dims: Mapping[str, DataFrame], lookups: Sequence[Lookup],
+               keys: tuple[str, ...]) -> DataFrame:
+    """(keys..., __n): rows per key, by a partial + final aggregate over the source's key columns.
+
+    Keys that an earlier lookup brings are counted by joining the counts of that
+    lookup's own keys with its side.
+    """
+    later = [c for c in keys if c not in fact.columns]
+    if not later:
+        return fact.groupBy(*[F.col(f"`{c}`") for c in keys]).agg(F.count(F.lit(1)).alias("__n"))
+    lk = next(x for x in lookups if later[0] in [out for _, out in x.take])
+    outs = {out: src for src, out in lk.take if out in keys}
+    needed = tuple(dict.fromkeys([*_fact_keys(lk), *[c for c in keys if c not in outs]]))
+    side = dims[lk.dim].select(*[F.col(f"`{dc}`").alias(f"__p{j}") for j, (_, dc) in enumerate(lk.on)],
+                               *[F.col(f"`{src}`").alias(out) for out, src in outs.items()])
+    cond = [F.col(f"`{fc}`") == F.col(f"__p{j}") for j, fc in enumerate(_fact_keys(lk))]
+    return (key_counts(fact, dims, lookups, needed).join(side, _all(cond), "left")
+            .groupBy(*[F.col(f"`{c}`") for c in keys]).agg(F.sum("__n").alias("__n")))
+
+
+def hot_keys(fact: DataFrame, dims: Mapping[str, DataFrame], lookups: Sequence[Lookup],
+             key_sets: Sequence[tuple[str, ...]], partitions: int) -> dict[tuple[str, ...], DataFrame]:
+    """Hot keys of each key set with their salt bucket counts, as small DataFrames.
+
+    Exact counts; at most ``partitions / HOT_REDUCER_SLACK`` keys of a set can be
+    hot, which bounds what is collected.
     """
-    support = hot_support(partitions)
-    kcols = [F.col(f"`{k}`") for k in keys]
-    probe = fact.select(F.struct(*kcols).alias("__hot_key"))
-    not_null = _all([F.col("__hot_key").getField(k).isNotNull() for k in keys])
-    candidates = probe.where(not_null).freqItems(["__hot_key"], support=support).first()[0]
-    if not candidates:
-        return None
-    types = {f.name: f.dataType for f in fact.select(*kcols).schema.fields}
-    is_candidate = F.col("__hot_key").isin(
-        *[F.struct(*[F.lit(c[k]).cast(types[k]).alias(k) for k in keys]) for c in candidates])
-    counts = (probe.select(F.when(not_null & is_candidate, F.col("__hot_key")).alias("__c"))
-                   .groupBy("__c").count().collect())
-    total = sum(r["count"] for r in counts)
-    hot = [(r["__c"], r["count"]) for r in counts
-           if r["__c"] is not None and r["count"] >= support * total]
-    if not hot:
-        return None
-    data = [tuple(h[k] for k in keys)
-            + (max(2, -(-n * partitions * HOT_OVERSPLIT // total)),) for h, n in hot]
-    schema = fact.select(*kcols).schema.add("__buckets", "long")
-    return fact.sparkSession.createDataFrame(data, schema)
+    total = fact.count()
+    if not total or not key_sets:
+        return {}
+    parts, types = [], {}
+    for i, keys in enumerate(key_sets):
+        counted = key_counts(fact, dims, lookups, keys)
+        types[keys] = {f.name: f.dataType for f in counted.schema.fields}
+        parts.append(counted.where(_all([F.col(f"`{k}`").isNotNull() for k in keys])).select(
+            F.lit(i).alias("__set"), F.array(*[F.col(f"`{k}`").cast("string") for k in keys]).alias("__key"), "__n"))
+    every = reduce(DataFrame.unionByName, parts)
+    found = every.where(F.col("__n") * F.lit(partitions) > F.lit(HOT_REDUCER_SLACK * total)).collect()
+    spark, out = fact.sparkSession, {}
+    for i, keys in enumerate(key_sets):
+        rows = [(*r["__key"], max(2, -(-r["__n"] * partitions * HOT_OVERSPLIT // total)))
+                for r in found if r["__set"] == i]
+        if rows:
+            schema = T.StructType([*[T.StructField(k, T.StringType()) for k in keys],
+                                   T.StructField("__buckets", T.LongType())])
+            out[keys] = spark.createDataFrame(rows, schema).select(
+                *[F.col(f"`{k}`").cast(types[keys][k]).alias(k) for k in keys], "__buckets")
+    return out
 
 
 def _salted(fact: DataFrame, keys: Sequence[str], salt: str, partitions: int,
@@ -158,6 +175,7 @@ def _salted(fact: DataFrame, keys: Sequence[str], salt: str, partitions: int,
     if hot is None:
         return fact.withColumn(salt, F.when(any_null, F.pmod(row_hash, F.lit(partitions)) + 1)
                                .otherwise(F.lit(0)))
+    # Hot keys are at most partitions / HOT_REDUCER_SLACK rows.
     tagged = fact.join(F.broadcast(hot), list(keys), "left")
     value = (F.when(any_null, F.pmod(row_hash, F.lit(partitions)) + 1)
              .when(F.col("__buckets").isNotNull(), F.pmod(row_hash, F.col("__buckets")))
@@ -166,17 +184,32 @@ def _salted(fact: DataFrame, keys: Sequence[str], salt: str, partitions: int,
 
 
 def _any(conds: Sequence[Column]) -> Column:
-    out = conds[0]
-    for c in conds[1:]:
-        out = out | c
-    return out
+    return reduce(lambda a, b: a | b, conds)
 
 
 def _all(conds: Sequence[Column]) -> Column:
-    out = conds[0]
-    for c in conds[1:]:
-        out = out & c
-    return out
+    return reduce(lambda a, b: a & b, conds)
+
+
+def strategies(dims: Mapping[str, DataFrame], lookups: Sequence[Lookup], max_rows: int) -> list[str]:
+    """How each lookup will run: ``"hint"``, ``"spark"`` or ``"salt"``."""
+    chosen, hinted = [], 0
+    for lk in lookups:
+        dim = dims[lk.dim]
+        if max_rows <= 0:
+            chosen.append("salt")
+            continue
+        size = measured_size(dim, _sources(dim, lk))
+        if size.rows > max_rows:
+            chosen.append("salt")
+        elif lk.growing:
+            chosen.append("spark" if size.bytes <= _spark_threshold(dim) else "salt")
+        elif hinted + size.bytes <= BROADCAST_MAX_BYTES:
+            hinted += size.bytes
+            chosen.append("hint")
+        else:
+            chosen.append("salt")
+    return chosen
 
 
 def resolve(fact: DataFrame, dims: Mapping[str, DataFrame], lookups: Sequence[Lookup],
@@ -184,24 +217,25 @@ def resolve(fact: DataFrame, dims: Mapping[str, DataFrame], lookups: Sequence[Lo
     """Apply ``lookups`` in order as left joins."""
     max_rows = DEFAULT_BROADCAST_MAX_ROWS if broadcast_max_rows is None else broadcast_max_rows
     partitions = shuffle_partitions(fact.sparkSession)
-    hot_by_salt: dict[str, DataFrame | None] = {}
-    for i, lk in enumerate(lookups):
+    plan = strategies(dims, lookups, max_rows)
+    salted_sets = list(dict.fromkeys(_fact_keys(lk) for lk, how in zip(lookups, plan) if how == "salt"))
+    hot_by_keys = hot_keys(fact, dims, lookups, salted_sets, partitions) if salted_sets else {}
+    with_salt: set[str] = set()
+    for i, (lk, how) in enumerate(zip(lookups, plan)):
         dim = dims[lk.dim]
         key_names = [f"__lk{i}_k{j}" for j in range(len(lk.on))]
         side = dim.select(
             *[F.col(f"`{dc}`").alias(kn) for (_, dc), kn in zip(lk.on, key_names)],
             *[F.col(f"`{src}`").alias(dst) for src, dst in lk.take])
-        fact_keys = [fc for fc, _ in lk.on]
-        if fits_broadcast(dim, max_rows, row_width(side)):
+        fact_keys = list(_fact_keys(lk))
+        if how != "salt":
             cond = [fact[fc] == side[kn] for fc, kn in zip(fact_keys, key_names)]
-            fact = fact.join(F.broadcast(side), _and(cond), "left")
-            fact = fact.drop(*key_names)
+            fact = fact.join(F.broadcast(side) if how == "hint" else side, _all(cond), "left").drop(*key_names)
             continue
-        salt = f"__salt_{'_'.join(fact_keys)}"
-        if salt not in hot_by_salt:
-            hot_by_salt[salt] = hot_keys(fact, fact_keys, partitions)
-            fact = _salted(fact, fact_keys, salt, partitions, hot_by_salt[salt])
-        hot = hot_by_salt[salt]
+        salt, hot = f"__salt_{'_'.join(fact_keys)}", hot_by_keys.get(tuple(fact_keys))
+        if salt not in with_salt:
+            with_salt.add(salt)
+            fact = _salted(fact, fact_keys, salt, partitions, hot)
         if hot is None:
             side = side.withColumn("__dim_salt", F.lit(0))
         else:
@@ -214,12 +248,5 @@ def resolve(fact: DataFrame, dims: Mapping[str, DataFrame], lookups: Sequence[Lo
                     .drop("__buckets"))
         cond = [fact[fc] == side[kn] for fc, kn in zip(fact_keys, key_names)]
         cond.append(fact[salt] == side["__dim_salt"])
-        fact = fact.join(side, _and(cond), "left").drop(*key_names, "__dim_salt")
+        fact = fact.join(side, _all(cond), "left").drop(*key_names, "__dim_salt")
     return fact.drop(*[c for c in fact.columns if c.startswith("__salt_")])
-
-
-def _and(conds: Sequence[Column]) -> Column:
-    out = conds[0]
-    for c in conds[1:]:
-        out = out & c
-    return out

@@ -3,8 +3,8 @@
 Each layer is written, then read back from storage before the next layer uses
 it.  That cuts lineage (a lost executor recomputes from the written layer, not
 from bronze), makes every consumer share one cleaning pass instead of
-recomputing it, and gives the planner real file sizes so small dimensions are
-broadcast by Spark's own size check while large ones (``dim_order``) are not.
+recomputing it, and lets the lookups measure each dimension from its files:
+small ones are broadcast, the order tables are left to Spark or shuffled.
 
 Writes inside a layer are independent jobs; ``parallel_writes`` submits them
 from a thread pool so small tables do not leave the cluster idle.
@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from millstar.operators import cleaning, dimensions, facts
 from millstar.schemas import BRONZE_SCHEMAS, TABLE_IDS
 from millstar.sinks.base import Sink
-from millstar.sinks.export import export_tables
+from millstar.sinks.export import export_tables, finish_run
 from millstar.sources import payload, snapshots
 
 
@@ -105,9 +105,9 @@ def build_dimensions(spark: SparkSession, silver: Mapping[str, DataFrame], layou
         "dim_date": lambda: dimensions.build_dim_date(spark, start, end),
         "dim_time": lambda: dimensions.build_dim_time(spark),
     }
-    for name, cfg in dimensions.SIMPLE_DIMENSIONS.items():
-        if cfg.source_table in silver:
-            dims[name] = (lambda c=cfg: dimensions.build_simple_dimension(silver[c.source_table], c))
+    for name, cfg in dimensions.KEYED_COPIES.items():
+        if cfg.table in silver:
+            dims[name] = (lambda c=cfg: dimensions.keyed_copy(silver[c.table], c))
     derived: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
         "dim_product": ("production_orders", dimensions.build_dim_product),
         "dim_alert_type": ("alerts", dimensions.build_dim_alert_type),
@@ -148,9 +148,13 @@ def build_facts(spark: SparkSession, silver: Mapping[str, DataFrame],
 def transform(spark: SparkSession, layout: Layout, when: dt.datetime | str | None = None,
               date_range: tuple[dt.date, dt.date] | None = None,
               parallel_writes: int = 4,
-              fact_sk_from: Mapping[str, str] | None = None) -> TransformResult:
+              fact_sk_from: Mapping[str, str] | None = None,
+              declared_types: bool = True) -> TransformResult:
     """Bronze -> silver -> gold, one version stamp for the whole run.
 
+    A marker is left when the last layer is written; export takes its tables from
+    the newest run that has one.
+
     ``result.seconds`` holds the write time of every table (exact per table
     when ``parallel_writes == 1``) and of each layer.
     """
@@ -158,7 +162,7 @@ def transform(spark: SparkSession, layout: Layout, when: dt.datetime | str | Non
     secs = result.seconds
     t0 = time.perf_counter()
     paths, result.silver = clean_all(spark, layout, result.version, parallel_writes,
-                                     seconds=secs)
+                                     declared_types, seconds=secs)
     result.written.update({f"silver/{k}": v for k, v in paths.items()})
     t1 = time.perf_counter()
     paths, result.dimensions = build_dimensions(spark, result.silver, layout, result.version,
@@ -170,6 +174,7 @@ def transform(spark: SparkSession, layout: Layout, when: dt.datetime | str | Non
         parallel_writes, seconds=secs, sk_from=fact_sk_from)
     result.written.update({f"gold/{k}": v for k, v in paths.items()})
     t3 = time.perf_counter()
+    finish_run(spark, layout.gold, result.version)
     secs.update({"layer_silver": t1 - t0, "layer_dimensions": t2 - t1, "layer_facts": t3 - t2})
     return result
 
@@ -181,16 +186,37 @@ def bronze_payload_schema() -> T.StructType:
 
 def run_pipeline(spark: SparkSession, landed: str | list[str], layout: Layout,
                  when: dt.datetime | str | None = None, sink: Sink | None = None,
-                 multi_line: bool = True, declared_payload: bool = True,
-                 export_versions: str = "latest", parallel_writes: int = 4) -> dict:
-    """P5: land the payload(s) -> transform -> export every gold table."""
+                 multi_line: bool = True, payload_types: str = "open",
+                 export_versions: str = "latest", parallel_writes: int = 4,
+                 declared_types: bool = True,
+                 fact_sk_from: Mapping[str, str] | None = None) -> dict:
+    """P5: land the payload(s) -> transform -> export every gold table.
+
+    ``payload_types``: ``"open"`` keeps every table and column, with declared types
+    where declared; ``"declared"`` reads declared columns only, without an
+    inference pass; ``"inferred"`` takes all types from the data.
+    """
     version = _version(when)
-    schema = bronze_payload_schema() if declared_payload else None
-    landed_tables = payload.land_payload(spark, landed, layout.bronze, version, schema, multi_line)
-    result = transform(spark, layout, version, parallel_writes=parallel_writes)
+    schema = payload_types_of(spark, landed, payload_types, multi_line)
+    landed_tables = payload.land_payload(spark, landed, layout.bronze, version, schema, multi_line,
+                                         parallel_writes=parallel_writes)
+    result = transform(spark, layout, version, parallel_writes=parallel_writes,
+                       fact_sk_from=fact_sk_from, declared_types=declared_types)
     exported = {}
     if sink is not None:
         exported = export_tables(spark, layout.gold, sink, versions=export_versions,
                                  parallel_writes=parallel_writes)
     return {"version": version, "landed": landed_tables, "transform": result,
             "exported": exported}
+
+
+def payload_types_of(spark: SparkSession, landed: str | list[str], kind: str,
+                     multi_line: bool = True) -> T.StructType | None:
+    """The schema ``land_payload`` gets for ``"open"``, ``"declared"`` or ``"inferred"`` types."""
+    if kind == "open":
+        return payload.open_schema(spark, landed, BRONZE_SCHEMAS, multi_line)
+    if kind == "declared":
+        return bronze_payload_schema()
+    if kind == "inferred":
+        return None
+    raise ValueError("payload types are 'open', 'declared' or 'inferred'")

@@ -29,6 +29,11 @@ TABLE_IDS: dict[str, str] = {
 }
 
 
+# Columns that name a row of this or another table.  Such a column that arrives as
+# text stays text ("A001"): ids are compared, never computed with.
+KEY_COLUMNS: frozenset[str] = frozenset(TABLE_IDS.values()) | {"inspector_id"}
+
+
 _TYPES = {"BIGINT": T.LongType(), "INT": T.IntegerType(), "STRING": T.StringType(),
           "DOUBLE": T.DoubleType(), "DATE": T.DateType(), "BOOLEAN": T.BooleanType(),
           "TIMESTAMP": T.TimestampType()}
@@ -92,7 +97,7 @@ BRONZE_SCHEMAS: dict[str, T.StructType] = {
         "value DOUBLE, unit STRING, quality_score BIGINT, is_anomaly BOOLEAN"),
 }
 
-# Gold output contracts: column order of every dimension and fact.
+# Gold output contracts, column order of every dimension and fact.
 GOLD_COLUMNS: dict[str, list[str]] = {
     "dim_date": ["date_sk", "date_actual", "day_of_week", "day_name", "week_of_year",
                  "month_number", "month_name", "quarter", "year", "is_weekend",

@@ -4,9 +4,9 @@ The library never builds its own session inside a transformation: callers pass
 one in.  ``build_session`` is what tests, the bench and the CLI use.
 
 Scratch data (snapshots written by checks, reliable checkpoints) always lives
-under the folder the cluster names in ``spark.checkpoint.dir``.  Only when the
-session has none (a bare local test session) do we create one under the
-system temp dir.
+under the folder the cluster names in ``spark.checkpoint.dir``.  Only a local
+session without one gets a folder under the system temp dir; a cluster session
+without one is refused when scratch space is first needed.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Dimensions are broadcast only through Spark's own size check.
+    # Spark's own size check; ``operators.lookup`` also hints sides it has measured.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
@@ -49,23 +49,36 @@ def build_session(master: str | None = "local[*]", app_name: str = "millstar",
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if is_local(spark.sparkContext.master):
+        ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's reliable checkpoint folder, creating one only if unset."""
+    """Return the session's reliable checkpoint folder, creating one only in local mode.
+
+    On a cluster the folder must be one that the driver and all executors share, so
+    it is never made up: without ``spark.checkpoint.dir`` this raises.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share "
+                               f"(master is {sc.master})")
         configured = tempfile.mkdtemp(prefix="millstar-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local``, ``local[...]``)."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the shared checkpoint location."""
     root = ensure_checkpoint_dir(spark).rstrip("/")

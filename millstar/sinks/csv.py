@@ -8,8 +8,8 @@ same rows -- not byte equality with any single-file writer:
 * quotes are doubled inside quoted fields (``escape='"'``);
 * leading and trailing blanks are kept (Spark's CSV writer trims them by default);
 * timestamps are written with microseconds, ``yyyy-MM-dd HH:mm:ss.SSSSSS``;
-* NULL is an empty field; an empty string is ``""``.  Spark's CSV reader turns
-  both back into NULL, the one loss a CSV round trip has.
+* NULL is an empty field and an empty string is ``""``; the reader keeps them
+  apart by a NULL text that no field can hold (by default Spark reads both as NULL).
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from millstar.sinks.base import Sink
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 DATE_FORMAT = "yyyy-MM-dd"
+# Never the text of a field: the writer quotes control characters with the rest of a value.
+NULL_TEXT = "\u0000\u0001null\u0001\u0000"
 
 
 class CsvSink(Sink):
@@ -54,6 +56,8 @@ def read_csv_export(spark: SparkSession, path: str, schema: T.StructType,
             .option("ignoreLeadingWhiteSpace", False)
             .option("ignoreTrailingWhiteSpace", False)
             .option("multiLine", True)
+            .option("nullValue", NULL_TEXT)
+            .option("emptyValue", "")
             .option("timestampFormat", TIMESTAMP_FORMAT)
             .option("timestampNTZFormat", TIMESTAMP_FORMAT)
             .option("dateFormat", DATE_FORMAT)

@@ -1,9 +1,12 @@
 """Export gold tables through a sink.
 
-``versions="latest"`` exports the newest committed version of each table;
-``versions="all"`` exports the concatenation of every version (what a plain
-directory read gives).  Every requested table is resolved before anything is
-written, so one missing name writes nothing.
+``versions="latest"`` exports the tables of the newest *finished run*: a run that
+wrote all its layers leaves a marker under ``_runs``, so a run that failed
+half-way never mixes its tables with older ones.  Without any finished run, every
+table's own newest committed version is taken.
+``versions="all"`` exports the concatenation of every version, schemas merged.
+Every requested table is resolved before anything is written, so one missing
+name writes nothing.
 """
 
 from __future__ import annotations
@@ -14,7 +17,18 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from millstar.sinks.base import Sink
-from millstar.sources import catalog, snapshots
+from millstar.sources import catalog, fs, snapshots
+
+
+def finish_run(spark: SparkSession, gold_root: str, version: str) -> None:
+    """Mark the run ``version`` as finished: all its tables are written."""
+    fs.create_empty(spark, f"{gold_root.rstrip('/')}/_runs/{version}")
+
+
+def latest_run(spark: SparkSession, gold_root: str) -> str | None:
+    """The newest finished run, or None."""
+    done = fs.glob_names(spark, f"{gold_root.rstrip('/')}/_runs/*")
+    return done[-1].rsplit("/", 1)[-1] if done else None
 
 
 def _resolve(spark: SparkSession, root: str, table: str, versions: str) -> list[str]:
@@ -25,12 +39,26 @@ def _resolve(spark: SparkSession, root: str, table: str, versions: str) -> list[
     found = snapshots.versions(spark, table_dir)
     if not found:
         raise FileNotFoundError(f"table {table!r} not found in {root}")
+    run = latest_run(spark, root)
+    if versions == "latest" and run is not None:
+        # The run's own version; a table it did not write is taken as it was then.
+        found = [v for v in found if v <= run] or found
     chosen = found if versions == "all" else found[-1:]
     return [snapshots.version_path(table_dir, v) for v in chosen]
 
 
 def _load(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return spark.read.parquet(*paths)
+    return spark.read.option("mergeSchema", len(paths) > 1).parquet(*paths)
+
+
+def _tables_of_latest_run(spark: SparkSession, gold_root: str, versions: str) -> list[str]:
+    """Every table; of the newest finished run only, where there is one and "latest" is asked."""
+    names = catalog.list_tables(spark, gold_root)
+    run = latest_run(spark, gold_root) if versions == "latest" else None
+    if run is None:
+        return names
+    root = gold_root.rstrip("/")
+    return [t for t in names if run in snapshots.versions(spark, f"{root}/{t}")]
 
 
 def export_tables(spark: SparkSession, gold_root: str, sink: Sink,
@@ -42,7 +70,7 @@ def export_tables(spark: SparkSession, gold_root: str, sink: Sink,
     writes nothing; each table is then read and written in its own job
     (``parallel_writes`` of them at a time).
     """
-    names = list(tables) if tables is not None else catalog.list_tables(spark, gold_root)
+    names = list(tables) if tables is not None else _tables_of_latest_run(spark, gold_root, versions)
     resolved = {t: _resolve(spark, gold_root, t, versions) for t in names}
 
     def one(name):

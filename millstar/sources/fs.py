@@ -60,3 +60,23 @@ def delete(spark: SparkSession, uri: str, recursive: bool = True) -> bool:
     """Remove a path the library itself created (e.g. a staging copy)."""
     fs, path = _fs_and_path(spark, uri)
     return bool(fs.delete(path, recursive))
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Move a directory the library itself wrote; the target must not exist."""
+    fs, path = _fs_and_path(spark, source)
+    _, to = _fs_and_path(spark, target)
+    if not fs.rename(path, to):
+        raise OSError(f"could not rename {source} to {target}")
+
+
+def create_empty(spark: SparkSession, uri: str) -> None:
+    """An empty marker file, parents included."""
+    fs, path = _fs_and_path(spark, uri)
+    fs.create(path, True).close()
+
+
+def size(spark: SparkSession, uri: str) -> int:
+    """Bytes of one file."""
+    fs, path = _fs_and_path(spark, uri)
+    return int(fs.getFileStatus(path).getLen())

@@ -6,21 +6,25 @@ rows; JSON Lines when ``multi_line=False``).  Spark reads them all at once and
 concatenate.  A table is skipped when its array is absent, NULL, empty in every
 page, or not an array of objects (empty arrays are inferred as ``array<string>``).
 
-At scale pass ``schema`` (see ``payload_schema``): no inference pass over the
-landing data, exact declared types, and the JSON reader prunes to the one
-table being written.  A single huge multi-line document cannot be split, so
-land many pages rather than one document.
+Every table and every column that was landed is kept.  ``open_schema`` takes
+names and types from the data (one inference pass) and puts the declared types in
+where a column is declared; id columns that hold text stay text.  Where the
+payload is known to hold declared columns only, passing ``payload_schema``
+instead saves the inference pass, and drops whatever is not declared.  A single
+huge multi-line document cannot be split, so land many pages rather than one
+document.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millstar.session import shuffle_partitions
+from millstar.schemas import KEY_COLUMNS
 from millstar.sources import fs
 from millstar.sources.snapshots import stamp, write_snapshot
 
@@ -31,6 +35,31 @@ def payload_schema(tables: dict[str, T.StructType]) -> T.StructType:
         [T.StructField(name, T.ArrayType(row)) for name, row in tables.items()]))])
 
 
+def open_schema(spark: SparkSession, landed: str | list[str], declared: dict[str, T.StructType],
+                multi_line: bool = True) -> T.StructType:
+    """The payload type as landed: all its tables and columns, declared types where declared.
+
+    Declared columns that a landed table lacks are added (they read NULL); a
+    declared table that is absent or always empty is left as found.
+    """
+    found = read_payload(spark, landed, None, multi_line).schema
+    if "tables" not in found.names or not isinstance(found["tables"].dataType, T.StructType):
+        return found
+    tables = {}
+    for f in found["tables"].dataType.fields:
+        if not (isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType)):
+            continue  # empty in every page
+        row, types = f.dataType.elementType, declared.get(f.name, T.StructType())
+        known = {c.name: c.dataType for c in types.fields}
+        fields = []
+        for c in row.fields:
+            text_id = c.name in KEY_COLUMNS and isinstance(c.dataType, T.StringType)
+            fields.append(T.StructField(c.name, c.dataType if text_id else known.get(c.name, c.dataType)))
+        fields += [T.StructField(c.name, c.dataType) for c in types.fields if c.name not in row.names]
+        tables[f.name] = T.StructType(fields)
+    return payload_schema(tables)
+
+
 def read_payload(spark: SparkSession, landed: str | list[str],
                  schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
     reader = spark.read.option("multiLine", multi_line).option("mode", "FAILFAST")
@@ -65,9 +94,22 @@ def non_empty_tables(payload: DataFrame, names: list[str]) -> list[str]:
     return [n for i, n in enumerate(names) if sizes[f"n{i}"] is not None and sizes[f"n{i}"] > 0]
 
 
+def landing_partitions(payload: DataFrame) -> int:
+    """Pieces for rows exploded from multi-line documents: by input bytes, the cluster's width at least.
+
+    Each document is one row read by one task, so its rows must be spread before
+    they are written; the count follows the data, not a fixed setting.
+    """
+    spark = payload.sparkSession
+    total = sum(fs.size(spark, f) for f in payload.inputFiles())
+    per = int(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").rstrip("b") or 0) or 1 << 27
+    return max(1, min(spark.sparkContext.defaultParallelism, -(-total // (1 << 20))), -(-total // per))
+
+
 def land_payload(spark: SparkSession, landed: str | list[str], bronze_root: str,
                  when: dt.datetime | str | None = None, schema: T.StructType | None = None,
-                 multi_line: bool = True, stage: bool = True) -> dict[str, str]:
+                 multi_line: bool = True, stage: bool = True,
+                 parallel_writes: int = 4) -> dict[str, str]:
     """Write every non-empty table of the landed payload(s) as a new bronze version.
 
     With ``stage`` (default) the JSON is parsed once into a Parquet copy under
@@ -75,28 +117,27 @@ def land_payload(spark: SparkSession, landed: str | list[str], bronze_root: str,
     emptiness check and every table then read only their own nested column from
     it instead of parsing the JSON once per table.  The staging copy is removed
     after the last table is written; a failed run leaves it to be overwritten.
+    Tables are written ``parallel_writes`` at a time.
     Returns ``{table: version directory}``.
     """
     version = when if isinstance(when, str) else stamp(when)
     root = bronze_root.rstrip("/")
     payload = read_payload(spark, landed, schema, multi_line)
     names = payload_tables(payload)
+    spread = landing_partitions(payload) if multi_line and names else 1
     staging = f"{root}/_staging/{version}"
     if stage and names:
         payload.select("tables").write.mode("overwrite").parquet(staging)
         payload = spark.read.parquet(staging)
     names = non_empty_tables(payload, names)
-    spread = shuffle_partitions(spark) if multi_line else 0
 
-    def rows(name: str):
+    def land(name: str):
         out = table_rows(payload, name)
-        # A multi-line document is one row read by one task: spread its exploded
-        # rows so the bronze write (and every later read) is parallel.  Spark
-        # sorts before a round-robin repartition, so a retried task reproduces it.
-        return out.repartition(spread) if spread else out
+        # Spark sorts before a round-robin repartition, so a retried task reproduces it.
+        return name, write_snapshot(out.repartition(spread) if spread > 1 else out, f"{root}/{name}", version)
 
-    written = {n: write_snapshot(rows(n), f"{root}/{n}", version) for n in names}
+    with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
+        written = dict(pool.map(land, names))
     if stage and fs.exists(spark, staging):
         fs.delete(spark, staging)
     return written
-

@@ -6,16 +6,19 @@ A table is a directory; each version is a Hive-style partition
 
 * a version is committed when its own ``_SUCCESS`` marker exists; readers only
   trust committed versions, so a half-written version is never picked as newest;
-* writing the same stamp again overwrites only that version;
+* writing a stamp again first writes the whole new version beside the old one
+  and swaps them only when it is complete, so a failed rerun keeps what was there;
 * the newest version is the greatest stamp (lexicographic = chronological) and
   is found by listing directory names -- no data file is read;
-* reading all versions is a plain directory read; the version is exposed as the
-  ``snapshot_ts`` string column (partition discovery) and can be dropped.
+* reading all versions merges their schemas (a column missing in a version reads
+  NULL); the version is exposed as the ``snapshot_ts`` string column (partition
+  discovery) and can be dropped.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,7 +56,16 @@ def write_snapshot(df: DataFrame, table_dir: str, when: dt.datetime | str | None
     """Append a new version of the table; returns the version directory."""
     version = when if isinstance(when, str) else stamp(when)
     path = version_path(table_dir, version)
-    df.write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    if not fs.exists(spark, f"{path}/_SUCCESS"):
+        df.write.mode("overwrite").parquet(path)
+        return path
+    # A committed version of this stamp: replace it only by a complete one.  Names that
+    # begin with "_" are invisible to version and table listings.
+    beside = f"{table_dir.rstrip('/')}/_rewrite-{version}-{uuid.uuid4().hex}"
+    df.write.parquet(beside)
+    fs.delete(spark, path)
+    fs.rename(spark, beside, path)
     return path
 
 
@@ -89,5 +101,5 @@ def read_all_versions(spark: SparkSession, table_dir: str,
         raise FileNotFoundError(f"table {table_dir.rstrip('/').rsplit('/', 1)[-1]!r} "
                                 f"not found (no committed version in {table_dir})")
     paths = [version_path(table_dir, v) for v in vs]
-    df = spark.read.option("basePath", table_dir).parquet(*paths)
+    df = spark.read.option("basePath", table_dir).option("mergeSchema", len(paths) > 1).parquet(*paths)
     return df if with_version else df.drop(VERSION_COLUMN)

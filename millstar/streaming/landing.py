@@ -1,16 +1,22 @@
 """Incremental landing: payload files arriving in a folder -> bronze versions.
 
-The extraction drops one payload document per extraction into a landing
-folder.  A Structured Streaming file source picks up each new file exactly once
-(tracked in the query's checkpoint) and ``foreachBatch`` lands the batch with
-the same logic as S1: every non-empty table becomes a new bronze version.
+A Structured Streaming file source notices each new file once (tracked in the
+query's checkpoint) and ``foreachBatch`` lands the batch's files with S1: every
+table and column in them, one bronze version per batch.
 
+* By default a batch holds *all* files that are new, so the pages of one
+  extraction that lie in the folder when the job runs become one version, and
+  nothing that arrived together is split.  ``max_files_per_trigger`` caps a batch
+  only when asked to.
+* The version is the newest file time (UTC, seconds) and the batch number, zero
+  padded: two batches never share a version, and a replayed batch, which holds the
+  same files under the same number, rewrites its own (the old copy stays until
+  the new one is complete).
+* Cleaning reads the newest version of a table, as after any extraction.  Where
+  one extraction may still be arriving, start the job after it is complete or
+  read ``snapshots.read_all_versions``.
 * Run it as a scheduled job with ``trigger(availableNow=True)`` (process all
   new files, then stop) or continuously with a processing-time trigger.
-* Exactly once: a replayed batch holds the same files, and the version stamp is
-  derived from those files (newest modification time, UTC, second resolution),
-  so a replay overwrites the same versions instead of adding new ones.
-* ``max_files_per_trigger`` (default 1) keeps one extraction per version.
 """
 
 from __future__ import annotations
@@ -23,46 +29,53 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millstar.sources import payload
-from millstar.sources.snapshots import stamp, write_snapshot
-
-_MTIME = "__landed_mtime"
-
-
-def _land_batch(bronze_root: str):
-    def run(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            newest = batch.agg(F.max(F.unix_seconds(F.col(_MTIME)))).first()[0]
-            if newest is None:
-                return
-            version = stamp(dt.datetime.fromtimestamp(newest, tz=dt.timezone.utc))
-            docs = batch.drop(_MTIME)
-            for name in payload.non_empty_tables(docs, payload.payload_tables(docs)):
-                write_snapshot(payload.table_rows(docs, name),
-                               f"{bronze_root.rstrip('/')}/{name}", version)
-        finally:
-            batch.unpersist()
+from millstar.sources.snapshots import stamp
+
+# The columns of Spark's file listing source.
+_FILES = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
+
+def batch_version(newest: int, batch_id: int) -> str:
+    """Sorts by file time, then by batch."""
+    return f"{stamp(dt.datetime.fromtimestamp(newest, tz=dt.timezone.utc))}-{batch_id:012d}"
+
+
+def _land_batch(bronze_root: str, schema: T.StructType | None, declared: dict[str, T.StructType],
+                multi_line: bool):
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        # File names and times only; the driver tracks this list for the batch anyway.
+        files = batch.select("path", F.unix_seconds("modificationTime").alias("at")).collect()
+        if not files:
+            return
+        paths = sorted(r["path"] for r in files)
+        landed = schema or payload.open_schema(spark, paths, declared, multi_line)
+        payload.land_payload(spark, paths, bronze_root, batch_version(max(r["at"] for r in files), batch_id),
+                             landed, multi_line)
     return run
 
 
-def landing_stream(spark: SparkSession, landing_dir: str, schema: T.StructType,
-                   multi_line: bool = True, max_files_per_trigger: int = 1) -> DataFrame:
-    """The streaming DataFrame of landed payload documents (a schema is required)."""
-    docs = (spark.readStream.format("json").schema(schema)
-            .option("multiLine", multi_line)
-            .option("mode", "FAILFAST")
-            .option("maxFilesPerTrigger", max_files_per_trigger)
-            .load(landing_dir))
-    return docs.select("*", F.col("_metadata.file_modification_time").alias(_MTIME))
+def landing_stream(spark: SparkSession, landing_dir: str,
+                   max_files_per_trigger: int | None = None) -> DataFrame:
+    """The stream of landed files (their names and times are read, not their content)."""
+    reader = spark.readStream.format("binaryFile").schema(_FILES)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(landing_dir).select("path", "modificationTime")
 
 
 def start_landing(spark: SparkSession, landing_dir: str, bronze_root: str,
-                  checkpoint_location: str, schema: T.StructType, multi_line: bool = True,
-                  max_files_per_trigger: int = 1, available_now: bool = True,
-                  processing_time: str | None = None) -> StreamingQuery:
-    """Start the landing query; ``available_now`` processes the backlog and stops."""
-    writer = (landing_stream(spark, landing_dir, schema, multi_line, max_files_per_trigger)
-              .writeStream.foreachBatch(_land_batch(bronze_root))
+                  checkpoint_location: str, schema: T.StructType | None = None, multi_line: bool = True,
+                  max_files_per_trigger: int | None = None, available_now: bool = True,
+                  processing_time: str | None = None,
+                  declared: dict[str, T.StructType] | None = None) -> StreamingQuery:
+    """Start the landing query; ``available_now`` processes the backlog and stops.
+
+    Without ``schema`` every table and column is kept, with the types of
+    ``declared`` (table -> row type) where they are declared.
+    """
+    writer = (landing_stream(spark, landing_dir, max_files_per_trigger)
+              .writeStream.foreachBatch(_land_batch(bronze_root, schema, declared or {}, multi_line))
               .option("checkpointLocation", checkpoint_location))
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -50,30 +50,30 @@ class TestDimTime:
         assert all(r["minute_of_hour"] == 0 and r["time_sk"] == h for h, r in rows.items())
 
 
-class TestSimpleDimension:
+class TestKeyedCopy:
     def test_sk_first_and_equal_to_nk(self, spark):
         rows = [(1, "F1", "Madrid", "EU", "Ana", 1000), (2, "F2", "Lima", "SA", "Luis", 2000)]
         df = spark.createDataFrame(rows, "factory_id long, factory_name string, location string, "
                                          "region string, manager_name string, total_area_sqm long")
-        out = D.build_simple_dimension(df, D.SIMPLE_DIMENSIONS["dim_factory"])
+        out = D.keyed_copy(df, D.KEYED_COPIES["dim_factory"])
         assert out.columns[0] == "factory_sk"
         assert sorted(r["factory_sk"] for r in out.collect()) == [1, 2]
         assert all(r["factory_sk"] == r["factory_id"] for r in out.collect())
 
     def test_missing_configured_columns_are_dropped(self, spark):
         df = spark.createDataFrame([(1, "S", "extra")], "shift_id long, shift_name string, junk string")
-        out = D.build_simple_dimension(df, D.SIMPLE_DIMENSIONS["dim_shift"])
+        out = D.keyed_copy(df, D.KEYED_COPIES["dim_shift"])
         assert out.columns == ["shift_sk", "shift_id", "shift_name"]
 
     def test_no_column_list_keeps_all(self, spark):
         df = spark.createDataFrame([(1, "x")], "k long, v string")
-        out = D.build_simple_dimension(df, D.SimpleDimension("t", "k", "k_sk"))
+        out = D.keyed_copy(df, D.KeyedCopy("t", "k_sk", ("k",)))
         assert out.columns == ["k_sk", "k", "v"]
 
     def test_missing_natural_key_raises(self, spark):
         df = spark.createDataFrame([("x",)], "v string")
         with pytest.raises(ValueError):
-            D.build_simple_dimension(df, D.SimpleDimension("t", "k", "k_sk"))
+            D.keyed_copy(df, D.KeyedCopy("t", "k_sk", ("k",)))
 
 
 class TestDerivedDimensions:

@@ -171,9 +171,10 @@ def test_shuffle_lookup_spreads_null_keys(spark):
 
 def test_broadcast_bound_is_checked(spark):
     from pyspark.sql import functions as F
-    from millstar.operators.lookup import Lookup, fits_broadcast, resolve
+    from millstar.operators.lookup import Lookup, resolve, strategies
     dim = spark.range(100).select(F.col("id").alias("k"), F.col("id").alias("v"))
-    assert fits_broadcast(dim, 100) and not fits_broadcast(dim, 99)
+    one = [Lookup("d", (("fk", "k"),), (("v", "v"),))]
+    assert strategies({"d": dim}, one, 100) == ["hint"] and strategies({"d": dim}, one, 99) == ["salt"]
     fact_df = spark.range(10).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("fk"))
     lk = [Lookup("d", (("fk", "k"),), (("v", "v"),))]
     small = resolve(fact_df, {"d": dim}, lk)._jdf.queryExecution().executedPlan().toString()
@@ -217,15 +218,34 @@ def test_shuffle_lookup_splits_hot_key(spark):
 
 def test_hot_key_threshold_and_buckets_scale_with_partitions(spark):
     from pyspark.sql import functions as F
-    from millstar.operators.lookup import hot_keys, hot_support
-    assert hot_support(16) == 0.01            # capped: never stricter than 1%
-    assert hot_support(1000) == 0.002         # two average reducers' worth
-    assert hot_support(10**6) == 1e-4         # floored: at most 10^4 candidates
+    from millstar.operators.lookup import hot_keys
     df = spark.range(30000).select(
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).alias("k"))
-    hot = {r["k"]: r["__buckets"] for r in hot_keys(df, ["k"], 16).collect()}
-    assert hot == {7: 22}                     # ceil(4 * 1/3 * 16); the 2-row keys are not hot
-    assert hot_keys(spark.range(1000).select(F.col("id").alias("k")), ["k"], 16) is None
+    hot = hot_keys(df, {}, [], [("k",)], 16)[("k",)]
+    assert {r["k"]: r["__buckets"] for r in hot.collect()} == {7: 22}   # ceil(4 * 1/3 * 16)
+    assert hot_keys(spark.range(1000).select(F.col("id").alias("k")), {}, [], [("k",)], 16) == {}
+    # No floor: with very many partitions a key of a few rows is split as well.
+    many = hot_keys(df, {}, [], [("k",)], 200_000)[("k",)]
+    assert many.count() == df.distinct().count()
+
+
+def test_hot_keys_of_a_later_hop_come_from_the_small_side(spark):
+    from pyspark.sql import functions as F
+    from millstar.operators.lookup import Lookup, hot_keys
+    fact_df = spark.range(1000).select((F.col("id") % 100).alias("m"))
+    machines = spark.range(100).select(F.col("id").alias("machine_id"),
+                                       F.when(F.col("id") < 60, F.lit(1)).otherwise(F.col("id")).alias("line_id"))
+    lk = [Lookup("machines", (("m", "machine_id"),), (("line_id", "line"),))]
+    hot = hot_keys(fact_df, {"machines": machines}, lk, [("m",), ("line",)], 8)
+    assert set(hot) == {("line",)}
+    assert [(r["line"], r["__buckets"]) for r in hot[("line",)].collect()] == [(1, 20)]  # ceil(4 * .6 * 8)
+
+
+def test_hot_key_probe_has_no_single_partition_step(spark):
+    from pyspark.sql import functions as F
+    from millstar.operators.lookup import key_counts
+    probe = key_counts(spark.range(1000).select((F.col("id") % 9).alias("k")), {}, [], ("k",))
+    assert "SinglePartition" not in probe._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("kind", ["string", "string_iso", "date", "timestamp", "timestamp_ntz"])
@@ -254,14 +274,30 @@ def test_temporal_inputs_of_every_kind(spark, dims, kind):
 
 
 def test_broadcast_bound_in_bytes(spark):
+    """Strings count by their length, and all hinted sides of a fact share one bound."""
     from pyspark.sql import functions as F
     from millstar.operators import lookup
-    dim = spark.range(1000).select(F.col("id").alias("k"), F.col("id").cast("string").alias("s"))
-    assert lookup.row_width(dim) == 8 + 20
-    assert lookup.fits_broadcast(dim, 10_000, lookup.row_width(dim))
+    wide = spark.range(20).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 1000).alias("s"))
+    slim = spark.range(20).select(F.col("id").alias("k"), F.col("id").alias("s"))
+    assert lookup.measured_size(wide, ["k", "s"]) == lookup.SideSize(20, 20 * 1008)
+    one = lookup.Lookup("d", (("fk", "k"),), (("s", "s"),))
+    two = lookup.Lookup("e", (("fk", "k"),), (("s", "t"),))
     saved = lookup.BROADCAST_MAX_BYTES
-    lookup.BROADCAST_MAX_BYTES = 1000 * 28 - 1
+    lookup.BROADCAST_MAX_BYTES = 20 * 1008
     try:
-        assert not lookup.fits_broadcast(dim, 10_000, lookup.row_width(dim))
+        assert lookup.strategies({"d": wide, "e": slim}, [one, two], 100) == ["hint", "salt"]
+        assert lookup.strategies({"d": slim, "e": slim}, [one, two], 100) == ["hint", "hint"]
+        lookup.BROADCAST_MAX_BYTES -= 1
+        assert lookup.strategies({"d": wide}, [one], 100) == ["salt"]
     finally:
         lookup.BROADCAST_MAX_BYTES = saved
+
+
+def test_order_lookups_are_never_hinted(spark):
+    from millstar.operators import facts, lookup
+    for lookups in (facts.FACT_PRODUCTION_LOOKUPS, facts.FACT_QUALITY_LOOKUPS):
+        growing = {lk.dim for lk in lookups if lk.growing}
+        assert growing == {lk.dim for lk in lookups if lk.dim in ("dim_order", "production_orders")}
+    dim = spark.range(10).selectExpr("id AS order_id", "id AS order_sk")
+    lk = lookup.Lookup("dim_order", (("order_id", "order_id"),), (("order_sk", "order_sk"),), growing=True)
+    assert lookup.strategies({"dim_order": dim}, [lk], 100) == ["spark"]

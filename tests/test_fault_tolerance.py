@@ -47,13 +47,13 @@ SCRIPT = textwrap.dedent("""
 
     sf = "/root/testdata/sf0.001"
     dims = {{"dim_date": D.build_dim_date(spark), "dim_time": D.build_dim_time(spark),
-             "dim_sensor": D.build_simple_dimension(clean_table(bronze(spark, sf, "sensors"), "sensors"),
-                                                    D.SIMPLE_DIMENSIONS["dim_sensor"]),
-             "dim_machine": D.build_simple_dimension(clean_table(bronze(spark, sf, "machines"), "machines"),
-                                                     D.SIMPLE_DIMENSIONS["dim_machine"]),
-             "dim_production_line": D.build_simple_dimension(
+             "dim_sensor": D.keyed_copy(clean_table(bronze(spark, sf, "sensors"), "sensors"),
+                                                    D.KEYED_COPIES["dim_sensor"]),
+             "dim_machine": D.keyed_copy(clean_table(bronze(spark, sf, "machines"), "machines"),
+                                                     D.KEYED_COPIES["dim_machine"]),
+             "dim_production_line": D.keyed_copy(
                  clean_table(bronze(spark, sf, "production_lines"), "production_lines"),
-                 D.SIMPLE_DIMENSIONS["dim_production_line"]),
+                 D.KEYED_COPIES["dim_production_line"]),
              "dim_alert_type": D.build_dim_alert_type(clean_table(bronze(spark, sf, "alerts"), "alerts"))}}
     alerts = clean_table(bronze(spark, sf, "alerts"), "alerts").withColumn(
         "sensor_id", flaky(F.col("sensor_id")))
