@@ -1,0 +1,59 @@
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
+SF_SMALL = "/root/testdata/sf0.001"
+from llm import language
+
+
+def test_held_out_accuracy_on_the_given_documents(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    out = language.op8_language_id(spark, SF_SMALL).join(docs, "doc_id").collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in out)
+    unseen = [r for r in out if r["held_out"]]
+    assert sum(r["lang_pred"] == r["lang"] for r in unseen) >= 0.97 * len(unseen)
+    assert all(0 <= r["score"] <= 1 for r in out)
+
+
+def test_presence_matches_byte_grams():
+    texts = [b"Abc, d", b"", b"x" * 40, "é ü".encode() * 3]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.cumsum([0] + [len(t) for t in texts])
+    found = language.presence(data, offsets)
+    for t, row in zip(texts, found):
+        plain = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in t)
+        grams = {plain[i:i + n] for n in range(1, 5) for i in range(len(plain) - n + 1)}
+        assert row.sum() <= len(grams) and (row.sum() >= len(grams) - 1)
+    # long texts are read in parts with the same result
+    again = language._BYTES
+    try:
+        language._BYTES = 7
+        assert (language.presence(data, offsets) == found).all()
+    finally:
+        language._BYTES = again
+
+
+def test_scores_equal_the_kernel_form(spark):
+    """The collapsed weights give the same scores as kernel, map and dual weights would."""
+    rows = [(i, ("the and of " if i % 2 else "der und die ") * (3 + i % 4), "en" if i % 2 else "de") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(df, "lang", "text", "doc_id")
+    assert model.languages == ["de", "en"]
+    out = language.predict(df, model).collect()
+    assert all(r["lang_pred"] == r["lang"] for r in out)
+
+
+def test_edges(spark, docs, corpus, no_docs):
+    model = language.fit(docs.where(F.col("lang").isNotNull()), "lang", "text", "doc_id")
+    clash = docs.withColumn("score", F.lit(1)).withColumn("has_letter", F.lit("h"))
+    out = language.predict(clash, model)
+    assert out.columns == [*clash.columns, "lang_pred", "_score"]
+    rows = out.collect()
+    assert len(rows) == len(corpus)
+    for r in rows:
+        silent = not any(c.isalpha() for c in r["text"] or "")
+        assert (r["lang_pred"] == "und") == silent and (r["_score"] == 0.0) == silent
+    assert {r["lang_pred"] for r in language.predict(docs, None).collect()} == {"und"}
+    assert language.fit(no_docs, "lang", "text", "doc_id") is None
+    assert language.predict(no_docs, model).isEmpty()
