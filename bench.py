@@ -45,6 +45,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from harness.adapter import BRONZE_TABLES, bronze  # noqa: E402
 from millstar.operators import cleaning, facts  # noqa: E402
+from millstar.operators.lookup import PLAIN  # noqa: E402
 from millstar.operators.dense_key import dense_key, dense_key_window  # noqa: E402
 from millstar.plans.pipeline import Layout, transform  # noqa: E402
 from millstar.session import build_session, scratch_path  # noqa: E402
@@ -101,8 +102,8 @@ def run_pipeline(spark, sf_dir, tag, parallel, replicate=1):
 
 def reference_shape_pipeline(spark, layout):
     """The reference's plan shape over the same bronze: every consumer recomputes the
-    cleaning from bronze (nothing re-read), dimensions numbered by a single-partition
-    window, every output written one at a time through coalesce(1), export likewise."""
+    cleaning from bronze, dimensions numbered by a single-partition window, every output
+    written one at a time through coalesce(1), the export reading the written gold tables."""
     from millstar.operators import dimensions as D
     from millstar.schemas import TABLE_IDS
     out_root = scratch_path(spark, "bench-refshape")
@@ -132,12 +133,13 @@ def reference_shape_pipeline(spark, layout):
         inputs = {d: dims[d] for d in dim_names}
         inputs.update({t: cleaned[t] for t in tables[1:]})
         t_f = time.perf_counter()
-        built[name] = facts.FACT_BUILDERS[name](cleaned[tables[0]], inputs)
+        # Plain left joins: no measuring jobs, no hints, no salts.
+        built[name] = facts.FACT_BUILDERS[name](cleaned[tables[0]], inputs, broadcast_max_rows=PLAIN)
         one_file(built[name], f"{out_root}/gold/{name}")
         q[f"refshape_{name}"] = time.perf_counter() - t_f
     t3 = time.perf_counter()
-    for name, df in {**dims, **built}.items():
-        df.coalesce(1).write.mode("overwrite").option("header", True).csv(
+    for name in [*dims, *built]:  # the export reads the written gold tables
+        spark.read.parquet(f"{out_root}/gold/{name}").coalesce(1).write.mode("overwrite").option("header", True).csv(
             f"{out_root}/exports/{name}")
     t4 = time.perf_counter()
     q.update(refshape_layer_silver=t1 - t0, refshape_layer_dimensions=t2 - t1,

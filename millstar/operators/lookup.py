@@ -56,6 +56,7 @@ from millstar.session import shuffle_partitions
 # ``broadcast_max_rows``) and bytes of all sides hinted in one fact.
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+PLAIN = -1
 # A key is hot when its share exceeds this many average reducers; no floor, no cap.
 HOT_REDUCER_SLACK = 2
 HOT_OVERSPLIT = 4             # salt buckets per reducer-share of a key (spares hash collisions)
@@ -192,7 +193,12 @@ def _all(conds: Sequence[Column]) -> Column:
 
 
 def strategies(dims: Mapping[str, DataFrame], lookups: Sequence[Lookup], max_rows: int) -> list[str]:
-    """How each lookup will run: ``"hint"``, ``"spark"`` or ``"salt"``."""
+    """How each lookup will run: ``"hint"``, ``"spark"`` or ``"salt"``.
+
+    ``max_rows`` 0 salts every lookup; ``PLAIN`` leaves every join to Spark unmeasured.
+    """
+    if max_rows == PLAIN:
+        return ["spark"] * len(lookups)
     chosen, hinted = [], 0
     for lk in lookups:
         dim = dims[lk.dim]

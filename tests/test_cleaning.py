@@ -146,3 +146,19 @@ def test_id_filter_pushed_to_scan(spark, tmp_root):
     plan = cleaning.clean_table(spark.read.parquet(path), "defects") \
         ._jdf.queryExecution().executedPlan().toString()
     assert "IsNotNull(defect_id)" in plan
+
+
+class TestTextIds:
+    def test_ids_that_arrive_as_text_stay_text(self, spark):
+        rows = [("A001", "7", "M1", "threshold", None, None, None, None, None)]
+        df = spark.createDataFrame(rows, "alert_id string, sensor_id string, machine_id string, alert_type string, "
+                                         "severity string, triggered_at timestamp, acknowledged_at timestamp, "
+                                         "resolved_at timestamp, resolved_by int")
+        out = cleaning.clean_table(df, "alerts")
+        types = dict(out.dtypes)
+        assert types["alert_id"] == types["sensor_id"] == types["machine_id"] == "string"
+        assert types["resolved_by"] == "string" and out.first()["alert_id"] == "A001"
+
+    def test_numeric_ids_are_still_cast(self, spark):
+        df = spark.createDataFrame([(1, "dent", None)], "defect_id int, defect_type string, corrective_action string")
+        assert dict(cleaning.clean_table(df, "defects").dtypes)["defect_id"] == "bigint"

@@ -1,5 +1,8 @@
+import datetime as dt
 import os
 
+import pytest
+
 from harness.adapter import BRONZE_TABLES, bronze
 from millstar.plans.pipeline import Layout, run_pipeline, transform
 from millstar.sinks.csv import CsvSink
@@ -87,3 +90,30 @@ def test_string_timestamps_in_alerts(spark, tmp_root):
     b = transform(spark, strings, VERSION).facts["fact_alerts"].select(cols)
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_export_takes_all_tables_from_the_newest_finished_run(spark, tmp_root, monkeypatch):
+    """P3 fails after P2 wrote new dimensions: export still gives the run before, whole."""
+    from millstar.plans import pipeline
+    from millstar.sinks.base import ParquetSink
+    from millstar.sinks.export import export_tables, latest_run
+    layout = Layout.under(tmp_root)
+    _land(spark, layout)
+    days = (dt.date(2024, 1, 1), dt.date(2024, 1, 3))
+    transform(spark, layout, "20260101T000000", date_range=days)
+    monkeypatch.setattr(pipeline, "build_facts", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        transform(spark, layout, "20260102T000000", date_range=(days[0], days[0]))
+    assert latest_run(spark, layout.gold) == "20260101T000000"
+    out = export_tables(spark, layout.gold, ParquetSink(f"{tmp_root}/out"))
+    assert len(out) == 17
+    assert spark.read.parquet(out["dim_date"]).count() == 3   # the failed run's calendar had one day
+
+
+def test_declared_types_reach_the_cleaner(spark, tmp_root):
+    layout = Layout.under(tmp_root)
+    _land(spark, layout, ("defects",))
+    days = (dt.date(2024, 1, 1), dt.date(2024, 1, 2))
+    plain = transform(spark, layout, "20260101T000000", date_range=days, declared_types=False)
+    assert dict(plain.silver["defects"].dtypes)["defect_id"] == dict(
+        bronze(spark, "/root/testdata/sf0.001", "defects").dtypes)["defect_id"]

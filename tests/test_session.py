@@ -16,3 +16,29 @@ def test_shuffle_partitions_parsing(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", prev)
     assert shuffle_partitions(spark) == int(prev)
+
+
+def test_only_local_sessions_get_a_folder_of_their_own(monkeypatch):
+    import pytest
+
+    from millstar import session
+
+    assert session.is_local("local") and session.is_local("local[8]")
+    assert not session.is_local("local-cluster[3,2,1024]") and not session.is_local("spark://host:7077")
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())

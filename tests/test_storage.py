@@ -163,3 +163,46 @@ class TestExport:
         with pytest.raises(FileNotFoundError, match="nope"):
             export_tables(spark, gold, rec, tables=["dim_a", "nope"])
         assert rec.written == []
+
+
+class TestLossless:
+    def test_csv_keeps_null_and_empty_apart(self, spark, tmp_root):
+        df = spark.createDataFrame([(1, None, None), (2, "", 1.5), (3, '""', None), (4, " ", 0.0)],
+                                   "id long, s string, d double")
+        back = read_csv_export(spark, CsvSink(tmp_root).write(df, "t"), df.schema)
+        assert sorted(back.collect()) == sorted(df.collect())
+
+    def test_versions_with_other_columns_are_merged(self, spark, tmp_root):
+        gold = f"{tmp_root}/gold"
+        snapshots.write_snapshot(spark.range(2).selectExpr("id"), f"{gold}/t", "20260101T000000")
+        snapshots.write_snapshot(spark.range(1).selectExpr("id", "'x' AS extra"), f"{gold}/t", "20260102T000000")
+        rows = [(0, None), (0, "x"), (1, None)]
+        assert sorted(map(tuple, snapshots.read_all_versions(spark, f"{gold}/t").select("id", "extra").collect()),
+                      key=str) == sorted(rows, key=str)
+        out = export_table(spark, gold, "t", ParquetSink(f"{tmp_root}/out"), versions="all")
+        assert set(spark.read.parquet(out).columns) == {"id", "extra"}
+
+    def test_a_failed_rewrite_keeps_the_committed_version(self, spark, tmp_root):
+        from pyspark.sql import functions as F
+        snapshots.write_snapshot(spark.range(3), f"{tmp_root}/t", "20260101T000000")
+        broken = spark.range(3).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+        with pytest.raises(Exception):
+            snapshots.write_snapshot(broken, f"{tmp_root}/t", "20260101T000000")
+        assert snapshots.versions(spark, f"{tmp_root}/t") == ["20260101T000000"]
+        assert snapshots.read_latest(spark, f"{tmp_root}/t").count() == 3
+        snapshots.write_snapshot(spark.range(5), f"{tmp_root}/t", "20260101T000000")
+        assert snapshots.read_latest(spark, f"{tmp_root}/t").count() == 5
+
+    def test_open_payload_keeps_undeclared_tables_columns_and_text_ids(self, spark, tmp_root):
+        os.makedirs(f"{tmp_root}/landing")
+        doc = {"tables": {"defects": [{"defect_id": "D001", "defect_type": "dent", "corrective_action": None,
+                                       "line": 4, "shade": "red"}],
+                          "energy_usage": [{"meter": 1, "kwh": 2.5}], "shifts": []}}
+        with open(f"{tmp_root}/landing/a.json", "w") as fh:
+            json.dump(doc, fh)
+        schema = payload.open_schema(spark, f"{tmp_root}/landing", BRONZE_SCHEMAS)
+        landed = payload.land_payload(spark, f"{tmp_root}/landing", f"{tmp_root}/bronze", "20260101T000000", schema)
+        assert set(landed) == {"defects", "energy_usage"}
+        row = snapshots.read_latest(spark, f"{tmp_root}/bronze/defects").first()
+        assert (row["defect_id"], row["line"], row["shade"], row["corrective_action"]) == ("D001", 4, "red", None)
+        assert snapshots.read_latest(spark, f"{tmp_root}/bronze/energy_usage").first()["kwh"] == 2.5
