@@ -5,16 +5,18 @@ intersection / union >= 4 / 5.  Result: the connected components.
 
 1. One scan gives every document its set size and an order-free hash of its set
    (documents with equal sets are one class from here on), and counts shingles
-   in ``BUCKETS`` buckets, a table of fixed size.  The global order of shingles
-   is (how far the bucket lies above the mean, in powers of two; hash): shingles
-   of very common lines and passages come last.
+   in ``BUCKETS`` buckets, a table of fixed size; tasks report the buckets that
+   hold ``HEAVY`` times their mean.  The global order of shingles is (reported
+   count in powers of two; hash): shingles of common lines and passages come last.
 2. Linked sets share one of their first n - ceil(4n/5) + 1 shingles.  These
    prefixes are shuffled as (shingle, size, class), sorted, and streamed: sets
    that share a shingle form a run as long as neighbours' sizes keep the ratio
    4/5, and every member is named with the run's first class, its pivot.  Any two
    classes that could link are thus together in the block of some pivot, at one
    row per class and pivot instead of one per pair.
-3. The texts of block members are fetched and their ordered sets stored in a
+3. Members whose parity bit map (about one bit per shingle) shows that they differ
+   too much from every other member of the block drop out of it, exactly (blocks
+   beyond ``MAP_BLOCK`` members keep all).  The texts of the rest are fetched and their ordered sets stored in a
    trie per block.  Each set walks the trie, adding up its overlap along shared
    paths, and leaves a subtree when overlap plus what remains on either side
    cannot reach the bound, or when all of it is already in the set's component.
@@ -46,9 +48,12 @@ from llm.kernels import RollingHash, SequenceHash, mix64, row_blocks, utf8_colum
 from millstar.session import shuffle_partitions
 
 WORDS = 5
-BUCKETS = 1 << 17
+BUCKETS = 1 << 22
+HEAVY = 8
 BLOCK = 512
+MAP_BLOCK = 8192
 SEGMENT = 48
+LEAST_BITS = 128
 BATCH_BYTES = 1 << 20
 NO_KEY = (1 << 63) - 1
 
@@ -99,30 +104,48 @@ def _required(n: np.ndarray) -> np.ndarray:
     return -(-4 * n // 5)
 
 
-_SIZE = _schema("key", "text_hash", "n", "class")
+_SIZE = pa.schema([*_schema("key", "text_hash", "n", "class"), ("parity", pa.binary())])
+
+
+def _parities(value: np.ndarray, row: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """A bit map of each row: which of its places an odd number of shingles fall on.
+
+    The places are a power of two, n at least and ``LEAST_BITS``; two maps differ in
+    at most as many places as the sets differ in shingles.
+    """
+    places = 1 << np.ceil(np.log2(np.maximum(n, LEAST_BITS))).astype(np.int64)
+    base = np.cumsum(places) - places
+    at = base[row] + (mix64(value).astype(np.uint64) & (places[row] - 1).astype(np.uint64)).astype(np.int64)
+    bits = np.packbits((np.bincount(at, minlength=int(places.sum())) & 1).astype(np.uint8), bitorder="little")
+    return [bits[a:b].tobytes() for a, b in zip((base // 8).tolist(), ((base + places) // 8).tolist())]
 
 
 def _sizes_and_counts(batches):
-    """Rows (key, text_hash, n, class) per document, and (null, bucket, count, null) per task."""
-    counts = np.zeros(BUCKETS, dtype=np.int64)
+    """Rows (key, text_hash, n, class, parity) per document; (null, bucket, count, null, null) per task."""
+    counts = np.zeros(BUCKETS, dtype=np.int32)
     for batch in batches:
         data, offsets = utf8_column(batch.column(2))
         n = np.zeros(batch.num_rows, dtype=np.int64)
         name = np.zeros(batch.num_rows, dtype=np.uint64)
+        parity: list[bytes] = []
         for a, b in row_blocks(offsets, BATCH_BYTES):
             value, row = shingles(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-            counts += np.bincount(_bucket(value), minlength=BUCKETS)
+            place, times = np.unique(_bucket(value), return_counts=True)
+            counts[place] += times.astype(np.int32)
             n[a:b] = np.bincount(row, minlength=b - a)
             total = np.zeros(len(value) + 1, dtype=np.uint64)
             np.cumsum(mix64(value ^ np.uint64(0xA5A5A5A5)), out=total[1:])
             end = np.cumsum(n[a:b])
             name[a:b] = mix64(total[end] - total[end - n[a:b]])
+            parity += _parities(value, row, n[a:b])
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(n), pa.array(_signed(name))], schema=_SIZE)
-    seen = np.flatnonzero(counts)
+            [batch.column(0), batch.column(1), pa.array(n), pa.array(_signed(name)),
+             pa.array(parity, pa.binary())], schema=_SIZE)
+    seen = np.flatnonzero(counts >= HEAVY * max(1.0, counts.sum() / BUCKETS))
     if len(seen):
         nothing = pa.nulls(len(seen), pa.int64())
-        yield pa.RecordBatch.from_arrays([nothing, pa.array(seen), pa.array(counts[seen]), nothing], schema=_SIZE)
+        yield pa.RecordBatch.from_arrays([nothing, pa.array(seen), pa.array(counts[seen]), nothing,
+                                          pa.nulls(len(seen), pa.binary())], schema=_SIZE)
 
 
 def _ordered(value: np.ndarray, row: np.ndarray, levels: np.ndarray) -> np.ndarray:
@@ -303,6 +326,59 @@ def _block_links(sets: list[np.ndarray], levels: np.ndarray, component, probe) -
     return links
 
 
+_NEAR = pa.schema([("pivot", pa.int64()), ("class", pa.int64())])
+
+
+def _near(batches):
+    """Members of a block that some other member's parity map allows to link with.
+
+    Linked sets differ in at most (n + m) / 9 shingles, so their maps differ in at most
+    as many places; the larger map is folded onto the smaller one first.
+    """
+    held = None
+    for batch in batches:
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        pivot = batch.column(0).to_numpy(zero_copy_only=False)
+        edge = np.flatnonzero(np.append(True, pivot[1:] != pivot[:-1]))
+        yield from _near_members(batch.slice(0, edge[-1]), edge[:-1])
+        held = batch.slice(edge[-1])
+    if held is not None:
+        yield from _near_members(held, np.array([0]))
+
+
+def _near_members(batch: pa.RecordBatch, edges: np.ndarray):
+    if not batch.num_rows:
+        return
+    pivot, name, n = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+    data, offsets = utf8_column(batch.column(3))
+    keep = np.zeros(batch.num_rows, dtype=bool)
+    for a, b in zip(edges.tolist(), np.append(edges[1:], batch.num_rows).tolist()):
+        maps = [data[offsets[k]:offsets[k + 1]] for k in range(a, b)]
+        size, count = n[a:b], np.diff(offsets[a:b + 1])
+        folded: dict[int, np.ndarray] = {}
+        for width in np.unique(count).tolist():
+            table = np.zeros((b - a, width), dtype=np.uint8)
+            for k, m in enumerate(maps):
+                if len(m) == width:
+                    table[k] = m
+                elif len(m) == 2 * width:
+                    table[k] = m[:width] ^ m[width:]
+            folded[width] = table.view(np.uint64)
+        for i in range(b - a - 1):  # sorted by size
+            end = int(np.searchsorted(size, 5 * size[i] // 4, side="right"))
+            if end <= i + 1:
+                continue
+            table = folded[int(count[i])]
+            apart = np.bitwise_count(table[i + 1:end] ^ table[i]).sum(axis=1, dtype=np.int64)
+            near = np.flatnonzero(9 * apart <= size[i] + size[i + 1:end])
+            if len(near):
+                keep[a + i] = True
+                keep[a + i + 1 + near] = True
+    if keep.any():
+        yield _batch([pivot[keep], name[keep]], _NEAR)
+
+
 _TEXT = pa.schema([("pivot", pa.int64()), ("part", pa.int64()), ("class", pa.int64()), ("component", pa.int64()),
                    ("probe", pa.int64()), ("text", pa.binary())])
 _LINK = _schema("a", "b")
@@ -338,8 +414,18 @@ def _blocks(batch: pa.RecordBatch, edges: np.ndarray, levels: np.ndarray):
     for a, b in zip(edges.tolist(), ends.tolist()):
         value, row = shingles(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
         sets = np.split(value, np.cumsum(np.bincount(row, minlength=b - a))[:-1])
-        for i, j in _block_links(sets, levels, component[a:b].tolist(), probe[a:b]):
-            out.append((name[a + i], name[a + j]))
+        own = component[a:b].tolist()
+        links = _block_links(sets, levels, own, probe[a:b])
+        if links:  # as stars: every member of a joined component on its smallest class
+            union = _Union(own)
+            for i, j in links:
+                union.join(i, j)
+            joined = {union.root(i) for i, _ in links}
+            low: dict[int, int] = {}
+            for i in range(b - a):
+                root = union.root(i)
+                low[root] = min(low.get(root, name[a + i]), name[a + i])
+            out += [(name[a + i], low[union.root(i)]) for i in range(b - a) if union.root(i) in joined]
     if out:
         yield _batch(list(zip(*out)), _LINK)
 
@@ -354,33 +440,45 @@ def near_duplicate_groups(df: DataFrame, key: str = "doc_id", text: str = "text"
                      F.xxhash64(col(text)).alias("text_hash"), col(text).alias("text"))
     scanned = written(docs.mapInArrow(_sizes_and_counts, _ddl(_SIZE).replace("class", "`class`")), "shingle-sizes")
     sizes = scanned.where(F.col("key").isNotNull())
-    counts = np.zeros(BUCKETS, dtype=np.int64)
-    for bucket, n in scanned.where(F.col("key").isNull()).groupBy("text_hash").agg(F.sum("n")).collect():
-        counts[bucket] = n  # at most BUCKETS rows
-    excess = counts / max(1.0, counts.sum() / BUCKETS)
-    levels = spark.sparkContext.broadcast(
-        np.clip(np.log2(np.maximum(excess, 1.0)).astype(np.int64), 0, 60).astype(np.uint8))
+    order = np.zeros(BUCKETS, dtype=np.uint8)
+    level = F.floor(F.log2(F.sum("n"))).cast("int").alias("level")
+    for bucket, high in scanned.where(F.col("key").isNull()).groupBy("text_hash").agg(level).toLocalIterator():
+        order[bucket] = high  # at most BUCKETS rows, a small part of them reported
+    levels = spark.sparkContext.broadcast(order)  # BUCKETS bytes
 
     prefixes = docs.select("text").mapInArrow(_prefixes(levels), _ddl(_PREFIX).replace("class", "`class`"))
     members = written(prefixes.repartition(parts, "shingle").sortWithinPartitions("shingle", "n", "class")
                       .mapInArrow(_runs, _ddl(_MEMBER).replace("class", "`class`")).distinct(), "shingle-members")
-    # The pivot is a member of its own block; blocks beyond BLOCK members come in parts.
-    blocks = members.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("parts"))
-    part = F.pmod(F.xxhash64("class"), "parts")
+    # The pivot is a member of its own block.
+    counted = members.groupBy("pivot").agg(F.count(F.lit(1)).alias("members"))
+    whole = written(members.join(counted, "pivot").unionByName(
+        counted.select("pivot", F.col("pivot").alias("class"), "members")), "shingle-blocks")
+    classes = written(sizes.where("n > 0").groupBy("class").agg(
+        F.min(F.struct("key", "text_hash")).alias("row"), F.min("n").alias("n"), F.min("parity").alias("parity")),
+        "shingle-classes")
+    maps = classes.select("class", "n", "parity")
+    near = written(whole.where(F.col("members") < MAP_BLOCK).join(maps, "class").select("pivot", "class", "n", "parity")
+                   .repartition(parts, "pivot").sortWithinPartitions("pivot", "n", "class")
+                   .mapInArrow(_near, "pivot long, `class` long")
+                   .unionByName(whole.where(F.col("members") >= MAP_BLOCK).select("pivot", "class")), "shingle-near")
+    # Blocks beyond BLOCK members come in parts, each with the pivot.
+    blocks = near.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("parts"))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
-    dealt = members.join(blocks, "pivot").select("pivot", "class", "parts", part.alias("part")).unionByName(
-        blocks.select("pivot", F.col("pivot").alias("class"), "parts", every.alias("part")))
-    dealt = written(dealt, "shingle-blocks")
-    stands = sizes.where("n > 0").groupBy("class").agg(F.min(F.struct("key", "text_hash")).alias("row"))
+    left = near.join(blocks, "pivot")
+    dealt = written(left.where("pivot != class").withColumn("part", F.pmod(F.xxhash64("class"), "parts")).unionByName(
+        left.where("pivot = class").withColumn("part", every)), "shingle-dealt")
+    stands = classes.select("class", "row")
+
+    # The texts of all block members, fetched once.  The list of members grows with the
+    # data, so the join is a shuffle at every size.
+    wanted = stands.join(dealt.select("class").distinct(), "class").select("row.key", "row.text_hash", "class")
+    texts = written(docs.join(wanted.hint("merge"), ["key", "text_hash"])
+                    .select("class", F.col("text").cast("binary").alias("text")), "shingle-texts")
 
     def walk(rows: DataFrame) -> DataFrame:
         """Links of blocks given as rows (class, pivot, part, component, probe)."""
-        asked = rows.groupBy("class").agg(F.collect_list(F.struct("pivot", "part", "component", "probe")).alias("in"))
-        places = stands.join(asked, "class").select("row.key", "row.text_hash", "class", "in")
-        fetched = (docs.join(places, ["key", "text_hash"])
-                   .select(F.explode("in").alias("at"), "class", F.col("text").cast("binary").alias("text"))
-                   .select("at.pivot", "at.part", "class", "at.component", "at.probe", "text"))
-        return (fetched.repartition(parts, "pivot", "part").sortWithinPartitions("pivot", "part", "class", "probe")
+        return (rows.join(texts, "class").select("pivot", "part", "class", "component", "probe", "text")
+                .repartition(parts, "pivot", "part").sortWithinPartitions("pivot", "part", "class", "probe")
                 .mapInArrow(_linked(levels), _ddl(_LINK)))
 
     plain = F.lit(0).cast("long")
