@@ -25,7 +25,9 @@ def rows():
     out = []
     for i in range(50):
         words = [rnd.choice(vocab) for _ in range(rnd.choice([20, 90, 160]))]
-        text = " ".join(words) + ("\n" + passage + "\n" + " ".join(rnd.choice(vocab) for _ in range(30)) if i % 4 == 0 else "")
+        text = " ".join(words)
+        if i % 4 == 0:
+            text += "\n" + passage + "\n" + " ".join(rnd.choice(vocab) for _ in range(30))
         if i % 6 == 5:
             near = out[-1][1].split(" ")
             near[0] = "other"

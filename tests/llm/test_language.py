@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 SF_SMALL = "/root/testdata/sf0.001"
 from llm import language
+from small_corpus import corpus, docs, no_docs  # noqa: F401
 
 
 def test_held_out_accuracy_on_the_given_documents(spark):

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from llm import licenses
+from small_corpus import corpus, docs, no_docs  # noqa: F401
 
 APACHE = '''# Licensed under the Apache License, Version 2.0 (the "License");
 # you may not use this file except in compliance with the License.

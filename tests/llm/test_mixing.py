@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm import mixing
+from small_corpus import corpus, docs, no_docs  # noqa: F401
 
 
 def targets_of(sizes, weights=(3, 1, 2), share=1.5, cap=2.0):

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm import passages
+from small_corpus import corpus, docs, no_docs  # noqa: F401
 
 
 def brute(rows, length=13):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from llm import pieces
 from llm.kernels import utf8_column
+from small_corpus import corpus, docs, no_docs  # noqa: F401
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 HARD = ["Hello world", "  two  spaces \n\n tab\t▁x▁▁ ", "", "日本語テスト 🎉 ü ß ñ ́", "a", "\x00\x01\x7f", "x" * 3000,

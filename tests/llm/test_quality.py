@@ -3,6 +3,7 @@ import re
 from pyspark.sql import functions as F
 
 from llm import quality
+from small_corpus import corpus, docs, no_docs  # noqa: F401
 
 
 def brute(text):

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm import shingle_join as sj
+from small_corpus import corpus, docs, no_docs  # noqa: F401
 
 _FOLD = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from llm import suffix_dedup as sd
 from llm import suffix_sort as ss
+from small_corpus import corpus, docs, no_docs  # noqa: F401
 
 
 def removed_bytes(texts, length):

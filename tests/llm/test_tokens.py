@@ -1,4 +1,3 @@
-import random
 import zlib
 
 import numpy as np
@@ -7,6 +6,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from llm import tokens
+from small_corpus import corpus, docs, no_docs  # noqa: F401
 
 MODEL = public_tokenizers.path("word_bpe_49k.json")
 HARD = ["It's we'll 'tis DON'T x²½ ①② Ünï ŉot İstanbul ΣΑΣ straße ǅ ĳ ſ", "<|startoftext|>abc<|endoftext|> a<|b",
