@@ -112,8 +112,9 @@ def drop_null_ids(df: DataFrame, id_column: str) -> DataFrame:
 def standardize_types(df: DataFrame, schema: T.StructType | None) -> DataFrame:
     """Cast each declared column that is present to its declared type.
 
-    Id and foreign-key columns that arrive as text stay text.  Columns the schema does not declare are left alone; declared columns that
-    are missing are not invented.  Order of columns is kept.
+    Id and foreign-key columns that arrive as text stay text.  Columns the schema
+    does not declare are left alone; declared columns that are missing are not
+    invented.  Order of columns is kept.
     """
     if schema is None:
         return df
