@@ -34,7 +34,8 @@ from pyspark.sql import types as T
 from llm.common import col, fresh
 from llm.kernels import RollingHash, mix64, row_blocks, utf8_column
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
+DECODE_ROWS = 256
 _SPACE = 32
 
 
@@ -263,6 +264,7 @@ def encode_sampled(df: DataFrame, model_path: str, key: str = "doc_id", text: st
     out, seeded = fresh(df, out), fresh(df, "p_seed")
     place = df.columns.index(text)
     marked = df.withColumn(seeded, F.xxhash64(F.lit(seed), col(key)))
+    names = [*df.columns, out]
 
     def run(batches):
         model = piece_model(model_path, alpha)
@@ -276,7 +278,7 @@ def encode_sampled(df: DataFrame, model_path: str, key: str = "doc_id", text: st
                 absent = rows.column(place).is_null()
                 lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids),
                                                  mask=absent if absent.true_count else None)
-                yield pa.RecordBatch.from_arrays([*rows.columns[:-1], lists], names=[*df.columns, out])
+                yield pa.RecordBatch.from_arrays([*rows.columns[:-1], lists], names=names)
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
     return marked.mapInArrow(run, schema)
 
@@ -284,17 +286,19 @@ def encode_sampled(df: DataFrame, model_path: str, key: str = "doc_id", text: st
 def decode_ids(df: DataFrame, model_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` plus ``out``, the text of every id list (null for null)."""
     out = fresh(df, out)
-    place = df.columns.index(ids)
+    place, names = df.columns.index(ids), [*df.columns, out]
 
     def run(batches):
         model = piece_model(model_path, 1.0)
-        for batch in batches:
-            lists = batch.column(place)
-            flat, at = lists.values.to_numpy(zero_copy_only=False).tolist(), lists.offsets.to_pylist()
-            texts = [None if gone else decode(model, flat[a:b])
-                     for a, b, gone in zip(at, at[1:], lists.is_null().to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary()).cast(pa.string())],
-                                             names=[*df.columns, out])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, DECODE_ROWS):
+                batch = whole.slice(lo, DECODE_ROWS)
+                lists = batch.column(place)
+                at, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+                texts = [None if gone else decode(model, flat[a:b].tolist())
+                         for a, b, gone in zip(at, at[1:], lists.is_null().to_pylist())]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(texts, pa.binary()).cast(pa.string())], names=names)
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, T.StringType())]))
 
 
