@@ -79,7 +79,10 @@ def with_metrics(df: DataFrame, text: str, out: str) -> DataFrame:
     """Add struct column ``out``: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words.
 
     ``out`` must not be a column of ``df``.  Stacked projections keep each
-    array materialised once per row; nothing is exploded or shuffled.
+    array materialised once per row; nothing is exploded or shuffled.  A filter on
+    the metrics would be pushed below them and copy their expressions into lambdas,
+    to be computed anew for every word; Catalyst leaves it above a projection that
+    holds a row number.
     """
     words, grams, order, counts = (fresh(df, n) for n in ("w0", "w1", "w2", "w3"))
     t = F.coalesce(col(text), F.lit(""))
@@ -111,6 +114,7 @@ def with_metrics(df: DataFrame, text: str, out: str) -> DataFrame:
         lambda a, p: F.struct(p.alias("at"), (a["n"] + F.least(F.lit(3), p - a["at"])).alias("n")),
         lambda a: a["n"])
     n_repeat = F.when(F.size(s) > 0, covered).otherwise(F.lit(0)).cast("long")
+    n_repeat = F.when(F.monotonically_increasing_id() >= 0, n_repeat)
     df = df.withColumn(out, F.struct(
         *[F.col(counts)[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines")],
         n_repeat.alias("n_repeat_words")))
@@ -165,17 +169,9 @@ def quality_report(df: DataFrame, text: str = "text", sample_rows: int = 1024) -
 
 
 def keep_good(df: DataFrame, text: str = "text", sample_rows: int = 1024) -> DataFrame:
-    """The documents every rule lets pass, with their columns unchanged.
-
-    A filter on the verdict would be pushed below the projections and the metrics
-    copied into it, where lambdas would compute them anew for every word; Catalyst
-    leaves it in place above a projection with a row number.
-    """
+    """The documents every rule lets pass, with their columns unchanged."""
     out = fresh(df, "quality")
-    report = quality_report(df, text, sample_rows)
-    row = fresh(report, "row")
-    numbered = report.withColumn(row, F.monotonically_increasing_id())
-    return numbered.where(F.col(out)["kept"] & (F.col(row) >= 0)).drop(out, row)
+    return quality_report(df, text, sample_rows).where(F.col(out)["kept"]).drop(out)
 
 
 def op9_quality_rules(spark, sf_dir: str) -> DataFrame:
