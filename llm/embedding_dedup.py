@@ -37,6 +37,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -267,11 +268,11 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     named = df.withColumn(name, F.when(sound, F.xxhash64(col(label), doubles)))
     valid = named.where(col(name).isNotNull()).select(
         col(label).cast("string").alias("label"), F.size(v).alias("dims"), col(name).alias("name"),
-        doubles.alias("vector"), col(key).alias("key"))
+        doubles.alias("vector"), col(key).cast("long").alias("key"))
     classes = written(
         valid.groupBy("label", "dims", "name").agg(
             F.count(F.lit(1)).alias("copies"), F.min("key").alias("key"), F.first("vector").alias("vector"))
-        .mapInPandas(_packed, "label string, dims int, name long, copies long, key long, vector binary"),
+        .mapInArrow(_packed, "label string, dims int, name long, copies long, key long, vector binary"),
         "embedding-classes")
     sizes = classes.groupBy("label", "dims").agg(F.count(F.lit(1)).alias("n")).select(
         "label", "dims", F.least(F.lit(MAX_CENTRES), F.ceil(F.col("n") / CELL_ROWS)).cast("long").alias("centres"),
@@ -316,10 +317,13 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
                          F.coalesce(F.col(f"d.`{key}`") == component, F.lit(True)).alias(n3))
 
 
-def _packed(frames):
-    for pdf in frames:
-        packed = [np.asarray(x, dtype="<f8").tobytes() for x in pdf["vector"]]
-        yield pdf.assign(vector=packed)[["label", "dims", "name", "copies", "key", "vector"]]
+def _packed(batches):
+    """The last column, a list of doubles, as little-endian bytes; the others as they are."""
+    for batch in batches:
+        lists = batch.column(batch.num_columns - 1)
+        at, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False).astype("<f8")
+        packed = pa.array([flat[a:b].tobytes() for a, b in zip(at, at[1:])], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], packed], names=batch.schema.names)
 
 
 def op10_embedding_dedup(spark, sf_dir: str) -> DataFrame:

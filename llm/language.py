@@ -108,8 +108,9 @@ class Model:
 def fit(labelled: DataFrame, lang: str, text: str, key: str, fit_rows: int = FIT_ROWS,
         landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model | None:
     """Model from at most about ``fit_rows`` labelled rows; None without labels."""
-    rows = labelled.select(col(lang).alias("lang"), col(text).alias("text"), col(key).alias("key")).where(
-        "lang is not null and text is not null and key is not null")
+    rows = labelled.where(col(key).isNotNull()).select(
+        col(lang).alias("lang"), col(text).alias("text"), F.xxhash64(col(key)).alias("key")).where(
+        "lang is not null and text is not null")
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return None

@@ -67,7 +67,8 @@ def test_matches_all_pairs(spark, monkeypatch, cell, block, leaf):
     copies = [(1000 + i, *rows[i][1:]) for i in range(0, 40, 2)]
     odd = [(2000, None, 1), (2001, [], 1), (2002, [0.0] * 12, 1), (2003, [1.0, None] + [0.0] * 10, 1),
            (2004, [float("nan")] * 12, 1), (2005, [float("inf")] + [0.0] * 11, 1), (2006, rows[0][1], None),
-           (2007, [1.0, 2.0], 1), (2008, [2.0, 4.0], 1), (None, rows[1][1], rows[1][2])]
+           (2007, [1.0, 2.0], 1), (2008, [2.0, 4.0], 1), (None, rows[1][1], rows[1][2]),
+           (2**60 + 1, rows[3][1], rows[3][2]), (2**60 + 3, [9.0] + [0.0] * 11, 1)]
     every = rows + copies + odd
     random.Random(1).shuffle(every)
     df = spark.createDataFrame(every, SCHEMA).repartition(4)
