@@ -129,14 +129,16 @@ class _Links:
             if i != j:
                 self.parent[max(i, j)] = min(i, j)
 
-    def compare(self, x: np.ndarray, y: np.ndarray, same: bool) -> None:
-        """All pairs of members x and y (``same``: each unordered pair of x once)."""
+    def compare(self, x: np.ndarray, y: np.ndarray, same: bool, allowed: np.ndarray | None = None) -> None:
+        """All pairs of members x and y (``same``: each unordered pair of x once), or the allowed ones."""
         dots = self.unit[x] @ self.unit[y].T
         linked = dots >= self.cosine
         close = np.argwhere(np.abs(dots - self.cosine) <= _SLACK)
         for i, j in close.tolist():
             a, b = x[i], y[j]
             linked[i, j] = float(self.raw[a] @ self.raw[b]) / float(self.norm[a] * self.norm[b]) >= self.cosine
+        if allowed is not None:
+            linked &= allowed
         self._record(x, y, linked, same)
 
     def whole(self, x: np.ndarray, y: np.ndarray, same: bool) -> None:
@@ -190,25 +192,30 @@ def dual_traversal(a: CoverTree, ia: np.ndarray, b: CoverTree, ib: np.ndarray, s
             links.compare(members(a, ia, m), members(b, ib, n), same and m == n)
             continue
         x, y = parts(a, m), parts(b, n)
-        for lo in range(0, len(x), 2048):
-            xs = x[lo:lo + 2048]
+        for lo in range(0, len(x), 512):
+            xs = x[lo:lo + 512]
             dots = a.points[a.centre[xs]] @ b.points[b.centre[y]].T
             gap = np.sqrt(np.maximum(0.0, 2 - 2 * dots))
             radii = a.radius[xs][:, None] + b.radius[y][None, :]
             alive = gap <= radii + reach + 1e-7
             if same and m == n:
                 alive &= np.arange(lo, lo + len(xs))[:, None] <= np.arange(len(y))[None, :]
+            # Pairs of single points need no further visit: they are compared as one block.
+            one_x = a.span[xs, 1] - a.span[xs, 0] == 1
+            one_y = b.span[y, 1] - b.span[y, 0] == 1
+            if one_x.any() and one_y.any():
+                allowed = alive[np.ix_(one_x, one_y)]
+                if same and m == n:
+                    allowed &= xs[one_x][:, None] != y[one_y][None, :]
+                if allowed.any():
+                    links.compare(ia[a.centre[xs[one_x]]], ib[b.centre[y[one_y]]], False, allowed)
+                alive[np.ix_(one_x, one_y)] = False
             inside = alive & (gap + radii <= reach - 1e-7)
             for i, j in np.argwhere(inside).tolist():
                 links.whole(members(a, ia, xs[i]), members(b, ib, y[j]), same and xs[i] == y[j])
-            i, j = np.nonzero(alive & ~inside)
-            # Pairs of single points need no further visit: compare them together.
-            single = (a.span[xs[i], 1] - a.span[xs[i], 0] == 1) & (b.span[y[j], 1] - b.span[y[j], 0] == 1)
-            if same and m == n:
-                single &= xs[i] != y[j]
-            for p, q in zip(i[single].tolist(), j[single].tolist()):
-                links.compare(members(a, ia, xs[p]), members(b, ib, y[q]), False)
-            pending += [(int(xs[p]), int(y[q])) for p, q, s in zip(i.tolist(), j.tolist(), single.tolist()) if not s]
+            alive &= ~inside
+            i, j = np.nonzero(alive)
+            pending += list(zip(xs[i].tolist(), y[j].tolist()))
 
 
 def _task(cosine: float):
