@@ -158,12 +158,17 @@ class _Settler:
 
     def feed(self, rows: np.ndarray, final: bool):
         """rows: int64 matrix (7, n) in the order of the seed schema."""
+        passing = rows[6] == 0
+        if passing.any():
+            yield self._marks(rows[:, passing], REPEATED)
+            rows = rows[:, ~passing]
         if self.held is not None:
             rows = np.concatenate([self.held, rows], axis=1)
             self.held = None
         if not rows.shape[1]:
             return
         anchor, content = rows[0], rows[1]
+        early = {int(self.several)} if self.several is not None else set()
         if not final:
             cut = int(np.searchsorted(anchor[::-1] != anchor[-1], True))
             cut = len(anchor) - cut if (anchor != anchor[-1]).any() else 0
@@ -173,7 +178,7 @@ class _Settler:
                 rest = rows[:, done.shape[1]:]
                 several = len(same) > 0 or self.several == anchor[-1]
                 if done.shape[1]:
-                    yield from self._settle(done, {int(anchor[-1])} if several else set())
+                    yield from self._settle(done, early | {int(anchor[-1])} if several else early)
                 if several:
                     self.several = anchor[-1]
                 if rest.shape[1] > 1:  # one content with very many places
@@ -188,7 +193,7 @@ class _Settler:
             rows = rows[:, :cut]
             if not rows.shape[1]:
                 return
-        yield from self._settle(rows, {int(self.several)} if self.several is not None else set())
+        yield from self._settle(rows, early)
 
     @staticmethod
     def _marks(rows: np.ndarray, kind) -> pa.RecordBatch:
@@ -198,12 +203,6 @@ class _Settler:
             schema=_MARK)
 
     def _settle(self, rows: np.ndarray, several: set[int]):
-        passing = rows[6] == 0
-        if passing.any():
-            yield self._marks(rows[:, passing], REPEATED)
-            rows = rows[:, ~passing]
-        if not rows.shape[1]:
-            return
         anchor, content, weight, twice = rows[0], rows[1], rows[6] & 3, rows[6] >= 4
         new_anchor = np.append(True, anchor[1:] != anchor[:-1])
         new = new_anchor | np.append(True, content[1:] != content[:-1])
@@ -213,16 +212,16 @@ class _Settler:
         at = np.cumsum(new_anchor)[lead] - 1
         contents = np.bincount(at)
         singles = np.bincount(at, weights=total == 1)
-        crowd = contents[at] >= 2
-        if several:
-            crowd |= np.isin(anchor[lead], np.array(list(several)))
+        # Other chunks of an anchor settled early may hold singles: all its repeated contents are witnesses.
+        early = np.isin(anchor[lead], np.array(sorted(several), dtype=np.int64))
+        crowd = (contents[at] >= 2) | early
         repeated = (total[group] >= 2) & (weight == 1)
         if repeated.any():
             yield self._marks(rows[:, repeated], REPEATED)
         single = lead[(total == 1) & (crowd | twice[lead])]
         if len(single):
             yield self._marks(rows[:, single], SINGLE)
-        beside = lead[(total >= 2) & crowd & ((singles[at] > 0) | (contents[at] < 2))]
+        beside = lead[(total >= 2) & crowd & ((singles[at] > 0) | early)]
         if len(beside):
             yield self._marks(rows[:, beside], WITNESS)
 

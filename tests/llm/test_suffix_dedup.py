@@ -59,6 +59,68 @@ def test_every_path_gives_the_same_spans(spark, monkeypatch, settings):
     assert report(df) == sorted(brute([t.encode() for _, t in rows], 200))
 
 
+def settled(rows, size):
+    """Marks of seed rows (7 numbers each) fed to a settler in batches of ``size``: sets by kind."""
+    settler, marks = sd._Settler(), []
+    for a in range(0, len(rows), size):
+        marks += settler.feed(np.array(rows[a:a + size], dtype=np.int64).T, final=False)
+    marks += settler.feed(np.zeros((7, 0), dtype=np.int64), final=True)
+    out = {sd.REPEATED: set(), sd.SINGLE: set(), sd.WITNESS: set()}
+    for batch in marks:
+        for *place, kind in zip(*(c.to_pylist() for c in batch.columns)):
+            out[kind].add(tuple(place))
+    return out
+
+
+def test_anchors_settled_early_lose_nothing(monkeypatch):
+    rnd = random.Random(5)
+    for _ in range(300):
+        rows = []
+        for anchor in range(rnd.randint(1, 4)):
+            for content in range(rnd.randint(1, 7)):
+                weights = [rnd.choice([1, 1, 2]) for _ in range(rnd.choice([1, 1, 2, 3, 9]))]
+                rows += [(anchor, content, len(rows) + k, 0, 0, 1, w) for k, w in enumerate(weights)]
+        rows += [(9, 0, 1000, 7, 300 * k, 40, 0) for k in range(rnd.choice([0, 1, 12]))]  # merged places of one text
+        monkeypatch.setattr(sd, "OPEN_ROWS", 10**6)
+        whole, of = settled(rows, len(rows)), {(r[2], r[3]): r[:2] for r in rows}
+        for open_rows in (1, 2, 5):
+            monkeypatch.setattr(sd, "OPEN_ROWS", open_rows)
+            got = settled(rows, rnd.choice([1, 2, 3, 8, 100]))
+            assert got[sd.REPEATED] == whole[sd.REPEATED] and got[sd.SINGLE] == whole[sd.SINGLE]
+            assert {of[m[:2]] for m in got[sd.WITNESS]} >= {of[m[:2]] for m in whole[sd.WITNESS]}
+
+
+def test_small_arrow_batches_and_open_anchors_give_the_same_spans(spark, monkeypatch):
+    settle = sd._settled
+
+    def settled_early(batches):
+        before, sd.OPEN_ROWS = sd.OPEN_ROWS, 2  # in the worker
+        try:
+            yield from settle(batches)
+        finally:
+            sd.OPEN_ROWS = before
+
+    monkeypatch.setattr(sd, "_settled", settled_early)
+    rnd = random.Random(6)
+
+    def noise(n):
+        return "".join(rnd.choice("abcdefgh ") for _ in range(n))
+
+    base, texts = noise(480), []
+    for copies in [3] * 20 + [1] * 3:  # most contents of an anchor are repeated, singles are rare
+        a = rnd.randrange(150)
+        texts += [noise(40) + base[a:a + rnd.randrange(230, 330)] + noise(40)] * copies
+    rnd.shuffle(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(12)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "10")
+    try:
+        assert report(df) == sorted(brute([t.encode() for t in texts], 200))
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_suffix_order_and_prefixes_match_sorting(monkeypatch):
     rnd = random.Random(4)
     for _ in range(120):
