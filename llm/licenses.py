@@ -9,8 +9,8 @@ then a sequence of identifiers.  Rules, ordered from the longest to the shortest
 are matched against that sequence one after the other, and what one rule has
 matched is taken out before the next.
 
-Only texts with one of ``CUES`` are split at all; every phrase holds a cue, so
-nothing is missed.  All work is within a row: one scan, no shuffle.
+Only texts with one of ``CUES`` are split at all; every alternative of every
+phrase holds a cue within one word, so nothing is missed.  All work is within a row: one scan, no shuffle.
 
 Defined results: null and empty texts have no sentence and no licence; each
 repeated row is judged alone; licences are listed once each, in order of the
@@ -103,9 +103,10 @@ RULES = (
     ("LicenseRef-All-Rights-Reserved", ("rights-reserved",)),
 )
 
-# Every phrase holds one of these.
-CUES = ("licens", "permission", "software", "copyright", "redistribution", "damages", "warrant", "rights reserved",
-        "the mpl", "mit license", "be liable", "public domain")
+# Every alternative of every phrase holds one of these.  They lie within one word: line breaks and comment
+# signs between words, which only normalising takes out, cannot hide them.
+CUES = ("licens", "permission", "software", "copyright", "redistribution", "damages", "warrant", "reserved",
+        "distributed", "liable", "cc0", "creative")
 
 _BREAK = r"([.!?])\s+|\n[ \t\r#*/;-]*\n"
 _MARK = "\u0001"

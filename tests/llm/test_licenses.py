@@ -1,3 +1,6 @@
+import itertools
+import re
+
 from pyspark.sql import functions as F
 
 from llm import licenses
@@ -51,6 +54,49 @@ def test_every_phrase_holds_a_cue_and_every_rule_known_phrases():
         assert any(c in pattern for c in licenses.CUES), pattern
 
 
+def examples(pattern):
+    """Every choice of alternatives and options of a phrase's pattern, written out."""
+    def parts(tokens):
+        return ["".join(x) for x in itertools.product(*[part(str(op), value) for op, value in tokens])]
+
+    def part(op, value):
+        if op == "LITERAL":
+            return [chr(value)]
+        if op == "ANY":
+            return ["."]
+        if op == "IN":
+            return [chr(v) for _, v in value]
+        if op == "SUBPATTERN":
+            return parts(value[3])
+        if op == "BRANCH":
+            return [x for tokens in value[1] for x in parts(tokens)]
+        assert op == "MAX_REPEAT", op
+        return ([""] if value[0] == 0 else []) + parts(value[2])
+
+    return parts(re._parser.parse(pattern))
+
+
+def test_every_alternative_holds_a_cue_within_one_word():
+    assert all(re.fullmatch("[a-z0-9]+", c) for c in licenses.CUES)
+    for _, pattern in licenses.PHRASES:
+        for sentence in examples(pattern):
+            assert re.search(pattern, sentence)
+            assert any(c in sentence for c in licenses.CUES), sentence
+
+
+def test_cues_miss_nothing(spark, monkeypatch):
+    texts = ["This data is released under CC0.", "It is dedicated under Creative Commons Zero.",
+             "/* All rights\n * reserved. */", "// If a copy of the\n// MPL was not distributed with this\n"
+             "// file, You can obtain one at https://mozilla.org/MPL/2.0/.", "Released under the MIT\n# License."]
+    got = scan(spark, texts)
+    assert [g[1:] for g in got] == [(["CC0-1.0"], 0), (["CC0-1.0"], 0), (["LicenseRef-All-Rights-Reserved"], 0),
+                                    ([], 1), (["MIT"], 0)]
+    texts += [APACHE, MIT, "No licence here.", *[x for _, p in licenses.PHRASES for x in examples(p)[:6]]]
+    got = scan(spark, texts)
+    monkeypatch.setattr(licenses, "CUES", ("",))
+    assert scan(spark, texts) == got
+
+
 def test_edges_and_plan(spark, docs, corpus, no_docs):
     clash = docs.withColumn("licenses", F.lit(1)).withColumn("l_ids", F.lit("x"))
     out = licenses.scan_licenses(clash)
