@@ -1,8 +1,9 @@
 """Licence scan by sentence rules (DataFrame functions only).
 
 A text falls into sentences (a full stop, question or exclamation mark before
-white space, or a blank line).  A sentence in lower case with every other run of
-signs as one blank is normalised.  Normalised sentences that hold a known
+white space, or a blank line; not the stop of "v." before a number).  A sentence
+in lower case with every other run of signs, hyphens that stand alone included,
+as one blank is normalised.  Normalised sentences that hold a known
 licence phrases become those phrases' identifiers (in the order of ``PHRASES``
 where one sentence holds several), others drop out; the document is
 then a sequence of identifiers.  Rules, ordered from the longest to the shortest,
@@ -27,6 +28,24 @@ from pyspark.sql import functions as F
 
 from llm.common import col, fresh
 
+_CC_KINDS = {
+    "-nc-sa": "-nc-sa|attribution[ -]+non-?commercial[ -]+share-?alike",
+    "-nc-nd": "-nc-nd|attribution[ -]+non-?commercial[ -]+no-?deriv(ative)?s",
+    "-nc": "-nc|attribution[ -]+non-?commercial",
+    "-sa": "-sa|attribution[ -]+share-?alike",
+    "-nd": "-nd|attribution[ -]+no-?deriv(ative)?s",
+    "": "|attribution",
+}
+
+
+def _cc_by(kind: str, version: str) -> str:
+    """CC BY by its short name (blanks or hyphens between its parts) or by its full name."""
+    short, full = _CC_KINDS[kind].split("|", 1)
+    number = version.replace(".", r"\.")
+    return (rf"licensed under (a |the )?(terms of the )?((cc|creative commons)[ -]by{short}|"
+            rf"(cc|creative commons) {full})( license)?[ -](version |v\.? ?)?{number}")
+
+
 # Phrases of public licence texts, as patterns over normalised sentences.
 PHRASES = (
     ("apache2-licensed", r"licensed under the apache license version 2"),
@@ -61,12 +80,13 @@ PHRASES = (
     ("gpl-received", r"you should have received a copy of the gnu (lesser |affero )?general public license"),
     ("mpl2-subject", r"subject to the terms of the mozilla public license v\. ?2\.0"),
     ("mpl2-obtain", r"if a copy of the mpl was not distributed with this file you can obtain one at"),
-    ("epl2-named", r"under the terms of the eclipse public license (v|version) ?2\.0"),
+    ("epl2-named", r"under the terms of the eclipse public license (v\.? ?|version ?)?2\.0"),
     ("bsl1-named", r"distributed under the boost software license version 1\.0"),
     ("isc-grant", r"permission to use copy modify and or distribute this software for any purpose with or without fee"),
     ("unlicense-free", r"this is free and unencumbered software released into the public domain"),
-    ("cc0-named", r"(licensed|released|dedicated) under (the )?(cc0|creative commons zero)"),
-    *((f"cc-by{kind}-{version}", rf"licensed under (a |the )?(cc|creative commons) by{kind} {version}")
+    ("cc0-named", r"(licensed|released|dedicated) under (the )?(cc0|creative commons zero)"
+                  r"|waived all copyright and related or neighboring rights"),
+    *((f"cc-by{kind}-{version}", _cc_by(kind, version))
       for kind in ("-nc-sa", "-nc-nd", "-nc", "-sa", "-nd", "") for version in ("4.0", "3.0")),
     ("rights-reserved", r"all rights reserved"),
 )
@@ -110,7 +130,8 @@ CUES = ("licens", "permission", "software", "copyright", "redistribution", "dama
 
 _BREAK = r"([.!?])\s+|\n[ \t\r#*/;-]*\n"
 _MARK = "\u0001"
-_OTHER = r"[^a-z0-9.+-]+"
+_OTHER = r"[^a-z0-9.+-]+(?:-+[^a-z0-9.+-]+)*"
+_VERSION = r"\bv\.[ \t]*\r?\n?[ \t#*/;-]*([0-9])"  # "v. 2.0", also over a line break, is no end of a sentence
 
 
 def _has_cue(text: Column) -> Column:
@@ -120,7 +141,7 @@ def _has_cue(text: Column) -> Column:
 def sentence_ids(text: Column) -> Column:
     """The identifiers of a text's known sentences, in order, each in angle brackets, as one string."""
     folded = F.lower(text)
-    sentences = F.split(F.regexp_replace(folded, _BREAK, "$1" + _MARK), _MARK, -1)
+    sentences = F.split(F.regexp_replace(F.regexp_replace(folded, _VERSION, "v.$1"), _BREAK, "$1" + _MARK), _MARK, -1)
     plain = F.transform(F.filter(sentences, _has_cue), lambda s: F.regexp_replace(s, _OTHER, " "))
 
     def name(s: Column) -> Column:

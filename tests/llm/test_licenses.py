@@ -97,6 +97,81 @@ def test_cues_miss_nothing(spark, monkeypatch):
     assert scan(spark, texts) == got
 
 
+BSD = '''Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation.
+%s
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED. IN NO EVENT SHALL THE
+COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES.'''
+ENDORSE = '''3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+'''
+GNU = '''This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU %(name)s as published by
+the Free Software Foundation; either version %(version)s of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY. See the
+GNU %(name)s for more details.
+
+You should have received a copy of the GNU %(name)s
+along with this program.'''
+MPL = '''This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.'''
+CC = {"": "Attribution", "-NC": "Attribution-NonCommercial", "-SA": "Attribution-ShareAlike",
+      "-ND": "Attribution-NoDerivatives", "-NC-SA": "Attribution-NonCommercial-ShareAlike",
+      "-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+NOTICES = [
+    ("Apache-2.0", APACHE.replace("# ", "").replace("#", "")), ("MIT", MIT), ("BSD-2-Clause", BSD % ""),
+    ("BSD-3-Clause", BSD % ENDORSE),
+    *((spdx, GNU % {"name": f"{name}General Public License", "version": version}) for spdx, name, version in (
+        ("AGPL-3.0", "Affero ", "3"), ("LGPL-3.0", "Lesser ", "3"), ("LGPL-2.1", "Lesser ", "2.1"),
+        ("GPL-3.0", "", "3"), ("GPL-2.0", "", "2"))),
+    ("MPL-2.0", MPL),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the\nterms of the Eclipse "
+                "Public License 2.0 which is available at\nhttps://www.eclipse.org/legal/epl-2.0/"),
+    ("EPL-2.0", "Made available under the terms of the Eclipse Public License v. 2.0 which is available at x"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0.\n(See file LICENSE_1_0.txt)"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee "
+            "is hereby granted."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all\ncopyright and related or neighboring "
+                "rights to this work."),
+    *((f"CC-BY{kind}-{version}", text) for kind, full in CC.items() for version in ("4.0", "3.0") for text in (
+        f"This work is licensed under a Creative Commons\n{full} {version} International License.",
+        f"Licensed under CC-BY{kind}-{version}.", f"This is licensed under CC BY{kind} {version}.")),
+    ("LicenseRef-All-Rights-Reserved", "All rights reserved."),
+]
+
+
+def test_published_notices_match_their_rules_in_any_comment(spark):
+    wanted, texts = [], []
+    for name, notice in NOTICES:
+        lines = notice.split("\n")
+        for text in (notice, *("\n".join(sign + line for line in lines) for sign in ("-- ", "# ", " * ", "// "))):
+            wanted.append(([name], 0))
+            texts.append(text)
+    assert {n for n, _ in NOTICES} == {n for n, _ in licenses.RULES}
+    got = [g[1:] for g in scan(spark, texts)]
+    assert [(t, g) for t, g, w in zip(texts, got, wanted) if g != w] == []
+
+
+def test_only_a_version_keeps_a_sentence_open(spark):
+    got = scan(spark, ["Subject to the terms of the Mozilla Public License, v. 1.1.",
+                       "Bought in Tel Aviv. 3 rights. All rights reserved. See v. all rights reserved."])
+    assert got[0] == (0, [], 0) and got[1][0] == 2
+
+
 def test_edges_and_plan(spark, docs, corpus, no_docs):
     clash = docs.withColumn("licenses", F.lit(1)).withColumn("l_ids", F.lit("x"))
     out = licenses.scan_licenses(clash)
