@@ -1,4 +1,4 @@
-"""Substring dedup on words: seed and extend over winnowed anchors.
+"""Substring dedup on words: seeds over winnowed anchors, windows grouped under them.
 
 A window is ``length`` consecutive words.  A word goes when a window that
 covers it also starts in a document with a smaller key.
@@ -10,12 +10,12 @@ documents on the anchors, sorted by (anchor, content, key).  Copies of a whole
 seed are settled there, and within a batch even before it: every place in a
 document after the first is a repeat.
 
-Extension.  Seeds that share their anchor with other contents are extended both
-ways from the anchor: of the windows around it, those whose words agree on the
-left and on the right as far as ``length`` demands are equal windows, found by
-grouping on (anchor, window hash) with the smallest key as a partial
-aggregate, never by listing pairs.  A very common anchor is thus spread over
-its extensions.  Consecutive repeated windows join to maximal repeats.
+Extension.  Seeds that share their anchor with other contents stay open.  No
+match is extended to the left or right from them: all their windows are hashed
+and grouped on (anchor, window hash) with the smallest key as a partial
+aggregate, so that pairs are never listed.  This is a change of method from
+seed and extend, with the same spans.  A very common anchor is thus spread over
+its windows.
 
 Spans are judged on the input.  Words and windows are compared by 64-bit
 hashes, windows only under an equal 64-bit anchor.
