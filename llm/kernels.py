@@ -11,9 +11,12 @@ import numpy as np
 import pyarrow as pa
 
 _U = np.uint64
-_BASE = _U(0x9E3779B97F4A7C15)
-# Multiplicative inverse of the (odd) base modulo 2**64.
-_BASE_INV = _U(pow(int(_BASE), -1, 1 << 64))
+_GOLDEN = _U(0x9E3779B97F4A7C15)
+# Sequence hashes are polynomials over a prime field, one for each base.  (Modulo a power of two every base
+# collides on the same repetitive strings, such as a Thue-Morse word and its complement.)
+PRIME = (1 << 31) - 1
+BASES = (1_117_905_173, 1_850_468_293)
+_P, _BITS = _U(PRIME), _U(31)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -28,39 +31,107 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 # One unrelated 64-bit value per byte; entry i is the finaliser of i + 1.
-BYTE_VALUES = mix64(np.arange(1, 257, dtype=np.uint64) * _BASE)
+BYTE_VALUES = mix64(np.arange(1, 257, dtype=np.uint64) * _GOLDEN)
 # The same with A-Z folded onto a-z (other letters are left alone).
 _FOLD = np.arange(256)
 _FOLD[65:91] += 32
 FOLDED_BYTE_VALUES = BYTE_VALUES[_FOLD]
 
 
-def powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    if n:
-        out[0] = 1
-    return np.multiply.accumulate(out, dtype=np.uint64)
+def _folded(x: np.ndarray, spare: np.ndarray) -> np.ndarray:
+    """An equal value modulo the prime, in place: below 2**32 from below 2**62, near 2**31 from below 2**34."""
+    np.right_shift(x, _BITS, out=spare)
+    x &= _P
+    x += spare
+    return x
+
+
+_POWERS: dict[int, np.ndarray] = {}
+POWERS_KEPT = 8 << 20
+_STRIDE = 1 << 15  # items worked on at a time, so that they stay in the processor's cache
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n - 1), below 2**32 modulo the prime; up to POWERS_KEPT of them are kept per worker."""
+    known = _POWERS.get(base)
+    if known is not None and len(known) >= n:
+        return known[:n]
+    out = np.ones(max(n, 1024) if n > POWERS_KEPT else 1 << max(10, (n - 1).bit_length()), dtype=np.uint32)
+    size = 1
+    while size < len(out):
+        more = min(size, len(out) - size)
+        next_part = out[:more] * _U(pow(base, size, PRIME))
+        spare = np.empty_like(next_part)
+        out[size:size + more] = _folded(_folded(next_part, spare), spare)
+        size += more
+    if len(out) <= POWERS_KEPT:
+        _POWERS[base] = out
+    return out[:n]
 
 
 class SequenceHash:
-    """64-bit hash of any slice of a sequence of 64-bit values, from prefix sums modulo 2**64."""
+    """62-bit hash of any slice of a sequence of 64-bit values, from prefix sums in two prime fields.
+
+    Two different slices of n values collide in one field for at most n of its 2**31 bases.
+    """
 
     def __init__(self, values: np.ndarray):
         n = len(values)
-        self.prefix = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(values * powers(_BASE, n), dtype=np.uint64, out=self.prefix[1:])
-        self.unshift = powers(_BASE_INV, n + 1)
+        self.prefix = [np.zeros(n + 1, dtype=np.uint32) for _ in BASES]
+        self.unshift = [powers(pow(base, -1, PRIME), n + 1) for base in BASES]
+        shift = [powers(base, n) for base in BASES]
+        part, spare = np.empty((2, min(n, _STRIDE)), dtype=np.uint64)
+        for at in range(0, n, _STRIDE):
+            chunk = values[at:at + _STRIDE]
+            x, y = part[:len(chunk)], spare[:len(chunk)]
+            for lane, (prefix, power) in enumerate(zip(self.prefix, shift)):
+                if lane:
+                    np.bitwise_and(chunk, _P, out=x)
+                else:
+                    np.right_shift(chunk, _U(33), out=x)
+                x *= power[at:at + _STRIDE]
+                _folded(x, y)
+                x[0] += prefix[at]
+                np.cumsum(x, out=x)
+                prefix[at + 1:at + 1 + len(chunk)] = _folded(x, y)
+
+    def _between(self, size: int, low, high, unshift, count) -> np.ndarray:
+        """Hashes of ``size`` slices; low, high and unshift give each field's values of a run of slices."""
+        out = np.empty(size, dtype=np.uint64)
+        gap, spare = np.empty((2, min(size, _STRIDE)), dtype=np.uint64)
+        for at in range(0, size, _STRIDE):
+            run = slice(at, min(size, at + _STRIDE))
+            x, y, found = gap[:run.stop - at], spare[:run.stop - at], out[run]
+            for lane in range(len(BASES)):
+                x[:] = high(lane, run)
+                x += _U(4 * PRIME)
+                x -= low(lane, run)
+                _folded(x, y)
+                x *= unshift(lane, run)
+                _folded(_folded(x, y), y)
+                np.floor_divide(x, _P, out=y)  # 0 or 1: the least value of its class
+                y *= _P
+                x -= y
+                if lane:
+                    found |= x
+                else:
+                    np.left_shift(x, _BITS, out=found)
+            if count is not None:
+                found += count(run).astype(np.uint64) * _U(0xD6E8FEB86659FD93)
+            out[run] = mix64(found)
+        return out
 
     def slices(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        value = (self.prefix[end] - self.prefix[start]) * self.unshift[start]
-        return mix64(value + (end - start).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+        return self._between(len(start), lambda k, run: self.prefix[k][start[run]],
+                             lambda k, run: self.prefix[k][end[run]], lambda k, run: self.unshift[k][start[run]],
+                             lambda run: end[run] - start[run])
 
     def grams(self, k: int) -> np.ndarray:
         """Hash of every k consecutive values (length n - k + 1, empty when n < k)."""
-        n = len(self.prefix) - 1
-        if n < k:
-            return np.zeros(0, dtype=np.uint64)
-        return mix64((self.prefix[k:] - self.prefix[:n - k + 1]) * self.unshift[:n - k + 1])
+        size = max(0, len(self.prefix[0]) - k)
+        return self._between(size, lambda lane, run: self.prefix[lane][run],
+                             lambda lane, run: self.prefix[lane][run.start + k:run.stop + k],
+                             lambda lane, run: self.unshift[lane][run], None)
 
 
 class RollingHash(SequenceHash):

@@ -39,8 +39,49 @@ DECODE_ROWS = 256
 _SPACE = 32
 
 
+def _byte_trie(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A trie as a double array: (below, parent, word).
+
+    The child of node n by byte b is node t = below[n] + b if parent[t] == n; word[t] is the number of the word
+    that ends there, or -1.  Node 0 is the root.
+    """
+    root: dict = {}
+    for k, word in enumerate(words):
+        node = root
+        for byte in word:
+            node = node.setdefault(byte, {})
+        node[-1] = k
+    size = sum(map(len, words)) + 1024
+    below, parent, ends = np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32)
+    # Nodes of one child fill the gaps behind ``free``; others are tried at 256 places from ``front`` on.
+    free, front, pending, places = 1, 1, [(0, root)], np.arange(256)[:, None]
+    while pending:
+        at, node = pending.pop()
+        ends[at] = node.pop(-1, -1)
+        if not node:
+            continue
+        byte = np.fromiter(node, np.int64, len(node))
+        if len(byte) == 1:
+            while parent[free] >= 0 or free <= byte[0]:
+                free += 1
+            slot = free - int(byte[0])
+        else:
+            while True:
+                if front + 1024 > len(parent):
+                    below, parent, ends = (np.append(x, np.full(len(x), fill, np.int32))
+                                           for x, fill in ((below, 0), (parent, -1), (ends, -1)))
+                fits = (parent[front + places + byte] < 0).all(axis=1)
+                if fits.any():
+                    break
+                front += 64
+            slot = front + int(fits.argmax())
+        below[at], parent[slot + byte] = slot, at
+        pending += [(slot + int(b), child) for b, child in node.items()]
+    return below, parent, ends
+
+
 class PieceModel:
-    """Pieces by the hash of their bytes, weights, and which characters have a piece."""
+    """Pieces as a trie over their bytes, weights, and which characters have a piece."""
 
     def __init__(self, path: str, alpha: float):
         import sentencepiece
@@ -66,21 +107,8 @@ class PieceModel:
         if score.min() < -100:  # ranks of merges
             score = -np.log1p(-np.maximum(score, -float(n)))
         self.longest = max(len(self.bytes[i]) for i in normal)
-        joined = np.frombuffer(b"".join(self.bytes[i] for i in normal), np.uint8)
-        ends = np.cumsum([len(self.bytes[i]) for i in normal])
-        starts = ends - [len(self.bytes[i]) for i in normal]
-        hashes = RollingHash(joined).slices(starts, ends)
-        order = np.argsort(hashes)
-        self.hashes, self.ids = hashes[order], np.array(normal)[order]
-        self.weight = (alpha * score)[order]
-        self.filter = np.zeros(1 << 22, dtype=bool)
-        self.filter[(self.hashes >> np.uint64(42)).astype(np.int64)] = True
-        # Which strings can still grow into a piece: a filter over all proper prefixes.
-        rolling, self.grows = RollingHash(joined), np.zeros(1 << 22, dtype=bool)
-        for size in range(1, self.longest):
-            longer = ends - starts > size
-            prefix = rolling.slices(starts[longer], starts[longer] + size)
-            self.grows[(prefix >> np.uint64(42)).astype(np.int64)] = True
+        self.below, self.parent, self.piece = _byte_trie([self.bytes[i] for i in normal])
+        self.ids, self.weight = np.array(normal), alpha * score
         # Characters with a piece of their own; a character inside longer pieces only counts as unknown.
         self.known = np.zeros(0x110000, dtype=bool)
         for i in normal:
@@ -88,15 +116,6 @@ class PieceModel:
             if len(text) == 1:
                 self.known[ord(text)] = True
 
-    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(indices into ``hashes`` that are pieces, their places in the sorted table, which may grow)."""
-        place = (hashes >> np.uint64(42)).astype(np.int64)
-        maybe = np.flatnonzero(self.filter[place])
-        at = np.searchsorted(self.hashes, hashes[maybe])
-        at[at == len(self.hashes)] = 0
-        hit = self.hashes[at] == hashes[maybe]
-        return maybe[hit], at[hit], self.grows[place]
-
 
 _MODELS: dict[tuple[str, float], PieceModel] = {}
 
@@ -141,8 +160,30 @@ def _units(data: np.ndarray, offsets: np.ndarray, strange: np.ndarray) -> np.nda
     return np.flatnonzero(start)
 
 
-def _lattice(model: PieceModel, data: np.ndarray, rolling: RollingHash, start: np.ndarray, length: np.ndarray,
-             strange: np.ndarray):
+def _distinct(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(one unit of every distinct byte string, the place of each unit's string in that list).
+
+    Units meet by hash and are then compared byte by byte.
+    """
+    _, sample, of = np.unique(RollingHash(data).slices(start, start + length), return_index=True, return_inverse=True)
+    alike = length == length[sample][of]
+    for a, b in row_blocks(np.append(0, np.cumsum(length)), 1 << 18):
+        size = length[a:b]
+        inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        mine, other = start[a:b], start[sample][of[a:b]]
+        same = (data[np.repeat(mine, size) + inner]
+                == data[np.minimum(np.repeat(other, size) + inner, len(data) - 1)])
+        alike[a:b] &= np.logical_and.reduceat(same, np.cumsum(size) - size)
+    if not alike.all():
+        own: dict[bytes, int] = {}
+        for k in np.flatnonzero(~alike).tolist():  # equal hashes of different units
+            of[k] = own.setdefault(data[start[k]:start[k] + length[k]].tobytes(), len(sample) + len(own))
+        first = {of[k]: k for k in np.flatnonzero(~alike)[::-1].tolist()}
+        sample = np.append(sample, [first[len(sample) + j] for j in range(len(own))]).astype(np.int64)
+    return sample, of
+
+
+def _lattice(model: PieceModel, data: np.ndarray, start: np.ndarray, length: np.ndarray, strange: np.ndarray):
     """Edges of the lattices of distinct units, ordered by end place.
 
     Places of unit k are base[k] .. base[k] + length[k].  Returns (base, first, share, begin, piece):
@@ -162,43 +203,55 @@ def _lattice(model: PieceModel, data: np.ndarray, rolling: RollingHash, start: n
         weights.append(np.zeros(len(single)))
         offsets.append(np.ones(len(single), dtype=np.int64))
     live = np.flatnonzero(~odd[unit])
+    node = np.zeros(len(live), dtype=np.int32)
+    padded = np.append(data, np.zeros(model.longest, np.uint8))
     for size in range(1, model.longest + 1):
-        live = live[room[live] >= size]
+        node = model.below[node] + padded[at[live] + (size - 1)]
+        alive = (model.parent[node] == came) & (room[live] >= size) if size > 1 else model.parent[node] == 0
+        live, node = live[alive], node[alive]
         if not len(live):
             break
-        index, found, grows = model.find(rolling.slices(at[live], at[live] + size))
-        here = live[index]
-        live = live[grows]
+        came = node
+        found = model.piece[node]
+        hit = found >= 0
+        here, found = live[hit], found[hit]
         begins.append(place[here])
         ends.append(place[here] + size)
         ids.append(model.ids[found])
         weights.append(model.weight[found])
         offsets.append(inner[here] + size)
-    begin, end, piece, weight, offset = (np.concatenate(x) for x in (begins, ends, ids, weights, offsets))
-    # Forward filtering, one distance from the unit's start at a time.
+    # Edges in order of their end place, the longest piece first: one size has at most one edge to a place.
     reach = np.full(int(base[-1] + length[-1] + 1), -np.inf)
     reach[base] = 0.0
-    order = np.lexsort((begin, end, offset))
-    begin, end, piece, weight, offset = (x[order] for x in (begin, end, piece, weight, offset))
-    share = np.empty(len(begin))
+    into = sum(np.bincount(x, minlength=len(reach)) for x in ends)
+    first_edge = np.cumsum(into) - into
+    begin, piece, weight, offset, end = (np.empty(int(into.sum()), x.dtype) for x in (
+        base, model.ids, model.weight, base, base))
+    cursor = first_edge.copy()
+    for k in reversed(range(len(ends))):
+        at = cursor[ends[k]]
+        cursor[ends[k]] += 1
+        begin[at], end[at], piece[at], weight[at], offset[at] = begins[k], ends[k], ids[k], weights[k], offsets[k]
+    # Forward filtering, one distance from the unit's start at a time.
+    order = np.argsort(offset.astype(np.uint16) if len(offset) and offset.max() < 1 << 16 else offset, kind="stable")
+    share, source, target, gain, offset = np.empty(len(begin)), begin[order], end[order], weight[order], offset[order]
     edges = np.flatnonzero(np.append(True, offset[1:] != offset[:-1]))
     for a, b in zip(edges, np.append(edges[1:], len(offset))):
-        total = reach[begin[a:b]] + weight[a:b]
-        first = np.flatnonzero(np.append(True, end[a + 1:b] != end[a:b - 1]))
+        total = reach[source[a:b]] + gain[a:b]
+        first = np.flatnonzero(np.append(True, target[a + 1:b] != target[a:b - 1]))
         size = np.diff(np.append(first, b - a))
         top = np.maximum.reduceat(total, first)
         top[np.isneginf(top)] = 0.0
         part = np.exp(total - np.repeat(top, size))
         mass = np.add.reduceat(part, first)
         with np.errstate(divide="ignore"):
-            reach[end[a:b][first]] = top + np.log(mass)
+            reach[target[a:b][first]] = top + np.log(mass)
         running = np.cumsum(part)
         before = np.repeat(running[first] - part[first], size)
-        share[a:b] = (running - before) / np.repeat(np.where(mass > 0, mass, 1.0), size)
-        share[a:b][np.append(first[1:], b - a) - 1] = 1.0
-    order = np.argsort(end, kind="stable")
-    into = np.bincount(end, minlength=len(reach))
-    return base, np.cumsum(into) - into, share[order], begin[order], piece[order]
+        part = (running - before) / np.repeat(np.where(mass > 0, mass, 1.0), size)
+        part[np.append(first[1:], b - a) - 1] = 1.0
+        share[order[a:b]] = part
+    return base, first_edge, share, begin, piece
 
 
 def encode_block(model: PieceModel, data: np.ndarray, offsets: np.ndarray, key: np.ndarray):
@@ -212,9 +265,8 @@ def encode_block(model: PieceModel, data: np.ndarray, offsets: np.ndarray, key:
     strange = _unknown_bytes(data, model.known)
     start = _units(data, offsets, strange)
     length = np.diff(np.append(start, len(data)))
-    rolling = RollingHash(data)
-    _, sample, of = np.unique(rolling.slices(start, start + length), return_index=True, return_inverse=True)
-    base, into, share, begin, piece = _lattice(model, data, rolling, start[sample], length[sample], strange)
+    sample, of = _distinct(data, start, length)
+    base, into, share, begin, piece = _lattice(model, data, start[sample], length[sample], strange)
     first = np.searchsorted(start, offsets)
     row = np.repeat(np.arange(rows), np.diff(first))
     chance = mix64(key[row] + np.arange(len(start), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
