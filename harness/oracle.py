@@ -418,6 +418,22 @@ ORACLE["csv_empty_strings"] = (
     "SELECT CAST(l_orderkey AS BIGINT) AS id, CAST(l_linenumber AS BIGINT) AS line, "
     "CASE l_linenumber % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE ' a,\"' || l_linestatus || '\" ' END AS note "
     "FROM lineitem")
+ORACLE["landing_batches"] = ORACLE["clean_machines"]
+ORACLE["snapshot_replaced"] = _orders_version_sql(1)
+ORACLE["csv_one_column"] = (
+    "SELECT CASE l_linenumber WHEN 1 THEN NULL WHEN 2 THEN '' WHEN 3 THEN '  ' WHEN 4 THEN '\\N' "
+    "ELSE l_linestatus || chr(10) END AS note FROM lineitem")
+_DRIFT = ("CAST(order_id AS BIGINT) AS order_id, CAST(quantity_ordered AS INTEGER) AS quantity, "
+          f"CAST(start_date AS DATE) AS started FROM ({bronze_sql('production_orders')}) AS b")
+ORACLE["snapshot_type_drift"] = (
+    "SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(quantity AS DOUBLE) AS quantity, "
+    f"CAST(started AS TIMESTAMP) AS started, NULL::VARCHAR AS note FROM (SELECT {_DRIFT}) AS v1 UNION ALL "
+    f"SELECT 'P' || order_id, quantity + 0.5, CAST(started AS TIMESTAMP), 'late' FROM (SELECT {_DRIFT}) AS v2")
+ORACLE["export_every_table"] = (
+    f"SELECT 'fact_alerts' AS table_name, CAST(sensor_sk AS BIGINT) AS id, severity_level AS note "
+    f"FROM ({ORACLE['fact_alerts']}) AS f UNION ALL "
+    f"SELECT 'dim_machine', machine_id, machine_name FROM ({dim_sql('dim_machine')}) AS m WHERE machine_id % 2 = 0 "
+    f"UNION ALL SELECT 'dim_operator', operator_id, upper(full_name) FROM ({dim_sql('dim_operator')}) AS o")
 ORACLE["export_one"] = ORACLE["dim_order"]
 ORACLE["csv_write_all"] = (
     f"SELECT 'dim_machine' AS table_name, count(*) AS n, CAST(sum(machine_sk) AS BIGINT) AS s "

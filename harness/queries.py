@@ -17,7 +17,7 @@ from harness.adapter import BRONZE_TABLES, bronze, driver_table
 from harness.landing import pack_pages
 from millstar.operators import cleaning, dimensions, facts
 from millstar.operators.dense_key import dense_key
-from millstar.plans.pipeline import Layout, TransformResult, run_pipeline, transform
+from millstar.plans.pipeline import Layout, TransformResult, clean_all, run_pipeline, transform
 from millstar.schemas import BRONZE_SCHEMAS, GOLD_COLUMNS
 from millstar.session import scratch_path
 from millstar.sinks.csv import CsvSink, read_csv_export
@@ -397,6 +397,79 @@ def q_pipeline_run(spark, sf):
                        "fact_alerts")
 
 
+def q_landing_batches(spark, sf):
+    """Machines landed in three streaming batches (default arguments; the third repeats rows of the first two), then
+    cleaned: silver holds the rows of all batches, repeats once."""
+    from millstar.streaming.landing import start_landing
+    layout = Layout.under(scratch_path(spark, "batches"))
+    machines, part = bronze(spark, sf, "machines"), F.pmod("machine_id", F.lit(3))
+    landing = f"{layout.bronze}-landing"
+    for rows in (machines.where(part == 0), machines.where(part == 1), machines.where((part == 2) | part.isNull())
+                 .unionByName(machines.where(F.pmod("machine_id", F.lit(2)) == 0))):
+        pack_pages(rows, "machines").write.mode("append").option("maxRecordsPerFile", 1).text(landing)
+        start_landing(spark, landing, layout.bronze, f"{layout.bronze}-checkpoint",
+                      declared=BRONZE_SCHEMAS).awaitTermination()
+    return clean_all(spark, layout, "20990101T000000")[1]["machines"]
+
+
+def q_export_every_table(spark, sf):
+    """Run 1 writes fact_alerts, run 2 lacks its source and skips it, dim_operator is then written on its own: the
+    export holds all three, read back with their sidecars."""
+    layout = Layout.under(scratch_path(spark, "runs"))
+    stamps = ("20260101T000000", "20260102T000000", "20260103T000000")
+    for t in ("alerts", "sensors", "machines", "production_lines", "operators"):
+        snapshots.write_snapshot(bronze(spark, sf, t), f"{layout.bronze}/{t}", stamps[0])
+    transform(spark, layout, stamps[0])
+    later = Layout(f"{layout.bronze}-2", f"{layout.silver}-2", layout.gold)
+    snapshots.write_snapshot(bronze(spark, sf, "machines").where("machine_id % 2 = 0"), f"{later.bronze}/machines",
+                             stamps[1])
+    transform(spark, later, stamps[1])
+    own = dimension(spark, sf, "dim_operator").withColumn("full_name", F.upper("full_name"))
+    snapshots.write_snapshot(own, f"{layout.gold}/dim_operator", stamps[2])
+    out = export_tables(spark, layout.gold, CsvSink(layout.exports))
+    shown = (("fact_alerts", "sensor_sk", "severity_level"), ("dim_machine", "machine_id", "machine_name"),
+             ("dim_operator", "operator_id", "full_name"))
+    parts = [read_csv_export(spark, out[t]).select(
+        F.lit(t).alias("table_name"), F.col(key).cast("long").alias("id"), F.col(note).alias("note"))
+        for t, key, note in shown]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_snapshot_type_drift(spark, sf):
+    """Order ids that are numbers in version 1 and text in version 2, quantities that widen, a date that becomes a
+    timestamp: all versions together get the least common types."""
+    orders = bronze(spark, sf, "production_orders").selectExpr(
+        "CAST(order_id AS BIGINT) AS order_id", "CAST(quantity_ordered AS INT) AS quantity",
+        "CAST(start_date AS DATE) AS started")
+    table_dir = scratch_path(spark, "drift") + "/orders"
+    snapshots.write_snapshot(orders, table_dir, "20260101T000000")
+    snapshots.write_snapshot(orders.selectExpr(
+        "concat('P', order_id) AS order_id", "quantity + 0.5D AS quantity",
+        "CAST(started AS TIMESTAMP) AS started", "'late' AS note"), table_dir, "20260102T000000")
+    return snapshots.read_all_versions(spark, table_dir)
+
+
+def q_snapshot_replaced(spark, sf):
+    """A stamp written three times: its newest complete copy is read."""
+    table_dir = scratch_path(spark, "replaced") + "/orders"
+    for i in (0, 2, 1):
+        snapshots.write_snapshot(_orders_version(spark, sf, i), table_dir, SNAPSHOT_STAMPS[0])
+    return snapshots.read_all_versions(spark, table_dir)
+
+
+def q_csv_one_column(spark, sf):
+    """One text column of NULLs, empty strings, blanks and the usual NULL text survives the CSV round trip."""
+    df = driver_table(spark, sf, "lineitem").selectExpr(
+        "CASE l_linenumber WHEN 1 THEN NULL WHEN 2 THEN '' WHEN 3 THEN '  ' WHEN 4 THEN '\\\\N' "
+        "ELSE concat(l_linestatus, '\n') END AS note")
+    return read_csv_export(spark, CsvSink(scratch_path(spark, "csv-one")).write(df, "notes"))
+
+
+QUERIES["landing_batches"] = q_landing_batches
+QUERIES["export_every_table"] = q_export_every_table
+QUERIES["snapshot_type_drift"] = q_snapshot_type_drift
+QUERIES["snapshot_replaced"] = q_snapshot_replaced
+QUERIES["csv_one_column"] = q_csv_one_column
 QUERIES["pipeline_run"] = q_pipeline_run
 QUERIES["snapshot_latest"] = q_snapshot_latest
 QUERIES["snapshot_all_versions"] = q_snapshot_all_versions

@@ -1,8 +1,8 @@
 """Command line: the pipeline stages as Spark applications.
 
     python -m millstar land      --lake ROOT LANDED [LANDED ...] [--json-lines]
-    python -m millstar transform --lake ROOT
-    python -m millstar export    --lake ROOT [--tables T ...] [--sep ,] [--no-header] [--all-versions]
+    python -m millstar transform --lake ROOT [--only-pending]
+    python -m millstar export    --lake ROOT [--tables T ...] [--sep ,] [--no-header] [--all-versions | --run V]
     python -m millstar run       --lake ROOT LANDED [LANDED ...]        (land -> transform -> export)
     python -m millstar stream    --lake ROOT --landing DIR --checkpoint DIR
 
@@ -51,6 +51,10 @@ def main(argv: list[str] | None = None) -> int:
         if name == "export":
             p.add_argument("--tables", nargs="*")
             p.add_argument("--all-versions", action="store_true")
+            p.add_argument("--run", help="export the tables as this finished run wrote them")
+        if name == "transform":
+            p.add_argument("--only-pending", action="store_true",
+                           help="do not clean tables again whose landed versions are all in silver")
         if name == "stream":
             p.add_argument("--landing", required=True)
             p.add_argument("--checkpoint", required=True)
@@ -64,13 +68,13 @@ def main(argv: list[str] | None = None) -> int:
         out["landed"] = land_payload(spark, args.landed, layout.bronze, schema=schema,
                                      multi_line=not args.json_lines)
     elif args.cmd == "transform":
-        res = transform(spark, layout)
+        res = transform(spark, layout, only_pending=args.only_pending)
         out.update(version=res.version, written=res.written, skipped_facts=res.skipped_facts)
     elif args.cmd == "export":
         sink = CsvSink(layout.exports, args.sep, not args.no_header)
         out["exported"] = export_tables(spark, layout.gold, sink, args.tables,
                                         "all" if args.all_versions else "latest",
-                                        parallel_writes=4)
+                                        parallel_writes=4, run=args.run)
     elif args.cmd == "run":
         res = run_pipeline(spark, args.landed, layout,
                            sink=CsvSink(layout.exports, args.sep, not args.no_header),

@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 from millstar.operators import cleaning, dimensions, facts
 from millstar.schemas import BRONZE_SCHEMAS, TABLE_IDS
 from millstar.sinks.base import Sink
-from millstar.sinks.export import export_tables, finish_run
-from millstar.sources import payload, snapshots
+from millstar.sinks.export import begin_run, export_tables, finish_run
+from millstar.sources import feed, payload, snapshots
 
 
 @dataclass(frozen=True)
@@ -82,17 +82,29 @@ def _write_layer(spark: SparkSession, frames: Mapping[str, Callable[[], DataFram
 
 def clean_all(spark: SparkSession, layout: Layout, version: str,
               parallel_writes: int = 4, declared_types: bool = True,
-              seconds: dict[str, float] | None = None) -> tuple[dict, dict]:
-    """Newest bronze version of each registered table -> cleaned silver version."""
-    cleaned = {}
+              seconds: dict[str, float] | None = None, only_pending: bool = False) -> tuple[dict, dict]:
+    """The live bronze versions of each registered table -> one cleaned silver version.
+
+    Live are the newest full extraction and all increments after it (``sources.feed``); they are cleaned together in
+    one pass, so repeats across batches go like repeats within one.  The versions taken are logged beside silver.
+    With ``only_pending`` a table whose live versions are all in its newest silver version is not written again.
+    """
+    cleaned, kept = {}, {}
     for table in TABLE_IDS:
-        table_dir = f"{layout.bronze}/{table}"
-        latest = snapshots.latest_version(spark, table_dir)   # a listing; reads no data
-        if latest is not None:
-            path = snapshots.version_path(table_dir, latest)
-            cleaned[table] = (lambda p=path, t=table:
-                              cleaning.clean_table(spark.read.parquet(p), t, declared_types))
-    return _write_layer(spark, cleaned, layout.silver, version, parallel_writes, seconds)
+        table_dir, silver_dir = f"{layout.bronze}/{table}", f"{layout.silver}/{table}"
+        found = feed.live(spark, table_dir)   # listings; read no data
+        if not found:
+            continue
+        if only_pending and found == feed.consumed(spark, silver_dir):
+            kept[table] = snapshots.read_latest(spark, silver_dir)
+            continue
+
+        def build(t=table, folders=found, silver_dir=silver_dir):
+            feed.record(spark, silver_dir, version, folders)
+            return cleaning.clean_table(snapshots.read_folders(spark, folders), t, declared_types)
+        cleaned[table] = build
+    paths, frames = _write_layer(spark, cleaned, layout.silver, version, parallel_writes, seconds)
+    return paths, {**kept, **frames}
 
 
 def build_dimensions(spark: SparkSession, silver: Mapping[str, DataFrame], layout: Layout,
@@ -149,11 +161,12 @@ def transform(spark: SparkSession, layout: Layout, when: dt.datetime | str | Non
               date_range: tuple[dt.date, dt.date] | None = None,
               parallel_writes: int = 4,
               fact_sk_from: Mapping[str, str] | None = None,
-              declared_types: bool = True) -> TransformResult:
+              declared_types: bool = True, only_pending: bool = False) -> TransformResult:
     """Bronze -> silver -> gold, one version stamp for the whole run.
 
-    A marker is left when the last layer is written; export takes its tables from
-    the newest run that has one.
+    The run is opened before gold is touched and closed by its manifest (table ->
+    version) when the last layer is written; export leaves out what open runs wrote.
+    ``only_pending``: see ``clean_all``.
 
     ``result.seconds`` holds the write time of every table (exact per table
     when ``parallel_writes == 1``) and of each layer.
@@ -162,9 +175,10 @@ def transform(spark: SparkSession, layout: Layout, when: dt.datetime | str | Non
     secs = result.seconds
     t0 = time.perf_counter()
     paths, result.silver = clean_all(spark, layout, result.version, parallel_writes,
-                                     declared_types, seconds=secs)
+                                     declared_types, seconds=secs, only_pending=only_pending)
     result.written.update({f"silver/{k}": v for k, v in paths.items()})
     t1 = time.perf_counter()
+    begin_run(spark, layout.gold, result.version)
     paths, result.dimensions = build_dimensions(spark, result.silver, layout, result.version,
                                                 date_range, parallel_writes, seconds=secs)
     result.written.update({f"gold/{k}": v for k, v in paths.items()})
@@ -174,7 +188,8 @@ def transform(spark: SparkSession, layout: Layout, when: dt.datetime | str | Non
         parallel_writes, seconds=secs, sk_from=fact_sk_from)
     result.written.update({f"gold/{k}": v for k, v in paths.items()})
     t3 = time.perf_counter()
-    finish_run(spark, layout.gold, result.version)
+    finish_run(spark, layout.gold, result.version,
+               {t: result.version for t in (*result.dimensions, *result.facts)})
     secs.update({"layer_silver": t1 - t0, "layer_dimensions": t2 - t1, "layer_facts": t3 - t2})
     return result
 

@@ -13,3 +13,8 @@ def list_tables(spark: SparkSession, root: str) -> list[str]:
     return [name for name in fs.list_dirs(spark, root)
             if not name.startswith(("_", "."))
             and fs.has_file(spark, f"{root}/{name}", ".parquet")]
+
+
+def has_versions(spark: SparkSession, table_dir: str) -> bool:
+    """Whether the folder is a versioned table (committed or not) rather than plain Parquet files."""
+    return any(d.startswith("snapshot_ts=") for d in fs.list_dirs(spark, table_dir))

@@ -7,6 +7,8 @@ cluster is configured for.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -62,21 +64,31 @@ def delete(spark: SparkSession, uri: str, recursive: bool = True) -> bool:
     return bool(fs.delete(path, recursive))
 
 
-def rename(spark: SparkSession, source: str, target: str) -> None:
-    """Move a directory the library itself wrote; the target must not exist."""
-    fs, path = _fs_and_path(spark, source)
-    _, to = _fs_and_path(spark, target)
-    if not fs.rename(path, to):
-        raise OSError(f"could not rename {source} to {target}")
-
-
 def create_empty(spark: SparkSession, uri: str) -> None:
     """An empty marker file, parents included."""
     fs, path = _fs_and_path(spark, uri)
     fs.create(path, True).close()
 
 
-def size(spark: SparkSession, uri: str) -> int:
-    """Bytes of one file."""
+def write_text(spark: SparkSession, uri: str, text: str) -> None:
+    """A small text file that appears whole: written beside its place, then moved there."""
     fs, path = _fs_and_path(spark, uri)
-    return int(fs.getFileStatus(path).getLen())
+    _, beside = _fs_and_path(spark, f"{uri.rpartition('/')[0]}/_writing-{uuid.uuid4().hex}")
+    out = fs.create(beside, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.rename(beside, path):  # most file systems do not rename onto a file
+        fs.delete(path, False)
+        if not fs.rename(beside, path):
+            raise OSError(f"could not write {uri}")
+
+
+def read_text(spark: SparkSession, uri: str) -> str | None:
+    """A small text file, or None when there is none."""
+    fs, path = _fs_and_path(spark, uri)
+    if not fs.exists(path):
+        return None
+    data = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(fs.open(path))
+    return bytes(data).decode()

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millstar.schemas import KEY_COLUMNS
-from millstar.sources import fs
+from millstar.sources import feed, fs
 from millstar.sources.snapshots import stamp, write_snapshot
 
 
@@ -94,14 +94,25 @@ def non_empty_tables(payload: DataFrame, names: list[str]) -> list[str]:
     return [n for i, n in enumerate(names) if sizes[f"n{i}"] is not None and sizes[f"n{i}"] > 0]
 
 
-def landing_partitions(payload: DataFrame) -> int:
+def landed_files(spark: SparkSession, landed: str | list[str]) -> DataFrame:
+    """The landed files as a table (path, modificationTime, length): Spark lists the folders, many of them in parallel
+    on the executors, and no file is opened."""
+    paths = [landed] if isinstance(landed, str) else list(landed)
+    return spark.read.format("binaryFile").load(paths).select("path", "modificationTime", "length")
+
+
+def landed_bytes(spark: SparkSession, landed: str | list[str]) -> int:
+    """Bytes of all landed files, summed by Spark over their listing."""
+    return landed_files(spark, landed).agg(F.sum("length")).first()[0] or 0
+
+
+def landing_partitions(spark: SparkSession, landed: str | list[str]) -> int:
     """Pieces for rows exploded from multi-line documents: by input bytes, the cluster's width at least.
 
     Each document is one row read by one task, so its rows must be spread before
     they are written; the count follows the data, not a fixed setting.
     """
-    spark = payload.sparkSession
-    total = sum(fs.size(spark, f) for f in payload.inputFiles())
+    total = landed_bytes(spark, landed)
     per = int(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").rstrip("b") or 0) or 1 << 27
     return max(1, min(spark.sparkContext.defaultParallelism, -(-total // (1 << 20))), -(-total // per))
 
@@ -109,7 +120,7 @@ def landing_partitions(payload: DataFrame) -> int:
 def land_payload(spark: SparkSession, landed: str | list[str], bronze_root: str,
                  when: dt.datetime | str | None = None, schema: T.StructType | None = None,
                  multi_line: bool = True, stage: bool = True,
-                 parallel_writes: int = 4) -> dict[str, str]:
+                 parallel_writes: int = 4, increment: bool = False) -> dict[str, str]:
     """Write every non-empty table of the landed payload(s) as a new bronze version.
 
     With ``stage`` (default) the JSON is parsed once into a Parquet copy under
@@ -117,6 +128,8 @@ def land_payload(spark: SparkSession, landed: str | list[str], bronze_root: str,
     emptiness check and every table then read only their own nested column from
     it instead of parsing the JSON once per table.  The staging copy is removed
     after the last table is written; a failed run leaves it to be overwritten.
+    An ``increment`` adds to what was landed before; otherwise the landing is a full
+    extraction of its tables and replaces it (see ``sources.feed``).
     Tables are written ``parallel_writes`` at a time.
     Returns ``{table: version directory}``.
     """
@@ -124,7 +137,7 @@ def land_payload(spark: SparkSession, landed: str | list[str], bronze_root: str,
     root = bronze_root.rstrip("/")
     payload = read_payload(spark, landed, schema, multi_line)
     names = payload_tables(payload)
-    spread = landing_partitions(payload) if multi_line and names else 1
+    spread = landing_partitions(spark, landed) if multi_line and names else 1
     staging = f"{root}/_staging/{version}"
     if stage and names:
         payload.select("tables").write.mode("overwrite").parquet(staging)
@@ -133,6 +146,8 @@ def land_payload(spark: SparkSession, landed: str | list[str], bronze_root: str,
 
     def land(name: str):
         out = table_rows(payload, name)
+        if increment:
+            feed.mark_increment(spark, f"{root}/{name}", version)
         # Spark sorts before a round-robin repartition, so a retried task reproduces it.
         return name, write_snapshot(out.repartition(spread) if spread > 1 else out, f"{root}/{name}", version)
 

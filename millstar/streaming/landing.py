@@ -2,7 +2,7 @@
 
 A Structured Streaming file source notices each new file once (tracked in the
 query's checkpoint) and ``foreachBatch`` lands the batch's files with S1: every
-table and column in them, one bronze version per batch.
+table and column in them, one bronze version per batch and table.
 
 * By default a batch holds *all* files that are new, so the pages of one
   extraction that lie in the folder when the job runs become one version, and
@@ -12,9 +12,9 @@ table and column in them, one bronze version per batch.
   padded: two batches never share a version, and a replayed batch, which holds the
   same files under the same number, rewrites its own (the old copy stays until
   the new one is complete).
-* Cleaning reads the newest version of a table, as after any extraction.  Where
-  one extraction may still be arriving, start the job after it is complete or
-  read ``snapshots.read_all_versions``.
+* Each batch is an *increment*: cleaning takes the rows of all of them (since the
+  newest full extraction, if there is one) in one pass, so it does not matter how
+  the files of an extraction were dealt to batches, or whether more are arriving.
 * Run it as a scheduled job with ``trigger(availableNow=True)`` (process all
   new files, then stop) or continuously with a processing-time trigger.
 """
@@ -51,7 +51,7 @@ def _land_batch(bronze_root: str, schema: T.StructType | None, declared: dict[st
         paths = sorted(r["path"] for r in files)
         landed = schema or payload.open_schema(spark, paths, declared, multi_line)
         payload.land_payload(spark, paths, bronze_root, batch_version(max(r["at"] for r in files), batch_id),
-                             landed, multi_line)
+                             landed, multi_line, increment=True)
     return run
 
 
