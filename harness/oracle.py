@@ -9,7 +9,7 @@ under test).  DuckDB differences handled here: NULLs sort last by default
 from __future__ import annotations
 
 from harness.adapter import ADAPTER, bronze_sql
-from millstar.schemas import BRONZE_SCHEMAS, TABLE_IDS
+from millstar.schemas import BRONZE_SCHEMAS, GOLD_COLUMNS, TABLE_IDS
 
 _DUCK_TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
                "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "int": "INTEGER"}
@@ -418,6 +418,13 @@ ORACLE["csv_empty_strings"] = (
     "SELECT CAST(l_orderkey AS BIGINT) AS id, CAST(l_linenumber AS BIGINT) AS line, "
     "CASE l_linenumber % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE ' a,\"' || l_linestatus || '\" ' END AS note "
     "FROM lineitem")
+ORACLE["payload_one_document"] = (f"SELECT {_cast_list('production_output')} "
+                                  f"FROM ({bronze_sql('production_output')}) AS b")
+for _f in ("fact_alerts", "fact_production", "fact_maintenance", "fact_quality"):
+    _order = ", ".join(f"{q(c)} ASC NULLS FIRST" for c in GOLD_COLUMNS[_f][1:])
+    ORACLE[f"{_f}_dense"] = (f"SELECT row_number() OVER (ORDER BY {_order}) AS {GOLD_COLUMNS[_f][0]}, * "
+                             f"FROM ({ORACLE[_f]}) AS f")
+ORACLE["silver_increments"] = ORACLE["clean_quality_checks"]
 ORACLE["landing_batches"] = ORACLE["clean_machines"]
 ORACLE["snapshot_replaced"] = _orders_version_sql(1)
 ORACLE["csv_one_column"] = (

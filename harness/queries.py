@@ -23,7 +23,7 @@ from millstar.session import scratch_path
 from millstar.sinks.csv import CsvSink, read_csv_export
 from millstar.sinks.base import ParquetSink
 from millstar.sinks.export import export_table, export_tables
-from millstar.sources import payload, snapshots
+from millstar.sources import feed, payload, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -465,6 +465,48 @@ def q_csv_one_column(spark, sf):
     return read_csv_export(spark, CsvSink(scratch_path(spark, "csv-one")).write(df, "notes"))
 
 
+def q_payload_one_document(spark, sf):
+    """All production output as one multi-line JSON document in one file, cut by byte ranges and landed."""
+    root = scratch_path(spark, "document")
+    rows = bronze(spark, sf, "production_output")
+    line = rows.select(F.concat(F.lit(","), F.to_json(F.struct(*rows.columns))).alias("value"))
+    ends = [spark.range(1).select(F.lit(x).alias("value")) for x in ('{"tables":{"production_output":[null', "]}}")]
+    ends[0].unionByName(line).unionByName(ends[1]).coalesce(1).write.text(f"{root}/landing")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 20))
+    try:
+        pages, multi_line = payload.splittable(spark, f"{root}/landing", True, f"{root}/pages")
+        payload.land_payload(spark, pages, f"{root}/bronze", "20260101T000000", payload.payload_schema(
+            {"production_output": BRONZE_SCHEMAS["production_output"]}), multi_line)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    return snapshots.read_latest(spark, f"{root}/bronze/production_output")
+
+
+def _fact_dense_query(name: str) -> Query:
+    """The fact with its key numbered by row order: every column comparable, key included."""
+    def run(spark, sf):
+        return facts.with_dense_key(fact(spark, sf, name), GOLD_COLUMNS[name][0])
+    run.__name__ = f"q_{name}_dense"
+    return run
+
+
+QUERIES["payload_one_document"] = q_payload_one_document
+for _f in ("fact_alerts", "fact_production", "fact_maintenance", "fact_quality"):
+    QUERIES[f"{_f}_dense"] = _fact_dense_query(_f)
+def q_silver_increments(spark, sf):
+    """Quality checks in three increments, cleaned after each: rows that an earlier one brought are not added again."""
+    layout = Layout.under(scratch_path(spark, "increments"))
+    rows, part = bronze(spark, sf, "quality_checks"), F.pmod(F.coalesce("order_id", F.lit(0)), F.lit(5))
+    for k, keep in enumerate((part < 3, part.isin(1, 3), part.isin(0, 4))):
+        version = f"2026010{k + 1}T000000"
+        feed.mark_increment(spark, f"{layout.bronze}/quality_checks", version)
+        snapshots.write_snapshot(rows.where(keep), f"{layout.bronze}/quality_checks", version)
+        silver = clean_all(spark, layout, version, incremental=True)[1]["quality_checks"]
+    return silver
+
+
+QUERIES["silver_increments"] = q_silver_increments
 QUERIES["landing_batches"] = q_landing_batches
 QUERIES["export_every_table"] = q_export_every_table
 QUERIES["snapshot_type_drift"] = q_snapshot_type_drift

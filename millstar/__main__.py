@@ -1,7 +1,7 @@
 """Command line: the pipeline stages as Spark applications.
 
     python -m millstar land      --lake ROOT LANDED [LANDED ...] [--json-lines]
-    python -m millstar transform --lake ROOT [--only-pending]
+    python -m millstar transform --lake ROOT [--only-pending] [--incremental] [--dense-fact-keys]
     python -m millstar export    --lake ROOT [--tables T ...] [--sep ,] [--no-header] [--all-versions | --run V]
     python -m millstar run       --lake ROOT LANDED [LANDED ...]        (land -> transform -> export)
     python -m millstar stream    --lake ROOT --landing DIR --checkpoint DIR
@@ -21,10 +21,10 @@ from pyspark.sql import SparkSession
 
 from millstar.plans.pipeline import Layout, payload_types_of, run_pipeline, transform
 from millstar.schemas import BRONZE_SCHEMAS
-from millstar.session import build_session
+from millstar.session import build_session, scratch_path
 from millstar.sinks.csv import CsvSink
 from millstar.sinks.export import export_tables
-from millstar.sources.payload import land_payload
+from millstar.sources.payload import land_payload, splittable
 
 
 def _session() -> SparkSession:
@@ -55,6 +55,10 @@ def main(argv: list[str] | None = None) -> int:
         if name == "transform":
             p.add_argument("--only-pending", action="store_true",
                            help="do not clean tables again whose landed versions are all in silver")
+            p.add_argument("--incremental", action="store_true",
+                           help="compare and clean new rows only, by an index of the rows in silver")
+            p.add_argument("--dense-fact-keys", action="store_true",
+                           help="fact keys 1..N in row order, the same after every retry and rerun")
         if name == "stream":
             p.add_argument("--landing", required=True)
             p.add_argument("--checkpoint", required=True)
@@ -64,11 +68,12 @@ def main(argv: list[str] | None = None) -> int:
     layout = Layout.under(args.lake)
     out: dict = {"command": args.cmd}
     if args.cmd == "land":
-        schema = payload_types_of(spark, args.landed, args.types, not args.json_lines)
-        out["landed"] = land_payload(spark, args.landed, layout.bronze, schema=schema,
-                                     multi_line=not args.json_lines)
+        landed, multi_line = splittable(spark, args.landed, not args.json_lines, scratch_path(spark, "pages"))
+        schema = payload_types_of(spark, landed, args.types, multi_line)
+        out["landed"] = land_payload(spark, landed, layout.bronze, schema=schema, multi_line=multi_line)
     elif args.cmd == "transform":
-        res = transform(spark, layout, only_pending=args.only_pending)
+        res = transform(spark, layout, only_pending=args.only_pending, dense_fact_keys=args.dense_fact_keys,
+                        incremental=args.incremental)
         out.update(version=res.version, written=res.written, skipped_facts=res.skipped_facts)
     elif args.cmd == "export":
         sink = CsvSink(layout.exports, args.sep, not args.no_header)

@@ -22,9 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from millstar.operators import cleaning, dimensions, facts
+from millstar.plans.incremental import grown_silver
 from millstar.schemas import BRONZE_SCHEMAS, TABLE_IDS
 from millstar.sinks.base import Sink
 from millstar.sinks.export import begin_run, export_tables, finish_run
+from millstar.session import scratch_path
 from millstar.sources import feed, payload, snapshots
 
 
@@ -82,11 +84,13 @@ def _write_layer(spark: SparkSession, frames: Mapping[str, Callable[[], DataFram
 
 def clean_all(spark: SparkSession, layout: Layout, version: str,
               parallel_writes: int = 4, declared_types: bool = True,
-              seconds: dict[str, float] | None = None, only_pending: bool = False) -> tuple[dict, dict]:
+              seconds: dict[str, float] | None = None, only_pending: bool = False,
+              incremental: bool = False) -> tuple[dict, dict]:
     """The live bronze versions of each registered table -> one cleaned silver version.
 
     Live are the newest full extraction and all increments after it (``sources.feed``); they are cleaned together in
     one pass, so repeats across batches go like repeats within one.  The versions taken are logged beside silver.
+    ``incremental`` compares and cleans new rows only (``plans.incremental``), with the same result.
     With ``only_pending`` a table whose live versions are all in its newest silver version is not written again.
     """
     cleaned, kept = {}, {}
@@ -99,7 +103,9 @@ def clean_all(spark: SparkSession, layout: Layout, version: str,
             kept[table] = snapshots.read_latest(spark, silver_dir)
             continue
 
-        def build(t=table, folders=found, silver_dir=silver_dir):
+        def build(t=table, folders=found, table_dir=table_dir, silver_dir=silver_dir):
+            if incremental:
+                return grown_silver(spark, table_dir, silver_dir, t, version, declared_types)
             feed.record(spark, silver_dir, version, folders)
             return cleaning.clean_table(snapshots.read_folders(spark, folders), t, declared_types)
         cleaned[table] = build
@@ -135,12 +141,14 @@ def build_facts(spark: SparkSession, silver: Mapping[str, DataFrame],
                 dims: Mapping[str, DataFrame], layout: Layout, version: str,
                 parallel_writes: int = 4,
                 seconds: dict[str, float] | None = None,
-                sk_from: Mapping[str, str] | None = None) -> tuple[dict, dict, list[str]]:
+                sk_from: Mapping[str, str] | None = None,
+                dense_keys: bool = False) -> tuple[dict, dict, list[str]]:
     """Each fact whose inputs all exist; the others are skipped and listed.
 
     ``sk_from`` maps a fact to a source column to use as its key (reproducible)
     instead of ``monotonically_increasing_id``; fact_sensor_readings always uses
-    the reading id.
+    the reading id.  With ``dense_keys`` the other facts number their rows 1..N in
+    the order of their columns, the same after every retry and rerun.
     """
     sk_from = dict(sk_from or {})
     built, skipped = {}, []
@@ -151,8 +159,12 @@ def build_facts(spark: SparkSession, silver: Mapping[str, DataFrame],
         inputs = {d: dims[d] for d in dim_names}
         inputs.update({t: silver[t] for t in tables[1:]})
         opts = {"sk_from": sk_from[name]} if name in sk_from else {}
-        built[name] = (lambda n=name, s=silver[tables[0]], i=inputs, o=opts:
-                       facts.FACT_BUILDERS[n](s, i, **o))
+        dense = dense_keys and not opts and name != "fact_sensor_readings"
+
+        def build(n=name, s=silver[tables[0]], i=inputs, o=opts, dense=dense):
+            fact = facts.FACT_BUILDERS[n](s, i, **o)
+            return facts.with_dense_key(fact, fact.columns[0]) if dense else fact
+        built[name] = build
     paths, frames = _write_layer(spark, built, layout.gold, version, parallel_writes, seconds)
     return paths, frames, skipped
 
@@ -161,12 +173,13 @@ def transform(spark: SparkSession, layout: Layout, when: dt.datetime | str | Non
               date_range: tuple[dt.date, dt.date] | None = None,
               parallel_writes: int = 4,
               fact_sk_from: Mapping[str, str] | None = None,
-              declared_types: bool = True, only_pending: bool = False) -> TransformResult:
+              declared_types: bool = True, only_pending: bool = False,
+              dense_fact_keys: bool = False, incremental: bool = False) -> TransformResult:
     """Bronze -> silver -> gold, one version stamp for the whole run.
 
     The run is opened before gold is touched and closed by its manifest (table ->
     version) when the last layer is written; export leaves out what open runs wrote.
-    ``only_pending``: see ``clean_all``.
+    ``only_pending``, ``incremental``: see ``clean_all``; ``dense_fact_keys``: see ``build_facts``.
 
     ``result.seconds`` holds the write time of every table (exact per table
     when ``parallel_writes == 1``) and of each layer.
@@ -175,7 +188,8 @@ def transform(spark: SparkSession, layout: Layout, when: dt.datetime | str | Non
     secs = result.seconds
     t0 = time.perf_counter()
     paths, result.silver = clean_all(spark, layout, result.version, parallel_writes,
-                                     declared_types, seconds=secs, only_pending=only_pending)
+                                     declared_types, seconds=secs, only_pending=only_pending,
+                                     incremental=incremental)
     result.written.update({f"silver/{k}": v for k, v in paths.items()})
     t1 = time.perf_counter()
     begin_run(spark, layout.gold, result.version)
@@ -185,7 +199,7 @@ def transform(spark: SparkSession, layout: Layout, when: dt.datetime | str | Non
     t2 = time.perf_counter()
     paths, result.facts, result.skipped_facts = build_facts(
         spark, result.silver, result.dimensions, layout, result.version,
-        parallel_writes, seconds=secs, sk_from=fact_sk_from)
+        parallel_writes, seconds=secs, sk_from=fact_sk_from, dense_keys=dense_fact_keys)
     result.written.update({f"gold/{k}": v for k, v in paths.items()})
     t3 = time.perf_counter()
     finish_run(spark, layout.gold, result.version,
@@ -212,6 +226,7 @@ def run_pipeline(spark: SparkSession, landed: str | list[str], layout: Layout,
     inference pass; ``"inferred"`` takes all types from the data.
     """
     version = _version(when)
+    landed, multi_line = payload.splittable(spark, landed, multi_line, scratch_path(spark, "pages"))
     schema = payload_types_of(spark, landed, payload_types, multi_line)
     landed_tables = payload.land_payload(spark, landed, layout.bronze, version, schema, multi_line,
                                          parallel_writes=parallel_writes)

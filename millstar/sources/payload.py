@@ -10,9 +10,9 @@ Every table and every column that was landed is kept.  ``open_schema`` takes
 names and types from the data (one inference pass) and puts the declared types in
 where a column is declared; id columns that hold text stay text.  Where the
 payload is known to hold declared columns only, passing ``payload_schema``
-instead saves the inference pass, and drops whatever is not declared.  A single
-huge multi-line document cannot be split, so land many pages rather than one
-document.
+instead saves the inference pass, and drops whatever is not declared.  A multi-line
+document is one task's work; ``splittable`` turns those that are too long for that
+into pages first.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millstar.schemas import KEY_COLUMNS
-from millstar.sources import feed, fs
+from millstar.sources import feed, fs, split
 from millstar.sources.snapshots import stamp, write_snapshot
 
 
@@ -106,6 +106,18 @@ def landed_bytes(spark: SparkSession, landed: str | list[str]) -> int:
     return landed_files(spark, landed).agg(F.sum("length")).first()[0] or 0
 
 
+def _range_bytes(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").rstrip("b") or 0) or 1 << 27
+
+
+def splittable(spark: SparkSession, landed: str | list[str], multi_line: bool, scratch: str) -> tuple:
+    """(landed, multi_line) to land from: where a multi-line document is longer than one task should read, the
+    documents are first rewritten as JSON Lines pages under ``scratch``, by many tasks (``sources.split``)."""
+    if not multi_line or split.longest_file(landed_files(spark, landed)) <= _range_bytes(spark):
+        return landed, multi_line
+    return split.paginate(spark, landed, scratch), False
+
+
 def landing_partitions(spark: SparkSession, landed: str | list[str]) -> int:
     """Pieces for rows exploded from multi-line documents: by input bytes, the cluster's width at least.
 
@@ -113,7 +125,7 @@ def landing_partitions(spark: SparkSession, landed: str | list[str]) -> int:
     they are written; the count follows the data, not a fixed setting.
     """
     total = landed_bytes(spark, landed)
-    per = int(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").rstrip("b") or 0) or 1 << 27
+    per = _range_bytes(spark)
     return max(1, min(spark.sparkContext.defaultParallelism, -(-total // (1 << 20))), -(-total // per))
 
 

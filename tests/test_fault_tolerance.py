@@ -65,6 +65,14 @@ SCRIPT = textwrap.dedent("""
     out["fact_distinct_sk"] = back.select("alert_sk").distinct().count()
     out["source_rows"] = n_src
 
+    # Keys numbered by row order: the same rows and keys with and without lost tasks.
+    kept = facts.build_fact_alerts(clean_table(bronze(spark, sf, "alerts"), "alerts"), dims)
+    one = facts.with_dense_key(fact, "alert_sk")
+    two = facts.with_dense_key(kept, "alert_sk", partitions=7)
+    out["dense_fact_equal"] = (one.exceptAll(two).count() == 0 and two.exceptAll(one).count() == 0
+                               and one.count() == n_src
+                               and one.agg(F.countDistinct("alert_sk")).first()[0] == n_src)
+
     # The salted shuffle-join path (every lookup past the bound) under the same failures.
     cols = ["date_sk", "time_sk", "sensor_sk", "machine_sk", "line_sk", "alert_type_sk",
             "resolution_time_min", "acknowledged_flag", "severity_level"]
@@ -90,5 +98,6 @@ def test_results_survive_task_retries():
     res = json.loads(lines[-1][len("RESULT "):])
     assert len(os.listdir(marks)) >= 2  # failures really were injected and retried
     assert res["dense_key_equal"]
+    assert res["dense_fact_equal"]
     assert res["fact_rows"] == res["fact_distinct_sk"] == res["source_rows"] > 0
     assert res["shuffle_path_equal"]
