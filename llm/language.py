@@ -5,17 +5,22 @@ present in both (blended spectrum, presence not counts), divided by the root of
 the two texts' own numbers.  A-Z read as a-z and every other ASCII sign as a
 blank; n-grams are told apart by a hash into ``DIMS`` places.
 
+A long text would fill the places and look like any other, so texts are read in
+parts of at most ``PART_BYTES`` bytes; no presence vector covers more.
+
 Fit.  From a bounded sample of labelled rows (about ``FIT_ROWS``, spread evenly
-over the languages, drawn by a hash of the key) tasks return one presence bit
-vector per row.  ``LANDMARKS`` of them span the Nystroem map
+over the ``MAX_LANGUAGES`` most frequent labels, drawn by a hash of the key) tasks
+return the presence bit vector of one part per row, also drawn by the key.  ``LANDMARKS`` of them span the Nystroem map
 k(x, L) (K_LL + e)^-1/2; one-versus-rest kernel ridge regression with equal
 class weights is solved there.  The sample and landmarks are the only things the
 driver holds: FIT_ROWS * DIMS / 8 bytes however long the texts are.
 
 Score.  As kernel and map are linear in the presence vector, landmarks, map and
 weights multiply out to one DIMS x languages matrix; every batch of texts is one
-presence matrix times that matrix.  Whole texts are read, long ones in parts
-that share ORDERS - 1 bytes.
+presence matrix times that matrix.  Every part of a text votes: with its shares of
+the languages (a softmax of its scores), weighed by its bytes and by how far its
+best score lies above zero, so that parts which resemble no language say little.
+The score is the winner's share of all votes.
 
 Defined results: null, empty and letterless texts are ``und`` with score 0;
 rows with a null label or key are scored but not learnt from; repeated rows get
@@ -37,6 +42,8 @@ ORDERS = 4
 DIMS = 1 << 15
 FIT_ROWS = 4000
 LANDMARKS = 192
+PART_BYTES = 4096
+MAX_LANGUAGES = 256
 RIDGE = 1e-3
 SHARPNESS = 6.0
 _ROWS = 96
@@ -55,6 +62,15 @@ def held_out(key: Column) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % 5 == 0
 
 
+def part_offsets(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets of all parts, number of each row's first part + total); an empty row is one empty part."""
+    size = np.diff(offsets)
+    count = np.maximum(1, -(-size // PART_BYTES))
+    first = np.append(0, np.cumsum(count))
+    inner = np.arange(first[-1]) - np.repeat(first[:-1], count)
+    return np.append(np.repeat(offsets[:-1], count) + inner * PART_BYTES, offsets[-1]), first
+
+
 def presence(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Presence matrix (rows x DIMS, uint8) of a few texts."""
     n = len(offsets) - 1
@@ -79,15 +95,21 @@ def presence(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _presence_bits(batches):
+    """(lang, text, key) to the presence bits of one part of each text, drawn by the key."""
     for batch in batches:
         data, offsets = utf8_column(batch.column(1))
-        for a, b in row_blocks(offsets, _BYTES):
-            for lo in range(a, b, _ROWS):
-                hi = min(b, lo + _ROWS)
-                found = presence(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
-                bits = [x.tobytes() for x in np.packbits(found, axis=1)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(bits, pa.binary())], names=["lang", "bits"])
+        parts, first = part_offsets(offsets)
+        draw = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) >> np.uint64(8)
+        chosen = first[:-1] + (draw % np.diff(first).astype(np.uint64)).astype(np.int64)
+        for lo in range(0, len(chosen), _ROWS):
+            mine = chosen[lo:lo + _ROWS]
+            texts = [data[parts[k]:parts[k + 1]] for k in mine]
+            found = presence(np.concatenate(texts), np.append(0, np.cumsum([len(t) for t in texts])))
+            bits = [x.tobytes() for x in np.packbits(found, axis=1)]
+            here = batch.slice(lo, len(mine))
+            yield pa.RecordBatch.from_arrays(
+                [here.column(0), pa.array(bits, pa.binary()), here.column(2).cast(pa.int64())],
+                names=["lang", "bits", "key"])
 
 
 class Model:
@@ -96,13 +118,30 @@ class Model:
     def __init__(self, languages: list[str], weights: np.ndarray, bias: np.ndarray):
         self.languages, self.weights, self.bias = languages, weights, bias
 
-    def classify(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(language index, share of the winner in 0..1) of each row."""
+    def raw(self, found: np.ndarray) -> np.ndarray:
+        """Kernel ridge scores (rows x languages) of presence vectors."""
         norm = np.sqrt(np.maximum(1, found.sum(axis=1, dtype=np.int64)))
-        raw = found.astype(np.float32) @ self.weights / norm[:, None] + self.bias
-        best = raw.argmax(axis=1)
-        share = 1.0 / np.exp(SHARPNESS * (raw - raw.max(axis=1, keepdims=True))).sum(axis=1)
-        return best, share.astype(np.float64)
+        return found.astype(np.float32) @ self.weights / norm[:, None] + self.bias
+
+    def votes(self, found: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """What each part of ``size`` bytes says for each language."""
+        raw = self.raw(found).astype(np.float64)
+        top = raw.max(axis=1, keepdims=True)
+        share = np.exp(SHARPNESS * (raw - top))
+        share /= share.sum(axis=1, keepdims=True)
+        return share * np.maximum(top, 1e-3) * np.maximum(size, 1)[:, None]
+
+    def classify(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(language index, its share of the votes) of each text."""
+        parts, first = part_offsets(offsets)
+        total = np.zeros((len(offsets) - 1, len(self.languages)))
+        row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+        for lo in range(0, len(row), _ROWS):
+            hi = min(len(row), lo + _ROWS)
+            found = presence(data[parts[lo]:parts[hi]], parts[lo:hi + 1] - parts[lo])
+            np.add.at(total, row[lo:hi], self.votes(found, np.diff(parts[lo:hi + 1])))
+        best = total.argmax(axis=1)
+        return best, total[np.arange(len(best)), best] / total.sum(axis=1)
 
 
 def fit(labelled: DataFrame, lang: str, text: str, key: str, fit_rows: int = FIT_ROWS,
@@ -111,7 +150,8 @@ def fit(labelled: DataFrame, lang: str, text: str, key: str, fit_rows: int = FIT
     rows = labelled.where(col(key).isNotNull()).select(
         col(lang).alias("lang"), col(text).alias("text"), F.xxhash64(col(key)).alias("key")).where(
         "lang is not null and text is not null")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+              .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
     if not counts:
         return None
     quota = max(8, fit_rows // len(counts))
@@ -120,7 +160,7 @@ def fit(labelled: DataFrame, lang: str, text: str, key: str, fit_rows: int = FIT
     for name, n in counts.items():
         limit = F.when(F.col("lang") == name, F.lit(int((1 << 24) * min(1.0, quota / n)))).otherwise(limit)
     sample = (rows.where(draw < limit).select("lang", "text", "key")
-              .mapInArrow(_with_key, "lang string, bits binary, key long").collect())
+              .mapInArrow(_presence_bits, "lang string, bits binary, key long").collect())
     sample.sort(key=lambda r: (r["lang"], r["key"], bytes(r["bits"])))
     if not sample:
         return None
@@ -151,16 +191,6 @@ def fit(labelled: DataFrame, lang: str, text: str, key: str, fit_rows: int = FIT
     return Model(languages, weights.astype(np.float32), solved[-1].astype(np.float32))
 
 
-def _with_key(batches):
-    for batch in batches:
-        at = 0
-        for part in _presence_bits([batch.select([0, 1])]):
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), batch.column(2).slice(at, part.num_rows).cast(pa.int64())],
-                names=["lang", "bits", "key"])
-            at += part.num_rows
-
-
 def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """``df`` plus lang_pred and score (in fresh names where these are taken)."""
     pred, score, letter = fresh(df, "lang_pred"), fresh(df, "score"), fresh(df, "has_letter")
@@ -177,10 +207,7 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
             data, offsets = utf8_column(batch.column(place))
             best, share = np.zeros(batch.num_rows, dtype=np.int64), np.zeros(batch.num_rows)
             for a, b in row_blocks(offsets, _BYTES):
-                for lo in range(a, b, _ROWS):
-                    hi = min(b, lo + _ROWS)
-                    found = presence(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
-                    best[lo:hi], share[lo:hi] = model.classify(found)
+                best[a:b], share[a:b] = model.classify(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
             silent = ~batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
             best[silent], share[silent] = len(model.languages), 0.0
             yield pa.RecordBatch.from_arrays(

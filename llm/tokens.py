@@ -309,7 +309,8 @@ def _read_blocks(batches):
     for batch in batches:
         for row in range(batch.num_rows):
             block = TokenBlock(batch.column("payload")[row].as_py())
-            bounds = block.bounds.all()
+            # Where each document starts is looked up in the block's select structure.
+            bounds = np.array([block.bounds.select(i) for i in range(block.documents + 1)], dtype=np.int64)
             wide = block.flat.astype("<u4")
             crc = [zlib.crc32(wide[a:b].tobytes()) for a, b in zip(bounds[:-1], bounds[1:])]
             n = block.documents

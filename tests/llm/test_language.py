@@ -35,14 +35,86 @@ def test_presence_matches_byte_grams():
         language._BYTES = again
 
 
+def places(text):
+    """The places of a text's grams, one gram at a time."""
+    plain = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in text.encode())
+    out = set()
+    for n in range(1, 5):
+        for i in range(len(plain) - n + 1):
+            h = 0
+            for order in range(1, n + 1):
+                h = (h * 2654435761 + plain[i + order - 1] + order) % (1 << 32)
+            out.add(((h ^ (h >> 15)) * 2246822519 % (1 << 32)) >> (32 - 15))
+    return out
+
+
 def test_scores_equal_the_kernel_form(spark):
-    """The collapsed weights give the same scores as kernel, map and dual weights would."""
-    rows = [(i, ("the and of " if i % 2 else "der und die ") * (3 + i % 4), "en" if i % 2 else "de") for i in range(60)]
+    """Scores of the collapsed weights against kernels of sets, the Nystroem map and ridge regression written out."""
+    words = {"en": "the and of to in that house water", "de": "der und die das haus wasser nicht auf",
+             "fr": "le et la de maison que dans pour"}
+    rnd = np.random.default_rng(5)
+    rows = [(i, " ".join(rnd.choice(words[k].split(), 6 + i % 5)), k) for i, k in enumerate(list(words) * 12)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    model = language.fit(df, "lang", "text", "doc_id")
-    assert model.languages == ["de", "en"]
-    out = language.predict(df, model).collect()
+    model = language.fit(df, "lang", "text", "doc_id")      # every row is learnt from and a landmark
+    sets = [places(t) for _, t, _ in rows]
+    names = sorted(words)
+    assert model.languages == names
+
+    def kernel(a, b):
+        return len(a & b) / np.sqrt(len(a) * len(b))
+    k = np.array([[kernel(a, b) for b in sets] for a in sets])
+    value, vector = np.linalg.eigh(k + 1e-6 * np.eye(len(k)))
+    root = (vector / np.sqrt(np.maximum(value, 1e-9))) @ vector.T
+    mapped = np.hstack([k @ root, np.ones((len(k), 1))])
+    target = np.array([[1.0 if n == lang else -1.0 for n in names] for _, _, lang in rows])
+    weight = np.full((len(k), 1), 1 / 12)
+    solved = np.linalg.solve(mapped.T @ (mapped * weight) + language.RIDGE * np.eye(mapped.shape[1]),
+                             mapped.T @ (target * weight))
+    for text in ("the water and the haus", "pour la maison", "nicht", "unbekannt xyz", "Der Wasser-Turm"):
+        mine = places(text)
+        want = np.append(np.array([kernel(mine, s) for s in sets]) @ root, 1.0) @ solved
+        data = np.frombuffer(text.encode(), np.uint8)
+        got = model.raw(language.presence(data, np.array([0, len(data)])))[0]
+        assert np.allclose(got, want, atol=2e-3), (text, got, want)
+
+
+def test_parts_cover_whole_texts(monkeypatch):
+    monkeypatch.setattr(language, "PART_BYTES", 10)
+    parts, first = language.part_offsets(np.array([0, 25, 25, 35, 36]))
+    assert parts.tolist() == [0, 10, 20, 25, 25, 35, 36] and first.tolist() == [0, 3, 4, 5, 6]
+
+
+def test_long_texts_keep_their_language(spark):
+    """1.5 million characters, and real sentences beside far more random words."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("lang IS NOT NULL AND n_chars > 400")
+    model = language.fit(docs, "lang", "text", "doc_id")
+    rnd = np.random.default_rng(7)
+    noise = " ".join("".join(rnd.choice(list("abcdefghijklmnopqrstuvwxyz"), rnd.integers(3, 9))) for _ in range(60_000))
+    by = {}
+    for r in docs.collect():
+        by.setdefault(r["lang"], []).append(r["text"])
+    rows = []
+    for lang, texts in by.items():
+        whole = " ".join(texts)
+        rows.append((lang, (whole * (1_500_000 // len(whole) + 1))[:1_500_000]))
+        rows.append((lang, " ".join(texts[:100]) + " " + noise))
+    out = language.predict(spark.createDataFrame(rows, "lang string, text string"), model).collect()
     assert all(r["lang_pred"] == r["lang"] for r in out)
+    assert all(r["score"] > 0.95 for r in out[::2])
+
+
+def test_languages_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 2)
+    rows = [(i, f"text of kind {i % 4} " * 5, f"l{i % 4}") for i in range(40)] + [(99, "more", "l3"), (98, "more", "l2")]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "lang", "text", "doc_id")
+    assert model.languages == ["l2", "l3"]
+
+
+def test_equal_texts_get_equal_predictions_and_ties_the_first_language(spark):
+    rows = [(i, "same words here", k) for i, k in enumerate(["b", "a"] * 10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = language.predict(df, language.fit(df, "lang", "text", "doc_id")).collect()
+    assert len({(r["lang_pred"], r["score"]) for r in out}) == 1
 
 
 def test_edges(spark, docs, corpus, no_docs):

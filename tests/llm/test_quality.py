@@ -56,3 +56,20 @@ def test_no_python_in_the_plan(docs):
 
 def test_empty_table(no_docs):
     assert quality.quality_report(no_docs).isEmpty() and quality.keep_good(no_docs).isEmpty()
+
+
+def test_kept_documents_do_not_depend_on_the_order(spark, docs, monkeypatch):
+    want = sorted(r["doc_id"] or -1 for r in quality.quality_report(docs).where("quality.kept").collect())
+    assert want
+    for shift in range(len(quality.RULES)):
+        order = quality.RULES[shift:] + quality.RULES[:shift]
+        monkeypatch.setattr(quality, "cascade_order", lambda *a, order=order: order)
+        assert sorted(r["doc_id"] or -1 for r in quality.keep_good(docs).collect()) == want
+
+
+def test_windows_are_computed_behind_cheaper_rules(docs, monkeypatch):
+    monkeypatch.setattr(quality, "cascade_order", lambda *a: quality.RULES)
+    plan = quality.keep_good(docs)._jdf.queryExecution().optimizedPlan().toString()
+    windows = min(i for i, line in enumerate(plan.splitlines()) if "xxhash64" in line)
+    first = max(i for i, line in enumerate(plan.splitlines()) if "too_short" in line)
+    assert first > windows      # the filter of the rules before lies below the windows
