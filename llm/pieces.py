@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from llm.common import col, fresh
 from llm.kernels import RollingHash, mix64, row_blocks, utf8_column
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 DECODE_ROWS = 256
 _SPACE = 32
 
