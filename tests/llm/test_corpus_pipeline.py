@@ -80,6 +80,6 @@ def test_empty_table_passes_every_stage(spark):
 
 
 def test_registry_names_one_query_per_operator():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
     assert [n for n, _ in cp.STAGES] == ["quality_rules", "ngram_jaccard", "suffix_dedup", "mixing", "sentencepiece"]
