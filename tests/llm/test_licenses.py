@@ -1,9 +1,11 @@
 import itertools
 import re
 
+import duckdb
+
 from pyspark.sql import functions as F
 
-from llm import licenses
+from llm import license_expectations, license_names, licenses
 from small_corpus import corpus, docs, no_docs  # noqa: F401
 
 APACHE = '''# Licensed under the Apache License, Version 2.0 (the "License");
@@ -49,7 +51,10 @@ def test_order_of_sentences_matters(spark):
 def test_every_phrase_holds_a_cue_and_every_rule_known_phrases():
     ids = [i for i, _ in licenses.PHRASES]
     assert len(set(ids)) == len(ids)
-    assert {p for _, chain in licenses.RULES for p in chain} <= set(ids)
+    kinds = {f"{i}{k}" for i in ids if "gpl" in i and i.endswith("-free") for k in ("-or-later", "-only")}
+    assert {p for _, chain in licenses.RULES for p in chain} <= {*ids, *kinds, "name:Apache-2.0"}
+    assert {n for n, _ in licenses.RULES} <= set(licenses.ORDER) and len(set(licenses.ORDER)) == len(licenses.ORDER)
+    assert {*license_names.NAMED.values(), *license_names.TAGS.values()} <= set(licenses.ORDER)
     for _, pattern in licenses.PHRASES:
         assert any(c in pattern for c in licenses.CUES), pattern
 
@@ -134,7 +139,7 @@ CC = {"": "Attribution", "-NC": "Attribution-NonCommercial", "-SA": "Attribution
 NOTICES = [
     ("Apache-2.0", APACHE.replace("# ", "").replace("#", "")), ("MIT", MIT), ("BSD-2-Clause", BSD % ""),
     ("BSD-3-Clause", BSD % ENDORSE),
-    *((spdx, GNU % {"name": f"{name}General Public License", "version": version}) for spdx, name, version in (
+    *((f"{spdx}-or-later", GNU % {"name": f"{name}General Public License", "version": version}) for spdx, name, version in (
         ("AGPL-3.0", "Affero ", "3"), ("LGPL-3.0", "Lesser ", "3"), ("LGPL-2.1", "Lesser ", "2.1"),
         ("GPL-3.0", "", "3"), ("GPL-2.0", "", "2"))),
     ("MPL-2.0", MPL),
@@ -161,7 +166,8 @@ def test_published_notices_match_their_rules_in_any_comment(spark):
         for text in (notice, *("\n".join(sign + line for line in lines) for sign in ("-- ", "# ", " * ", "// "))):
             wanted.append(([name], 0))
             texts.append(text)
-    assert {n for n, _ in NOTICES} == {n for n, _ in licenses.RULES}
+    assert {n for n, _ in licenses.RULES} <= {n for n, _ in NOTICES} | {
+        f"{n.removesuffix('-or-later')}{k}" for n, _ in NOTICES if n.endswith("-or-later") for k in ("", "-only")}
     got = [g[1:] for g in scan(spark, texts)]
     assert [(t, g) for t, g, w in zip(texts, got, wanted) if g != w] == []
 
@@ -172,6 +178,69 @@ def test_only_a_version_keeps_a_sentence_open(spark):
     assert got[0] == (0, [], 0) and got[1][0] == 2
 
 
+SAID = [
+    ("SPDX-License-Identifier: MIT", ["MIT"]),
+    ("// SPDX-License-Identifier: Apache-2.0\nint main() { return 0; }", ["Apache-2.0"]),
+    ("/* SPDX-License-Identifier: (GPL-2.0+ OR BSD-3-Clause) */", ["BSD-3-Clause", "GPL-2.0-or-later"]),
+    ("SPDX-License-Identifier: GPL-2.0-only WITH Linux-syscall-note", ["GPL-2.0-only"]),
+    ("<!-- SPDX-License-Identifier: CC-BY-SA-4.0 -->", ["CC-BY-SA-4.0"]),
+    ("This crate is licensed under MIT.", ["MIT"]),
+    ("Licensed under Apache 2.0", ["Apache-2.0"]),
+    ("MIT License\n\nCopyright (c) 2020 A. Person", ["MIT"]),
+    ("# MIT Licence\nCopyright (c) 2020 A Person", ["MIT"]),
+    ("Distributed under the GPLv3.", ["GPL-3.0"]),
+    ("Licensed under GPL-3.0-only.", ["GPL-3.0-only"]),
+    ("Licensed under the GNU General Public License, version 2 or later.", ["GPL-2.0-or-later"]),
+    ("Released under the GPL v2 (or, at your option, any later version).", ["GPL-2.0-or-later"]),
+    ("Licensed under the LGPLv2.1+.", ["LGPL-2.1-or-later"]),
+    ("Available under the terms of version 2 of the GNU General Public License.", ["GPL-2.0"]),
+    ("Licensed under either of Apache License, Version 2.0 or MIT license at your option.", ["Apache-2.0", "MIT"]),
+    ("Licensed under the BSD 3-Clause License.", ["BSD-3-Clause"]),
+    ("This is not licensed under the MIT License.", []),
+    ("The data isn't released under CC BY 4.0, but the code is released under the MIT License.", ["MIT"]),
+    ("No longer distributed under the GPLv2.", []),
+    ("Available under Python 3. He studied at MIT. Apache License talk was published under pressure.", []),
+    ("Permitted by the GPL? Nobody was unlicensed under mitigation.", []),
+    ("Copyright 2020 X. All rights reserved.\n\n" + BSD % "", ["BSD-2-Clause"]),
+    ("Copyright 2020 X. All rights reserved.", ["LicenseRef-All-Rights-Reserved"]),
+    ("Licensed under the Apache License.", ["LicenseRef-Apache"]),
+]
+
+
+def test_names_tags_headings_versions_and_negations(spark):
+    got = scan(spark, [t for t, _ in SAID])
+    assert [(t, g[1]) for (t, w), g in zip(SAID, got) if (g[1], g[2]) != (w, 0)] == []
+    assert scan(spark, ["SPDX-License-Identifier: Foo-1.0"]) == [(1, [], 1)]
+
+
+def test_every_name_and_tag_is_found(spark):
+    texts = [(f"Released under the {key.split('|')[0]} {key.split('|')[1]}.", name)
+             for key, name in license_names.NAMED.items()]
+    texts += [(f"SPDX-License-Identifier: {tag.upper()}", name) for tag, name in license_names.TAGS.items()]
+    got = scan(spark, [t for t, _ in texts])
+    assert [(t, g[1], name) for (t, name), g in zip(texts, got) if g[1:] != ([name], 0)] == []
+
+
+def test_names_are_found_without_cues_too(spark, monkeypatch):
+    texts = [t for t, _ in SAID]
+    got = scan(spark, texts)
+    monkeypatch.setattr(licenses, "CUES", ("",))
+    assert scan(spark, texts) == got
+
+
+def test_expectations_agree_where_they_speak(spark):
+    """The SQL knows no headings, no second name and no bare family; elsewhere it and the scan agree."""
+    silent = ("MIT Licen", "# MIT", "either of", "(GPL-2.0+ OR", "BSD", "version 2 of", "Redistribution", "Apache License.")
+    texts = [t for t, _ in SAID if not any(s in t for s in silent)]
+    texts += [None, "", "Prose.", APACHE, MIT, "Released under the MIT License. All rights reserved. Released under the MIT License."]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [[i, t] for i, t in enumerate(texts)])
+    want = con.execute(license_expectations.sql() + " ORDER BY doc_id").fetchall()
+    got = [(i, n, ",".join(names), rest) for i, (n, names, rest) in enumerate(scan(spark, texts))]
+    assert got == want
+
+
 def test_edges_and_plan(spark, docs, corpus, no_docs):
     clash = docs.withColumn("licenses", F.lit(1)).withColumn("l_ids", F.lit("x"))
     out = licenses.scan_licenses(clash)
