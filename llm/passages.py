@@ -1,4 +1,4 @@
-"""Substring dedup on words: seeds over winnowed anchors, windows grouped under them.
+"""Substring dedup on words: seed and extend over winnowed anchors.
 
 A window is ``length`` consecutive words.  A word goes when a window that
 covers it also starts in a document with a smaller key.
@@ -10,15 +10,19 @@ documents on the anchors, sorted by (anchor, content, key).  Copies of a whole
 seed are settled there, and within a batch even before it: every place in a
 document after the first is a repeat.
 
-Extension.  Seeds that share their anchor with other contents stay open.  No
-match is extended to the left or right from them: all their windows are hashed
-and grouped on (anchor, window hash) with the smallest key as a partial
-aggregate, so that pairs are never listed.  This is a change of method from
-seed and extend, with the same spans.  A very common anchor is thus spread over
-its windows.
+Extension.  Seeds that share their anchor with other contents stay open and are
+extended from the anchor to both sides.  A window has ``length - gram`` words
+beside its anchor, so half of them lie on one side: places meet again on the
+anchor and that arm (left or right), carrying the few words further out and
+those on the other side.  There all places of an arm are extended together, one
+word at a time to either side: each step splits the classes of places that
+agree so far, so no pair is listed.  Places that agree over ``length`` words in
+some class hold a repeat; consecutive ones make the maximal repeat that is kept.
+A group of more than OPEN_ROWS places of one arm is not extended in one task:
+its extensions go out as hashes, and one aggregate over (anchor, extension)
+finds the smallest key of each.
 
-Spans are judged on the input.  Words and windows are compared by 64-bit
-hashes, windows only under an equal 64-bit anchor.
+Spans are judged on the input.  Words and contents are compared by 62-bit hashes.
 
 Defined results: null or empty text has no words; a null key is smaller than no
 other and others are not compared with it as smaller; rows that share key and
@@ -49,7 +53,9 @@ NO_KEY = (1 << 63) - 1     # stands for a null key: smaller than no other
 REPEATED, OPEN = 0, 1
 _SEED = pa.schema([(c, pa.int64()) for c in ("anchor", "content", "key", "text_hash", "start", "n")])
 _MARK = pa.schema([(c, pa.int64()) for c in ("key", "text_hash", "start", "n", "anchor", "kind")])
-_WINDOW = pa.schema([(c, pa.int64()) for c in ("anchor", "extension", "key", "text_hash", "start")])
+_REPEAT = pa.schema([(c, pa.int64()) for c in ("anchor", "extension", "key", "text_hash", "start", "n")])
+_PLACE = ("anchor", "arm", "key", "text_hash", "base", "side", "low", "high")  # and the words beside the arm
+LEFT, RIGHT = 0, 1
 
 
 def _ddl(schema: pa.Schema) -> str:
@@ -173,8 +179,65 @@ def _settled(batches):
     yield from settler.feed(np.zeros((6, 0), dtype=np.int64), True)
 
 
-def _extensions(length: int):
-    """The windows around every open seed: (anchor, window hash, key, text_hash, start)."""
+class _Arms:
+    """How a window's words beside its anchor are shared out.
+
+    A window with ``left`` words before its anchor belongs to the left arm when they are at least
+    ``half``, else to the right arm.  Step i of an arm takes i words beyond it (near) and
+    ``depth[side] - i`` words on the other side of the anchor (far).
+    """
+
+    def __init__(self, length: int, gram: int):
+        self.gram = gram
+        self.other = length - gram
+        self.half = (self.other + 1) // 2
+        self.arm = (self.half, self.other - self.half + 1)
+        self.depth = (self.other - self.half, self.half - 1)
+        self.words = max(self.depth)
+        self.schema = pa.schema([(c, pa.int64()) for c in _PLACE]
+                                + [(f"{w}{i}", pa.int64()) for w in ("near", "far") for i in range(self.words)])
+
+    def step(self, side: int, left: np.ndarray) -> np.ndarray:
+        return left - self.half if side == LEFT else self.half - 1 - left
+
+    def start(self, side, base, step):
+        """First word of the window of a step; ``base`` is that of step 0."""
+        return np.where(side == LEFT, base - step, base + step)
+
+
+def _places(length: int, gram: int):
+    """The anchors of all open seeds with the words around them, one row per arm that a window needs."""
+    arms = _Arms(length, gram)
+
+    def rows_of(side, words, sequence, anchor, row, first, at, left, key, text_hash):
+        chosen = np.flatnonzero((left >= arms.half) == (side == LEFT))
+        if not len(chosen):
+            return None
+        anchor, row, at, left = anchor[chosen], row[chosen], at[chosen], left[chosen]
+        place = at + left
+        lead = np.flatnonzero(np.append(True, (place[1:] != place[:-1]) | (row[1:] != row[:-1])
+                                        | (at[1:] != at[:-1] + 1)))
+        last = np.append(lead[1:], len(at)) - 1
+        steps = np.sort([arms.step(side, left[lead]), arms.step(side, left[last])], axis=0)
+        row, anchor, place = row[lead], anchor[lead], place[lead]
+        word = first[row] + place
+        if side == LEFT:
+            arm = sequence.slices(word - arms.half, word)
+            near, far, base = word - arms.half - 1, word + gram, place - arms.half
+            out = -1
+        else:
+            arm = sequence.slices(word + gram, word + gram + arms.arm[RIGHT])
+            near, far, base = word + gram + arms.arm[RIGHT], word - 1, place - arms.half + 1
+            out = 1
+        columns = [anchor, _signed(mix64(arm + np.uint64(side))), key[row], text_hash[row], base,
+                   np.full(len(row), side), steps[0], steps[1]]
+        for origin, way, reach in ((near, out, steps[1]), (far, -out, arms.depth[side] - steps[0])):
+            for i in range(arms.words):
+                # Words that no window of this place reaches may lie outside the text: they read 0.
+                inside = i < reach
+                columns.append(np.where(inside, _signed(words)[np.where(inside, origin + way * i, 0)], 0))
+        return _batch(columns, arms.schema)
+
     def run(batches):
         for batch in batches:
             data, offsets = utf8_column(batch.column("text"))
@@ -187,14 +250,114 @@ def _extensions(length: int):
             for a, b in row_blocks(offsets, BATCH_BYTES):
                 words, first = _word_hashes(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                 sequence = SequenceHash(words)
+                grams = _signed(sequence.grams(gram))
                 lo, hi = begin[a], begin[b - 1] + lists[b - 1]
-                row = np.repeat(np.arange(a, b), lists[a:b])
                 count = n[lo:hi]
                 of = np.repeat(np.arange(hi - lo), count)
+                row = np.repeat(np.arange(b - a), lists[a:b])[of]
                 at = start[lo:hi][of] + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-                from_word = first[row[of] - a] + at
-                yield _batch([anchor[lo:hi][of], _signed(sequence.slices(from_word, from_word + length)),
-                              key[row[of]], text_hash[row[of]], at], _WINDOW)
+                wanted, from_word = anchor[lo:hi][of], first[row] + at
+                left = np.zeros(len(at), dtype=np.int64)
+                for i in range(arms.other, -1, -1):  # the leftmost of equal anchors
+                    left[grams[from_word + i] == wanted] = i
+                for side in (LEFT, RIGHT):
+                    found = rows_of(side, words, sequence, wanted, row, first, at, left, key[a:b], text_hash[a:b])
+                    if found is not None:
+                        yield found
+    return run, arms.schema
+
+
+def _split(classes: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Classes of places that agree in their class and in one more word."""
+    order = np.lexsort((word, classes))
+    c, w = classes[order], word[order]
+    out = np.empty(len(classes), dtype=np.int64)
+    out[order] = np.cumsum(np.append(True, (c[1:] != c[:-1]) | (w[1:] != w[:-1])))
+    return out
+
+
+class _Extender:
+    """Streams places sorted by (anchor, arm); holds only the group that may go on."""
+
+    def __init__(self, length: int, gram: int):
+        self.arms = _Arms(length, gram)
+        self.held = np.zeros((len(self.arms.schema), 0), dtype=np.int64)
+        self.wide = None  # (anchor, arm) of a group beyond OPEN_ROWS that may go on
+
+    def feed(self, rows: np.ndarray, final: bool):
+        rows = np.concatenate([self.held, rows], axis=1)
+        if self.wide is not None:
+            more = (rows[0] == self.wide[0]) & (rows[1] == self.wide[1])
+            yield from self._hashed(rows[:, more])
+            rows = rows[:, ~more]
+            if rows.shape[1]:
+                self.wide = None
+        total = rows.shape[1]
+        new = np.flatnonzero((rows[0, 1:] != rows[0, :-1]) | (rows[1, 1:] != rows[1, :-1])) + 1
+        cut = total if final else int(new[-1]) if len(new) else 0
+        self.held = rows[:, cut:]
+        if self.held.shape[1] > OPEN_ROWS:
+            self.wide = tuple(int(x) for x in self.held[:2, 0])
+            yield from self._hashed(self.held)
+            self.held = self.held[:, :0]
+        yield from self._extended(rows[:, :cut])
+
+    def _extended(self, rows: np.ndarray):
+        """Extends all places of their groups together and keeps what reaches the full length."""
+        if not rows.shape[1]:
+            return
+        new = np.append(True, (rows[0, 1:] != rows[0, :-1]) | (rows[1, 1:] != rows[1, :-1]))
+        begin, group = np.flatnonzero(new), np.cumsum(new) - 1
+        keys = rows[2]
+        shared = (np.minimum.reduceat(keys, begin) < np.maximum.reduceat(keys, begin))[group]
+        rows, group = rows[:, shared], group[shared]
+        if not rows.shape[1]:
+            return
+        keys, side, low, high = rows[2], rows[5], rows[6], rows[7]
+        near, far = [group], [group]
+        for i in range(self.arms.words):
+            near.append(_split(near[i], rows[len(_PLACE) + i]))
+            far.append(_split(far[i], rows[len(_PLACE) + self.arms.words + i]))
+        reached = np.zeros((len(group), self.arms.words + 3), dtype=bool)  # a false column before and after
+        for s in (LEFT, RIGHT):
+            for i in range(self.arms.depth[s] + 1):
+                at = np.flatnonzero((side == s) & (low <= i) & (i <= high))
+                if len(at):
+                    classes = _split(near[i][at], far[self.arms.depth[s] - i][at])
+                    order = np.argsort(classes, kind="stable")
+                    lead = np.flatnonzero(np.diff(classes[order], prepend=0))
+                    earliest = np.minimum.reduceat(keys[at][order], lead)[classes - 1]
+                    reached[at, i + 1] = keys[at] > earliest
+        place, first = np.nonzero(reached[:, 1:-1] & ~reached[:, :-2])
+        _, last = np.nonzero(reached[:, 1:-1] & ~reached[:, 2:])
+        if len(place):
+            r = rows[:, place]
+            start = self.arms.start(r[5], r[4], np.where(r[5] == LEFT, last, first))
+            yield _batch([r[0], np.zeros(len(place)), r[2], r[3], start, last - first + 1], _REPEAT)
+
+    def _hashed(self, rows: np.ndarray):
+        """The extensions of a large group, one row per window with n = 0."""
+        words = rows[len(_PLACE):].view(np.uint64)
+        for s in (LEFT, RIGHT):
+            for i in range(self.arms.depth[s] + 1):
+                at = np.flatnonzero((rows[5] == s) & (rows[6] <= i) & (i <= rows[7]))
+                if not len(at):
+                    continue
+                extension = mix64(rows[1, at].view(np.uint64) + np.uint64(i))
+                far = self.arms.words
+                for w in [*range(i), *range(far, far + self.arms.depth[s] - i)]:
+                    extension = mix64(extension * np.uint64(0xD6E8FEB86659FD93) + words[w, at])
+                r = rows[:, at]
+                yield _batch([r[0], _signed(extension), r[2], r[3], self.arms.start(r[5], r[4], i),
+                              np.zeros(len(at))], _REPEAT)
+
+
+def _extended(length: int, gram: int):
+    def run(batches):
+        extender = _Extender(length, gram)
+        for batch in batches:
+            yield from extender.feed(np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]), False)
+        yield from extender.feed(extender.held[:, :0], True)
     return run
 
 
@@ -210,12 +373,18 @@ def repeated_passages(df: DataFrame, key: str = "doc_id", text: str = "text", le
                     .mapInArrow(_settled, _ddl(_MARK)), "passage-marks")
     listed = (marks.where(F.col("kind") == OPEN).groupBy("key", "text_hash")
               .agg(F.collect_list(F.struct("start", "n", "anchor")).alias("marks")))
-    windows = written(docs.join(listed, ["key", "text_hash"]).mapInArrow(_extensions(length), _ddl(_WINDOW)),
-                      "passage-windows")
-    earliest = windows.groupBy("anchor", "extension").agg(F.min("key").alias("first_key"))
-    hits = (windows.join(earliest, ["anchor", "extension"]).where(F.col("key") > F.col("first_key"))
-            .select("key", "text_hash", "start", F.lit(1).cast("long").alias("n")))
-    both = marks.where(F.col("kind") == REPEATED).select("key", "text_hash", "start", "n").unionByName(hits)
+    places, schema = _places(length, gram)
+    # Joined again on (anchor, arm): a frequent anchor spreads over the words beside it.
+    repeats = written(docs.join(listed, ["key", "text_hash"]).mapInArrow(places, _ddl(schema))
+                      .repartition(n, "anchor", "arm").sortWithinPartitions("anchor", "arm")
+                      .mapInArrow(_extended(length, gram), _ddl(_REPEAT)), "passage-repeats")
+    wide = repeats.where(F.col("n") == 0)
+    earliest = wide.groupBy("anchor", "extension").agg(F.min("key").alias("first_key"))
+    spread = (wide.join(earliest, ["anchor", "extension"]).where(F.col("key") > F.col("first_key"))
+              .select("key", "text_hash", "start", F.lit(1).cast("long").alias("n")))
+    both = (marks.where(F.col("kind") == REPEATED).select("key", "text_hash", "start", "n")
+            .unionByName(repeats.where(F.col("n") > 0).select("key", "text_hash", "start", "n"))
+            .unionByName(spread))
     return both.groupBy("key", "text_hash").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
 
 

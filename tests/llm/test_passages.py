@@ -55,6 +55,49 @@ def test_every_path_gives_the_same_words(spark, monkeypatch, settings):
     assert report(df) == brute(rows)
 
 
+@pytest.mark.parametrize("length, gram", [(13, 4), (12, 4), (6, 5), (5, 5), (3, 1)])
+@pytest.mark.parametrize("open_rows", [3, 100_000])
+def test_extension_over_small_batches(spark, monkeypatch, length, gram, open_rows):
+    """Groups that cross Arrow batches, both arms, even and odd lengths, repeated anchors."""
+    monkeypatch.setattr(passages, "OPEN_ROWS", open_rows)
+    rnd = random.Random(length * 10 + gram)
+    base = [rnd.choice("abcdefgh") for _ in range(200)]
+    rows = []
+    for i in range(50):
+        at, size = rnd.randrange(180), rnd.randrange(2, 40)
+        middle = base[at:at + size]
+        if rnd.random() < 0.5:
+            middle[rnd.randrange(len(middle))] = "z"
+        rows.append((i, " ".join([rnd.choice("xy")] * rnd.randrange(9) + middle + [rnd.choice("uvw")] * 3)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        spans = passages.repeated_passages(df, length=length, gram=gram).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = {(r["key"], x["start"] + i) for r in spans for x in r["spans"] for i in range(x["n"])}
+    first, want = {}, set()
+    for key, text in rows:
+        w = text.split()
+        for i in range(len(w) - length + 1):
+            if first.setdefault(tuple(w[i:i + length]), key) < key:
+                want.add((key, i))
+    assert want and got == want
+
+
+def test_open_seeds_are_extended_as_maximal_repeats(spark):
+    """One shared passage between different neighbours: the edge windows of each seed come in runs."""
+    shared = [f"s{i}" for i in range(30)]
+    rows = [(k, " ".join([f"p{k}_{i}" for i in range(20)] + shared + [f"q{k}_{i}" for i in range(20)]))
+            for k in range(6)]
+    spans = {r["key"]: r["spans"] for r in passages.repeated_passages(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sorted(spans) == [1, 2, 3, 4, 5]
+    for found in spans.values():
+        starts = sorted(x["start"] + i for x in found for i in range(x["n"]))
+        assert starts == list(range(20, 38)) and len(found) < len(starts)
+
+
 def test_remove_passages_keeps_columns(docs, corpus):
     clash = docs.withColumn("p_key", F.lit(1)).withColumn("marks", F.lit("m"))
     out = passages.remove_passages(clash)
