@@ -332,6 +332,8 @@ ORACLE: dict[str, str] = {
 for _f in ("fact_sensor_readings", "fact_alerts", "fact_quality", "fact_maintenance",
            "fact_production"):
     ORACLE[f"{_f}_shuffle_joins"] = ORACLE[_f]
+for _f in ("fact_production", "fact_quality"):
+    ORACLE[f"{_f}_bucketed"] = ORACLE[_f]
 ORACLE["fact_alerts_keyed"] = fact_alerts_body(
     "CAST(a.alert_id AS BIGINT) AS alert_sk, " + FACT_ALERTS_COLS)
 ORACLE["fact_quality_keyed"] = fact_quality_body(

@@ -494,6 +494,22 @@ def _fact_dense_query(name: str) -> Query:
 QUERIES["payload_one_document"] = q_payload_one_document
 for _f in ("fact_alerts", "fact_production", "fact_maintenance", "fact_quality"):
     QUERIES[f"{_f}_dense"] = _fact_dense_query(_f)
+def _fact_bucketed_query(name: str) -> Query:
+    """The fact over order tables written in buckets of order_id (no exchange on its order lookups)."""
+    def run(spark, sf):
+        layout, version = Layout.under(scratch_path(spark, "buckets")), "20260101T000000"
+        for t in ("production_orders", "production_output", "quality_checks", "production_lines", "factories",
+                  "shifts", "operators"):
+            snapshots.write_snapshot(bronze(spark, sf, t), f"{layout.bronze}/{t}", version)
+        return _without_sk(transform(spark, layout, version, order_buckets=8).facts[name], name)
+    run.__name__ = f"q_{name}_bucketed"
+    return run
+
+
+for _f in ("fact_production", "fact_quality"):
+    QUERIES[f"{_f}_bucketed"] = _fact_bucketed_query(_f)
+
+
 def q_silver_increments(spark, sf):
     """Quality checks in three increments, cleaned after each: rows that an earlier one brought are not added again."""
     layout = Layout.under(scratch_path(spark, "increments"))

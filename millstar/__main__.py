@@ -1,7 +1,7 @@
 """Command line: the pipeline stages as Spark applications.
 
     python -m millstar land      --lake ROOT LANDED [LANDED ...] [--json-lines]
-    python -m millstar transform --lake ROOT [--only-pending] [--incremental] [--dense-fact-keys]
+    python -m millstar transform --lake ROOT [--only-pending] [--incremental] [--dense-fact-keys] [--order-buckets N]
     python -m millstar export    --lake ROOT [--tables T ...] [--sep ,] [--no-header] [--all-versions | --run V]
     python -m millstar run       --lake ROOT LANDED [LANDED ...]        (land -> transform -> export)
     python -m millstar stream    --lake ROOT --landing DIR --checkpoint DIR
@@ -59,6 +59,7 @@ def main(argv: list[str] | None = None) -> int:
                            help="compare and clean new rows only, by an index of the rows in silver")
             p.add_argument("--dense-fact-keys", action="store_true",
                            help="fact keys 1..N in row order, the same after every retry and rerun")
+            p.add_argument("--order-buckets", type=int, help="write the order tables in so many buckets of order_id")
         if name == "stream":
             p.add_argument("--landing", required=True)
             p.add_argument("--checkpoint", required=True)
@@ -73,7 +74,7 @@ def main(argv: list[str] | None = None) -> int:
         out["landed"] = land_payload(spark, landed, layout.bronze, schema=schema, multi_line=multi_line)
     elif args.cmd == "transform":
         res = transform(spark, layout, only_pending=args.only_pending, dense_fact_keys=args.dense_fact_keys,
-                        incremental=args.incremental)
+                        incremental=args.incremental, order_buckets=args.order_buckets)
         out.update(version=res.version, written=res.written, skipped_facts=res.skipped_facts)
     elif args.cmd == "export":
         sink = CsvSink(layout.exports, args.sep, not args.no_header)

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from millstar.functions.temporal import as_timestamp, date_key, epoch_seconds, hour_key
 from millstar.functions.text import first_digit_run
 from millstar.operators.dense_key import dense_key
-from millstar.operators.lookup import Lookup, resolve
+from millstar.operators.lookup import Colocation, Lookup, resolve
 
 # Fixed value: minutes in an 8-hour shift, used by cycle_time_avg.
 SHIFT_MINUTES = 480
@@ -89,11 +89,12 @@ FACT_PRODUCTION_LOOKUPS = [
 
 def build_fact_production(production_output: DataFrame, dims: Mapping[str, DataFrame],
                           sk_from: str | None = None,
-                          broadcast_max_rows: int | None = None) -> DataFrame:
+                          broadcast_max_rows: int | None = None,
+                          colocated: Colocation | None = None) -> DataFrame:
     """F1.  ``dims`` also holds silver ``production_orders`` (target units, product)."""
     src = production_output.withColumn(
         "date_key", date_key(as_timestamp(production_output, "production_date")))
-    out = resolve(src, dims, FACT_PRODUCTION_LOOKUPS, broadcast_max_rows)
+    out = resolve(src, dims, FACT_PRODUCTION_LOOKUPS, broadcast_max_rows, colocated)
     units = F.col("units_produced")
     cycle = F.when(units > 0, (F.lit(SHIFT_MINUTES) - F.col("downtime_minutes")) / units)
     return out.select(
@@ -125,11 +126,12 @@ FACT_QUALITY_LOOKUPS = [
 
 def build_fact_quality(quality_checks: DataFrame, dims: Mapping[str, DataFrame],
                        sk_from: str | None = None,
-                       broadcast_max_rows: int | None = None) -> DataFrame:
+                       broadcast_max_rows: int | None = None,
+                       colocated: Colocation | None = None) -> DataFrame:
     """F2."""
     src = quality_checks.withColumn(
         "date_key", date_key(as_timestamp(quality_checks, "check_date")))
-    out = resolve(src, dims, FACT_QUALITY_LOOKUPS, broadcast_max_rows)
+    out = resolve(src, dims, FACT_QUALITY_LOOKUPS, broadcast_max_rows, colocated)
     sample = F.col("sample_size")
     rate = F.when(sample > 0, F.col("defects_found") / sample * 100).otherwise(F.lit(0.0))
     passed = F.coalesce(F.lower(F.col("result")) == "pass", F.lit(False))

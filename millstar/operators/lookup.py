@@ -18,6 +18,9 @@ Physical strategy, per lookup
 * **Growing sides are never hinted** (``Lookup.growing``: the order lookups).
   While the side measures below Spark's own broadcast threshold the join is left
   to Spark; past it the join is shuffled as below.
+* **Bucketed alike, no exchange.**  Where the caller names a ``Colocation`` (fact
+  and growing sides written in the same buckets of the key) and no key, NULL
+  included, is hot, the lookup on that key is a plain join of the buckets.
 * **Otherwise a shuffle join** (sort-merge; AQE may still switch it to a
   broadcast at runtime).  The join key is extended by a salt column so that no
   key can pile up in one reducer:
@@ -80,6 +83,14 @@ class SideSize:
     bytes: int
 
 
+@dataclass(frozen=True)
+class Colocation:
+    """The fact and its growing sides lie in as many buckets of this column."""
+
+    column: str
+    buckets: int
+
+
 def measured_size(dim: DataFrame, columns: Sequence[str]) -> SideSize:
     """Rows and bytes of ``columns`` of ``dim``, by one aggregate, remembered per DataFrame."""
     wanted = tuple(dict.fromkeys(columns))
@@ -218,12 +229,27 @@ def strategies(dims: Mapping[str, DataFrame], lookups: Sequence[Lookup], max_row
     return chosen
 
 
+def evenly_keyed(fact: DataFrame, where: Colocation) -> bool:
+    """No key, NULL included, fills more than HOT_REDUCER_SLACK average buckets.
+
+    Counted by the keys' hashes: a grouping by the bucketed column would read each bucket, hot ones too, in one task.
+    """
+    counts = fact.groupBy(F.xxhash64(F.col(f"`{where.column}`"))).agg(F.count(F.lit(1)).alias("n"))
+    most = counts.agg(F.max("n").alias("n"), F.sum("n").alias("total")).first()
+    return not most["total"] or most["n"] * where.buckets <= HOT_REDUCER_SLACK * most["total"]
+
+
 def resolve(fact: DataFrame, dims: Mapping[str, DataFrame], lookups: Sequence[Lookup],
-            broadcast_max_rows: int | None = None) -> DataFrame:
+            broadcast_max_rows: int | None = None, colocated: Colocation | None = None) -> DataFrame:
     """Apply ``lookups`` in order as left joins."""
     max_rows = DEFAULT_BROADCAST_MAX_ROWS if broadcast_max_rows is None else broadcast_max_rows
     partitions = shuffle_partitions(fact.sparkSession)
     plan = strategies(dims, lookups, max_rows)
+    if colocated is not None:
+        bucketed = [how == "salt" and lk.growing and _fact_keys(lk) == (colocated.column,)
+                    for lk, how in zip(lookups, plan)]
+        if any(bucketed) and evenly_keyed(fact, colocated):
+            plan = ["spark" if b else how for b, how in zip(bucketed, plan)]
     salted_sets = list(dict.fromkeys(_fact_keys(lk) for lk, how in zip(lookups, plan) if how == "salt"))
     hot_by_keys = hot_keys(fact, dims, lookups, salted_sets, partitions) if salted_sets else {}
     with_salt: set[str] = set()

@@ -22,12 +22,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from millstar.operators import cleaning, dimensions, facts
+from millstar.operators.lookup import Colocation
 from millstar.plans.incremental import grown_silver
 from millstar.schemas import BRONZE_SCHEMAS, TABLE_IDS
 from millstar.sinks.base import Sink
 from millstar.sinks.export import begin_run, export_tables, finish_run
 from millstar.session import scratch_path
-from millstar.sources import feed, payload, snapshots
+from millstar.sources import buckets, feed, payload, snapshots
+
+
+# The tables that F1 and F2 join on the order id.
+ORDER_ID = "order_id"
+BY_ORDER = ("production_orders", "production_output", "quality_checks", "dim_order")
 
 
 @dataclass(frozen=True)
@@ -59,16 +65,26 @@ def _version(when: dt.datetime | str | None) -> str:
 
 
 def _write_layer(spark: SparkSession, frames: Mapping[str, Callable[[], DataFrame]], root: str,
-                 version: str, parallel: int, seconds: dict[str, float] | None = None
+                 version: str, parallel: int, seconds: dict[str, float] | None = None,
+                 order_buckets: int | None = None, counted: Mapping[str, DataFrame] | None = None
                  ) -> tuple[dict[str, str], dict[str, DataFrame]]:
-    """Build (lazily, in the worker) and write each table as a new version; read it back."""
+    """Build (lazily, in the worker) and write each table as a new version; read it back.
+
+    With ``order_buckets`` the tables of BY_ORDER are written in that many buckets of the order id; ``counted`` may
+    name frames in which their frequent order ids are cheaper to find.
+    """
     def one(item):
         name, build = item
         t0 = time.perf_counter()
         df = build()
-        path = snapshots.write_snapshot(df, f"{root.rstrip('/')}/{name}", version)
         # Read back with the schema we just wrote: no footer inference per table.
-        back = spark.read.schema(df.schema).parquet(path)
+        if order_buckets and name in BY_ORDER and ORDER_ID in df.columns:
+            path = snapshots.write_snapshot(df, f"{root.rstrip('/')}/{name}", version, lambda rows, folder: buckets.write(
+                rows, folder, ORDER_ID, order_buckets, (counted or {}).get(name)))
+            back = buckets.read(spark, path, df.schema)
+        else:
+            path = snapshots.write_snapshot(df, f"{root.rstrip('/')}/{name}", version)
+            back = spark.read.schema(df.schema).parquet(path)
         if seconds is not None:
             seconds[name] = time.perf_counter() - t0
         return name, path, back
@@ -85,7 +101,7 @@ def _write_layer(spark: SparkSession, frames: Mapping[str, Callable[[], DataFram
 def clean_all(spark: SparkSession, layout: Layout, version: str,
               parallel_writes: int = 4, declared_types: bool = True,
               seconds: dict[str, float] | None = None, only_pending: bool = False,
-              incremental: bool = False) -> tuple[dict, dict]:
+              incremental: bool = False, order_buckets: int | None = None) -> tuple[dict, dict]:
     """The live bronze versions of each registered table -> one cleaned silver version.
 
     Live are the newest full extraction and all increments after it (``sources.feed``); they are cleaned together in
@@ -93,15 +109,20 @@ def clean_all(spark: SparkSession, layout: Layout, version: str,
     ``incremental`` compares and cleans new rows only (``plans.incremental``), with the same result.
     With ``only_pending`` a table whose live versions are all in its newest silver version is not written again.
     """
-    cleaned, kept = {}, {}
+    cleaned, kept, counted = {}, {}, {}
     for table in TABLE_IDS:
         table_dir, silver_dir = f"{layout.bronze}/{table}", f"{layout.silver}/{table}"
         found = feed.live(spark, table_dir)   # listings; read no data
         if not found:
             continue
         if only_pending and found == feed.consumed(spark, silver_dir):
-            kept[table] = snapshots.read_latest(spark, silver_dir)
+            written = snapshots.committed(spark, silver_dir)
+            kept[table] = buckets.read(spark, written[max(written)])
             continue
+        if order_buckets and table in BY_ORDER:
+            raw = snapshots.read_folders(spark, found)
+            if ORDER_ID in raw.columns:
+                counted[table] = raw.select(ORDER_ID)
 
         def build(t=table, folders=found, table_dir=table_dir, silver_dir=silver_dir):
             if incremental:
@@ -109,14 +130,16 @@ def clean_all(spark: SparkSession, layout: Layout, version: str,
             feed.record(spark, silver_dir, version, folders)
             return cleaning.clean_table(snapshots.read_folders(spark, folders), t, declared_types)
         cleaned[table] = build
-    paths, frames = _write_layer(spark, cleaned, layout.silver, version, parallel_writes, seconds)
+    paths, frames = _write_layer(spark, cleaned, layout.silver, version, parallel_writes, seconds, order_buckets,
+                                 counted)
     return paths, {**kept, **frames}
 
 
 def build_dimensions(spark: SparkSession, silver: Mapping[str, DataFrame], layout: Layout,
                      version: str, date_range: tuple[dt.date, dt.date] | None = None,
                      parallel_writes: int = 4,
-                     seconds: dict[str, float] | None = None) -> tuple[dict, dict]:
+                     seconds: dict[str, float] | None = None,
+                     order_buckets: int | None = None) -> tuple[dict, dict]:
     """Calendar and hours always; every other dimension when its source exists."""
     start, end = date_range or (dimensions.DEFAULT_START, dimensions.DEFAULT_END)
     dims: dict[str, Callable[[], DataFrame]] = {
@@ -134,7 +157,7 @@ def build_dimensions(spark: SparkSession, silver: Mapping[str, DataFrame], layou
     for name, (source, build) in derived.items():
         if source in silver:
             dims[name] = (lambda b=build, s=source: b(silver[s]))
-    return _write_layer(spark, dims, layout.gold, version, parallel_writes, seconds)
+    return _write_layer(spark, dims, layout.gold, version, parallel_writes, seconds, order_buckets)
 
 
 def build_facts(spark: SparkSession, silver: Mapping[str, DataFrame],
@@ -142,7 +165,7 @@ def build_facts(spark: SparkSession, silver: Mapping[str, DataFrame],
                 parallel_writes: int = 4,
                 seconds: dict[str, float] | None = None,
                 sk_from: Mapping[str, str] | None = None,
-                dense_keys: bool = False) -> tuple[dict, dict, list[str]]:
+                dense_keys: bool = False, order_buckets: int | None = None) -> tuple[dict, dict, list[str]]:
     """Each fact whose inputs all exist; the others are skipped and listed.
 
     ``sk_from`` maps a fact to a source column to use as its key (reproducible)
@@ -159,7 +182,9 @@ def build_facts(spark: SparkSession, silver: Mapping[str, DataFrame],
         inputs = {d: dims[d] for d in dim_names}
         inputs.update({t: silver[t] for t in tables[1:]})
         opts = {"sk_from": sk_from[name]} if name in sk_from else {}
-        dense = dense_keys and not opts and name != "fact_sensor_readings"
+        if order_buckets and ORDER_ID in silver[tables[0]].columns and name in ("fact_production", "fact_quality"):
+            opts["colocated"] = Colocation(ORDER_ID, order_buckets)
+        dense = dense_keys and "sk_from" not in opts and name != "fact_sensor_readings"
 
         def build(n=name, s=silver[tables[0]], i=inputs, o=opts, dense=dense):
             fact = facts.FACT_BUILDERS[n](s, i, **o)
@@ -174,12 +199,16 @@ def transform(spark: SparkSession, layout: Layout, when: dt.datetime | str | Non
               parallel_writes: int = 4,
               fact_sk_from: Mapping[str, str] | None = None,
               declared_types: bool = True, only_pending: bool = False,
-              dense_fact_keys: bool = False, incremental: bool = False) -> TransformResult:
+              dense_fact_keys: bool = False, incremental: bool = False,
+              order_buckets: int | None = None) -> TransformResult:
     """Bronze -> silver -> gold, one version stamp for the whole run.
 
     The run is opened before gold is touched and closed by its manifest (table ->
     version) when the last layer is written; export leaves out what open runs wrote.
     ``only_pending``, ``incremental``: see ``clean_all``; ``dense_fact_keys``: see ``build_facts``.
+    ``order_buckets`` lays the order tables and the sources of F1 and F2 out in that many buckets of the order id
+    (``sources.buckets``): their order lookups then shuffle neither fact nor side, however large both are.  It costs one
+    exchange of each table when it is written, so it pays where a written layer feeds several builds.
 
     ``result.seconds`` holds the write time of every table (exact per table
     when ``parallel_writes == 1``) and of each layer.
@@ -189,17 +218,18 @@ def transform(spark: SparkSession, layout: Layout, when: dt.datetime | str | Non
     t0 = time.perf_counter()
     paths, result.silver = clean_all(spark, layout, result.version, parallel_writes,
                                      declared_types, seconds=secs, only_pending=only_pending,
-                                     incremental=incremental)
+                                     incremental=incremental, order_buckets=order_buckets)
     result.written.update({f"silver/{k}": v for k, v in paths.items()})
     t1 = time.perf_counter()
     begin_run(spark, layout.gold, result.version)
     paths, result.dimensions = build_dimensions(spark, result.silver, layout, result.version,
-                                                date_range, parallel_writes, seconds=secs)
+                                                date_range, parallel_writes, seconds=secs,
+                                                order_buckets=order_buckets)
     result.written.update({f"gold/{k}": v for k, v in paths.items()})
     t2 = time.perf_counter()
     paths, result.facts, result.skipped_facts = build_facts(
         spark, result.silver, result.dimensions, layout, result.version,
-        parallel_writes, seconds=secs, sk_from=fact_sk_from, dense_keys=dense_fact_keys)
+        parallel_writes, seconds=secs, sk_from=fact_sk_from, dense_keys=dense_fact_keys, order_buckets=order_buckets)
     result.written.update({f"gold/{k}": v for k, v in paths.items()})
     t3 = time.perf_counter()
     finish_run(spark, layout.gold, result.version,

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,18 +83,22 @@ def committed(spark: SparkSession, table_dir: str) -> dict[str, str]:
     return {v: pairs[-1][1] for v, pairs in _commits(spark, table_dir).items()}
 
 
-def write_snapshot(df: DataFrame, table_dir: str, when: dt.datetime | str | None = None) -> str:
-    """A new version of the table, or a new copy of that version; returns its folder."""
+def write_snapshot(df: DataFrame, table_dir: str, when: dt.datetime | str | None = None,
+                   save: Callable[[DataFrame, str], object] = write_parquet) -> str:
+    """A new version of the table, or a new copy of that version; returns its folder.
+
+    ``save`` writes the folder's files (plain Parquet unless told otherwise) before the version is committed.
+    """
     version = when if isinstance(when, str) else stamp(when)
     spark, root = df.sparkSession, table_dir.rstrip("/")
     known = _commits(spark, root).get(version)
     if not known:
         path, pointer = version_path(root, version), f"{version}~{0:010d}"
-        df.write.mode("overwrite").parquet(path)
+        save(df, path)
     else:
         generation, folder = f"{known[-1][0] + 1:010d}", uuid.uuid4().hex
         path, pointer = _generation_path(root, version, generation, folder), f"{version}~{generation}~{folder}"
-        df.write.parquet(path)
+        save(df, path)
     fs.create_empty(spark, f"{root}/_commits/{pointer}")
     for generation, folder in (known or [])[:-1]:
         _forget(spark, root, version, generation, folder)

@@ -1,0 +1,114 @@
+"""Order tables in buckets of order_id: same facts, no exchange on the order lookups, hot keys spread or salted."""
+from __future__ import annotations
+
+import glob
+
+import pytest
+from pyspark.sql import functions as F
+
+from harness.adapter import bronze
+from millstar.operators import facts
+from millstar.operators.lookup import Colocation, evenly_keyed
+from millstar.plans.pipeline import Layout, transform
+from millstar.schemas import GOLD_COLUMNS
+from millstar.sources import buckets, snapshots
+
+from conftest import SF_SMALL
+
+VERSION = "20260101T000000"
+TABLES = ("production_orders", "production_output", "quality_checks", "production_lines", "factories", "shifts",
+          "operators")
+
+
+def bag(df, name=None):
+    return sorted(map(str, map(tuple, (df.select(GOLD_COLUMNS[name][1:]) if name else df).collect())))
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def landed(spark, root, **changed):
+    layout = Layout.under(root)
+    for t in TABLES:
+        rows = bronze(spark, SF_SMALL, t)
+        snapshots.write_snapshot(changed.get(t, lambda df: df)(rows), f"{layout.bronze}/{t}", VERSION)
+    return layout
+
+
+def built(result, name, **opts):
+    tables, dim_names = facts.FACT_REQUIREMENTS[name]
+    dims = {d: result.dimensions[d] for d in dim_names} | {t: result.silver[t] for t in tables[1:]}
+    return facts.FACT_BUILDERS[name](result.silver[tables[0]], dims, **opts)
+
+
+@pytest.fixture()
+def no_spark_broadcast(spark):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = [spark.conf.get(n) for n in names]
+    for n in names:
+        spark.conf.set(n, "-1")
+    yield
+    for n, v in zip(names, before):
+        spark.conf.set(n, v)
+
+
+def test_order_lookups_need_no_exchange(spark, tmp_root, no_spark_broadcast):
+    layout = landed(spark, tmp_root)
+    plain = transform(spark, layout, VERSION)
+    bucketed = transform(spark, layout, "20260102T000000", order_buckets=4)
+    assert not any(t.name.startswith("bucketed_") for t in spark.catalog.listTables())
+    for name in ("fact_production", "fact_quality"):
+        assert bag(bucketed.facts[name], name) == bag(plain.facts[name], name) != []
+        shuffled = plan(built(plain, name))
+        fact = built(bucketed, name, colocated=Colocation("order_id", 4))
+        assert "Exchange hashpartitioning" in shuffled and "SortMergeJoin" in plan(fact)
+        assert "Exchange hashpartitioning" not in plan(fact) and "__salt" not in plan(fact)
+        assert bag(fact, name) == bag(plain.facts[name], name)
+    for table in TABLES:
+        assert bag(plain.silver[table]) == bag(bucketed.silver[table])
+    # Later runs that keep silver read it with its buckets; other readers see plain Parquet.
+    kept = transform(spark, layout, "20260103T000000", only_pending=True, order_buckets=4)
+    assert "silver/production_output" not in kept.written
+    assert "Exchange hashpartitioning" not in plan(built(kept, "fact_production", colocated=Colocation("order_id", 4)))
+    orders = snapshots.read_latest(spark, f"{layout.gold}/dim_order")
+    assert orders.count() == plain.dimensions["dim_order"].count()
+
+
+def test_hot_and_null_orders_are_salted_and_spread(spark, tmp_root, no_spark_broadcast):
+    def skewed(df):
+        n = F.pmod(F.xxhash64(*df.columns), F.lit(3))
+        return df.withColumn("order_id", F.when(n == 0, F.lit(None)).when(n == 1, F.lit(1)).otherwise(F.col("order_id"))
+                             .cast(df.schema["order_id"].dataType))
+    layout = landed(spark, tmp_root, production_output=skewed)
+    plain = transform(spark, layout, VERSION)
+    bucketed = transform(spark, layout, "20260102T000000", order_buckets=8)
+    source, where = bucketed.silver["production_output"], Colocation("order_id", 8)
+    assert not evenly_keyed(source, where) and evenly_keyed(bucketed.silver["quality_checks"], where)
+    assert "__salt_order_id" in built(bucketed, "fact_production", colocated=where)._jdf.queryExecution() \
+        .optimizedPlan().toString()
+    assert bag(bucketed.facts["fact_production"], "fact_production") == bag(plain.facts["fact_production"],
+                                                                           "fact_production")
+    folder = bucketed.written["silver/production_output"]
+    sizes = [spark.read.parquet(f).count() for f in glob.glob(f"{folder}/*.parquet")]
+    assert len(sizes) > 8 and max(sizes) < source.count() / 3
+
+
+def test_folders_of_any_kind(spark, tmp_root):
+    rows = spark.createDataFrame([(1, "a", [1]), (None, "b", None), (2, "it's", [])], "k long, `odd ``name` string, l array<int>")
+    for name, df in (("flat", rows.drop("l")), ("nested", rows), ("empty", rows.drop("l").limit(0))):
+        path = f"{tmp_root}/o'{name}"
+        buckets.write(df, path, "k", 4)
+        assert buckets.bucketing(spark, path) == (None if name == "empty" else ("k", 4))
+        for back in (buckets.read(spark, path), buckets.read(spark, path, df.schema)):
+            assert back.columns == df.columns and bag(back) == bag(df)
+    rows.write.parquet(f"{tmp_root}/plain")
+    assert buckets.bucketing(spark, f"{tmp_root}/plain") is None
+    assert bag(buckets.read(spark, f"{tmp_root}/plain")) == bag(rows)
+
+
+def test_frequent_keys_reads_text_ids(spark):
+    counted = spark.createDataFrame([("7",)] * 60 + [(str(i),) for i in range(100, 140)] + [("x",), (None,)], "k string")
+    from pyspark.sql import types as T
+    assert buckets.frequent_keys(counted, "k", T.LongType(), 8) == [7]
+    assert buckets.frequent_keys(counted, "k", T.StringType(), 8) == ["7"]
