@@ -18,9 +18,10 @@ those on the other side.  There all places of an arm are extended together, one
 word at a time to either side: each step splits the classes of places that
 agree so far, so no pair is listed.  Places that agree over ``length`` words in
 some class hold a repeat; consecutive ones make the maximal repeat that is kept.
-A group of more than OPEN_ROWS places of one arm is not extended in one task:
-its extensions go out as hashes, and one aggregate over (anchor, extension)
-finds the smallest key of each.
+An arm that would fill more than HOT_SLACK average tasks, or a group of more
+than OPEN_ROWS places, is not extended in one task: its extensions go out as
+hashes, and one aggregate over (anchor, extension) finds the smallest key of
+each.
 
 Spans are judged on the input.  Words and contents are compared by 62-bit hashes.
 
@@ -49,6 +50,7 @@ GRAM = 4
 MAX_RUN = 64
 BATCH_BYTES = 1 << 20
 OPEN_ROWS = 100_000
+HOT_SLACK = 2              # average tasks that one arm's places may fill
 NO_KEY = (1 << 63) - 1     # stands for a null key: smaller than no other
 REPEATED, OPEN = 0, 1
 _SEED = pa.schema([(c, pa.int64()) for c in ("anchor", "content", "key", "text_hash", "start", "n")])
@@ -352,6 +354,15 @@ class _Extender:
                               np.zeros(len(at))], _REPEAT)
 
 
+def _spread(length: int, gram: int):
+    """The extensions of places whose arm is hot, one row per window."""
+    def run(batches):
+        extender = _Extender(length, gram)
+        for batch in batches:
+            yield from extender._hashed(np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]))
+    return run
+
+
 def _extended(length: int, gram: int):
     def run(batches):
         extender = _Extender(length, gram)
@@ -374,10 +385,17 @@ def repeated_passages(df: DataFrame, key: str = "doc_id", text: str = "text", le
     listed = (marks.where(F.col("kind") == OPEN).groupBy("key", "text_hash")
               .agg(F.collect_list(F.struct("start", "n", "anchor")).alias("marks")))
     places, schema = _places(length, gram)
-    # Joined again on (anchor, arm): a frequent anchor spreads over the words beside it.
-    repeats = written(docs.join(listed, ["key", "text_hash"]).mapInArrow(places, _ddl(schema))
-                      .repartition(n, "anchor", "arm").sortWithinPartitions("anchor", "arm")
-                      .mapInArrow(_extended(length, gram), _ddl(_REPEAT)), "passage-repeats")
+    found = written(docs.join(listed, ["key", "text_hash"]).mapInArrow(places, _ddl(schema)), "passage-places")
+    # Joined again on (anchor, arm): a frequent anchor spreads over the words beside it.  At most n / HOT_SLACK arms
+    # are hot, which bounds the broadcast.
+    hot = F.broadcast(written(found.groupBy("anchor", "arm").agg(F.count(F.lit(1)).alias("places"))
+                              .where(F.col("places") * n > F.lit(HOT_SLACK * found.count())).select("anchor", "arm"),
+                              "passage-arms"))
+    extended = (found.join(hot, ["anchor", "arm"], "left_anti").repartition(n, "anchor", "arm")
+                .sortWithinPartitions("anchor", "arm").mapInArrow(_extended(length, gram), _ddl(_REPEAT)))
+    spread_out = (found.join(hot, ["anchor", "arm"], "left_semi")
+                  .mapInArrow(_spread(length, gram), _ddl(_REPEAT)))
+    repeats = written(extended.unionByName(spread_out), "passage-repeats")
     wide = repeats.where(F.col("n") == 0)
     earliest = wide.groupBy("anchor", "extension").agg(F.min("key").alias("first_key"))
     spread = (wide.join(earliest, ["anchor", "extension"]).where(F.col("key") > F.col("first_key"))

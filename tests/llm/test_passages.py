@@ -38,7 +38,8 @@ def test_report_matches_brute_force(docs, corpus):
     assert report(docs) == brute([(d, t) for d, t, *_ in corpus])
 
 
-@pytest.mark.parametrize("settings", [{"OPEN_ROWS": 2}, {"MAX_RUN": 2}, {"BATCH_BYTES": 200}])
+@pytest.mark.parametrize("settings", [{"OPEN_ROWS": 2}, {"MAX_RUN": 2}, {"BATCH_BYTES": 200}, {"HOT_SLACK": 0},
+                                      {"HOT_SLACK": 10 ** 6}])
 def test_every_path_gives_the_same_words(spark, monkeypatch, settings):
     for name, value in settings.items():
         monkeypatch.setattr(passages, name, value)
@@ -56,10 +57,11 @@ def test_every_path_gives_the_same_words(spark, monkeypatch, settings):
 
 
 @pytest.mark.parametrize("length, gram", [(13, 4), (12, 4), (6, 5), (5, 5), (3, 1)])
-@pytest.mark.parametrize("open_rows", [3, 100_000])
-def test_extension_over_small_batches(spark, monkeypatch, length, gram, open_rows):
+@pytest.mark.parametrize("open_rows, slack", [(3, 10 ** 6), (100_000, 10 ** 6), (100_000, 2)])
+def test_extension_over_small_batches(spark, monkeypatch, length, gram, open_rows, slack):
     """Groups that cross Arrow batches, both arms, even and odd lengths, repeated anchors."""
     monkeypatch.setattr(passages, "OPEN_ROWS", open_rows)
+    monkeypatch.setattr(passages, "HOT_SLACK", slack)
     rnd = random.Random(length * 10 + gram)
     base = [rnd.choice("abcdefgh") for _ in range(200)]
     rows = []
@@ -85,8 +87,9 @@ def test_extension_over_small_batches(spark, monkeypatch, length, gram, open_row
     assert want and got == want
 
 
-def test_open_seeds_are_extended_as_maximal_repeats(spark):
+def test_open_seeds_are_extended_as_maximal_repeats(spark, monkeypatch):
     """One shared passage between different neighbours: the edge windows of each seed come in runs."""
+    monkeypatch.setattr(passages, "HOT_SLACK", 10 ** 6)
     shared = [f"s{i}" for i in range(30)]
     rows = [(k, " ".join([f"p{k}_{i}" for i in range(20)] + shared + [f"q{k}_{i}" for i in range(20)]))
             for k in range(6)]
