@@ -73,6 +73,26 @@ def test_pages_are_packed_where_rows_are_read(spark):
                                                                                        key=lambda r: r[0])
 
 
+def test_one_document_is_built_by_many_tasks_and_cut_by_bounded_ones(spark, tmp_root, monkeypatch):
+    monkeypatch.setattr(split, "TASKS_PER_CORE", 2)
+    rows = spark.range(0, 20000, 1, 4).selectExpr("id", "concat('{', id, '}') AS note")
+    one_document(rows, "t").write.text(f"{tmp_root}/landing")
+    files = glob.glob(f"{tmp_root}/landing/part-*")
+    assert len(files) == 1
+    doc = json.loads(open(files[0]).read())["tables"]["t"]
+    assert doc[0] is None and len(doc) == 20001
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")      # some 180 ranges
+    try:
+        pages = split.paginate(spark, f"{tmp_root}/landing", f"{tmp_root}/out")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert spark.conf.get("spark.sql.files.maxPartitionNum", None) is None
+    assert len(glob.glob(f"{tmp_root}/out/_pieces/part-*")) <= 4 * spark.sparkContext.defaultParallelism
+    found = [r for p in spark.read.text(pages).collect() for r in json.loads(p["value"])["tables"]["t"]]
+    assert sorted(r["id"] for r in found) == list(range(20000))
+
+
 def test_compressed_export_reads_back(spark, tmp_root):
     df = spark.createDataFrame([(1, "a\n\"b\""), (2, None), (3, "")], "id long, note string")
     path = CsvSink(tmp_root, compression="gzip").write(df, "notes")
