@@ -12,16 +12,24 @@ distance <= sqrt(2 - 2c) = r.
    number, so nothing is missed and no pair is met twice.
 3. A cell with more rows than a block takes is dealt into blocks and every pair
    of blocks is a task of its own, so no task grows with the data.
-4. Each task builds a cover tree per block (nested levels, radii halving, each
-   node with its true covering radius) and walks the two trees together.  A
+4. Each task first screens its pairs: in an orthonormal basis whose first
+   ``HEAD`` directions hold most of the spread, the product of two vectors is
+   at most that of their heads plus that of the lengths of their tails, one
+   matrix product of HEAD + 1 columns.  Vectors with no such bound near the
+   cosine link with nothing in this task (nothing linked is lost).
+5. Of the others it builds a cover tree per block (nested levels, radii halving,
+   each node with its true covering radius) and walks the two trees together.  A
    pair of nodes further apart than both radii and r is pruned; one wholly
    within r is counted as a whole; leaves are compared by matrix products, and
-   products within 1e-9 of the bound are recomputed as dot / (norm * norm).
-5. Tasks return counts and a local root per class, never pairs; components of
+   products within 1e-9 of the bound are recomputed as dot / (norm * norm).  A
+   node whose members lie about as far from each other as from its centre would
+   fall into single points; it stays a leaf.
+6. Tasks return counts and a local root per class, never pairs; components of
    the roots are found by ``components``.
 
-Where data has no structure (random directions in many dimensions) the bounds
-prune little and the work within a label is quadratic in its classes.
+Where data has no structure (random directions in many dimensions) the cells
+prune little and the screen within a label is quadratic in its classes: about
+two nanoseconds a pair.  Vectors travel in four bytes a component where they came so.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite
 values, and rows with a null label, link with nothing and are their own
@@ -40,19 +48,27 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from llm.common import col, fresh, written
 from llm.components import components
 
-CELL_ROWS = 2048
+CELL_ROWS = 32768
 MAX_CENTRES = 1024
-BLOCK_ROWS = 4096
-LEAF = 24
+# Rows of a block, fewer where a vector is longer than BLOCK_BYTES / BLOCK_ROWS bytes; rows that meet the centres in one go.
+BLOCK_ROWS = 32768
+BLOCK_BYTES = 16 << 20
+SHARD_ROWS = 4096
+LEAF = 128
+HEAD = 16
+CHUNK = 1024
 _SLACK = 1e-9
+_HEAD_SLACK = 1e-5   # of sums of HEAD + 1 products in single precision
 
 
-def _unit(column: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    raw = np.frombuffer(b"".join(column), dtype="<f8").reshape(len(column), -1)
+def _unit(column: pd.Series, dims: int) -> tuple[np.ndarray, np.ndarray]:
+    packed = b"".join(column)
+    raw = np.frombuffer(packed, dtype=f"<f{len(packed) // (len(column) * dims)}").astype(np.float64).reshape(-1, dims)
     scaled = raw / np.abs(raw).max(axis=1, keepdims=True)
     return raw, scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
@@ -94,15 +110,20 @@ class CoverTree:
             half = min(scale, self.radius[node]) / 2
             left, gaps = members, distance
             centre, place = self.centre[node], self.span[node][0]
-            kids = []
-            while len(left):
+            parts, most = [], max(LEAF, len(members) // 16)
+            while len(left) and len(parts) <= most:
                 near = gaps <= half
-                kids.append((self._node(centre, left[near], gaps[near], place), left[near], gaps[near]))
-                place += int(near.sum())
+                parts.append((centre, left[near], gaps[near]))
                 left = left[~near]
                 if len(left):
                     centre = left[0]
                     gaps = self._from(centre, left)
+            if len(left):
+                continue
+            kids = []
+            for centre, part, gaps in parts:
+                kids.append((self._node(centre, part, gaps, place), part, gaps))
+                place += len(part)
             self.children[node] = np.array([k for k, _, _ in kids])
             pending += [(k, m, d, half) for k, m, d in kids]
 
@@ -131,6 +152,12 @@ class _Links:
 
     def compare(self, x: np.ndarray, y: np.ndarray, same: bool, allowed: np.ndarray | None = None) -> None:
         """All pairs of members x and y (``same``: each unordered pair of x once), or the allowed ones."""
+        for a in range(0, len(x), CHUNK):
+            for b in range(a if same else 0, len(y), CHUNK):
+                self._compare(x[a:a + CHUNK], y[b:b + CHUNK], same and a == b,
+                              None if allowed is None else allowed[a:a + CHUNK, b:b + CHUNK])
+
+    def _compare(self, x: np.ndarray, y: np.ndarray, same: bool, allowed: np.ndarray | None) -> None:
         dots = self.unit[x] @ self.unit[y].T
         linked = dots >= self.cosine
         close = np.argwhere(np.abs(dots - self.cosine) <= _SLACK)
@@ -142,11 +169,9 @@ class _Links:
         self._record(x, y, linked, same)
 
     def whole(self, x: np.ndarray, y: np.ndarray, same: bool) -> None:
-        for a in range(0, len(x), 1024):
-            for b in range(0, len(y), 1024):
-                i, j = x[a:a + 1024], y[b:b + 1024]
-                if same and b < a:
-                    continue
+        for a in range(0, len(x), CHUNK):
+            for b in range(a if same else 0, len(y), CHUNK):
+                i, j = x[a:a + CHUNK], y[b:b + CHUNK]
                 self._record(i, j, np.ones((len(i), len(j)), dtype=bool), same and a == b)
 
     def _record(self, x, y, linked, same) -> None:
@@ -158,17 +183,16 @@ class _Links:
             return
         np.add.at(self.links, x, linked @ self.weight[y])
         np.add.at(self.links, y, self.weight[x] @ linked)
-        # A row's first hit and each column's first hit connect all that the block connects.
-        hit_rows = np.flatnonzero(linked.any(axis=1))
-        first = linked.argmax(axis=1)
-        self._join(x[hit_rows], y[first[hit_rows]])
-        rest = linked.copy()
-        rest[hit_rows, first[hit_rows]] = False
-        i, j = np.nonzero(rest)
-        if len(i):
-            roots = np.array([self.root(k) for k in range(len(self.parent))])
-            apart = roots[x[i]] != roots[y[j]]
-            self._join(x[i[apart]], y[j[apart]])
+        # Each row's and each column's first hit; then what is still apart, once for each two roots.
+        hit_rows, hit_columns = np.flatnonzero(linked.any(axis=1)), np.flatnonzero(linked.any(axis=0))
+        self._join(x[hit_rows], y[linked.argmax(axis=1)[hit_rows]])
+        self._join(x[linked.argmax(axis=0)[hit_columns]], y[hit_columns])
+        i, j = np.nonzero(linked)
+        of_x, of_y = (np.array([self.root(k) for k in z.tolist()]) for z in (x, y))
+        of_x, of_y = of_x[i], of_y[j]
+        apart = of_x != of_y
+        if apart.any():
+            self._join(*np.unique(np.stack([of_x[apart], of_y[apart]]), axis=1))
 
 
 def dual_traversal(a: CoverTree, ia: np.ndarray, b: CoverTree, ib: np.ndarray, same: bool, reach: float,
@@ -218,21 +242,61 @@ def dual_traversal(a: CoverTree, ia: np.ndarray, b: CoverTree, ib: np.ndarray, s
             pending += list(zip(xs[i].tolist(), y[j].tolist()))
 
 
+def _heads(unit: np.ndarray) -> np.ndarray:
+    """Unit vectors as HEAD + 1 single-precision columns whose products are at least the products of the vectors.
+
+    The first columns are coordinates along orthonormal directions of large spread (two power steps over a sample;
+    any orthonormal directions give valid bounds), the last is the length of the rest.
+    """
+    sample = unit[:: -(-len(unit) // CHUNK)]
+    sample = sample - sample.mean(axis=0)
+    basis = np.linalg.qr(np.random.default_rng(0).normal(size=(unit.shape[1], min(HEAD, unit.shape[1]))))[0]
+    for _ in range(2):
+        basis = np.linalg.qr(sample.T @ (sample @ basis) + 1e-6 * basis)[0]
+    head = unit @ basis
+    rest = np.sqrt(np.maximum(0.0, 1 - np.einsum("ij,ij->i", head, head)))
+    return np.column_stack([head, rest]).astype(np.float32)
+
+
+def near_any(heads: np.ndarray, x: np.ndarray, y: np.ndarray, same: bool, bound: float, touched: np.ndarray) -> None:
+    """Set ``touched`` for members of x and y that have a pair whose bound reaches ``bound`` (``same``: x is y)."""
+    wide = 4 * CHUNK
+    for a in range(0, len(x), wide):
+        left = heads[x[a:a + wide]]
+        for b in range(a if same else 0, len(y), wide):
+            products = left @ heads[y[b:b + wide]].T
+            if same and a == b:
+                np.fill_diagonal(products, -2)
+            rows = np.flatnonzero(products.max(axis=1) >= bound)
+            if len(rows):
+                touched[x[a + rows]] = True
+                touched[y[b + np.flatnonzero(products[rows].max(axis=0) >= bound)]] = True
+
+
 def _task(cosine: float):
     reach = math.sqrt(2 - 2 * cosine)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        raw, unit = _unit(pdf["vector"])
-        links = _Links(raw, unit, pdf["copies"].to_numpy(), pdf["visitor"].to_numpy(dtype=bool), cosine)
-        left = np.flatnonzero(pdf["block"].to_numpy() == pdf["low"].to_numpy())
-        if pdf["low"].iloc[0] == pdf["high"].iloc[0]:
-            tree = CoverTree(unit[left])
+        raw, unit = _unit(pdf["vector"], int(pdf["dims"].iloc[0]))
+        visitor, touched = pdf["visitor"].to_numpy(dtype=bool), np.zeros(len(pdf), dtype=bool)
+        low, one = (pdf["block"] == pdf["low"]).to_numpy(), pdf["low"].iloc[0] == pdf["high"].iloc[0]
+        heads, bound = _heads(unit), np.float32(cosine - _HEAD_SLACK)
+        at, guests = np.flatnonzero(low & ~visitor), np.flatnonzero(low & visitor)
+        if one:
+            near_any(heads, at, at, True, bound, touched)
+            near_any(heads, at, guests, False, bound, touched)
+        else:
+            near_any(heads, at, np.flatnonzero(~low), False, bound, touched)
+            near_any(heads, guests, np.flatnonzero(~low & ~visitor), False, bound, touched)
+        links = _Links(raw[touched], unit[touched], pdf["copies"].to_numpy()[touched], visitor[touched], cosine)
+        left, right = np.flatnonzero(low[touched]), np.flatnonzero(~low[touched])
+        if one:
+            tree = CoverTree(links.unit)
             dual_traversal(tree, left, tree, left, True, reach, links)
         else:
-            right = np.flatnonzero(pdf["block"].to_numpy() != pdf["low"].to_numpy())
-            dual_traversal(CoverTree(unit[left]), left, CoverTree(unit[right]), right, False, reach, links)
+            dual_traversal(CoverTree(links.unit[left]), left, CoverTree(links.unit[right]), right, False, reach, links)
         found = np.flatnonzero(links.links)
-        name = pdf["name"].to_numpy()
+        name = pdf["name"].to_numpy()[touched]
         return pd.DataFrame({"name": name[found], "links": links.links[found],
                              "root": name[[links.root(int(i)) for i in found]] if len(found) else name[:0]})
     return run
@@ -247,8 +311,9 @@ def _cells(reach: float):
         if centres.empty or len(centres) == 1:
             return points.assign(cell=0, visitor=False)[columns]
         centres = centres.sort_values("c_name")
-        _, p = _unit(points["vector"])
-        _, c = _unit(centres["c_vector"])
+        dims = int(points["dims"].iloc[0])
+        _, p = _unit(points["vector"], dims)
+        _, c = _unit(centres["c_vector"], dims)
         gap2 = np.maximum(0.0, 2 - 2 * (p @ c.T))
         home = gap2.argmin(axis=1)
         between = np.sqrt(np.maximum(0.0, 2 - 2 * (c @ c.T)))
@@ -272,18 +337,20 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     sound = (col(label).isNotNull() & v.isNotNull() & finite
              & F.coalesce(F.exists(v, lambda x: x != 0), F.lit(False)))
     doubles = v.cast("array<double>")
+    # Single-precision components are doubles too, in half the bytes.
+    single = isinstance(df.schema[vector].dataType.elementType, T.FloatType)
     named = df.withColumn(name, F.when(sound, F.xxhash64(col(label), doubles)))
     valid = named.where(col(name).isNotNull()).select(
         col(label).cast("string").alias("label"), F.size(v).alias("dims"), col(name).alias("name"),
-        doubles.alias("vector"), col(key).cast("long").alias("key"))
+        (v if single else doubles).alias("vector"), col(key).cast("long").alias("key"))
     classes = written(
         valid.groupBy("label", "dims", "name").agg(
             F.count(F.lit(1)).alias("copies"), F.min("key").alias("key"), F.first("vector").alias("vector"))
-        .mapInArrow(_packed, "label string, dims int, name long, copies long, key long, vector binary"),
+        .mapInArrow(_packed("<f4" if single else "<f8"), "label string, dims int, name long, copies long, key long, vector binary"),
         "embedding-classes")
     sizes = classes.groupBy("label", "dims").agg(F.count(F.lit(1)).alias("n")).select(
         "label", "dims", F.least(F.lit(MAX_CENTRES), F.ceil(F.col("n") / CELL_ROWS)).cast("long").alias("centres"),
-        F.ceil(F.col("n") / BLOCK_ROWS).cast("long").alias("shards"),
+        F.ceil(F.col("n") / SHARD_ROWS).cast("long").alias("shards"),
         (F.col("n").cast("double")).alias("n"))
     sized = classes.join(sizes, ["label", "dims"])
     dealt = sized.withColumn("shard", F.pmod(F.xxhash64("name", F.lit(1)), "shards"))
@@ -298,8 +365,9 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
                  .groupBy(*[f"c_{c}" for c in keys]))
         .applyInPandas(_cells(reach), "label string, dims int, cell long, name long, copies long, "
                                       "vector binary, visitor boolean"), "embedding-cells")
-    blocks = cells.groupBy("label", "dims", "cell").agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("long").alias("blocks"))
+    block_rows = F.greatest(F.lit(1), F.least(F.lit(BLOCK_ROWS), F.floor(F.lit(BLOCK_BYTES) / (8 * F.col("dims")))))
+    blocks = cells.groupBy("label", "dims", "cell").agg(F.count(F.lit(1)).alias("n")).select(
+        "label", "dims", "cell", F.ceil(F.col("n") / block_rows).cast("long").alias("blocks"))
     placed = cells.join(blocks, ["label", "dims", "cell"]).withColumn(
         "block", F.pmod(F.xxhash64("name", F.lit(3)), "blocks"))
     tasks = (placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
@@ -324,13 +392,15 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
                          F.coalesce(F.col(f"d.`{key}`") == component, F.lit(True)).alias(n3))
 
 
-def _packed(batches):
-    """The last column, a list of doubles, as little-endian bytes; the others as they are."""
-    for batch in batches:
-        lists = batch.column(batch.num_columns - 1)
-        at, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False).astype("<f8")
-        packed = pa.array([flat[a:b].tobytes() for a, b in zip(at, at[1:])], pa.binary())
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], packed], names=batch.schema.names)
+def _packed(kind: str):
+    """The last column, a list of numbers, as little-endian bytes; the others as they are."""
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(batch.num_columns - 1)
+            at, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False).astype(kind)
+            packed = pa.array([flat[a:b].tobytes() for a, b in zip(at, at[1:])], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], packed], names=batch.schema.names)
+    return run
 
 
 def op10_embedding_dedup(spark, sf_dir: str) -> DataFrame:

@@ -99,6 +99,31 @@ def test_cover_tree_nests_and_covers():
             assert max(tree.radius[k] for k in kids) <= tree.radius[node] / 2 + 1e-9
 
 
+def test_points_far_apart_stay_in_one_leaf():
+    points = np.random.default_rng(2).normal(size=(1500, 64))
+    tree = ed.CoverTree(points / np.linalg.norm(points, axis=1, keepdims=True))
+    assert len(tree.centre) < 150  # not a node, and a pass over all others, for every point
+
+
+def test_heads_bound_products_and_leave_few_pairs():
+    rnd = np.random.default_rng(4)
+    points = rnd.normal(size=(800, 64)) * np.linspace(0, 2, 64)
+    points[1] = points[0] + rnd.normal(size=64) * 0.01
+    unit = points / np.linalg.norm(points, axis=1, keepdims=True)
+    heads = ed._heads(unit)
+    assert (heads.astype(np.float64) @ heads.astype(np.float64).T >= unit @ unit.T - ed._HEAD_SLACK).all()
+    touched = np.zeros(800, dtype=bool)
+    ed.near_any(heads, np.arange(800), np.arange(800), True, np.float32(0.98 - ed._HEAD_SLACK), touched)
+    assert touched[:2].all() and touched.sum() < 40
+
+
+def test_doubles_and_long_vectors_in_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ed, "BLOCK_BYTES", 12 * 8 * 11)
+    rows = cloud(12)
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert got(df) == got(df.withColumn("embedding", F.col("embedding").cast("array<double>"))) == ordered(brute(rows))
+
+
 def test_columns_and_empty_table(spark):
     rows = cloud(9, 30)
     df = spark.createDataFrame(rows, SCHEMA).withColumn("kept", F.lit(1)).withColumn("name", F.lit("n"))
